@@ -227,6 +227,64 @@ def q_dq_date_range(spark, sf_dir):
     return date_range(raw, "concept_id", "valid_start_date", floor=S.DATE_FLOOR)
 
 
+# ------------------------------------------------------------------ vocabulary
+EXISTING_CONCEPT_BEFORE = "1975-01-01"
+LOOKUP_DOMAIN = "economy"        # mixed case on purpose: the filter ignores case
+EXISTING_RELATIONSHIP = "Returned with"
+
+
+def _concepts(t: Tables, domain="ALL"):
+    return jobs.load_concept(t.concept_raw(), domain)
+
+
+def q_load_concept(spark, sf_dir):
+    return _concepts(Tables(spark, sf_dir))
+
+
+def q_concept_lookup(spark, sf_dir):
+    return _concepts(Tables(spark, sf_dir), LOOKUP_DOMAIN)
+
+
+def q_incremental_concept(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    existing = _concepts(t).where(F.col("valid_start_date") < F.lit(EXISTING_CONCEPT_BEFORE).cast("date"))
+    return jobs.load_concept(t.concept_raw(), "ALL", existing=existing)
+
+
+def q_validate_vocabulary(spark, sf_dir):
+    from ..operators.quality import validate_vocabulary
+    return validate_vocabulary(Tables(spark, sf_dir).concept_raw(), S.CONCEPT, ["concept_id"])
+
+
+def q_load_concept_relationship(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return jobs.load_concept_relationship(t.relationship_raw(), _concepts(t))
+
+
+def q_relationship_domain(spark, sf_dir):
+    from ..sources.vocabulary import domain_filter, typed
+    t = Tables(spark, sf_dir)
+    file_level = domain_filter(typed(t.concept_raw(), S.CONCEPT), LOOKUP_DOMAIN)
+    return jobs.load_concept_relationship(t.relationship_raw(), _concepts(t, LOOKUP_DOMAIN),
+                                          domain=LOOKUP_DOMAIN, domain_concepts=file_level)
+
+
+def q_relationship_existing(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    loaded = _concepts(t).where(F.col("valid_start_date") < F.lit(EXISTING_CONCEPT_BEFORE).cast("date"))
+    rel = jobs.load_concept_relationship(t.relationship_raw(), loaded)
+    return jobs.relationship_with_names(rel, loaded).select(
+        *jobs.REL_KEY, "concept_name_1", "concept_name_2")
+
+
+def q_incremental_relationship(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    concepts = _concepts(t)
+    existing = jobs.load_concept_relationship(t.relationship_raw(), concepts).where(
+        F.col("relationship_id") == EXISTING_RELATIONSHIP)
+    return jobs.load_concept_relationship(t.relationship_raw(), concepts, existing=existing)
+
+
 QUERIES = {
     "load_person_ids": q_load_person_ids,
     "load_person": q_load_person,
@@ -258,4 +316,12 @@ QUERIES = {
     "dq_nulls": q_dq_nulls,
     "dq_duplicates": q_dq_duplicates,
     "dq_date_range": q_dq_date_range,
+    "load_concept": q_load_concept,
+    "concept_lookup": q_concept_lookup,
+    "incremental_concept": q_incremental_concept,
+    "validate_vocabulary": q_validate_vocabulary,
+    "load_concept_relationship": q_load_concept_relationship,
+    "relationship_domain": q_relationship_domain,
+    "relationship_existing": q_relationship_existing,
+    "incremental_relationship": q_incremental_relationship,
 }

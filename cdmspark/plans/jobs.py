@@ -186,3 +186,57 @@ def observation_period(src: DataFrame, persons: DataFrame, gap_days: int = S.ISL
                           "observation_period_end_date",
                           F.lit(S.PERIOD_TYPE_CONCEPT_ID).alias("period_type_concept_id"))
     return conform(out, S.OBSERVATION_PERIOD)
+
+
+# --------------------------------------------------------------------- J7 concept
+def load_concept(raw: DataFrame, domain: str | None = "ALL", existing: DataFrame | None = None) -> DataFrame:
+    """Text rows -> typed concepts of ``domain``: contract rejects dropped, one row per
+    concept_id (highest valid_start_date, then name), ids already loaded skipped."""
+    from ..sources.sinks import good_rows, split_rejects
+    from ..sources.vocabulary import domain_filter, typed
+    x = domain_filter(typed(raw, S.CONCEPT), domain)
+    x = good_rows(split_rejects(x, S.CONCEPT, S.MAX_LENGTHS["concept"]))
+    x = _one_per_key(x, ["concept_id"], [F.col("valid_start_date").desc(), F.col("concept_name")])
+    return conform(new_rows(x, existing, ["concept_id"]), S.CONCEPT)
+
+
+def _one_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    from pyspark.sql import Window
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+
+
+# --------------------------------------------------------------------- J8 concept_relationship
+REL_KEY = ["concept_id_1", "concept_id_2", "relationship_id"]
+
+
+def both_ends_in(rel: DataFrame, concept_ids: DataFrame) -> DataFrame:
+    """Keep edges whose two endpoints are both in ``concept_ids``."""
+    ids = concept_ids.select(F.col("concept_id")).distinct()
+    return (rel.join(ids.withColumnRenamed("concept_id", "concept_id_1"), "concept_id_1", "left_semi")
+               .join(ids.withColumnRenamed("concept_id", "concept_id_2"), "concept_id_2", "left_semi"))
+
+
+def load_concept_relationship(raw: DataFrame, loaded_concepts: DataFrame, domain: str | None = "ALL",
+                              domain_concepts: DataFrame | None = None,
+                              existing: DataFrame | None = None) -> DataFrame:
+    """Typed edges; for a domain both ends must be that domain's concepts (file level);
+    both ends must be in the loaded concept table; composite keys already loaded skipped."""
+    from ..sources.sinks import good_rows, split_rejects
+    from ..sources.vocabulary import typed
+    x = good_rows(split_rejects(typed(raw, S.CONCEPT_RELATIONSHIP), S.CONCEPT_RELATIONSHIP,
+                                S.MAX_LENGTHS["concept_relationship"]))
+    if domain is not None and domain.upper() != "ALL" and domain_concepts is not None:
+        x = both_ends_in(x, domain_concepts)
+    x = both_ends_in(x, loaded_concepts)
+    x = _one_per_key(x, REL_KEY, [F.col("valid_start_date").desc()])
+    return conform(new_rows(x, existing, REL_KEY), S.CONCEPT_RELATIONSHIP)
+
+
+def relationship_with_names(rel: DataFrame, concepts: DataFrame) -> DataFrame:
+    """C11: edges joined to both endpoint concepts (names carried along)."""
+    c = concepts.select("concept_id", "concept_name")
+    return (rel.join(c.withColumnRenamed("concept_id", "concept_id_1")
+                      .withColumnRenamed("concept_name", "concept_name_1"), "concept_id_1")
+               .join(c.withColumnRenamed("concept_id", "concept_id_2")
+                      .withColumnRenamed("concept_name", "concept_name_2"), "concept_id_2"))

@@ -228,3 +228,86 @@ SELECT concept_id, valid_start_date, CASE WHEN valid_start_date IS NULL THEN 'mi
   WHEN dt IS NULL THEN 'unparseable' WHEN dt <= DATE '1930-01-01' THEN 'before_floor' END AS reason
 FROM d WHERE valid_start_date IS NULL OR dt IS NULL OR dt <= DATE '1930-01-01'""",
 }
+
+
+# --------------------------------------------------------------------------- vocabulary
+def _vdate(c):
+    return (f"coalesce(CAST(try_strptime({c}, '%Y%m%d') AS DATE), CAST(try_strptime({c}, '%Y-%m-%d') AS DATE))")
+
+
+def _blank_null(c):
+    return f"CASE WHEN trim({c}) = '' THEN NULL ELSE {c} END"
+
+
+def _concepts_sql(domain: str | None = None, name: str = "concepts") -> str:
+    dom = f"AND upper(domain_id) = '{domain.upper()}'" if domain else ""
+    return f"""
+{name}_typed AS (SELECT TRY_CAST(concept_id AS BIGINT) AS concept_id, {_blank_null('concept_name')} AS concept_name,
+    {_blank_null('domain_id')} AS domain_id, {_blank_null('vocabulary_id')} AS vocabulary_id,
+    {_blank_null('concept_class_id')} AS concept_class_id, {_blank_null('standard_concept')} AS standard_concept,
+    {_blank_null('concept_code')} AS concept_code, {_vdate('valid_start_date')} AS valid_start_date,
+    {_vdate('valid_end_date')} AS valid_end_date, {_blank_null('invalid_reason')} AS invalid_reason
+  FROM concept_raw WHERE TRUE {dom}),
+{name}_good AS (SELECT * FROM {name}_typed WHERE concept_id IS NOT NULL AND concept_name IS NOT NULL
+    AND domain_id IS NOT NULL AND vocabulary_id IS NOT NULL AND concept_class_id IS NOT NULL
+    AND concept_code IS NOT NULL AND valid_start_date IS NOT NULL AND valid_end_date IS NOT NULL
+    AND length(concept_name) <= 255 AND length(domain_id) <= 20 AND length(vocabulary_id) <= 20
+    AND length(concept_class_id) <= 20 AND coalesce(length(standard_concept), 0) <= 1
+    AND length(concept_code) <= 50 AND coalesce(length(invalid_reason), 0) <= 1),
+{name} AS (SELECT concept_id, concept_name, domain_id, vocabulary_id, concept_class_id, standard_concept,
+    concept_code, valid_start_date, valid_end_date, invalid_reason FROM (
+  SELECT *, row_number() OVER (PARTITION BY concept_id ORDER BY valid_start_date DESC, concept_name) AS rn
+  FROM {name}_good) WHERE rn = 1)"""
+
+
+def _rels_sql(concepts: str, name: str = "rels", extra_where: str = "") -> str:
+    return f"""
+{name}_typed AS (SELECT TRY_CAST(concept_id_1 AS BIGINT) AS concept_id_1, TRY_CAST(concept_id_2 AS BIGINT) AS concept_id_2,
+    {_blank_null('relationship_id')} AS relationship_id, {_vdate('valid_start_date')} AS valid_start_date,
+    {_vdate('valid_end_date')} AS valid_end_date, {_blank_null('invalid_reason')} AS invalid_reason
+  FROM relationship_raw),
+{name} AS (SELECT concept_id_1, concept_id_2, relationship_id, valid_start_date, valid_end_date, invalid_reason FROM (
+  SELECT *, row_number() OVER (PARTITION BY concept_id_1, concept_id_2, relationship_id
+                               ORDER BY valid_start_date DESC) AS rn
+  FROM {name}_typed
+  WHERE concept_id_1 IS NOT NULL AND concept_id_2 IS NOT NULL AND relationship_id IS NOT NULL
+    AND valid_start_date IS NOT NULL AND valid_end_date IS NOT NULL AND length(relationship_id) <= 20
+    AND coalesce(length(invalid_reason), 0) <= 1
+    AND concept_id_1 IN (SELECT concept_id FROM {concepts}) AND concept_id_2 IN (SELECT concept_id FROM {concepts})
+    {extra_where}) WHERE rn = 1)"""
+
+
+_EXC = f"valid_start_date < DATE '{C.EXISTING_CONCEPT_BEFORE}'"
+
+SQL.update({
+    "load_concept": W(_concepts_sql(), "SELECT * FROM concepts"),
+    "concept_lookup": W(_concepts_sql(C.LOOKUP_DOMAIN), "SELECT * FROM concepts"),
+    "incremental_concept": W(_concepts_sql(), f"SELECT * FROM concepts WHERE concept_id NOT IN "
+                                              f"(SELECT concept_id FROM concepts WHERE {_EXC})"),
+    "validate_vocabulary": W("", f"""SELECT
+  (SELECT count(*) FROM concept_raw) AS n_rows,
+  (SELECT count(*) FROM concept_raw WHERE concept_id IS NOT NULL AND TRY_CAST(concept_id AS BIGINT) IS NULL)
+    AS bad_concept_id,
+  (SELECT count(*) FROM concept_raw WHERE valid_start_date IS NOT NULL AND {_vdate('valid_start_date')} IS NULL)
+    AS bad_valid_start_date,
+  (SELECT count(*) FROM concept_raw WHERE valid_end_date IS NOT NULL AND {_vdate('valid_end_date')} IS NULL)
+    AS bad_valid_end_date,
+  (SELECT count(*) FROM concept_raw WHERE concept_id IS NULL) AS null_keys,
+  (SELECT coalesce(sum(c - 1), 0) FROM (SELECT concept_id, count(*) AS c FROM concept_raw GROUP BY concept_id)
+    WHERE c > 1) AS repeated_keys"""),
+    "load_concept_relationship": W(_concepts_sql() + "," + _rels_sql("concepts"), "SELECT * FROM rels"),
+    "relationship_domain": W(
+        _concepts_sql(C.LOOKUP_DOMAIN) + f""",
+file_level AS (SELECT TRY_CAST(concept_id AS BIGINT) AS concept_id FROM concept_raw
+               WHERE upper(domain_id) = '{C.LOOKUP_DOMAIN.upper()}'),""" + _rels_sql(
+            "concepts", extra_where="AND concept_id_1 IN (SELECT concept_id FROM file_level) "
+                                    "AND concept_id_2 IN (SELECT concept_id FROM file_level)"),
+        "SELECT * FROM rels"),
+    "relationship_existing": W(_concepts_sql() + f""",
+loaded AS (SELECT * FROM concepts WHERE {_EXC}),""" + _rels_sql("loaded"), """SELECT r.concept_id_1, r.concept_id_2,
+  r.relationship_id, a.concept_name AS concept_name_1, b.concept_name AS concept_name_2
+FROM rels r JOIN loaded a ON a.concept_id = r.concept_id_1 JOIN loaded b ON b.concept_id = r.concept_id_2"""),
+    "incremental_relationship": W(_concepts_sql() + "," + _rels_sql("concepts"), f"""SELECT * FROM rels r
+WHERE NOT EXISTS (SELECT 1 FROM rels e WHERE e.relationship_id = '{C.EXISTING_RELATIONSHIP}'
+  AND e.concept_id_1 = r.concept_id_1 AND e.concept_id_2 = r.concept_id_2 AND e.relationship_id = r.relationship_id)"""),
+})
