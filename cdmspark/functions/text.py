@@ -70,8 +70,8 @@ def preprocess_text(c, abbreviations=ABBREVIATIONS) -> Column:
 
 
 def full_process(c) -> Column:
-    """Fuzzy-score cleaning: lower case, anything but letters/digits -> space, trim."""
-    x = F.regexp_replace(F.lower(_col(c)), r"[^\p{L}\p{N}]", " ")
+    """Fuzzy-score cleaning: anything but word characters -> blank, lower case, trim."""
+    x = F.lower(F.regexp_replace(_col(c), r"[^\p{L}\p{N}_]", " "))
     return F.coalesce(F.trim(x), F.lit(""))
 
 

@@ -285,6 +285,203 @@ def q_incremental_relationship(spark, sf_dir):
     return jobs.load_concept_relationship(t.relationship_raw(), concepts, existing=existing)
 
 
+# ------------------------------------------------------------------ concept mapping
+SEM_THRESHOLD = 0.7        # text similarity cut-off (multi-strategy and basic)
+CASCADE_THRESHOLD = 0.6    # second stage of the code cascade
+VEC_THRESHOLD = 0.4        # nearest other vector in the embeddings table
+TOP_K = 5
+FUZZY_CUTOFF = 80
+
+
+def _proc_rows(t: Tables) -> DataFrame:
+    return t.procedure_src().select("procedure_occurrence_id", "procedure_source_value",
+                                    "procedure_source_code", "procedure_source_type")
+
+
+def _vectors(t: Tables) -> DataFrame:
+    return t.table("embeddings").select("vec_id", "label", F.transform("embedding", lambda x: x.cast("double"))
+                                        .alias("vec"))
+
+
+def q_map_exact(spark, sf_dir):
+    from ..operators import mapping as M
+    t = Tables(spark, sf_dir)
+    m = M.exact_match(_proc_rows(t), "procedure_source_value", _concepts(t))
+    return m.select("procedure_occurrence_id", F.col("procedure_source_value").alias("source_value"), "concept_id")
+
+
+def q_map_code(spark, sf_dir):
+    from ..operators import mapping as M
+    t = Tables(spark, sf_dir)
+    m = M.code_match(_proc_rows(t), "procedure_source_code", _concepts(t))
+    return m.select("procedure_occurrence_id", F.col("procedure_source_code").alias("source_code"), "concept_id",
+                    "matched_concept_name", "matched_domain")
+
+
+def q_map_fuzzy(spark, sf_dir):
+    from ..operators import mapping as M
+    t = Tables(spark, sf_dir)
+    m = M.fuzzy(_proc_rows(t), "procedure_source_value", _concepts(t), cutoff=FUZZY_CUTOFF)
+    return m.select("procedure_occurrence_id", F.col("procedure_source_value").alias("source_value"),
+                    "concept_id", "matched_concept_name", "fuzzy_score")
+
+
+def _nn_named(v: DataFrame, k: int) -> DataFrame:
+    from ..operators.nearest import nearest
+    src = v.select(F.col("vec_id").alias("source_id"), "vec")
+    cand = v.select(F.col("vec_id").alias("neighbour_id"), "vec")
+    return nearest(src, cand, "source_id", "neighbour_id", k=k, exclude_self=True)
+
+
+def q_map_semantic(spark, sf_dir):
+    """I4 / C16 on the given vectors: each vector's nearest other vector, kept at or
+    above the threshold; unmapped otherwise (best score still reported)."""
+    t = Tables(spark, sf_dir)
+    v = _vectors(t)
+    nn = _nn_named(v, 1)
+    labels = v.select(F.col("vec_id").alias("neighbour_id"), F.col("label").alias("matched_label"))
+    hit = F.col("score") >= VEC_THRESHOLD
+    return (nn.join(labels, "neighbour_id")
+              .select(F.col("source_id").alias("vec_id"), F.when(hit, F.col("neighbour_id")).alias("concept_id"),
+                      F.when(hit, F.col("matched_label")).alias("matched_label"),
+                      F.round("score", 4).alias("similarity_score")))
+
+
+def q_similar_concepts(spark, sf_dir):
+    """Top-k most similar other vectors per vector, ranked."""
+    nn = _nn_named(_vectors(Tables(spark, sf_dir)), TOP_K)
+    return nn.select(F.col("source_id").alias("vec_id"), F.col("neighbour_id").alias("concept_id"),
+                     F.round("score", 4).alias("similarity_score"), "rank")
+
+
+def q_cosine(spark, sf_dir):
+    """H15 / M4 native: cosine of each vector with the next vector id."""
+    from ..functions.similarity import cosine
+    e = Tables(spark, sf_dir).table("embeddings").select("vec_id", "embedding")
+    nxt = e.select((F.col("vec_id") - 1).alias("vec_id"), F.col("vec_id").alias("next_id"),
+                   F.col("embedding").alias("next_embedding"))
+    return e.join(nxt, "vec_id").select("vec_id", "next_id",
+                                        F.round(cosine("embedding", "next_embedding"), 6).alias("cosine"))
+
+
+def q_preprocess_text(spark, sf_dir):
+    """H12 over whole documents."""
+    from ..functions.text import preprocess_text
+    d = Tables(spark, sf_dir).table("documents")
+    return d.select("doc_id", preprocess_text(F.col("text")).alias("clean_text"))
+
+
+def q_embed_text(spark, sf_dir):
+    """Sparse default embedding (bucket, weight) of every distinct concept name."""
+    from ..operators.embed import trigram_weights
+    names = _concepts(Tables(spark, sf_dir)).select("concept_name").distinct()
+    w = trigram_weights(names, "concept_name", "concept_name")
+    return w.select("concept_name", "bucket", F.round("weight", 6).alias("weight"))
+
+
+def _multi(t: Tables) -> DataFrame:
+    from ..operators import mapping as M
+    return M.multi_strategy(_proc_rows(t), "procedure_source_value", _concepts(t), threshold=SEM_THRESHOLD)
+
+
+def q_map_multi(spark, sf_dir):
+    m = _multi(Tables(spark, sf_dir))
+    return m.select("procedure_occurrence_id", F.col("procedure_source_value").alias("source_value"),
+                    "concept_id", "matched_concept_name", "matching_strategy",
+                    F.round("similarity_score", 4).alias("similarity_score"))
+
+
+def q_map_source(spark, sf_dir):
+    from ..operators import mapping as M
+    t = Tables(spark, sf_dir)
+    m = M.map_source(_proc_rows(t), "procedure_source_value", _concepts(t), "semantic", threshold=SEM_THRESHOLD)
+    return m.select("procedure_occurrence_id", F.col("procedure_source_value").alias("source_value"),
+                    "concept_id", "matched_concept_name", F.round("similarity_score", 4).alias("similarity_score"))
+
+
+def _cascade(t: Tables) -> DataFrame:
+    from ..operators import mapping as M
+    return M.cascade(_proc_rows(t), "procedure_source_code", "procedure_source_value", _concepts(t),
+                     threshold=CASCADE_THRESHOLD)
+
+
+def q_map_cascade(spark, sf_dir):
+    c = _cascade(Tables(spark, sf_dir))
+    return c.select("procedure_occurrence_id", F.col("procedure_source_code").alias("source_code"),
+                    F.col("procedure_source_value").alias("source_value"),
+                    F.col("procedure_source_type").alias("source_type"), "concept_id", "matched_concept_name",
+                    "matched_domain", "mapping_method", F.round("similarity_score", 4).alias("similarity_score"))
+
+
+def q_cross_domain(spark, sf_dir):
+    from ..operators import mapping as M
+    c = M.cross_domain(_cascade(Tables(spark, sf_dir)), "procedure_source_type")
+    return c.select("procedure_occurrence_id", F.col("procedure_source_type").alias("source_type"),
+                    "matched_domain", "matched_concept_name")
+
+
+def q_review_list(spark, sf_dir):
+    from ..operators import mapping as M
+    c = M.review_list(_cascade(Tables(spark, sf_dir)))
+    return c.select("procedure_occurrence_id", F.col("procedure_source_code").alias("source_code"),
+                    F.col("procedure_source_value").alias("source_value"),
+                    F.col("procedure_source_type").alias("source_type"))
+
+
+def q_mapped_by_domain(spark, sf_dir):
+    from ..operators.reports import mapped_by_domain
+    return mapped_by_domain(_cascade(Tables(spark, sf_dir)))
+
+
+def q_mapping_report(spark, sf_dir):
+    from ..operators.reports import mapping_report
+    return mapping_report(_multi(Tables(spark, sf_dir)))
+
+
+def q_strategy_breakdown(spark, sf_dir):
+    from ..operators.reports import strategy_breakdown
+    return strategy_breakdown(_multi(Tables(spark, sf_dir)))
+
+
+def q_confidence_band(spark, sf_dir):
+    from ..operators.reports import confidence_band
+    return confidence_band(_multi(Tables(spark, sf_dir)), "procedure_source_value")
+
+
+def q_top_unmapped(spark, sf_dir):
+    from ..operators.reports import top_unmapped
+    return top_unmapped(_multi(Tables(spark, sf_dir)), "procedure_source_value")
+
+
+def q_mapping_summary(spark, sf_dir):
+    from ..operators.reports import concept_distribution
+    return concept_distribution(_multi(Tables(spark, sf_dir)))
+
+
+def q_map_fallback(spark, sf_dir):
+    """Visit source values: exact name, then text similarity, then the visit-type rules."""
+    from ..operators import mapping as M
+    t = Tables(spark, sf_dir)
+    v = t.visit_src().select("visit_occurrence_id", "visit_source_value")
+    m = M.fallback(v, "visit_source_value", [("exact", None), ("semantic", SEM_THRESHOLD),
+                                              ("rule", rules.map_visit_type)], _concepts(t))
+    return m.select("visit_occurrence_id", "visit_source_value", "concept_id", "mapping_method")
+
+
+def q_map_custom(spark, sf_dir):
+    """M3: a custom lookup (plural part names -> their part) ahead of the exact match."""
+    from ..operators import mapping as M
+    t = Tables(spark, sf_dir)
+    rules_df = t.table("part").select(F.concat("p_name", F.lit("s")).alias("source_value"),
+                                      F.col("p_partkey").alias("concept_id"))
+    x = M.custom_match(_proc_rows(t), "procedure_source_value", rules_df)
+    x = M.exact_match(x, "procedure_source_value", _concepts(t))
+    method = (F.when(F.col("custom_concept_id").isNotNull(), F.lit("custom"))
+               .when(F.col("concept_id").isNotNull(), F.lit("exact_match")))
+    return x.select("procedure_occurrence_id", F.col("procedure_source_value").alias("source_value"),
+                    F.coalesce("custom_concept_id", "concept_id").alias("concept_id"), method.alias("mapping_method"))
+
+
 QUERIES = {
     "load_person_ids": q_load_person_ids,
     "load_person": q_load_person,
@@ -324,4 +521,25 @@ QUERIES = {
     "relationship_domain": q_relationship_domain,
     "relationship_existing": q_relationship_existing,
     "incremental_relationship": q_incremental_relationship,
+    "map_exact": q_map_exact,
+    "map_code": q_map_code,
+    "map_fuzzy": q_map_fuzzy,
+    "map_semantic": q_map_semantic,
+    "similar_concepts": q_similar_concepts,
+    "cosine": q_cosine,
+    "preprocess_text": q_preprocess_text,
+    "embed_text": q_embed_text,
+    "map_multi": q_map_multi,
+    "map_source": q_map_source,
+    "map_cascade": q_map_cascade,
+    "cross_domain": q_cross_domain,
+    "review_list": q_review_list,
+    "mapped_by_domain": q_mapped_by_domain,
+    "mapping_report": q_mapping_report,
+    "strategy_breakdown": q_strategy_breakdown,
+    "confidence_band": q_confidence_band,
+    "top_unmapped": q_top_unmapped,
+    "mapping_summary": q_mapping_summary,
+    "map_fallback": q_map_fallback,
+    "map_custom": q_map_custom,
 }

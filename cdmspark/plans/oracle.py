@@ -311,3 +311,184 @@ FROM rels r JOIN loaded a ON a.concept_id = r.concept_id_1 JOIN loaded b ON b.co
 WHERE NOT EXISTS (SELECT 1 FROM rels e WHERE e.relationship_id = '{C.EXISTING_RELATIONSHIP}'
   AND e.concept_id_1 = r.concept_id_1 AND e.concept_id_2 = r.concept_id_2 AND e.relationship_id = r.relationship_id)"""),
 })
+
+
+# --------------------------------------------------------------------------- text (DuckDB / RE2)
+import re as _re  # noqa: E402
+
+_WORD = r"\pL\pN_"
+_WS = r"\t-\r\x1c-\x1f\x{85}\pZ"
+
+
+def duck_preprocess(expr: str) -> str:
+    """The normalisation of ``preprocess_text`` in RE2 terms.  RE2 has no look-around,
+    so a whole word is matched with its delimiters and put back; two passes catch
+    words whose leading delimiter the previous match consumed."""
+    x = f"lower({expr})"
+    for abbr, full in ABBREVIATIONS:
+        pat = f"(^|[^{_WORD}]){_re.escape(abbr)}([^{_WORD}]|$)"
+        rep = "\\1" + full + "\\2"
+        for _ in range(2):
+            x = f"regexp_replace({x}, {_q(pat)}, {_q(rep)}, 'g')"
+    x = f"regexp_replace({x}, '[^{_WORD}{_WS}/-]', ' ', 'g')"
+    x = f"regexp_replace({x}, '[{_WS}]+', ' ', 'g')"
+    return f"coalesce(trim({x}), '')"
+
+
+def _grams(table: str, key: str, text: str, name: str) -> str:
+    s = f"(' ' || {text} || ' ')"
+    return f"""
+{name}_g AS (SELECT k, (unicode(substr(s, i, 1)) * 1369 + unicode(substr(s, i + 1, 1)) * 37
+      + unicode(substr(s, i + 2, 1))) % 512 AS b
+  FROM (SELECT {key} AS k, {s} AS s, unnest(range(1, length({s}) - 1)) AS i FROM {table} WHERE {text} <> '')),
+{name}_v AS (SELECT k, b, count(*) AS w FROM {name}_g GROUP BY ALL),
+{name}_n AS (SELECT k, sqrt(sum(w * w)) AS n FROM {name}_v GROUP BY k)"""
+
+
+def text_nn(src_table: str, cand_table: str, name: str) -> str:
+    """Best candidate per source text: ``{name}_best(sk, ck, score)``.  Tables:
+    src_table(ptext), cand_table(ptext, concept_id).  A text sharing no trigram with any
+    candidate scores 0 against all, so its best is the lowest candidate id at 0.0."""
+    return (_grams(src_table, "ptext", "ptext", f"{name}_s") + ","
+            + _grams(cand_table, "concept_id", "ptext", f"{name}_c") + f""",
+{name}_dot AS (SELECT s.k AS sk, c.k AS ck, sum(s.w * c.w) AS d FROM {name}_s_v s JOIN {name}_c_v c ON s.b = c.b
+  GROUP BY ALL),
+{name}_sc AS (SELECT d.sk, d.ck, CAST(d.d AS DOUBLE) / (sn.n * cn.n) AS score FROM {name}_dot d
+  JOIN {name}_s_n sn ON sn.k = d.sk JOIN {name}_c_n cn ON cn.k = d.ck),
+{name}_top AS (SELECT sk, ck, score FROM (SELECT *, row_number() OVER (PARTITION BY sk ORDER BY score DESC, ck) AS rn
+  FROM {name}_sc) WHERE rn = 1),
+{name}_best AS (SELECT s.k AS sk, coalesce(t.ck, (SELECT min(k) FROM {name}_c_n)) AS ck,
+  coalesce(t.score, 0.0) AS score FROM {name}_s_n s LEFT JOIN {name}_top t ON t.sk = s.k)""")
+
+
+def _cands() -> str:
+    return f"""
+cand_pp AS (SELECT concept_id, {duck_preprocess('concept_name')} AS ptext FROM concepts),
+cands AS (SELECT ptext, min(concept_id) AS concept_id FROM cand_pp WHERE ptext <> '' GROUP BY ptext),
+exact_pp AS (SELECT ptext AS k, max(concept_id) AS eid FROM cand_pp WHERE ptext <> '' GROUP BY ptext)"""
+
+
+PROC_PP = f"""
+proc AS (SELECT procedure_occurrence_id, procedure_source_value, procedure_source_code, procedure_source_type,
+    {duck_preprocess('procedure_source_value')} AS ptext FROM procedure_src),
+proc_texts AS (SELECT DISTINCT ptext FROM proc WHERE ptext <> '')"""
+
+MULTI = _concepts_sql() + "," + _cands() + "," + PROC_PP + "," + text_nn("proc_texts", "cands", "nn") + f""",
+multi AS (
+  SELECT p.procedure_occurrence_id, p.procedure_source_value,
+    CASE WHEN e.eid IS NOT NULL THEN 'exact_match' WHEN b.score >= {C.SEM_THRESHOLD} THEN 'semantic_match'
+         WHEN b.score >= {max(0.5, C.SEM_THRESHOLD - 0.2)} THEN 'partial_match' END AS matching_strategy,
+    b.ck AS sid, b.score AS sscore, e.eid
+  FROM proc p LEFT JOIN nn_best b ON b.sk = p.ptext LEFT JOIN exact_pp e ON e.k = p.ptext),
+multi_out AS (
+  SELECT m.procedure_occurrence_id, m.procedure_source_value AS source_value,
+    CASE WHEN m.matching_strategy = 'exact_match' THEN m.eid WHEN m.matching_strategy IS NOT NULL THEN m.sid END
+      AS concept_id,
+    c.concept_name AS matched_concept_name, m.matching_strategy,
+    CASE WHEN m.matching_strategy = 'exact_match' THEN 1.0 WHEN m.matching_strategy IS NOT NULL THEN m.sscore
+         ELSE 0.0 END AS similarity_score
+  FROM multi m LEFT JOIN concepts c ON c.concept_id =
+    CASE WHEN m.matching_strategy = 'exact_match' THEN m.eid WHEN m.matching_strategy IS NOT NULL THEN m.sid END)"""
+
+CASCADE = _concepts_sql() + "," + _cands() + "," + PROC_PP + """,
+code_lk AS (SELECT concept_code AS k, max(concept_id) AS code_id FROM concepts GROUP BY 1),
+proc_c AS (SELECT p.*, l.code_id FROM proc p LEFT JOIN code_lk l ON l.k = p.procedure_source_code),
+rest_texts AS (SELECT DISTINCT ptext FROM proc_c WHERE code_id IS NULL AND ptext <> '')""" + "," + text_nn(
+    "rest_texts", "cands", "cn") + f""",
+cascade AS (
+  SELECT p.procedure_occurrence_id, p.procedure_source_code AS source_code, p.procedure_source_value AS source_value,
+    p.procedure_source_type AS source_type,
+    CASE WHEN p.code_id IS NOT NULL THEN p.code_id WHEN b.score >= {C.CASCADE_THRESHOLD} THEN b.ck END AS concept_id,
+    CASE WHEN p.code_id IS NOT NULL THEN 'DIRECT_CODE_MATCH' WHEN b.score >= {C.CASCADE_THRESHOLD}
+         THEN 'SEMANTIC_MATCH' ELSE 'UNMAPPED_FINAL' END AS mapping_method,
+    CASE WHEN p.code_id IS NULL AND b.score >= {C.CASCADE_THRESHOLD} THEN b.score END AS similarity_score
+  FROM proc_c p LEFT JOIN cn_best b ON p.code_id IS NULL AND b.sk = p.ptext),
+cascade_out AS (SELECT x.*, c.concept_name AS matched_concept_name, c.domain_id AS matched_domain
+  FROM cascade x LEFT JOIN concepts c ON c.concept_id = x.concept_id)"""
+
+VISIT_FALLBACK = _concepts_sql() + "," + _cands() + f""",
+vis AS (SELECT visit_occurrence_id, visit_source_value, {duck_preprocess('visit_source_value')} AS ptext
+  FROM visit_src),
+vis_texts AS (SELECT DISTINCT ptext FROM vis WHERE ptext <> '')""" + "," + text_nn("vis_texts", "cands", "vn") + f""",
+up_lk AS (SELECT upper(concept_name) AS k, max(concept_id) AS eid FROM concepts GROUP BY 1),
+fb AS (SELECT v.visit_occurrence_id, v.visit_source_value, u.eid,
+    CASE WHEN b.score >= {C.SEM_THRESHOLD} THEN b.ck END AS sid, {visit_type_sql('v.visit_source_value')} AS rid
+  FROM vis v LEFT JOIN up_lk u ON u.k = upper(v.visit_source_value) LEFT JOIN vn_best b ON b.sk = v.ptext)"""
+
+_VEC = """
+e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+pairs AS (SELECT a.vec_id, b.vec_id AS nid, b.label AS nlabel, list_cosine_similarity(a.v, b.v) AS s
+  FROM e a JOIN e b ON a.vec_id <> b.vec_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY s DESC, nid) AS rk FROM pairs)"""
+
+SQL.update({
+    "map_exact": W(_concepts_sql() + """,
+lk AS (SELECT upper(concept_name) AS k, max(concept_id) AS concept_id FROM concepts GROUP BY 1)""",
+                   "SELECT p.procedure_occurrence_id, p.procedure_source_value AS source_value, lk.concept_id "
+                   "FROM procedure_src p LEFT JOIN lk ON upper(p.procedure_source_value) = lk.k"),
+    "map_code": W(_concepts_sql() + """,
+lk AS (SELECT concept_code AS k, max(concept_id) AS concept_id FROM concepts GROUP BY 1)""",
+                  """SELECT p.procedure_occurrence_id, p.procedure_source_code AS source_code, lk.concept_id,
+  c.concept_name AS matched_concept_name, c.domain_id AS matched_domain
+FROM procedure_src p LEFT JOIN lk ON p.procedure_source_code = lk.k LEFT JOIN concepts c ON c.concept_id = lk.concept_id"""),
+    "map_semantic": W(_VEC, f"""SELECT vec_id, CASE WHEN s >= {C.VEC_THRESHOLD} THEN nid END AS concept_id,
+  CASE WHEN s >= {C.VEC_THRESHOLD} THEN nlabel END AS matched_label, round(s, 4) AS similarity_score
+FROM ranked WHERE rk = 1"""),
+    "similar_concepts": W(_VEC, f"SELECT vec_id, nid AS concept_id, round(s, 4) AS similarity_score, "
+                                f"CAST(rk AS INTEGER) AS rank FROM ranked WHERE rk <= {C.TOP_K}"),
+    "cosine": """SELECT a.vec_id, b.vec_id AS next_id,
+  round(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 6) AS cosine
+FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1""",
+    "preprocess_text": f"SELECT doc_id, {duck_preprocess('text')} AS clean_text FROM documents",
+    "embed_text": W(_concepts_sql() + f""",
+names AS (SELECT DISTINCT concept_name, {duck_preprocess('concept_name')} AS ptext FROM concepts)""" + "," + _grams(
+        "names", "concept_name", "ptext", "en"),
+        "SELECT v.k AS concept_name, CAST(v.b AS INTEGER) AS bucket, round(v.w / n.n, 6) AS weight "
+        "FROM en_v v JOIN en_n n ON n.k = v.k"),
+    "map_multi": W(MULTI, "SELECT procedure_occurrence_id, source_value, concept_id, matched_concept_name, "
+                          "matching_strategy, round(similarity_score, 4) AS similarity_score FROM multi_out"),
+    "map_source": W(_concepts_sql() + "," + _cands() + "," + PROC_PP + "," + text_nn("proc_texts", "cands", "nn"),
+                    f"""SELECT p.procedure_occurrence_id, p.procedure_source_value AS source_value,
+  CASE WHEN b.score >= {C.SEM_THRESHOLD} THEN b.ck END AS concept_id,
+  CASE WHEN b.score >= {C.SEM_THRESHOLD} THEN c.concept_name END AS matched_concept_name,
+  round(b.score, 4) AS similarity_score
+FROM proc p LEFT JOIN nn_best b ON b.sk = p.ptext LEFT JOIN concepts c ON c.concept_id = b.ck"""),
+    "map_cascade": W(CASCADE, "SELECT procedure_occurrence_id, source_code, source_value, source_type, concept_id, "
+                              "matched_concept_name, matched_domain, mapping_method, "
+                              "round(similarity_score, 4) AS similarity_score FROM cascade_out"),
+    "cross_domain": W(CASCADE, "SELECT procedure_occurrence_id, source_type, matched_domain, matched_concept_name "
+                               "FROM cascade_out WHERE mapping_method = 'SEMANTIC_MATCH' "
+                               "AND lower(source_type) <> lower(matched_domain)"),
+    "review_list": W(CASCADE, "SELECT procedure_occurrence_id, source_code, source_value, source_type "
+                              "FROM cascade_out WHERE mapping_method IN ('UNMAPPED', 'UNMAPPED_FINAL')"),
+    "mapped_by_domain": W(CASCADE, "SELECT matched_domain, count(*) AS n_records FROM cascade_out "
+                                   "WHERE concept_id IS NOT NULL GROUP BY matched_domain"),
+    "mapping_report": W(MULTI, """SELECT count(*) AS total_records, count(concept_id) AS mapped_records,
+  count(*) - count(concept_id) AS unmapped_records,
+  CASE WHEN count(*) > 0 THEN round(CAST(count(concept_id) AS DOUBLE) * 100.0 / count(*), 4) END AS mapping_rate,
+  round(avg(similarity_score) FILTER (WHERE concept_id IS NOT NULL), 4) AS avg_similarity,
+  round(min(similarity_score) FILTER (WHERE concept_id IS NOT NULL), 4) AS min_similarity,
+  round(max(similarity_score) FILTER (WHERE concept_id IS NOT NULL), 4) AS max_similarity
+FROM multi_out"""),
+    "strategy_breakdown": W(MULTI, "SELECT matching_strategy, count(*) AS n_records FROM multi_out "
+                                   "WHERE matching_strategy IS NOT NULL GROUP BY 1"),
+    "confidence_band": W(MULTI, """SELECT source_value, matched_concept_name, round(max(similarity_score), 4)
+  AS similarity_score, count(*) AS n_records FROM multi_out
+WHERE concept_id IS NOT NULL AND similarity_score >= 0.7 AND similarity_score < 0.9 GROUP BY ALL"""),
+    "top_unmapped": W(MULTI, """SELECT source_value, count(*) AS n_records FROM multi_out WHERE concept_id IS NULL
+GROUP BY 1 ORDER BY n_records DESC, source_value ASC NULLS FIRST LIMIT 10"""),
+    "mapping_summary": W(MULTI, """SELECT concept_id, count(*) AS n_records FROM multi_out GROUP BY 1
+ORDER BY n_records DESC, concept_id ASC NULLS FIRST LIMIT 10"""),
+    "map_fallback": W(VISIT_FALLBACK, """SELECT visit_occurrence_id, visit_source_value,
+  coalesce(eid, sid, rid) AS concept_id,
+  CASE WHEN eid IS NOT NULL THEN 'exact' WHEN sid IS NOT NULL THEN 'semantic' WHEN rid IS NOT NULL THEN 'rule' END
+    AS mapping_method FROM fb"""),
+    "map_custom": W(_concepts_sql() + """,
+custom AS (SELECT p_name || 's' AS k, max(p_partkey) AS cid FROM part GROUP BY 1),
+lk AS (SELECT upper(concept_name) AS k, max(concept_id) AS eid FROM concepts GROUP BY 1)""",
+                    """SELECT p.procedure_occurrence_id, p.procedure_source_value AS source_value,
+  coalesce(cu.cid, lk.eid) AS concept_id,
+  CASE WHEN cu.cid IS NOT NULL THEN 'custom' WHEN lk.eid IS NOT NULL THEN 'exact_match' END AS mapping_method
+FROM procedure_src p LEFT JOIN custom cu ON cu.k = p.procedure_source_value
+  LEFT JOIN lk ON lk.k = upper(p.procedure_source_value)"""),
+})

@@ -135,10 +135,13 @@ def procedure_source(d: Dialect) -> list[str]:
         "l_orderkey * 10 + l_linenumber AS procedure_occurrence_id",
         "shipdate AS procedure_date",
         "l_orderkey AS visit_occurrence_id",
-        "CASE (l_orderkey + l_linenumber) % 4 WHEN 0 THEN upper(p_name) WHEN 1 THEN p_name || 's' "
-        "WHEN 2 THEN replace(p_name, ' ', '-') ELSE p_name END AS procedure_source_value",
-        f"CASE WHEN (l_orderkey + l_linenumber) % 5 = 0 THEN 'X' || CAST(partkey AS {d.string}) "
+        "CASE (l_orderkey + l_linenumber) % 5 WHEN 0 THEN upper(p_name) WHEN 1 THEN p_name || 's' "
+        "WHEN 2 THEN replace(p_name, ' ', '-') WHEN 3 THEN p_brand || ' f/u eval' "
+        "ELSE p_name END AS procedure_source_value",
+        f"CASE WHEN (l_orderkey * 3 + l_linenumber) % 7 = 0 THEN 'X' || CAST(partkey AS {d.string}) "
         f"ELSE 'P' || CAST(partkey AS {d.string}) END AS procedure_source_code",
+        "CASE WHEN l_linenumber <= 2 THEN 'Standard' WHEN l_linenumber <= 4 THEN 'economy' "
+        "ELSE 'PROMO' END AS procedure_source_type",
     ]
 
 
@@ -227,7 +230,7 @@ class Tables:
         li = self.table("lineitem")
         lines = li.groupBy("l_orderkey", "l_linenumber").agg(
             F.min("l_partkey").alias("partkey"), F.min("l_shipdate").alias("shipdate"))
-        part = self.table("part").select("p_partkey", "p_name")
+        part = self.table("part").select("p_partkey", "p_name", "p_brand")
         return (lines.join(part, lines.partkey == part.p_partkey)
                 .selectExpr(*procedure_source(SPARK)))
 
