@@ -482,6 +482,53 @@ def q_map_custom(spark, sf_dir):
                     F.coalesce("custom_concept_id", "concept_id").alias("concept_id"), method.alias("mapping_method"))
 
 
+# ------------------------------------------------------------------ config, profiles, rejects, stream
+RAW_PERSON_COLUMNS = {"person_id": "personid", "gender": "gender_column_name", "race": "race_column_name",
+                      "ethnicity": "Ethnicgroup_column_name", "birth_datetime": "BirthDatetime"}
+CONTRACT_TYPES = {"int": "BIGINT", "string": "STRING", "datetime": "TIMESTAMP"}
+
+
+def _raw_person(t: Tables, drop: str | None = None) -> DataFrame:
+    cols = [F.col(k).alias(v) for k, v in RAW_PERSON_COLUMNS.items() if v != drop]
+    return t.person_src().select(*cols)
+
+
+def q_bind_source(spark, sf_dir):
+    from ..config import PERSON_CONFIG, bind_source
+    return bind_source(_raw_person(Tables(spark, sf_dir)), PERSON_CONFIG, "person")
+
+
+def q_apply_config(spark, sf_dir):
+    from ..config import PERSON_CONFIG, apply_config
+    return apply_config(_raw_person(Tables(spark, sf_dir)), PERSON_CONFIG, "person")
+
+
+def q_validate_source(spark, sf_dir):
+    """Profile of a person source that lacks one optional column."""
+    from ..config import PERSON_CONFIG, optional_columns, required_columns, table_config
+    from ..operators.quality import profile_source
+    cm = table_config(PERSON_CONFIG, "person")["column_mappings"]
+    contract = {c: CONTRACT_TYPES[cm[c]["data type"]]
+                for c in required_columns(PERSON_CONFIG, "person") + optional_columns(PERSON_CONFIG, "person")}
+    return profile_source(_raw_person(Tables(spark, sf_dir), drop="Ethnicgroup_column_name"), contract)
+
+
+def q_split_rejects(spark, sf_dir):
+    """A10: every vocabulary row with the first contract violation (NULL = good)."""
+    from ..sources.sinks import split_rejects
+    from ..sources.vocabulary import typed
+    raw = Tables(spark, sf_dir).concept_raw()
+    tagged = split_rejects(typed(raw, S.CONCEPT), S.CONCEPT, S.MAX_LENGTHS["concept"])
+    return tagged.select("concept_id", "concept_name", "reject_reason")
+
+
+def q_stream_visit(spark, sf_dir):
+    """L1: the visit load as a file-source stream with foreachBatch appends."""
+    from ..streaming.incremental_stream import stream_visit_query
+    from .roles import SPARK, visit_source
+    return stream_visit_query(spark, sf_dir, visit_source(SPARK), P(spark, sf_dir).persons())
+
+
 QUERIES = {
     "load_person_ids": q_load_person_ids,
     "load_person": q_load_person,
@@ -542,4 +589,9 @@ QUERIES = {
     "mapping_summary": q_mapping_summary,
     "map_fallback": q_map_fallback,
     "map_custom": q_map_custom,
+    "bind_source": q_bind_source,
+    "apply_config": q_apply_config,
+    "validate_source": q_validate_source,
+    "split_rejects": q_split_rejects,
+    "stream_visit": q_stream_visit,
 }

@@ -492,3 +492,34 @@ lk AS (SELECT upper(concept_name) AS k, max(concept_id) AS eid FROM concepts GRO
 FROM procedure_src p LEFT JOIN custom cu ON cu.k = p.procedure_source_value
   LEFT JOIN lk ON lk.k = upper(p.procedure_source_value)"""),
 })
+
+
+# --------------------------------------------------------------------------- config / profile / rejects / stream
+def _reject_case() -> str:
+    from .. import schemas as S
+    lengths = S.MAX_LENGTHS["concept"]
+    whens = []
+    for f in S.CONCEPT.fields:
+        if not f.nullable:
+            whens.append(f"WHEN {f.name} IS NULL THEN '{f.name} is null'")
+        if f.name in lengths:
+            whens.append(f"WHEN length({f.name}) > {lengths[f.name]} THEN '{f.name} too long'")
+    return "CASE " + " ".join(whens) + " END"
+
+
+_PROFILE_COLS = [("personid", "person_id", "BIGINT"), ("BirthDatetime", "birth_datetime", "TIMESTAMP"),
+                 ("gender_column_name", "gender", "VARCHAR"), ("race_column_name", "race", "VARCHAR")]
+
+SQL.update({
+    "bind_source": W("", "SELECT * FROM person_src"),
+    "apply_config": W("", f"""SELECT *, {gender_sql('gender')} AS gender_concept_id, {race_sql('race')} AS race_concept_id,
+  {ethnicity_sql('ethnicity')} AS ethnicity_concept_id FROM person_src"""),
+    "validate_source": W("", " UNION ALL ".join(
+        [f"SELECT '{n}' AS column_name, TRUE AS present, count(*) AS n_rows, count({c}) AS n_non_null, "
+         f"count(TRY_CAST({c} AS {t})) AS n_castable FROM person_src" for n, c, t in _PROFILE_COLS]
+        + ["SELECT 'Ethnicgroup_column_name' AS column_name, FALSE AS present, count(*) AS n_rows, "
+           "CAST(NULL AS BIGINT) AS n_non_null, CAST(NULL AS BIGINT) AS n_castable FROM person_src"])),
+    "split_rejects": W(_concepts_sql(), f"SELECT concept_id, concept_name, {_reject_case()} AS reject_reason "
+                                        f"FROM concepts_typed"),
+    "stream_visit": W(VISITS, "SELECT * FROM visits"),
+})
