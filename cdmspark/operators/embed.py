@@ -48,14 +48,23 @@ def l2_normalise(v: Column) -> Column:
 
 
 def trigram_vector(text_col, dim: int = DIM, preprocess: bool = True) -> Column:
-    """Trigram counts (integers held as doubles); NULL for an empty text.  Cosine needs
-    no prior normalisation: the nearest join divides by both norms, which keeps every
-    score an exact integer dot product over correctly rounded square roots."""
+    """Dense trigram counts (integers held as doubles); NULL for an empty text.  For
+    short texts only: it costs O(length x dim) interpreted lambda calls per row."""
     c = F.col(text_col) if isinstance(text_col, str) else text_col
     t = preprocess_text(c) if preprocess else F.coalesce(c, F.lit(""))
     return F.when(F.length(t) > 0, dense_counts(trigram_buckets(t, dim), dim))
 
 
+def trigram_bag(text_col, dim: int = DIM, preprocess: bool = True) -> Column:
+    """The default embedding as a bag of bucket ids (``array<int>``, one per trigram);
+    NULL for an empty text.  O(length) native work per row; the scorer turns bags into
+    count vectors with ``numpy.bincount``, so cosine needs no normalisation step and
+    every score is an exact integer dot product over correctly rounded norms."""
+    c = F.col(text_col) if isinstance(text_col, str) else text_col
+    t = preprocess_text(c) if preprocess else F.coalesce(c, F.lit(""))
+    return F.when(F.length(t) > 0, trigram_buckets(t, dim))
+
+
 def trigram_weights(df: DataFrame, key: str, text_col: str, dim: int = DIM) -> DataFrame:
     """Sparse form (key, bucket, weight) of the default embedding: explode + count, so
     long texts cost O(length), not O(length x dim)."""

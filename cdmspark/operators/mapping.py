@@ -18,7 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import preprocess_text
-from .embed import trigram_vector
+from ..session import persist_reliably
+from .embed import DIM, trigram_bag
 from .fuzzy import fuzzy_match
 from .nearest import nearest
 
@@ -66,26 +67,52 @@ def fuzzy(src: DataFrame, value_col: str, concepts: DataFrame, cutoff: int = 80,
 
 
 # ----------------------------------------------------------------- similarity
-def concept_candidates(concepts: DataFrame, name_col="concept_name", id_col="concept_id", provider=None) -> DataFrame:
-    """Concepts as unit vectors: one row per normalised name (its lowest concept_id),
-    computed once per call and reused by every source value."""
-    x = concepts.select(F.col(id_col).alias("concept_id"), F.col(name_col).alias("concept_name"),
-                        preprocess_text(F.col(name_col)).alias("ptext"), "domain_id")
-    per = (x.where(F.col("ptext") != "")
-            .groupBy("ptext").agg(F.min_by(F.struct("concept_id", "concept_name", "domain_id"),
-                                           F.col("concept_id")).alias("b"))
-            .select("ptext", "b.concept_id", "b.concept_name", "b.domain_id"))
-    vec = provider(F.col("ptext")) if provider else trigram_vector(F.col("ptext"), preprocess=False)
+def normalised_vocabulary(concepts: DataFrame, name_col="concept_name", id_col="concept_id") -> DataFrame:
+    """One row per normalised name with its lowest and highest concept, written once to
+    the shared checkpoint folder: every later branch (vectors, exact lookup, names)
+    reads it instead of recomputing the vocabulary and its regex chain."""
+    c = F.struct(F.col(id_col).alias("concept_id"), F.col(name_col).alias("concept_name"), "domain_id")
+    per_name = (concepts.where(F.col(name_col).isNotNull()).groupBy(F.col(name_col).alias("_name"))
+                        .agg(F.min_by(c, F.col(id_col)).alias("lo"), F.max_by(c, F.col(id_col)).alias("hi"))
+                        .withColumn("ptext", preprocess_text(F.col("_name")))
+                        .where(F.col("ptext") != ""))
+    per_text = per_name.groupBy("ptext").agg(F.min_by("lo", "lo.concept_id").alias("lo"),
+                                             F.max_by("hi", "hi.concept_id").alias("hi"))
+    return persist_reliably(per_text)
+
+
+def concept_candidates(concepts: DataFrame, name_col="concept_name", id_col="concept_id", provider=None,
+                       vocab: DataFrame | None = None) -> DataFrame:
+    """Concepts as vectors: one row per normalised name (its lowest concept_id)."""
+    v = vocab if vocab is not None else normalised_vocabulary(concepts, name_col, id_col)
+    per = v.select("ptext", "lo.concept_id", "lo.concept_name", "lo.domain_id")
+    vec = provider(F.col("ptext")) if provider else trigram_bag(F.col("ptext"), preprocess=False)
     return per.withColumn("vec", vec)
 
 
-def best_concepts(values: DataFrame, value_col: str, cands: DataFrame, k: int = 1, provider=None,
+def exact_candidates(concepts: DataFrame, name_col="concept_name", id_col="concept_id",
+                     vocab: DataFrame | None = None) -> DataFrame:
+    """Normalised name -> its highest concept_id (the exact stage's tie rule)."""
+    v = vocab if vocab is not None else normalised_vocabulary(concepts, name_col, id_col)
+    return v.select(F.col("ptext").alias("_key"), "hi.concept_id", F.col("hi.concept_name").alias("matched_concept_name"))
+
+
+def distinct_texts(values: DataFrame, value_col: str) -> DataFrame:
+    """(raw value, normalised text) for each distinct non-null raw value.  Normalising
+    after the dedup (partial aggregation first, so a hot value costs one row per task)
+    runs the regex chain once per value; the result is written once so the scoring
+    and the join back both read it."""
+    return persist_reliably(values.select(F.col(value_col).alias("_raw")).where(F.col("_raw").isNotNull())
+                            .distinct().withColumn("ptext", preprocess_text(F.col("_raw"))))
+
+
+def best_concepts(texts: DataFrame, cands: DataFrame, k: int = 1, provider=None,
                   strategy: str = "auto") -> DataFrame:
-    """Distinct normalised values -> top-k (concept_id, score, rank)."""
-    v = (values.select(preprocess_text(F.col(value_col)).alias("ptext")).where(F.col("ptext") != "")
-               .distinct())
-    vec = provider(F.col("ptext")) if provider else trigram_vector(F.col("ptext"), preprocess=False)
-    nn = nearest(v.withColumn("vec", vec), cands, "ptext", "concept_id", k=k, strategy=strategy)
+    """Distinct normalised texts (column ``ptext``) -> top-k (concept_id, score, rank)."""
+    v = texts.select("ptext").where(F.col("ptext") != "").distinct()
+    vec = provider(F.col("ptext")) if provider else trigram_bag(F.col("ptext"), preprocess=False)
+    nn = nearest(v.withColumn("vec", vec), cands, "ptext", "concept_id", k=k, strategy=strategy,
+                 bag_dim=None if provider else DIM)
     return nn.join(cands.select("concept_id", "concept_name", "domain_id"), "concept_id")
 
 
@@ -95,15 +122,16 @@ def semantic_match(src: DataFrame, value_col: str, concepts: DataFrame, threshol
     Adds concept_id, matched_concept_name, matched_domain, similarity_score (best score,
     also when under the threshold; NULL for a blank value)."""
     cands = cands if cands is not None else concept_candidates(concepts, name_col, provider=provider)
-    best = best_concepts(src.select(value_col), value_col, cands, 1, provider)
+    texts = distinct_texts(src, value_col)
+    best = best_concepts(texts, cands, 1, provider)
     hit = F.col("score") >= F.lit(threshold)
-    table = best.select(F.col("ptext").alias("_p"),
-                        F.when(hit, F.col("concept_id")).alias("concept_id"),
-                        F.when(hit, F.col("concept_name")).alias("matched_concept_name"),
-                        F.when(hit, F.col("domain_id")).alias("matched_domain"),
-                        F.col("score").alias("similarity_score"))
-    return (src.withColumn("_p", preprocess_text(F.col(value_col)))
-               .join(table, "_p", "left").drop("_p"))
+    table = texts.join(best, "ptext").select(
+        F.col("_raw").alias(value_col),
+        F.when(hit, F.col("concept_id")).alias("concept_id"),
+        F.when(hit, F.col("concept_name")).alias("matched_concept_name"),
+        F.when(hit, F.col("domain_id")).alias("matched_domain"),
+        F.col("score").alias("similarity_score"))
+    return src.join(table, value_col, "left")
 
 
 def multi_strategy(src: DataFrame, value_col: str, concepts: DataFrame, threshold: float = DEFAULT_THRESHOLD,
@@ -113,26 +141,28 @@ def multi_strategy(src: DataFrame, value_col: str, concepts: DataFrame, threshol
 
     One nearest join serves stages 2 and 3: stage 3 re-scores the same pairs."""
     floor = partial_floor if partial_floor is not None else max(0.5, threshold - 0.2)
-    exact = name_lookup(concepts, F.when(preprocess_text(F.col(name_col)) != "",
-                                         preprocess_text(F.col(name_col))), name_col)
-    cands = concept_candidates(concepts, name_col, provider=provider)
-    best = best_concepts(src.select(value_col), value_col, cands, 1, provider)
-    table = (best.select(F.col("ptext").alias("_p"), F.col("concept_id").alias("_sid"),
-                         F.col("concept_name").alias("_sname"), F.col("score").alias("_score"))
-                 .join(exact.select(F.col("_key").alias("_p"), F.col("concept_id").alias("_eid"),
-                                    F.col("matched_concept_name").alias("_ename")), "_p", "left"))
+    vocab = normalised_vocabulary(concepts, name_col)
+    cands = concept_candidates(concepts, name_col, provider=provider, vocab=vocab)
+    exact = exact_candidates(concepts, name_col, vocab=vocab)
+    texts = distinct_texts(src, value_col)
+    best = best_concepts(texts, cands, 1, provider)
+    table = (texts.join(best.select("ptext", F.col("concept_id").alias("_sid"),
+                                    F.col("concept_name").alias("_sname"), F.col("score").alias("_score")),
+                        "ptext", "left")
+                  .join(exact.select(F.col("_key").alias("ptext"), F.col("concept_id").alias("_eid"),
+                                     F.col("matched_concept_name").alias("_ename")), "ptext", "left"))
     strat = (F.when(F.col("_eid").isNotNull(), F.lit("exact_match"))
               .when(F.col("_score") >= threshold, F.lit("semantic_match"))
               .when(F.col("_score") >= floor, F.lit("partial_match")))
     table = table.select(
-        "_p",
+        F.col("_raw").alias(value_col),
         F.when(strat == "exact_match", F.col("_eid")).when(strat.isNotNull(), F.col("_sid")).alias("concept_id"),
         F.when(strat == "exact_match", F.col("_ename")).when(strat.isNotNull(), F.col("_sname"))
         .alias("matched_concept_name"),
         strat.alias("matching_strategy"),
         F.when(strat == "exact_match", F.lit(1.0)).when(strat.isNotNull(), F.col("_score")).otherwise(F.lit(0.0))
         .alias("similarity_score"))
-    out = src.withColumn("_p", preprocess_text(F.col(value_col))).join(table, "_p", "left").drop("_p")
+    out = src.join(table, value_col, "left")
     return out.withColumn("similarity_score", F.coalesce("similarity_score", F.lit(0.0)))
 
 
@@ -140,10 +170,10 @@ def similar_concepts(queries: DataFrame, value_col: str, concepts: DataFrame, k:
                      provider=None) -> DataFrame:
     """Top-k concepts per query text, with score, rank and the query echoed."""
     cands = concept_candidates(concepts, provider=provider)
-    best = best_concepts(queries.select(value_col), value_col, cands, k, provider)
-    q = queries.select(F.col(value_col).alias("query_text"), preprocess_text(F.col(value_col)).alias("ptext"))
-    return q.distinct().join(best, "ptext").select("query_text", "concept_id", "concept_name",
-                                                   F.col("score").alias("similarity_score"), "rank")
+    texts = distinct_texts(queries, value_col)
+    best = best_concepts(texts, cands, k, provider)
+    return texts.join(best, "ptext").select(F.col("_raw").alias("query_text"), "concept_id", "concept_name",
+                                            F.col("score").alias("similarity_score"), "rank")
 
 
 # ----------------------------------------------------------------- composition
@@ -206,16 +236,16 @@ def cascade(src: DataFrame, code_col: str, desc_col: str, concepts: DataFrame, t
 
     Labels DIRECT_CODE_MATCH / SEMANTIC_MATCH / UNMAPPED_FINAL.  The three parts are
     one frame with a label column (the union of disjoint parts of one input)."""
-    coded = code_match(src, code_col, concepts).withColumnRenamed("concept_id", "_code_id") \
-        .withColumnRenamed("matched_concept_name", "_code_name").withColumnRenamed("matched_domain", "_code_dom")
-    rest = coded.where(F.col("_code_id").isNull()).select(desc_col)
+    coded = (code_match(src, code_col, concepts).withColumnRenamed("concept_id", "_code_id")
+             .withColumnRenamed("matched_concept_name", "_code_name").withColumnRenamed("matched_domain", "_code_dom"))
+    texts = distinct_texts(coded.where(F.col("_code_id").isNull()), desc_col)
     cands = concept_candidates(concepts, provider=provider)
-    best = best_concepts(rest, desc_col, cands, 1, provider)
+    best = best_concepts(texts, cands, 1, provider)
     hit = F.col("score") >= F.lit(threshold)
-    sem = best.where(hit).select(F.col("ptext").alias("_p"), F.col("concept_id").alias("_sem_id"),
-                                 F.col("concept_name").alias("_sem_name"), F.col("domain_id").alias("_sem_dom"),
-                                 F.col("score").alias("_sem_score"))
-    x = (coded.withColumn("_p", F.when(F.col("_code_id").isNull(), preprocess_text(F.col(desc_col))))
+    sem = texts.join(best.where(hit), "ptext").select(
+        F.col("_raw").alias("_p"), F.col("concept_id").alias("_sem_id"), F.col("concept_name").alias("_sem_name"),
+        F.col("domain_id").alias("_sem_dom"), F.col("score").alias("_sem_score"))
+    x = (coded.withColumn("_p", F.when(F.col("_code_id").isNull(), F.col(desc_col)))
               .join(sem, "_p", "left"))
     method = (F.when(F.col("_code_id").isNotNull(), F.lit("DIRECT_CODE_MATCH"))
                .when(F.col("_sem_id").isNotNull(), F.lit("SEMANTIC_MATCH"))

@@ -1,6 +1,8 @@
 """Exact top-k nearest-neighbour join by cosine similarity.
 
-Both sides carry vectors (``array<double>``, any length scale); score = a.b / (|a| |b|),
+Both sides carry vectors (``array<double>``, any length scale) or, with ``bag_dim``,
+bags of bucket ids (``array<int>``) that become count vectors of that length inside
+the scorer; score = a.b / (|a| |b|),
 computed per pair in that order so integer-valued vectors give exactly the same doubles
 as any engine that evaluates the same formula.  Zero vectors never match.  Two plans:
 
@@ -74,14 +76,22 @@ def _score(src_keys, src_mat, cand_keys, cand_mat, k, exclude_self):
             "src_key": np.repeat(keys, kk),
             "cand_key": cand_keys[idx.ravel()],
             "score": sc.ravel(),
+            "rank": np.tile(np.arange(1, kk + 1, dtype=np.int32), len(keys)),
         }))
     if not outs:
-        return pd.DataFrame({"src_key": [], "cand_key": [], "score": []})
+        return pd.DataFrame({"src_key": [], "cand_key": [], "score": [], "rank": []})
     out = pd.concat(outs, ignore_index=True)
-    return out[np.isfinite(out["score"])]
+    out = out[np.isfinite(out["score"])]
+    # a dropped (-inf) pair can only sit after the finite ones: ranks stay 1..n
+    return out
 
 
-def _matrix(series: pd.Series) -> np.ndarray:
+def _matrix(series: pd.Series, bag_dim: int | None = None) -> np.ndarray:
+    if bag_dim:
+        out = np.zeros((len(series), bag_dim), dtype=np.float64)
+        for r, bag in enumerate(series):
+            out[r] = np.bincount(np.asarray(bag, dtype=np.int64), minlength=bag_dim)
+        return out
     if len(series) == 0:
         return np.zeros((0, 0))
     return np.vstack([np.asarray(v, dtype=np.float64) for v in series])
@@ -89,7 +99,8 @@ def _matrix(series: pd.Series) -> np.ndarray:
 
 def nearest(src: DataFrame, cand: DataFrame, src_key: str, cand_key: str, vec: str = "vec",
             k: int = 1, exclude_self: bool = False, strategy: str = "auto",
-            max_broadcast_bytes: int = MAX_BROADCAST_BYTES, block_rows: int = BLOCK_ROWS) -> DataFrame:
+            max_broadcast_bytes: int = MAX_BROADCAST_BYTES, block_rows: int = BLOCK_ROWS,
+            bag_dim: int | None = None) -> DataFrame:
     """Top-``k`` candidates per source row: (src_key, cand_key, score, rank).
 
     ``src_key`` must be unique (any type), ``cand_key`` a unique long; rows with a NULL
@@ -100,25 +111,30 @@ def nearest(src: DataFrame, cand: DataFrame, src_key: str, cand_key: str, vec: s
         F.col("vec").isNotNull())
     out_schema = T.StructType([T.StructField("src_key", s.schema["src_key"].dataType),
                                T.StructField("cand_key", T.LongType()),
-                               T.StructField("score", T.DoubleType())])
+                               T.StructField("score", T.DoubleType()),
+                               T.StructField("rank", T.IntegerType())])
     if strategy == "auto":
-        stats = c.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("d")).first()
-        n_cand, dim = int(stats["n"] or 0), int(stats["d"] or 0)
+        if bag_dim:
+            n_cand, dim = int(c.count()), bag_dim
+        else:
+            stats = c.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("d")).first()
+            n_cand, dim = int(stats["n"] or 0), int(stats["d"] or 0)
         strategy = "broadcast" if n_cand * max(dim, 1) * 8 <= max_broadcast_bytes else "blocked"
     if strategy == "broadcast":
-        scored = _broadcast_plan(s, c, k, exclude_self, out_schema)
+        # every source row met every candidate in one call: its ranks are final
+        ranked = _broadcast_plan(s, c, k, exclude_self, out_schema, bag_dim)
     else:
-        scored = _blocked_plan(s, c, k, exclude_self, out_schema, block_rows)
-    w = Window.partitionBy("src_key").orderBy(F.col("score").desc(), F.col("cand_key"))
-    ranked = scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+        scored = _blocked_plan(s, c, k, exclude_self, out_schema, block_rows, bag_dim).drop("rank")
+        w = Window.partitionBy("src_key").orderBy(F.col("score").desc(), F.col("cand_key"))
+        ranked = scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
     return ranked.select(F.col("src_key").alias(src_key), F.col("cand_key").alias(cand_key), "score", "rank")
 
 
-def _broadcast_plan(s, c, k, exclude_self, out_schema):
+def _broadcast_plan(s, c, k, exclude_self, out_schema, bag_dim=None):
     spark = s.sparkSession
     pdf = c.toPandas().sort_values("cand_key", kind="stable")
     keys = pdf["cand_key"].to_numpy(dtype=np.int64)
-    mat = _matrix(pdf["vec"])
+    mat = _matrix(pdf["vec"], bag_dim)
     bc = spark.sparkContext.broadcast((keys, mat))
 
     def score_partition(batches):
@@ -126,12 +142,12 @@ def _broadcast_plan(s, c, k, exclude_self, out_schema):
         for b in batches:
             if len(b) == 0 or len(ck) == 0:
                 continue
-            yield _score(b["src_key"].to_numpy(), _matrix(b["vec"]), ck, cm, k, exclude_self)
+            yield _score(b["src_key"].to_numpy(), _matrix(b["vec"], bag_dim), ck, cm, k, exclude_self)
 
     return s.mapInPandas(score_partition, out_schema)
 
 
-def _blocked_plan(s, c, k, exclude_self, out_schema, block_rows):
+def _blocked_plan(s, c, k, exclude_self, out_schema, block_rows, bag_dim=None):
     counts = s.agg(F.count(F.lit(1))).first()[0], c.agg(F.count(F.lit(1))).first()[0]
     nb_s = max(1, math.ceil(counts[0] / block_rows))
     nb_c = max(1, math.ceil(counts[1] / block_rows))
@@ -143,10 +159,11 @@ def _blocked_plan(s, c, k, exclude_self, out_schema, block_rows):
     def score_block(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if len(left) == 0 or len(right) == 0:
             return pd.DataFrame({"src_key": pd.Series([], dtype="object"),
-                                 "cand_key": pd.Series([], dtype="int64"), "score": pd.Series([], dtype="float64")})
+                                 "cand_key": pd.Series([], dtype="int64"), "score": pd.Series([], dtype="float64"),
+                                 "rank": pd.Series([], dtype="int32")})
         right = right.sort_values("cand_key", kind="stable")
-        return _score(left["src_key"].to_numpy(), _matrix(left["vec"]),
-                      right["cand_key"].to_numpy(dtype=np.int64), _matrix(right["vec"]), k, exclude_self)
+        return _score(left["src_key"].to_numpy(), _matrix(left["vec"], bag_dim),
+                      right["cand_key"].to_numpy(dtype=np.int64), _matrix(right["vec"], bag_dim), k, exclude_self)
 
     return (sx.groupBy("sb", "cb").cogroup(cx.groupBy("sb", "cb"))
               .applyInPandas(score_block, out_schema))

@@ -365,10 +365,10 @@ def q_cosine(spark, sf_dir):
 
 
 def q_preprocess_text(spark, sf_dir):
-    """H12 over whole documents."""
-    from ..functions.text import preprocess_text
+    """H12 over whole documents (bulk form: one regex pass per document)."""
+    from ..functions.text import preprocess_text_bulk
     d = Tables(spark, sf_dir).table("documents")
-    return d.select("doc_id", preprocess_text(F.col("text")).alias("clean_text"))
+    return d.select("doc_id", preprocess_text_bulk(F.col("text")).alias("clean_text"))
 
 
 def q_embed_text(spark, sf_dir):

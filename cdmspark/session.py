@@ -55,3 +55,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for written intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def persist_reliably(df):
+    """Materialise ``df`` once in the shared checkpoint folder and cut its lineage
+    (a lost executor re-reads the files instead of recomputing the plan)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
