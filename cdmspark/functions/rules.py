@@ -8,7 +8,7 @@ results: a nested test that misses, or no hit at all, gives NULL, not 0.
 
 from __future__ import annotations
 
-from functools import reduce
+import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -107,9 +107,14 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Every character Python's str.strip() removes (derived, not listed by hand).
+WHITESPACE = "".join(ch for ch in map(chr, range(0x3100)) if ch.isspace())
+
+
 def strip_ws(c) -> Column:
-    """Remove leading and trailing white space of any kind (not just blanks)."""
-    return F.regexp_replace(_col(c), r"(?U)^\s+|\s+$", "")
+    """Remove leading and trailing white space of any kind (not just blanks); a plain
+    character-set trim, no regex."""
+    return F.btrim(_col(c), F.lit(WHITESPACE))
 
 
 def clean(c) -> Column:
@@ -184,7 +189,8 @@ def map_admit(c) -> Column:
 
 def map_discharge(c) -> Column:
     t = clean(c)
-    facility = reduce(lambda a, b: a | b, [t.contains(k) for k in dict.fromkeys(DISCHARGE_FACILITY_KEYWORDS)])
+    # one regex scan for the whole keyword set instead of one substring test per keyword
+    facility = t.rlike("|".join(re.escape(k) for k in dict.fromkeys(DISCHARGE_FACILITY_KEYWORDS)))
     zero = _lit_id(0)
     return (F.when(_blank(c), zero)
             .when(facility, _lit_id(DISCHARGE_FACILITY_ID))

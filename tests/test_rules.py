@@ -21,7 +21,8 @@ CASES = {
                   ("lab", 32036), ("born out of hospital", 0), ("sick born", 38004444), ("born inside", 8650),
                   ("hospice", 8546), ("law enforcement", 32761), ("correctional", 32761),
                   ("ambulatory surgery", 8883), ("ambulatory", None), ("acute care", 38004279),
-                  ("info not available", 0), ("info", None), ("hospital transfer", 38004515),
+                  ("info not known", 0), ("info", None),
+                  ("info not available", 32036),          # "avai-lab-le": the earlier lab rule wins ("hospital transfer", 38004515),
                   ("hospital", None), ("outpatient", 9202), ("delivery", 8650), ("non-health", 0),
                   ("transfer from hc", 38004515), ("transfer", None), ("zzz", None), ("   ", None)],
     "map_discharge": [(None, 0), ("", 0), ("home", 0), ("home hospital", 38004515), ("nursing home", 38004515),
