@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import persist_reliably
+
 
 def dense_ids(df: DataFrame, order_cols: list[str], id_col: str = "row_id",
               bucket_col: str | None = None, n_buckets: int = 4096) -> DataFrame:
@@ -21,6 +23,9 @@ def dense_ids(df: DataFrame, order_cols: list[str], id_col: str = "row_id",
     column (it is normally that column).  Buckets are equal-width slices of its range.
     """
     lead = bucket_col or order_cols[0]
+    # Materialise once (shared checkpoint folder): the bounds, the counts and the
+    # numbering all read the written rows instead of re-running the input's plan.
+    df = persist_reliably(df)
     # Scalar subqueries: evaluated once, inlined as literals into the scan stage.
     lo = df.select(F.min(lead)).scalar()
     hi = df.select(F.max(lead)).scalar()
