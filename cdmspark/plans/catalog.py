@@ -482,6 +482,12 @@ def q_map_custom(spark, sf_dir):
                     F.coalesce("custom_concept_id", "concept_id").alias("concept_id"), method.alias("mapping_method"))
 
 
+def q_mappability(spark, sf_dir):
+    """Concepts per mapping route (fixed 3-route reference table x concept counts)."""
+    from ..operators import mapping as M
+    return M.mappability(_concepts(Tables(spark, sf_dir)))
+
+
 # ------------------------------------------------------------------ config, profiles, rejects, stream
 RAW_PERSON_COLUMNS = {"person_id": "personid", "gender": "gender_column_name", "race": "race_column_name",
                       "ethnicity": "Ethnicgroup_column_name", "birth_datetime": "BirthDatetime"}
@@ -589,6 +595,7 @@ QUERIES = {
     "mapping_summary": q_mapping_summary,
     "map_fallback": q_map_fallback,
     "map_custom": q_map_custom,
+    "mappability": q_mappability,
     "bind_source": q_bind_source,
     "apply_config": q_apply_config,
     "validate_source": q_validate_source,

@@ -523,3 +523,14 @@ SQL.update({
                                         f"FROM concepts_typed"),
     "stream_visit": W(VISITS, "SELECT * FROM visits"),
 })
+
+
+def _routes_sql() -> str:
+    from ..operators.mapping import MAPPABILITY
+    rows = [f"({_q(cat)}, {_q(v)})" for cat, _d, vocabs in MAPPABILITY for v in vocabs]
+    return "routes(category, vocabulary_id) AS (VALUES " + ", ".join(rows) + ")"
+
+
+SQL["mappability"] = W(_concepts_sql() + ",\n" + _routes_sql(), """SELECT r.category, r.vocabulary_id,
+  CAST(coalesce(c.n, 0) AS BIGINT) AS n_concepts FROM routes r
+LEFT JOIN (SELECT vocabulary_id, count(*) AS n FROM concepts GROUP BY 1) c ON c.vocabulary_id = r.vocabulary_id""")
