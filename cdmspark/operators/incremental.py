@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import segmented as seg
+
 
 def new_rows(df: DataFrame, existing: DataFrame | None, keys: list[str]) -> DataFrame:
     """Rows of ``df`` whose key is not in ``existing`` (C6, C7, C8; G2)."""
@@ -20,7 +22,7 @@ def new_rows(df: DataFrame, existing: DataFrame | None, keys: list[str]) -> Data
 
 def with_preceding(df: DataFrame, person: str = "person_id", visit: str = "visit_occurrence_id",
                    order_by: str | None = None, existing: DataFrame | None = None,
-                   out: str = "preceding_visit_occurrence_id") -> DataFrame:
+                   out: str = "preceding_visit_occurrence_id", hot_rows: int | None = seg.HOT_ROWS) -> DataFrame:
     """E5: previous visit of the same person, in visit-id order (or ``order_by``).
 
     With ``existing`` (visits already in the target) the previous visit is looked up
@@ -28,11 +30,16 @@ def with_preceding(df: DataFrame, person: str = "person_id", visit: str = "visit
     union is shuffled once on ``person``.
     """
     order = [F.col(order_by), F.col(visit)] if order_by else [F.col(visit)]
-    w = Window.partitionBy(person).orderBy(*order)
-    if existing is None:
-        return df.withColumn(out, F.lag(visit).over(w))
-    cols = [person, visit] + ([order_by] if order_by and order_by != visit else [])
-    seed = existing.select(*cols).withColumn("_new", F.lit(False))
-    fresh = df.withColumn("_new", F.lit(True))
-    both = fresh.unionByName(seed, allowMissingColumns=True)
-    return both.withColumn(out, F.lag(visit).over(w)).where("_new").drop("_new")
+    lead = order_by or visit
+    if existing is not None:
+        cols = [person, visit] + ([order_by] if order_by and order_by != visit else [])
+        seed = existing.select(*cols).withColumn("_new", F.lit(False))
+        df = df.withColumn("_new", F.lit(True)).unionByName(seed, allowMissingColumns=True)
+    if hot_rows is None:
+        x = df.withColumn(out, F.lag(visit).over(Window.partitionBy(person).orderBy(*order)))
+    else:
+        # skew-safe: a person with more than hot_rows visits is split into ordered chunks
+        x = seg.segmented_lag(seg.with_chunks(df, person, lead, hot_rows), person, order, visit, out).drop("_chunk")
+    if existing is not None:
+        x = x.where("_new").drop("_new")
+    return x

@@ -140,17 +140,21 @@ def q_map_discharge(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ observation periods
+_ENC = ["person_id", "start_date", "end_date", "prev_end_date"]
+
+
 def q_obs_lag(spark, sf_dir):
-    return isl.with_prev_end(P(spark, sf_dir).encounters())
+    return isl.with_prev_end(P(spark, sf_dir).encounters()).select(*_ENC)
 
 
 def q_obs_flag(spark, sf_dir):
-    return isl.with_new_period_flag(isl.with_prev_end(P(spark, sf_dir).encounters()), gap_days=OBS_GAP_DAYS)
+    x = isl.with_new_period_flag(isl.with_prev_end(P(spark, sf_dir).encounters()), gap_days=OBS_GAP_DAYS)
+    return x.select(*_ENC, "new_period_flag")
 
 
 def q_obs_group(spark, sf_dir):
     x = isl.with_new_period_flag(isl.with_prev_end(P(spark, sf_dir).encounters()), gap_days=OBS_GAP_DAYS)
-    return isl.with_period_group(x)
+    return isl.with_period_group(x).select(*_ENC, "new_period_flag", "period_group")
 
 
 def q_observation_period(spark, sf_dir):
