@@ -47,8 +47,11 @@ class Pipeline:
         return self._m("visits", lambda: jobs.load_visit(self.t.visit_src(), self.persons()))
 
     def existing_visits(self):
-        return self._m("existing_visits", lambda: self.visits().where(
-            F.col("visit_start_date") < F.lit(EXISTING_VISIT_BEFORE).cast("date")))
+        """Keys of the visit target as an earlier load left it: the eligible visits that
+        started before the cut-off (the target holds exactly those ids)."""
+        return self._m("existing_visits", lambda: jobs.eligible_visits(self.t.visit_src(), self.persons()).where(
+            F.to_date("visit_start_datetime") < F.lit(EXISTING_VISIT_BEFORE).cast("date"))
+            .select("person_id", "visit_occurrence_id"))
 
     def conditions(self):
         return self._m("conditions", lambda: jobs.load_condition(self.t.condition_src(), self.persons()))
