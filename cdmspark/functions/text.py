@@ -76,10 +76,6 @@ def full_process(c) -> Column:
     return F.coalesce(F.trim(x), F.lit(""))
 
 
-def upper_key(c) -> Column:
-    return F.upper(_col(c))
-
-
 # ---------------------------------------------------------------------------------------
 # Bulk form for long texts (whole documents).  The native form above makes one regex
 # pass per abbreviation (30 passes, each converting the whole text); for documents a

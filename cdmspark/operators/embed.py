@@ -41,12 +41,6 @@ def dense_counts(buckets: Column, dim: int = DIM) -> Column:
                        lambda b: F.size(F.filter(buckets, lambda x: x == b)).cast("double"))
 
 
-def l2_normalise(v: Column) -> Column:
-    """Unit vector; NULL for the zero vector (it can match nothing)."""
-    norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x))
-    return F.when(norm > 0, F.transform(v, lambda x: x / norm))
-
-
 def trigram_vector(text_col, dim: int = DIM, preprocess: bool = True) -> Column:
     """Dense trigram counts (integers held as doubles); NULL for an empty text.  For
     short texts only: it costs O(length x dim) interpreted lambda calls per row."""

@@ -26,10 +26,6 @@ from .nearest import nearest
 DEFAULT_THRESHOLD = 0.7
 
 
-def _c(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
 # ----------------------------------------------------------------- lookups
 def name_lookup(concepts: DataFrame, key: Column, name_col="concept_name", id_col="concept_id") -> DataFrame:
     """One row per key: the highest concept_id with that key, and its name and domain."""

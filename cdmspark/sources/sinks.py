@@ -8,14 +8,10 @@ contract (types, NOT NULL, text length) first and split into ``good`` / ``reject
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .. import schemas as S
-
 
 def create_if_absent(spark: SparkSession, table: str, schema: T.StructType, path: str | None = None,
                      partition_by: list[str] | None = None) -> None:
@@ -94,8 +90,3 @@ def rejected_rows(tagged: DataFrame, reason_col: str = "reject_reason") -> DataF
     return tagged.where(F.col(reason_col).isNotNull())
 
 
-def key_union(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), frames)
-
-
-TABLE_LENGTHS = S.MAX_LENGTHS
