@@ -26,11 +26,12 @@ def dense_ids(df: DataFrame, order_cols: list[str], id_col: str = "row_id",
     # Materialise once (shared checkpoint folder): the bounds, the counts and the
     # numbering all read the written rows instead of re-running the input's plan.
     df = persist_reliably(df)
-    # Scalar subqueries: evaluated once, inlined as literals into the scan stage.
-    lo = df.select(F.min(lead)).scalar()
-    hi = df.select(F.max(lead)).scalar()
-    width = F.greatest(F.ceil((hi - lo + 1) / F.lit(n_buckets)), F.lit(1))
-    with_bucket = df.withColumn("_bucket", F.floor((F.col(lead) - lo) / width).cast("long"))
+    # Range of the bucket column: one small aggregate over the written rows, kept as
+    # two literals so every later stage uses constants.
+    b = df.agg(F.min(lead).alias("lo"), F.max(lead).alias("hi")).first()
+    lo, hi = (b["lo"], b["hi"]) if b["lo"] is not None else (0, 0)
+    width = max(1, -(-(int(hi) - int(lo) + 1) // n_buckets))
+    with_bucket = df.withColumn("_bucket", F.floor((F.col(lead) - F.lit(lo)) / F.lit(width)).cast("long"))
     counts = with_bucket.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(
         "_bucket",

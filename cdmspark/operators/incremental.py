@@ -35,11 +35,12 @@ def with_preceding(df: DataFrame, person: str = "person_id", visit: str = "visit
         cols = [person, visit] + ([order_by] if order_by and order_by != visit else [])
         seed = existing.select(*cols).withColumn("_new", F.lit(False))
         df = df.withColumn("_new", F.lit(True)).unionByName(seed, allowMissingColumns=True)
-    if hot_rows is None:
+    bounds = seg.hot_bounds(df, person, lead, hot_rows) if hot_rows is not None else None
+    if bounds is None:
         x = df.withColumn(out, F.lag(visit).over(Window.partitionBy(person).orderBy(*order)))
     else:
         # skew-safe: a person with more than hot_rows visits is split into ordered chunks
-        x = seg.segmented_lag(seg.with_chunks(df, person, lead, hot_rows), person, order, visit, out).drop("_chunk")
+        x = seg.segmented_lag(seg.with_chunks(df, person, lead, bounds), person, order, visit, out).drop("_chunk")
     if existing is not None:
         x = x.where("_new").drop("_new")
     return x

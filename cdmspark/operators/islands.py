@@ -26,10 +26,11 @@ def _window(person: str, start: str, end: str):
 def with_prev_end(df: DataFrame, person="person_id", start="start_date", end="end_date",
                   overlap_aware: bool = False, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Previous encounter's end (or the running max end when ``overlap_aware``).
-    Adds ``_chunk`` when ``hot_rows`` is set (dropped by ``islands``)."""
+    Adds ``_chunk`` when some person has more than ``hot_rows`` encounters."""
     order = [F.col(start), F.col(end)]
-    if hot_rows is not None:
-        x = seg.with_chunks(df, person, start, hot_rows)
+    bounds = seg.hot_bounds(df, person, start, hot_rows) if hot_rows is not None else None
+    if bounds is not None:
+        x = seg.with_chunks(df, person, start, bounds)
         fn = seg.segmented_prev_max if overlap_aware else seg.segmented_lag
         return fn(x, person, order, end, "prev_end_date")
     w = _window(person, start, end)

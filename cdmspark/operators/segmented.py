@@ -7,9 +7,11 @@ third of the visits), that task is the job.  These operators give the same resul
 ``(key, chunk)``:
 
 1. rows per key are counted (partial aggregation, one small row per key and task);
+   when no key has more than ``hot_rows`` rows the callers use the plain window;
 2. keys above ``hot_rows`` get ``n_chunks - 1`` boundaries at approximate quantiles of
-   the first order column; a row's chunk is the number of boundaries <= its value, so
-   rows with equal values stay in one chunk and chunk order follows value order;
+   the first order column (a small table, materialised once); a row's chunk is the
+   number of boundaries <= its value, so rows with equal values stay in one chunk and
+   chunk order follows value order;
 3. the window runs per (key, chunk);
 4. a per-(key, chunk) table (a few rows per hot key, one per ordinary key) carries each
    chunk's last value / total to the next chunk: the first row of a chunk takes the
@@ -28,13 +30,21 @@ HOT_ROWS = 2_000_000
 N_CHUNKS = 64
 
 
-def with_chunks(df: DataFrame, key: str, order_col: str, hot_rows: int = HOT_ROWS,
-                n_chunks: int = N_CHUNKS, chunk_col: str = "_chunk") -> DataFrame:
-    """Add ``chunk_col``: 0 for ordinary keys, 0..n_chunks-1 by value range for hot keys."""
+def hot_bounds(df: DataFrame, key: str, order_col: str, hot_rows: int = HOT_ROWS,
+               n_chunks: int = N_CHUNKS) -> DataFrame | None:
+    """Chunk boundaries of the hot keys, materialised once (one row per hot key, so at
+    most rows / hot_rows rows); ``None`` when no key is hot."""
+    from ..session import persist_reliably
     pcts = [i / n_chunks for i in range(1, n_chunks)]
-    hot = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).select(key))
-    bounds = (df.join(hot, key, "left_semi").groupBy(key)
-                .agg(F.percentile_approx(order_col, pcts, 10_000).alias("_bounds")))
+    hot = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).select(key)
+    bounds = persist_reliably(df.join(hot, key, "left_semi").groupBy(key)
+                              .agg(F.percentile_approx(order_col, pcts, 10_000).alias("_bounds")))
+    return None if bounds.isEmpty() else bounds
+
+
+def with_chunks(df: DataFrame, key: str, order_col: str, bounds: DataFrame,
+                chunk_col: str = "_chunk") -> DataFrame:
+    """Add ``chunk_col``: 0 for ordinary keys, 0..n_chunks-1 by value range for hot keys."""
     x = df.join(bounds, key, "left")
     chunk = F.when(F.col("_bounds").isNull(), F.lit(0)).otherwise(
         F.size(F.filter("_bounds", lambda b: b <= F.col(order_col))))
@@ -47,17 +57,19 @@ def _w(key, chunk_col, order: list[Column]):
 
 def segmented_lag(df: DataFrame, key: str, order: list[Column], value_col: str, out: str,
                   chunk_col: str = "_chunk") -> DataFrame:
-    """``lag(value_col)`` over ``partitionBy(key).orderBy(order)``, computed per chunk."""
+    """``lag(value_col)`` over ``partitionBy(key).orderBy(order)``, computed per chunk.
+    The per-chunk carry rows come from the same windowed frame (same exchange)."""
     w = _w(key, chunk_col, order)
+    whole = Window.partitionBy(key, chunk_col)
     x = (df.withColumn(out, F.lag(value_col).over(w))
-           .withColumn("_pos", F.row_number().over(w)))
-    order_struct = F.struct(*[o for o in order])
-    last = (x.groupBy(key, chunk_col).agg(F.max_by(value_col, order_struct).alias("_last"))
+           .withColumn("_pos", F.row_number().over(w))
+           .withColumn("_cnt", F.count(F.lit(1)).over(whole)))
+    last = (x.where(F.col("_pos") == F.col("_cnt")).select(key, chunk_col, F.col(value_col).alias("_last"))
              .withColumn("_carry", F.lag("_last").over(Window.partitionBy(key).orderBy(chunk_col)))
              .select(key, chunk_col, "_carry"))
     return (x.join(last, [key, chunk_col], "left")
              .withColumn(out, F.when(F.col("_pos") == 1, F.col("_carry")).otherwise(F.col(out)))
-             .drop("_pos", "_carry"))
+             .drop("_pos", "_cnt", "_carry"))
 
 
 def segmented_running_sum(df: DataFrame, key: str, order: list[Column], value_col: str, out: str,

@@ -33,8 +33,10 @@ def test_islands_chunked_equals_plain(spark):
 
 
 def test_chunks_are_really_used(spark):
-    from cdmspark.operators.segmented import with_chunks
-    x = with_chunks(_enc(spark), "person_id", "start_date", hot_rows=50, n_chunks=8)
+    from cdmspark.operators.segmented import hot_bounds, with_chunks
+    enc = _enc(spark)
+    assert hot_bounds(enc, "person_id", "start_date", hot_rows=10_000) is None      # nothing hot: plain path
+    x = with_chunks(enc, "person_id", "start_date", hot_bounds(enc, "person_id", "start_date", 50, 8))
     assert x.where("person_id = 1").select("_chunk").distinct().count() > 4
     assert x.where("person_id <> 1").select("_chunk").distinct().count() == 1
 
