@@ -489,6 +489,21 @@ def q_map_custom(spark, sf_dir):
                     F.coalesce("custom_concept_id", "concept_id").alias("concept_id"), method.alias("mapping_method"))
 
 
+VISIT_MAP_COLUMNS = {"visit_source_value": "_visit_cid", "admitted_from": "_admit_cid",
+                     "discharged_to": "_discharge_cid"}
+
+
+def q_load_visit_mapped(spark, sf_dir):
+    """J3 with I14: the three visit text columns are stacked, their distinct values mapped
+    once by text similarity against the vocabulary, joined back; misses become 0."""
+    from ..operators import mapping as M
+    p = P(spark, sf_dir)
+    src = M.map_columns(p.t.visit_src(), VISIT_MAP_COLUMNS, _concepts(p.t), strategy="semantic",
+                        threshold=SEM_THRESHOLD)
+    cm = {"visit": F.col("_visit_cid"), "admitted": F.col("_admit_cid"), "discharged": F.col("_discharge_cid")}
+    return jobs.load_visit(src, p.persons(), concept_ids=cm)
+
+
 def q_mappability(spark, sf_dir):
     """Concepts per mapping route (fixed 3-route reference table x concept counts)."""
     from ..operators import mapping as M
@@ -603,6 +618,7 @@ QUERIES = {
     "map_fallback": q_map_fallback,
     "map_custom": q_map_custom,
     "mappability": q_mappability,
+    "load_visit_mapped": q_load_visit_mapped,
     "bind_source": q_bind_source,
     "apply_config": q_apply_config,
     "validate_source": q_validate_source,

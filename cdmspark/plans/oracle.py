@@ -534,3 +534,23 @@ def _routes_sql() -> str:
 SQL["mappability"] = W(_concepts_sql() + ",\n" + _routes_sql(), """SELECT r.category, r.vocabulary_id,
   CAST(coalesce(c.n, 0) AS BIGINT) AS n_concepts FROM routes r
 LEFT JOIN (SELECT vocabulary_id, count(*) AS n FROM concepts GROUP BY 1) c ON c.vocabulary_id = r.vocabulary_id""")
+
+
+_VM = VISITS.replace("visits AS (", "visits_rules AS (", 1) + ",\n" + _concepts_sql() + "," + _cands() + f""",
+vm_vals AS (SELECT visit_source_value AS v FROM visit_src UNION SELECT admitted_from FROM visit_src
+            UNION SELECT discharged_to FROM visit_src),
+vm_texts0 AS (SELECT v, {duck_preprocess('v')} AS ptext FROM vm_vals WHERE v IS NOT NULL),
+vm_texts AS (SELECT DISTINCT ptext FROM vm_texts0 WHERE ptext <> '')""" + "," + text_nn("vm_texts", "cands", "vm") + f""",
+vm_map AS (SELECT t.v, CASE WHEN b.score >= {C.SEM_THRESHOLD} THEN b.ck END AS cid
+           FROM vm_texts0 t LEFT JOIN vm_best b ON b.sk = t.ptext)"""
+
+SQL["load_visit_mapped"] = W(_VM, """SELECT r.visit_occurrence_id, r.person_id,
+  CAST(coalesce(a.cid, 0) AS BIGINT) AS visit_concept_id, r.visit_start_date, r.visit_start_datetime,
+  r.visit_end_date, r.visit_end_datetime, r.visit_type_concept_id, r.provider_id, r.care_site_id,
+  r.visit_source_value, r.visit_source_concept_id, CAST(coalesce(b.cid, 0) AS BIGINT) AS admitted_from_concept_id,
+  r.admitted_from_source_value, CAST(coalesce(c.cid, 0) AS BIGINT) AS discharged_to_concept_id,
+  r.discharged_to_source_value, r.preceding_visit_occurrence_id
+FROM visits_rules r
+LEFT JOIN vm_map a ON a.v = r.visit_source_value
+LEFT JOIN vm_map b ON b.v = nullif(r.admitted_from_source_value, '')
+LEFT JOIN vm_map c ON c.v = nullif(r.discharged_to_source_value, '')""")
