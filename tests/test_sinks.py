@@ -33,3 +33,19 @@ def test_rejects_partition_the_input(spark):
     assert reasons[None] == "concept_id bad value"
     assert reasons[3] == "concept_name is null" and reasons[4] == "domain_id too long"
     assert reasons[5] == "standard_concept too long"
+
+
+def test_load_table_reports_and_second_run_adds_nothing(spark, tmp_dir):
+    from cdmspark.plans import jobs
+    from cdmspark.plans.catalog import P
+    from cdmspark.plans.run import load_table
+    from conftest import SF001
+    name = "cdm_test_visit"
+    drop_if_exists(spark, name)
+    p = P(spark, SF001)
+    first = load_table(spark, p.visits(), name, "visit_occurrence", path=os.path.join(tmp_dir, "visit"))
+    assert first["inserted"] == p.visits().count() and first["rows_per_s"] > 0
+    again = jobs.load_visit(p.t.visit_src(), p.persons(), existing=spark.table(name))
+    second = load_table(spark, again, name, "visit_occurrence")
+    assert second["inserted"] == 0 and spark.table(name).count() == first["inserted"]
+    drop_if_exists(spark, name)
