@@ -15,9 +15,15 @@ from ..sources.sinks import append, create_if_absent
 
 
 def load_table(spark: SparkSession, rows: DataFrame, table: str, contract: str, path: str | None = None,
-               eligible: int | None = None, existing: int | None = None) -> dict:
-    """Create the target if absent, append ``rows``, return the load statistics."""
+               eligible: int | None = None, existing: int | None = None,
+               sort_within: list[str] | None = None) -> dict:
+    """Create the target if absent, append ``rows``, return the load statistics.
+
+    ``sort_within`` (F2, e.g. person and start for observation periods) sorts each
+    written file without a global sort, so file min/max statistics prune scans."""
     create_if_absent(spark, table, S.TABLES[contract], path=path)
+    if sort_within:
+        rows = rows.sortWithinPartitions(*sort_within)
     t0 = time.perf_counter()
     inserted = append(rows, table, name=f"load_{table}_{time.time_ns()}")
     elapsed = time.perf_counter() - t0

@@ -101,3 +101,12 @@ def test_similar_concepts_top_k(spark):
     out = M.similar_concepts(q, "q", con, k=3).orderBy("rank").collect()
     assert [r.rank for r in out] == [1, 2, 3]
     assert out[0].similarity_score >= out[1].similarity_score >= out[2].similarity_score
+
+
+def test_mapped_plus_unmapped_is_total(spark):
+    from cdmspark.plans import catalog as C
+    from conftest import SF001
+    r = Rp.mapping_report(C._multi(C.Tables(spark, SF001))).first()
+    assert r.mapped_records + r.unmapped_records == r.total_records > 0
+    counts = Rp.mapping_counts(C._multi(C.Tables(spark, SF001))).first()
+    assert counts.mapped + counts.unmapped == r.total_records
