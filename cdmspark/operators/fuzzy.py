@@ -28,7 +28,8 @@ from ..functions.similarity import clean_py, ratio_py, ratio_upper_bound
 from ..functions.text import full_process
 
 MAX_BROADCAST_BYTES = 128 * 1024 * 1024
-BLOCK_ROWS = 20_000
+BLOCK_ROWS = 20_000          # candidate names per block in the blocked plan
+SRC_BLOCK_ROWS = 200_000     # distinct source values per block
 
 _OUT = T.StructType([T.StructField("clean_src", T.StringType()), T.StructField("cand_rank", T.StringType()),
                      T.StructField("score", T.IntegerType())])
@@ -68,7 +69,8 @@ def _best(srcs: list[str], cand: pd.DataFrame, cutoff: int) -> pd.DataFrame:
 
 def fuzzy_match(src: DataFrame, value_col: str, concepts: DataFrame, name_col: str = "concept_name",
                 id_col: str = "concept_id", cutoff: int = 80, strategy: str = "auto",
-                max_broadcast_bytes: int = MAX_BROADCAST_BYTES, block_rows: int = BLOCK_ROWS) -> DataFrame:
+                max_broadcast_bytes: int = MAX_BROADCAST_BYTES, block_rows: int = BLOCK_ROWS,
+                src_block_rows: int = SRC_BLOCK_ROWS) -> DataFrame:
     """Adds ``concept_id``, ``matched_concept_name`` and ``fuzzy_score`` to ``src``.
     A NULL source value, or a best score under ``cutoff``, gives NULLs."""
     # Candidates: one row per cleaned name; its tie rank is the smallest original name.
@@ -96,7 +98,8 @@ def fuzzy_match(src: DataFrame, value_col: str, concepts: DataFrame, name_col: s
     else:
         n_s = srcs.count()
         n_c = cand.count()
-        nb_s, nb_c = max(1, math.ceil(n_s / block_rows)), max(1, math.ceil(n_c / block_rows))
+        nb_s = max(1, math.ceil(n_s / max(src_block_rows, block_rows)))
+        nb_c = max(1, math.ceil(n_c / block_rows))
         sx = (srcs.withColumn("sb", F.pmod(F.xxhash64("clean_src"), F.lit(nb_s)))
                   .withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(nb_c - 1)).cast("array<long>"))))
         cx = (cand.select("clean", "rank").withColumn("cb", F.pmod(F.xxhash64("clean"), F.lit(nb_c)))

@@ -14,7 +14,9 @@ as any engine that evaluates the same formula.  Zero vectors never match.  Two p
 * ``blocked`` - beyond the bound, both sides are cut into hash blocks and every
   (source block, candidate block) pair meets in one co-group task; each task keeps its
   own top-k per source row and a final window keeps the global top-k.  Memory per
-  task is one source block plus one candidate block.
+  task is one source block plus one candidate block; rows shuffled are
+  n_src x n_cand_blocks + n_cand x n_src_blocks, so source blocks (streamed through
+  the scorer in sub-batches) are much larger than candidate blocks.
 
 Ties are broken by the lower candidate key.
 """
@@ -31,7 +33,8 @@ from pyspark.sql import types as T
 
 MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 SCORE_CELLS = 8_000_000          # sub-batch rows x candidates kept in memory at once
-BLOCK_ROWS = 20_000              # rows per block in the blocked plan
+BLOCK_ROWS = 20_000              # candidate rows per block in the blocked plan
+SRC_BLOCK_ROWS = 500_000         # source rows per block (scored in sub-batches of SCORE_CELLS)
 
 
 def _topk(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -100,7 +103,7 @@ def _matrix(series: pd.Series, bag_dim: int | None = None) -> np.ndarray:
 def nearest(src: DataFrame, cand: DataFrame, src_key: str, cand_key: str, vec: str = "vec",
             k: int = 1, exclude_self: bool = False, strategy: str = "auto",
             max_broadcast_bytes: int = MAX_BROADCAST_BYTES, block_rows: int = BLOCK_ROWS,
-            bag_dim: int | None = None) -> DataFrame:
+            bag_dim: int | None = None, src_block_rows: int = SRC_BLOCK_ROWS) -> DataFrame:
     """Top-``k`` candidates per source row: (src_key, cand_key, score, rank).
 
     ``src_key`` must be unique (any type), ``cand_key`` a unique long; rows with a NULL
@@ -124,7 +127,8 @@ def nearest(src: DataFrame, cand: DataFrame, src_key: str, cand_key: str, vec: s
         # every source row met every candidate in one call: its ranks are final
         ranked = _broadcast_plan(s, c, k, exclude_self, out_schema, bag_dim)
     else:
-        scored = _blocked_plan(s, c, k, exclude_self, out_schema, block_rows, bag_dim).drop("rank")
+        scored = _blocked_plan(s, c, k, exclude_self, out_schema, block_rows, bag_dim,
+                               max(src_block_rows, block_rows)).drop("rank")
         w = Window.partitionBy("src_key").orderBy(F.col("score").desc(), F.col("cand_key"))
         ranked = scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
     return ranked.select(F.col("src_key").alias(src_key), F.col("cand_key").alias(cand_key), "score", "rank")
@@ -147,9 +151,9 @@ def _broadcast_plan(s, c, k, exclude_self, out_schema, bag_dim=None):
     return s.mapInPandas(score_partition, out_schema)
 
 
-def _blocked_plan(s, c, k, exclude_self, out_schema, block_rows, bag_dim=None):
+def _blocked_plan(s, c, k, exclude_self, out_schema, block_rows, bag_dim=None, src_block_rows=SRC_BLOCK_ROWS):
     counts = s.agg(F.count(F.lit(1))).first()[0], c.agg(F.count(F.lit(1))).first()[0]
-    nb_s = max(1, math.ceil(counts[0] / block_rows))
+    nb_s = max(1, math.ceil(counts[0] / src_block_rows))
     nb_c = max(1, math.ceil(counts[1] / block_rows))
     sx = (s.withColumn("sb", F.pmod(F.xxhash64("src_key"), F.lit(nb_s)))
            .withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(nb_c - 1)).cast("array<long>"))))

@@ -29,7 +29,8 @@ def test_nearest_matches_brute_force(spark, strategy, k):
     rows = [(i, [float(x) for x in v]) for i, v in enumerate(vecs)]
     df = spark.createDataFrame(rows, "id long, vec array<double>")
     src, cand = df.withColumnRenamed("id", "sid"), df.withColumnRenamed("id", "cid")
-    got = nearest(src, cand, "sid", "cid", k=k, exclude_self=True, strategy=strategy, block_rows=25)
+    got = nearest(src, cand, "sid", "cid", k=k, exclude_self=True, strategy=strategy, block_rows=25,
+                  src_block_rows=30)
     res = {}
     for r in got.orderBy("sid", "rank").collect():
         res.setdefault(r.sid, []).append(r.cid)
@@ -49,7 +50,8 @@ VALUES = ["Acute appendicitis", "acute apendicitis", "Asthma", "Depression", "En
 def test_fuzzy_matches_brute_force(spark, strategy):
     cdf = spark.createDataFrame(CONCEPTS, "concept_id long, concept_name string")
     sdf = spark.createDataFrame([(i, v) for i, v in enumerate(VALUES)], "i int, v string")
-    got = {r.i: r.concept_id for r in fuzzy_match(sdf, "v", cdf, strategy=strategy, block_rows=3).collect()}
+    got = {r.i: r.concept_id for r in fuzzy_match(sdf, "v", cdf, strategy=strategy, block_rows=3,
+                                                            src_block_rows=4).collect()}
     want = fuzzy_match_brute(VALUES, CONCEPTS)
     assert [got[i] for i in range(len(VALUES))] == want
 
