@@ -37,9 +37,10 @@ def hot_bounds(df: DataFrame, key: str, order_col: str, hot_rows: int = HOT_ROWS
     from ..session import persist_reliably
     pcts = [i / n_chunks for i in range(1, n_chunks)]
     hot = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).select(key)
-    bounds = persist_reliably(df.join(hot, key, "left_semi").groupBy(key)
-                              .agg(F.percentile_approx(order_col, pcts, 10_000).alias("_bounds")))
-    return None if bounds.isEmpty() else bounds
+    if hot.isEmpty():                       # the usual case: one narrow aggregation, no more work
+        return None
+    return persist_reliably(df.join(hot, key, "left_semi").groupBy(key)
+                            .agg(F.percentile_approx(order_col, pcts, 10_000).alias("_bounds")))
 
 
 def with_chunks(df: DataFrame, key: str, order_col: str, bounds: DataFrame,

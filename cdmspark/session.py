@@ -60,5 +60,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def persist_reliably(df):
     """Materialise ``df`` once in the shared checkpoint folder and cut its lineage
     (a lost executor re-reads the files instead of recomputing the plan)."""
+    from pyspark import StorageLevel
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    # An eager checkpoint runs the plan once to count and once more to write the
+    # files; persisting for the duration makes the write read the cached blocks.
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()
