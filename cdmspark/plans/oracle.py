@@ -293,8 +293,8 @@ SQL.update({
   (SELECT count(*) FROM concept_raw WHERE valid_end_date IS NOT NULL AND {_vdate('valid_end_date')} IS NULL)
     AS bad_valid_end_date,
   (SELECT count(*) FROM concept_raw WHERE concept_id IS NULL) AS null_keys,
-  (SELECT coalesce(sum(c - 1), 0) FROM (SELECT concept_id, count(*) AS c FROM concept_raw GROUP BY concept_id)
-    WHERE c > 1) AS repeated_keys"""),
+  (SELECT CAST(coalesce(sum(c - 1), 0) AS BIGINT) FROM (SELECT concept_id, count(*) AS c FROM concept_raw
+    GROUP BY concept_id) WHERE c > 1) AS repeated_keys"""),
     "load_concept_relationship": W(_concepts_sql() + "," + _rels_sql("concepts"), "SELECT * FROM rels"),
     "relationship_domain": W(
         _concepts_sql(C.LOOKUP_DOMAIN) + f""",
