@@ -85,7 +85,8 @@ def optional_columns(config: dict, table: str) -> list[str]:
     return list(table_config(config, table).get("optional_columns", []))
 
 
-# The shipped person config, with its original spellings ("omop field", "description:").
+# The example person config, with the key spellings configs use
+# ("omop field" with a space, "description:" with a colon); the reader accepts both forms.
 PERSON_CONFIG = {
     "tables": {
         "person": {
