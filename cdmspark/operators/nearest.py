@@ -116,16 +116,20 @@ def nearest(src: DataFrame, cand: DataFrame, src_key: str, cand_key: str, vec: s
                                T.StructField("cand_key", T.LongType()),
                                T.StructField("score", T.DoubleType()),
                                T.StructField("rank", T.IntegerType())])
+    collected = None
     if strategy == "auto":
         if bag_dim:
-            n_cand, dim = int(c.count()), bag_dim
+            # one job proves the bound and fetches the rows: never more than cap + 1 rows
+            cap = max_broadcast_bytes // (bag_dim * 8)
+            collected = c.limit(cap + 1).toPandas()
+            strategy = "broadcast" if len(collected) <= cap else "blocked"
         else:
             stats = c.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("d")).first()
             n_cand, dim = int(stats["n"] or 0), int(stats["d"] or 0)
-        strategy = "broadcast" if n_cand * max(dim, 1) * 8 <= max_broadcast_bytes else "blocked"
+            strategy = "broadcast" if n_cand * max(dim, 1) * 8 <= max_broadcast_bytes else "blocked"
     if strategy == "broadcast":
         # every source row met every candidate in one call: its ranks are final
-        ranked = _broadcast_plan(s, c, k, exclude_self, out_schema, bag_dim)
+        ranked = _broadcast_plan(s, c, k, exclude_self, out_schema, bag_dim, collected)
     else:
         scored = _blocked_plan(s, c, k, exclude_self, out_schema, block_rows, bag_dim,
                                max(src_block_rows, block_rows)).drop("rank")
@@ -134,9 +138,9 @@ def nearest(src: DataFrame, cand: DataFrame, src_key: str, cand_key: str, vec: s
     return ranked.select(F.col("src_key").alias(src_key), F.col("cand_key").alias(cand_key), "score", "rank")
 
 
-def _broadcast_plan(s, c, k, exclude_self, out_schema, bag_dim=None):
+def _broadcast_plan(s, c, k, exclude_self, out_schema, bag_dim=None, collected=None):
     spark = s.sparkSession
-    pdf = c.toPandas().sort_values("cand_key", kind="stable")
+    pdf = (collected if collected is not None else c.toPandas()).sort_values("cand_key", kind="stable")
     keys = pdf["cand_key"].to_numpy(dtype=np.int64)
     mat = _matrix(pdf["vec"], bag_dim)
     bc = spark.sparkContext.broadcast((keys, mat))
