@@ -39,3 +39,17 @@ def test_full_process(spark):
     df = spark.createDataFrame([(v,) for v in vals], "v string")
     got = [r[0] for r in df.select(full_process("v")).collect()]
     assert got == [clean_py(v) for v in vals]
+
+
+def test_native_bulk_and_spec_agree_on_random_text(spark):
+    import random
+    from cdmspark.functions.text import preprocess_text_bulk
+    rnd = random.Random(5)
+    pieces = [a for a, _ in ABBREVIATIONS] + ["ÉD", "éd", "naïve", "x²", "42", "_", "-", "/", "!!", "(", ")",
+                                              "\t", "\xa0", " ", "\n", "  ", "Or", "F/U", "lab-", "ß", "İ"]
+    vals = ["".join(rnd.choice(pieces) + rnd.choice(["", " ", ",", "."]) for _ in range(rnd.randint(1, 12)))
+            for _ in range(300)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, v string")
+    rows = df.select("i", preprocess_text("v").alias("a"), preprocess_text_bulk("v").alias("b")).collect()
+    for r in rows:
+        assert r.a == r.b == spec(vals[r.i]), (vals[r.i], r.a, r.b, spec(vals[r.i]))
