@@ -59,3 +59,11 @@ def test_dense_ids_equal_global_row_number(spark):
     ref = df.withColumn("ref", F.row_number().over(Window.orderBy("person_id", "k")))
     bad = got.join(ref, ["person_id", "k"]).where(F.col("rid") != F.col("ref")).count()
     assert bad == 0 and got.count() == df.count()
+
+
+def test_dense_ids_edge_inputs(spark):
+    empty = spark.createDataFrame([], "person_id long, k long")
+    assert dense_ids(empty, ["person_id", "k"], "rid").count() == 0
+    one = spark.range(0, 300).select(F.lit(7).cast("long").alias("person_id"), (299 - F.col("id")).alias("k"))
+    got = sorted((r.k, r.rid) for r in dense_ids(one, ["person_id", "k"], "rid").collect())
+    assert got == [(k, k + 1) for k in range(300)]
