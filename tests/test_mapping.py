@@ -110,3 +110,16 @@ def test_mapped_plus_unmapped_is_total(spark):
     assert r.mapped_records + r.unmapped_records == r.total_records > 0
     counts = Rp.mapping_counts(C._multi(C.Tables(spark, SF001))).first()
     assert counts.mapped + counts.unmapped == r.total_records
+
+
+def test_fallback_with_code_and_fuzzy_steps(spark):
+    from cdmspark.functions.rules import map_visit_type
+    con = spark.createDataFrame([(1, "Emergency Room", "E1", "Visit"), (2, "Outpatient Visit", "O1", "Visit")],
+                                "concept_id long, concept_name string, concept_code string, domain_id string")
+    src = spark.createDataFrame([("E1", "zzz"), ("X9", "Emergency Rooms"), ("X9", "inpatient")],
+                                "code string, v string")
+    got = {(r.code, r.v): (r.concept_id, r.mapping_method) for r in M.fallback(
+        src, "v", [("code", "code"), ("fuzzy", 80), ("rule", map_visit_type)], con).collect()}
+    assert got[("E1", "zzz")] == (1, "code")
+    assert got[("X9", "Emergency Rooms")] == (1, "fuzzy")
+    assert got[("X9", "inpatient")] == (9201, "rule")
