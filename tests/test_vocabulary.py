@@ -68,3 +68,14 @@ def test_relationships_both_ends(spark, tmp_dir):
     assert jobs.load_concept_relationship(rraw, empty).count() == 0
     existing = rel.where(F.col("relationship_id") == "Is a")
     assert jobs.load_concept_relationship(rraw, concepts, existing=existing).count() == 1
+
+
+def test_validation_counts_repeats_and_null_keys(spark, tmp_dir):
+    extra = "1\tDup\tCondition\tSNOMED\tClinical Finding\tS\tC9\t19700101\t20991231\t\n" \
+            "\tNo id\tCondition\tSNOMED\tClinical Finding\tS\tC10\t19700101\t20991231\t\n"
+    raw = read_concept(spark, _write(tmp_dir, "concept2.csv", CONCEPT_TSV + extra))
+    v = validate_vocabulary(raw, S.CONCEPT, ["concept_id"]).first()
+    assert v.n_rows == 8 and v.repeated_keys == 1 and v.null_keys == 1
+    # the repeated id keeps one row (latest validity, then name) and the null id is rejected
+    c = jobs.load_concept(raw)
+    assert c.where("concept_id = 1").count() == 1 and c.where("concept_id IS NULL").count() == 0
