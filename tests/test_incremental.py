@@ -48,3 +48,26 @@ def test_blank_care_site_is_null(spark):
     persons = spark.createDataFrame([(0,)], "person_id long")
     src = _src(spark, [0]).withColumn("care_site_id", F.lit(" "))
     assert jobs.load_visit(src, persons).first().care_site_id is None
+
+
+def test_condition_and_procedure_date_floor(spark):
+    persons = spark.createDataFrame([(1,)], "person_id long")
+    cond = spark.createDataFrame(
+        [(1, 1, dt.datetime(1929, 12, 31), None, None, 5, "a", None),
+         (2, 1, dt.datetime(1930, 1, 1), None, None, 5, "b", None),      # on the floor: excluded
+         (3, 1, dt.datetime(1930, 1, 2), None, None, 5, "c", None),
+         (4, 1, dt.datetime(1950, 1, 1), None, None, None, "d", None)],  # no visit: excluded
+        "condition_occurrence_id long, person_id long, condition_start_date timestamp_ntz, "
+        "condition_end_date timestamp_ntz, provider_id long, visit_occurrence_id long, "
+        "condition_source_value string, condition_status_source_value string")
+    got = [r.condition_occurrence_id for r in jobs.load_condition(cond, persons).collect()]
+    assert got == [3]
+    visits = spark.createDataFrame([(5, 1)], "visit_occurrence_id long, person_id long")
+    proc = spark.createDataFrame(
+        [(10, dt.datetime(1930, 1, 1), 5, "x"), (11, dt.datetime(1931, 1, 1), 5, "y"),
+         (12, dt.datetime(1931, 1, 1), 6, "z")],                          # visit not loaded
+        "procedure_occurrence_id long, procedure_date timestamp_ntz, visit_occurrence_id long, "
+        "procedure_source_value string")
+    rows = jobs.load_procedure(proc, visits).collect()
+    assert [(r.procedure_occurrence_id, r.person_id, r.quantity) for r in rows] == [(11, 1, 1)]
+    assert rows[0].procedure_end_date == rows[0].procedure_date
