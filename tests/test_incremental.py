@@ -71,3 +71,22 @@ def test_condition_and_procedure_date_floor(spark):
     rows = jobs.load_procedure(proc, visits).collect()
     assert [(r.procedure_occurrence_id, r.person_id, r.quantity) for r in rows] == [(11, 1, 1)]
     assert rows[0].procedure_end_date == rows[0].procedure_date
+
+
+def test_person_edge_rows(spark):
+    b = dt.datetime(1980, 5, 17)
+    src = spark.createDataFrame(
+        [(None, "Male", "White", "Hispanic", b),      # null id: dropped
+         (1, "male", "white", None, None),           # null birth: dropped
+         (0, "m", "", "latino", b),                  # id 0 is ordinary; 'm' is not male
+         (2, " F ", "  asian ", "x", b),             # padded text
+         (3, "female", "black", "non-hispanic", b)], # not in person_ids: dropped
+        "person_id long, gender string, race string, ethnicity string, birth_datetime timestamp_ntz")
+    ids = jobs.load_person_ids(spark.createDataFrame([(0,), (1,), (2,), (2,), (None,)], "person_id long"))
+    assert sorted(r.person_id for r in ids.collect()) == [0, 1, 2]          # repeated id once, null dropped
+    got = {r.person_id: r for r in jobs.load_person(src, ids).collect()}
+    assert sorted(got) == [0, 2]
+    assert (got[0].gender_concept_id, got[0].race_concept_id, got[0].ethnicity_concept_id) == (0, 0, 38003563)
+    assert (got[2].gender_concept_id, got[2].race_concept_id) == (8532, 8515)
+    assert (got[2].year_of_birth, got[2].month_of_birth, got[2].day_of_birth) == (1980, 5, 17)
+    assert got[0].race_source_value == "" and got[2].gender_source_value == " F "
