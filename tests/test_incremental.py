@@ -90,3 +90,20 @@ def test_person_edge_rows(spark):
     assert (got[2].gender_concept_id, got[2].race_concept_id) == (8532, 8515)
     assert (got[2].year_of_birth, got[2].month_of_birth, got[2].day_of_birth) == (1980, 5, 17)
     assert got[0].race_source_value == "" and got[2].gender_source_value == " F "
+
+
+def test_visit_text_dates_and_preceding_order(spark):
+    persons = spark.createDataFrame([(1,)], "person_id long")
+    src = spark.createDataFrame(
+        [(10, 1, "Outpatient", "2020-03-01 08:00:00", "2020-03-01 09:00:00", None, None, None),
+         (20, 1, "Outpatient", "2020-01-01T08:00:00", "2020-01-01T10:00:00", None, None, None),  # later id, earlier time
+         (30, 1, "Outpatient", "not a date", "2020-05-01 00:00:00", None, None, None)],           # bad text: dropped
+        "visit_occurrence_id long, person_id long, visit_source_value string, visit_start_datetime string, "
+        "visit_end_datetime string, care_site_id string, admitted_from string, discharged_to string")
+    by_id = {r.visit_occurrence_id: r for r in jobs.load_visit(src, persons).collect()}
+    assert sorted(by_id) == [10, 20]
+    assert by_id[20].preceding_visit_occurrence_id == 10 and by_id[10].preceding_visit_occurrence_id is None
+    assert str(by_id[20].visit_start_date) == "2020-01-01"
+    by_time = {r.visit_occurrence_id: r.preceding_visit_occurrence_id
+               for r in jobs.load_visit(src, persons, order_by="visit_start_datetime").collect()}
+    assert by_time == {20: None, 10: 20}
