@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from cdmspark.llm import near_dedup
+from cdmspark.llm import imatch, lang_id, near_dedup, packing, pieces, quality_rules
 
 QUERIES = {
     "op1_near_dedup": near_dedup.op1_near_dedup,
+    "op3_pieces": pieces.op3_pieces,
+    "op6_lang_id": lang_id.op6_lang_id,
+    "op8_imatch": imatch.op8_imatch,
+    "op9_quality_rules": quality_rules.op9_quality_rules,
+    "op10_packing": packing.op10_packing,
 }
 
 SQL: dict[str, str] = {}
