@@ -2,14 +2,27 @@
 
 from __future__ import annotations
 
-from cdmspark.llm import imatch, lang_id, line_dedup, lm_score, near_dedup, packing, pieces, quality_rules
+from cdmspark.llm import (
+    html_render,
+    imatch,
+    lang_id,
+    license_scan,
+    line_dedup,
+    lm_score,
+    near_dedup,
+    packing,
+    pieces,
+    quality_rules,
+)
 
 QUERIES = {
     "op1_near_dedup": near_dedup.op1_near_dedup,
     "op2_line_dedup": line_dedup.op2_line_dedup,
     "op3_pieces": pieces.op3_pieces,
     "op4_lm_score": lm_score.op4_lm_score,
+    "op5_html_render": html_render.op5_html_render,
     "op6_lang_id": lang_id.op6_lang_id,
+    "op7_license_scan": license_scan.op7_license_scan,
     "op8_imatch": imatch.op8_imatch,
     "op9_quality_rules": quality_rules.op9_quality_rules,
     "op10_packing": packing.op10_packing,

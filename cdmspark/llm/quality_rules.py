@@ -189,9 +189,11 @@ def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that ``quality`` keeps, with all their columns and no others. The
     verdict is a row's own given the fitted weights, so no join is needed."""
     p = _prefix(docs)
-    measured = with_features(docs, p)
-    return (measured.filter(~_base_failed(p) & (_posterior(p, learn(measured, p)) >= KEEP_FROM))
-            .select(*[f"`{c}`" for c in docs.columns]))
+    # a column that is not deterministic keeps the filter from being pushed below the measures,
+    # which would compute each of them once per use
+    measured = with_features(docs, p).withColumn(p + "row", F.monotonically_increasing_id())
+    kept = ~_base_failed(p) & (_posterior(p, learn(measured, p)) >= KEEP_FROM) & (F.col(p + "row") >= 0)
+    return measured.filter(kept).select(*[f"`{c}`" for c in docs.columns])
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
