@@ -1,43 +1,59 @@
 """Dense 1..n ids in a stated order without a single-partition window.
 
-A global ``row_number()`` moves every row into one task.  Instead rows are cut into
-key ranges, each range is counted, the (small: one row per range) count table gets
-cumulative offsets, and ``row_number()`` runs inside each range in parallel.  The
-range table has at most ``n_buckets`` rows, so its broadcast is bounded by a parameter,
-not by the data.
+A global ``row_number()`` moves every row into one task.  Instead rows are cut into even
+ranges at quantiles of the leading key, each range is counted, the (small: one row per range)
+count table gets cumulative offsets, and ``row_number()`` runs inside each range in parallel.
+Quantiles follow the rows, so clustered or far-out keys give ranges of about the same size.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import persist_reliably
 
+RANGE_ROWS, MAX_RANGES = 200_000, 10_000
+
+
+def quantile_bounds(df: DataFrame, col: str, range_rows: int = RANGE_ROWS) -> list:
+    """Rising bounds that cut ``col`` into ranges of about ``range_rows`` rows (at most
+    ``MAX_RANGES``, so the list is bounded by a parameter)."""
+    n = min(MAX_RANGES, -(-df.count() // range_rows))
+    if n < 2:
+        return []
+    got = df.agg(F.percentile_approx(col, [i / n for i in range(1, n)], 100 * n).alias("b")).first()["b"]
+    return sorted(set(got))
+
+
+def range_of(col: str, bounds: list) -> Column:
+    """Number of bounds below ``col``, found in two steps of about the bounds' square root."""
+    if not bounds:
+        return F.lit(0)
+    step = max(1, int(len(bounds) ** 0.5))
+    fine = [bounds[i:i + step] for i in range(0, len(bounds), step)]
+    below = lambda v: F.size(F.filter(v, lambda x: x < F.col(col)))
+    coarse = below(F.array(*[F.lit(f[-1]) for f in fine]))
+    inner = F.get(F.array(*[F.array(*[F.lit(x) for x in f]) for f in fine]), coarse)
+    return (coarse * step + F.coalesce(below(inner), F.lit(0))).cast("int")
+
 
 def dense_ids(df: DataFrame, order_cols: list[str], id_col: str = "row_id",
-              bucket_col: str | None = None, n_buckets: int = 4096) -> DataFrame:
+              bucket_col: str | None = None, range_rows: int = RANGE_ROWS) -> DataFrame:
     """Attach ``id_col`` = 1..n following ``order_cols`` (ties must not exist in them).
 
     ``bucket_col`` must be a numeric column whose order agrees with the first order
-    column (it is normally that column).  Buckets are equal-width slices of its range.
+    column (it is normally that column).
     """
     lead = bucket_col or order_cols[0]
     # Materialise once (shared checkpoint folder): the bounds, the counts and the
     # numbering all read the written rows instead of re-running the input's plan.
     df = persist_reliably(df)
-    # Range of the bucket column: one small aggregate over the written rows, kept as
-    # two literals so every later stage uses constants.
-    b = df.agg(F.min(lead).alias("lo"), F.max(lead).alias("hi")).first()
-    lo, hi = (b["lo"], b["hi"]) if b["lo"] is not None else (0, 0)
-    width = max(1, -(-(int(hi) - int(lo) + 1) // n_buckets))
-    with_bucket = df.withColumn("_bucket", F.floor((F.col(lead) - F.lit(lo)) / F.lit(width)).cast("long"))
-    counts = with_bucket.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select(
-        "_bucket",
-        (F.sum("_n").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)))
-        .alias("_offset"))
-    w = Window.partitionBy("_bucket").orderBy(*[F.col(c) for c in order_cols])
-    return (with_bucket.join(F.broadcast(offsets), "_bucket")
-            .withColumn(id_col, (F.coalesce(F.col("_offset"), F.lit(0)) + F.row_number().over(w)).cast("long"))
-            .drop("_bucket", "_offset"))
+    ranged = df.withColumn("_range", range_of(lead, quantile_bounds(df, lead, range_rows)))
+    counts = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.select("_range", F.coalesce(F.sum("_n").over(
+        Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"))
+    w = Window.partitionBy("_range").orderBy(*[F.col(c) for c in order_cols])
+    return (ranged.join(F.broadcast(offsets), "_range")     # MAX_RANGES rows at most
+            .withColumn(id_col, (F.col("_offset") + F.row_number().over(w)).cast("long"))
+            .drop("_range", "_offset"))

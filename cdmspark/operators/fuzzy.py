@@ -82,9 +82,12 @@ def fuzzy_match(src: DataFrame, value_col: str, concepts: DataFrame, name_col: s
     srcs = src.select(full_process(F.col(value_col)).alias("clean_src")).where(
         F.col(value_col).isNotNull()).distinct()
 
-    if strategy == "auto":
+    if strategy in ("auto", "broadcast"):
         st = cand.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("clean")).alias("b")).first()
-        strategy = "broadcast" if (st["b"] or 0) + 16 * (st["n"] or 0) <= max_broadcast_bytes else "blocked"
+        fits = (st["b"] or 0) + 16 * (st["n"] or 0) <= max_broadcast_bytes
+        if strategy == "broadcast" and not fits:
+            raise ValueError("the names exceed max_broadcast_bytes: use strategy 'auto' or 'blocked'")
+        strategy = "broadcast" if fits else "blocked"
     if strategy == "broadcast":
         pdf = cand.select("clean", "rank").toPandas()
         bc = src.sparkSession.sparkContext.broadcast(pdf)
@@ -119,6 +122,54 @@ def fuzzy_match(src: DataFrame, value_col: str, concepts: DataFrame, name_col: s
     return out.drop("_clean", "cand_rank").withColumnRenamed("score", "fuzzy_score")
 
 
+def levenshtein_match(src: DataFrame, value_col: str, concepts: DataFrame, threshold: float = 0.8,
+                      name_col: str = "concept_name", id_col: str = "concept_id") -> DataFrame:
+    """Best name by edit ratio ``1 - distance / longer length`` at or above ``threshold``, as one
+    equi-join in native functions.
+
+    Within d edits one of d + 1 even segments of the name stands unchanged in the value, at most
+    d places off (pigeonhole).  Names are indexed by (length, segment number, segment); a value
+    probes the lengths its ratio allows.  Only pairs that share a segment are compared, values
+    and names once each.  Ties: the name that sorts first, then its highest concept id.  Adds
+    ``concept_id``, ``matched_concept_name``, ``edit_ratio`` (NULL without a match)."""
+    t = float(threshold)
+    upper = lambda c: F.upper(F.trim(F.col(c)))
+    names = (concepts.select(upper(name_col).alias("name"), F.struct(F.col(id_col).alias("id"),
+                                                                     F.col(name_col).alias("label")).alias("c"))
+             .where(F.length("name") > 0).groupBy("name").agg(F.max_by("c", "c.id").alias("c")))
+    values = src.select(upper(value_col).alias("value")).where(F.length("value") > 0).distinct()
+    # d edits at most between strings whose longer length is m: d = floor((1 - t) * m)
+    edits = lambda m: F.floor((1 - t) * m + 1e-9).cast("int")
+    # a segment: its number g of d + 1 over n characters, start floor(g * n / (d + 1))
+    cut = lambda g, n, d: F.floor(g * n / (d + 1)).cast("int")
+    # names take part once per d of a longer value, up to the length the ratio allows
+    n_len = F.length("name")
+    most = F.greatest(n_len, F.floor(n_len / t + 1e-9).cast("int"))
+    idx = (names.select("name", F.explode(F.array_distinct(F.transform(F.sequence(n_len, most), edits))).alias("d"))
+           .select("name", "d", F.explode(F.sequence(F.lit(0), F.col("d"))).alias("g"))
+           .withColumn("n", F.length("name")).withColumn("at", cut(F.col("g"), F.col("n"), F.col("d")))
+           .withColumn("part", F.substring("name", F.col("at") + 1, cut(F.col("g") + 1, F.col("n"), F.col("d")) - F.col("at"))))
+    v_len = F.length("value")
+    probe = (values.select("value", F.explode(F.sequence(F.ceil(v_len * t - 1e-9).cast("int"),
+                                                         F.floor(v_len / t + 1e-9).cast("int"))).alias("n")).where("n > 0")
+             .withColumn("d", edits(F.greatest("n", F.length("value"))))
+             .select("*", F.explode(F.sequence(F.lit(0), F.col("d"))).alias("g"))
+             .withColumn("at", cut(F.col("g"), F.col("n"), F.col("d")))
+             .withColumn("width", cut(F.col("g") + 1, F.col("n"), F.col("d")) - F.col("at"))
+             .select("*", F.explode(F.sequence(F.greatest(F.col("at") - F.col("d"), F.lit(0)), F.greatest(F.least(
+                 F.col("at") + F.col("d"), F.length("value") - F.col("width")), F.lit(0)))).alias("from"))
+             .select("value", "n", "d", "g", F.substring("value", F.col("from") + 1, F.col("width")).alias("part")).distinct())
+    near = probe.join(idx.select("name", "n", "d", "g", "part"), ["n", "d", "g", "part"]).select("value", "name", "d").distinct()
+    ratio = 1 - F.levenshtein("value", "name") / F.greatest(F.length("value"), F.length("name"))
+    scored = near.withColumn("ratio", ratio).where(F.col("ratio") >= t - 1e-12)
+    best = (scored.groupBy("value").agg(F.min_by(F.struct("name", "ratio"), F.struct(-F.col("ratio"), F.col("name"))).alias("b"))
+            .select("value", F.col("b.name").alias("name"), F.round("b.ratio", 6).alias("edit_ratio"))
+            .join(names, "name").select("value", F.col("c.id").alias("concept_id"),
+                                        F.col("c.label").alias("matched_concept_name"), "edit_ratio"))
+    keyed = src.withColumn("_value", upper(value_col))
+    return keyed.join(best.withColumnRenamed("value", "_value"), "_value", "left").drop("_value")
+
+
 def fuzzy_match_brute(values: list[str | None], concepts: list[tuple[int, str]], cutoff: int = 80):
     """Reference implementation for tests: every value against every concept name."""
     names = sorted({n for _, n in concepts})

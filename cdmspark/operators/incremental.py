@@ -26,14 +26,16 @@ def with_preceding(df: DataFrame, person: str = "person_id", visit: str = "visit
     """E5: previous visit of the same person, in visit-id order (or ``order_by``).
 
     With ``existing`` (visits already in the target) the previous visit is looked up
-    over existing + new, so loading A then B gives what one load of A+B gives.  The
-    union is shuffled once on ``person``.
+    over existing + new, so loading A then B gives what one load of A+B gives.  Of the
+    target only the visits of persons in ``df`` are read on (a semi-join).
     """
     order = [F.col(order_by), F.col(visit)] if order_by else [F.col(visit)]
     lead = order_by or visit
     if existing is not None:
         cols = [person, visit] + ([order_by] if order_by and order_by != visit else [])
-        seed = existing.select(*cols).withColumn("_new", F.lit(False))
+        # only visits of the persons at hand: the rest of the target stays out of the window
+        here = df.select(person).distinct()
+        seed = existing.select(*cols).join(here, person, "left_semi").withColumn("_new", F.lit(False))
         df = df.withColumn("_new", F.lit(True)).unionByName(seed, allowMissingColumns=True)
     bounds = seg.hot_bounds(df, person, lead, hot_rows) if hot_rows is not None else None
     if bounds is None:

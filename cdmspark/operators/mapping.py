@@ -135,18 +135,18 @@ def multi_strategy(src: DataFrame, value_col: str, concepts: DataFrame, threshol
     """Exact on normalised text (score 1.0) -> cosine >= threshold (semantic_match)
     -> cosine >= max(0.5, threshold - 0.2) (partial_match) -> unmatched (score 0.0).
 
-    One nearest join serves stages 2 and 3: stage 3 re-scores the same pairs."""
+    One nearest join serves stages 2 and 3, over the values that stage 1 leaves."""
     floor = partial_floor if partial_floor is not None else max(0.5, threshold - 0.2)
     vocab = normalised_vocabulary(concepts, name_col)
     cands = concept_candidates(concepts, name_col, provider=provider, vocab=vocab)
     exact = exact_candidates(concepts, name_col, vocab=vocab)
     texts = distinct_texts(src, value_col)
-    best = best_concepts(texts, cands, 1, provider)
+    found = exact.select(F.col("_key").alias("ptext"), F.col("concept_id").alias("_eid"),
+                         F.col("matched_concept_name").alias("_ename"))
+    best = best_concepts(texts.join(found, "ptext", "left_anti"), cands, 1, provider)  # what stage 1 left
     table = (texts.join(best.select("ptext", F.col("concept_id").alias("_sid"),
                                     F.col("concept_name").alias("_sname"), F.col("score").alias("_score")),
-                        "ptext", "left")
-                  .join(exact.select(F.col("_key").alias("ptext"), F.col("concept_id").alias("_eid"),
-                                     F.col("matched_concept_name").alias("_ename")), "ptext", "left"))
+                        "ptext", "left").join(found, "ptext", "left"))
     strat = (F.when(F.col("_eid").isNotNull(), F.lit("exact_match"))
               .when(F.col("_score") >= threshold, F.lit("semantic_match"))
               .when(F.col("_score") >= floor, F.lit("partial_match")))
@@ -196,34 +196,34 @@ def fallback(src: DataFrame, value_col: str, steps: list[tuple[str, object]], co
     """I7 re-aimed: declared order of strategies, first non-null concept wins.
 
     ``steps``: ("exact", None), ("code", code_col), ("semantic", threshold),
-    ("fuzzy", cutoff), ("rule", Column -> Column).  Each step maps the distinct keys
-    once and is joined back by key.  Adds ``concept_id`` and ``mapping_method``."""
-    x = src
-    cols = []
-    for i, (kind, arg) in enumerate(steps):
-        col = f"_c{i}"
-        cols.append((col, kind))
+    ("fuzzy", cutoff), ("rule", Column -> Column).  The distinct keys (value, and code where a
+    step uses one) are mapped in one small table; a step sees only the keys that earlier steps
+    left.  Adds ``concept_id`` and ``mapping_method``."""
+    keys = list(dict.fromkeys([value_col, *(str(a) for k, a in steps if k == "code")]))
+    todo, done = persist_reliably(src.select(*keys).distinct()), []
+    for kind, arg in steps:
+        key = str(arg) if kind == "code" else value_col
         if kind == "rule":
-            x = x.withColumn(col, arg(F.col(value_col)).cast("long"))
-            continue
-        key = arg if kind == "code" else value_col
-        vals = src.select(key).where(F.col(key).isNotNull()).distinct()
-        if kind == "exact":
-            m = exact_match(vals, key, concepts)
-        elif kind == "code":
-            m = code_match(vals, key, concepts)
-        elif kind == "semantic":
-            m = semantic_match(vals, key, concepts, threshold=float(arg))
-        elif kind == "fuzzy":
-            m = fuzzy(vals, key, concepts, cutoff=int(arg))
+            hit = todo.withColumn("concept_id", arg(F.col(value_col)).cast("long"))
         else:
-            raise ValueError(kind)
-        x = x.join(m.select(key, F.col("concept_id").cast("long").alias(col)), key, "left")
-    method = F.when(F.col(cols[0][0]).isNotNull(), F.lit(cols[0][1]))
-    for col, kind in cols[1:]:
-        method = method.when(F.col(col).isNotNull(), F.lit(kind))
-    out = x.withColumn("concept_id", F.coalesce(*[F.col(c) for c, _ in cols])).withColumn("mapping_method", method)
-    return out.drop(*[c for c, _ in cols])
+            vals = todo.select(key).where(F.col(key).isNotNull()).distinct()
+            if kind == "exact":
+                m = exact_match(vals, key, concepts)
+            elif kind == "code":
+                m = code_match(vals, key, concepts)
+            elif kind == "semantic":
+                m = semantic_match(vals, key, concepts, threshold=float(arg))
+            elif kind == "fuzzy":
+                m = fuzzy(vals, key, concepts, cutoff=int(arg))
+            else:
+                raise ValueError(kind)
+            hit = todo.join(m.select(key, F.col("concept_id").cast("long")), key, "left").select(*keys, "concept_id")
+        hit = persist_reliably(hit)
+        done.append(hit.where(F.col("concept_id").isNotNull()).withColumn("mapping_method", F.lit(kind)))
+        todo = hit.where(F.col("concept_id").isNull()).select(*keys)
+    table = reduce(DataFrame.unionByName, done).withColumnsRenamed({k: f"_k{i}" for i, k in enumerate(keys)})
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
+    return src.join(table, same, "left").drop(*[f"_k{i}" for i in range(len(keys))])
 
 
 def cascade(src: DataFrame, code_col: str, desc_col: str, concepts: DataFrame, threshold: float = 0.6,
@@ -232,9 +232,13 @@ def cascade(src: DataFrame, code_col: str, desc_col: str, concepts: DataFrame, t
 
     Labels DIRECT_CODE_MATCH / SEMANTIC_MATCH / UNMAPPED_FINAL.  The three parts are
     one frame with a label column (the union of disjoint parts of one input)."""
-    coded = (code_match(src, code_col, concepts).withColumnRenamed("concept_id", "_code_id")
-             .withColumnRenamed("matched_concept_name", "_code_name").withColumnRenamed("matched_domain", "_code_dom"))
-    texts = distinct_texts(coded.where(F.col("_code_id").isNull()), desc_col)
+    codes = src.select(F.col(code_col).alias("_c")).distinct()
+    lk = persist_reliably(code_match(codes, "_c", concepts).where(F.col("concept_id").isNotNull())
+                          .select(F.col("_c"), F.col("concept_id").alias("_code_id"),
+                                  F.col("matched_concept_name").alias("_code_name"),
+                                  F.col("matched_domain").alias("_code_dom")))
+    coded = src.withColumn("_c", F.col(code_col)).join(lk, "_c", "left").drop("_c")
+    texts = distinct_texts(src.join(lk, F.col(code_col) == lk["_c"], "left_anti"), desc_col)
     cands = concept_candidates(concepts, provider=provider)
     best = best_concepts(texts, cands, 1, provider)
     hit = F.col("score") >= F.lit(threshold)
@@ -266,12 +270,17 @@ def review_list(mapped: DataFrame) -> DataFrame:
     return mapped.where(F.col("mapping_method").isin("UNMAPPED", "UNMAPPED_FINAL"))
 
 
+def provider_list(mapped: DataFrame, domain: str = "Provider") -> DataFrame:
+    """Rows mapped to concepts of the provider domain (specialties, not codes)."""
+    return mapped.where(F.col("concept_id").isNotNull() & (F.upper("matched_domain") == domain.upper()))
+
+
 def map_columns(df: DataFrame, columns: dict[str, str], concepts: DataFrame, strategy: str = "semantic",
                 **kw) -> DataFrame:
     """Several columns mapped against one lookup: stack their distinct values, map
     once, join each column back.  ``columns``: source column -> output column."""
     vals = reduce(DataFrame.unionByName, [df.select(F.col(c).alias("_v")) for c in columns]).distinct()
-    mapped = map_source(vals, "_v", concepts, strategy, **kw).select("_v", "concept_id")
+    mapped = persist_reliably(map_source(vals, "_v", concepts, strategy, **kw).select("_v", "concept_id"))
     out = df
     for c, o in columns.items():
         out = out.join(mapped.select(F.col("_v").alias(c), F.col("concept_id").alias(o)), c, "left")

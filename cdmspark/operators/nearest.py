@@ -61,12 +61,14 @@ def _norms(mat: np.ndarray) -> np.ndarray:
     return np.sqrt(np.sum(mat * mat, axis=1))
 
 
-def _score(src_keys, src_mat, cand_keys, cand_mat, k, exclude_self):
+def _score(src_keys, src_vecs, cand_keys, cand_mat, k, exclude_self, bag_dim=None):
+    """Sub-batches of sources are made dense one at a time, so memory is one sub-batch's
+    matrix and scores (``SCORE_CELLS`` doubles) beside the candidates."""
     rows = max(1, SCORE_CELLS // max(1, len(cand_keys)))
     cand_n = _norms(cand_mat)
     outs = []
     for lo in range(0, len(src_keys), rows):
-        block = src_mat[lo:lo + rows]
+        block = _matrix(src_vecs[lo:lo + rows], bag_dim)
         with np.errstate(divide="ignore", invalid="ignore"):
             s = (block @ cand_mat.T) / (_norms(block)[:, None] * cand_n[None, :])
         s = np.where(np.isfinite(s), s, -np.inf)
@@ -117,16 +119,19 @@ def nearest(src: DataFrame, cand: DataFrame, src_key: str, cand_key: str, vec: s
                                T.StructField("score", T.DoubleType()),
                                T.StructField("rank", T.IntegerType())])
     collected = None
-    if strategy == "auto":
+    if strategy in ("auto", "broadcast"):
+        # the bound is checked also where a caller asks for the broadcast plan
         if bag_dim:
             # one job proves the bound and fetches the rows: never more than cap + 1 rows
             cap = max_broadcast_bytes // (bag_dim * 8)
             collected = c.limit(cap + 1).toPandas()
-            strategy = "broadcast" if len(collected) <= cap else "blocked"
+            fits = len(collected) <= cap
         else:
             stats = c.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("d")).first()
-            n_cand, dim = int(stats["n"] or 0), int(stats["d"] or 0)
-            strategy = "broadcast" if n_cand * max(dim, 1) * 8 <= max_broadcast_bytes else "blocked"
+            fits = int(stats["n"] or 0) * max(int(stats["d"] or 0), 1) * 8 <= max_broadcast_bytes
+        if strategy == "broadcast" and not fits:
+            raise ValueError("the candidates exceed max_broadcast_bytes: use strategy 'auto' or 'blocked'")
+        strategy = "broadcast" if fits else "blocked"
     if strategy == "broadcast":
         # every source row met every candidate in one call: its ranks are final
         ranked = _broadcast_plan(s, c, k, exclude_self, out_schema, bag_dim, collected)
@@ -150,7 +155,7 @@ def _broadcast_plan(s, c, k, exclude_self, out_schema, bag_dim=None, collected=N
         for b in batches:
             if len(b) == 0 or len(ck) == 0:
                 continue
-            yield _score(b["src_key"].to_numpy(), _matrix(b["vec"], bag_dim), ck, cm, k, exclude_self)
+            yield _score(b["src_key"].to_numpy(), b["vec"], ck, cm, k, exclude_self, bag_dim)
 
     return s.mapInPandas(score_partition, out_schema)
 
@@ -170,8 +175,8 @@ def _blocked_plan(s, c, k, exclude_self, out_schema, block_rows, bag_dim=None, s
                                  "cand_key": pd.Series([], dtype="int64"), "score": pd.Series([], dtype="float64"),
                                  "rank": pd.Series([], dtype="int32")})
         right = right.sort_values("cand_key", kind="stable")
-        return _score(left["src_key"].to_numpy(), _matrix(left["vec"], bag_dim),
-                      right["cand_key"].to_numpy(dtype=np.int64), _matrix(right["vec"], bag_dim), k, exclude_self)
+        return _score(left["src_key"].to_numpy(), left["vec"],
+                      right["cand_key"].to_numpy(dtype=np.int64), _matrix(right["vec"], bag_dim), k, exclude_self, bag_dim)
 
     return (sx.groupBy("sb", "cb").cogroup(cx.groupBy("sb", "cb"))
               .applyInPandas(score_block, out_schema))

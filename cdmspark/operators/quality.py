@@ -80,19 +80,16 @@ def profile_source(df: DataFrame, contract: dict[str, str]) -> DataFrame:
         aggs.append(F.count(c).alias(f"_nn{i}"))
         aggs.append(F.count(F.expr(f"try_cast(`{real}` AS {type_name})")).alias(f"_ok{i}"))
         rows.append((column, True, f"_nn{i}", f"_ok{i}"))
-    agg = df.agg(*aggs)
-    parts = []
-    for column, is_present, nn, ok in rows:
-        parts.append(agg.select(
-            F.lit(column).alias("column_name"), F.lit(is_present).alias("present"),
-            F.col("_n").alias("n_rows"),
-            (F.col(nn) if nn else F.lit(None).cast("long")).alias("n_non_null"),
-            (F.col(ok) if ok else F.lit(None).cast("long")).alias("n_castable")))
-    return reduce(DataFrame.unionByName, parts)
+    null = F.lit(None).cast("long")
+    lines = [F.struct(F.lit(column).alias("column_name"), F.lit(is_present).alias("present"), F.col("_n").alias("n_rows"),
+                      (F.col(nn) if nn else null).alias("n_non_null"), (F.col(ok) if ok else null).alias("n_castable"))
+             for column, is_present, nn, ok in rows]
+    return df.agg(*aggs).select(F.inline(F.array(*lines)))
 
 
 def validate_vocabulary(raw: DataFrame, schema: T.StructType, keys: list[str]) -> DataFrame:
-    """A3 re-aimed: rows, failed casts per typed column, null keys, repeated keys."""
+    """A3 re-aimed: rows, failed casts per typed column, null keys, repeated keys.  One pass:
+    counts per key (pre-aggregated map-side), then their sums."""
     aggs = [F.count(F.lit(1)).alias("n_rows")]
     for f in schema.fields:
         if isinstance(f.dataType, T.StringType):
@@ -101,9 +98,6 @@ def validate_vocabulary(raw: DataFrame, schema: T.StructType, keys: list[str]) -
         typed = vocab_date(c) if isinstance(f.dataType, T.DateType) else c.try_cast(f.dataType)
         aggs.append(F.count_if(c.isNotNull() & typed.isNull()).alias(f"bad_{f.name}"))
     aggs.append(F.count_if(reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])).alias("null_keys"))
-    per_key = raw.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c"))
-    repeats = per_key.agg(F.coalesce(F.sum(F.when(F.col("_c") > 1, F.col("_c") - 1)), F.lit(0))
-                          .alias("repeated_keys"))
-    # Two single-row aggregates side by side: a join on a constant key, no cross join.
-    return (raw.agg(*aggs).withColumn("_k", F.lit(1))
-            .join(repeats.withColumn("_k", F.lit(1)), "_k").drop("_k"))
+    per_key = raw.groupBy(*keys).agg(*aggs)
+    sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in per_key.columns if c not in keys]
+    return per_key.agg(*sums, F.coalesce(F.sum(F.col("n_rows") - 1), F.lit(0)).alias("repeated_keys"))

@@ -43,6 +43,30 @@ def confidence_band(mapped: DataFrame, value_col: str, low: float = 0.7, high: f
         F.round(F.max(score_col), 4).alias("similarity_score"), F.count(F.lit(1)).alias("n_records"))
 
 
+def confidence_total(mapped: DataFrame, value_col: str, low: float = 0.7, high: float = 0.9,
+                     score_col: str = "similarity_score") -> DataFrame:
+    """The band as one row: records, distinct (value, concept) pairs, mean score."""
+    band = mapped.where(F.col("concept_id").isNotNull() & (F.col(score_col) >= low) & (F.col(score_col) < high))
+    pairs = band.groupBy(F.col(value_col).alias("v"), "matched_concept_name").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(score_col).alias("s"))
+    return pairs.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_records"), F.count(F.lit(1)).alias("n_pairs"),
+                     F.round(F.sum("s") / F.sum("n"), 4).alias("avg_similarity"))
+
+
+def mapping_sample(mapped: DataFrame, value_col: str, n: int = 10) -> DataFrame:
+    """The first ``n`` distinct (source value, concept) pairs, by value, then concept."""
+    return (mapped.select(F.col(value_col).alias("source_value"), "concept_id").distinct()
+            .orderBy(F.col("source_value").asc_nulls_first(), F.col("concept_id").asc_nulls_first()).limit(n))
+
+
+def load_stats(spark, name: str, eligible: int, existing: int, inserted: int, rejected: int, elapsed_s: float) -> DataFrame:
+    """One row per load, for a load-history table."""
+    row = (name, eligible, existing, inserted, rejected, float(elapsed_s),
+           round(100.0 * (existing + inserted) / eligible, 4) if eligible else None)
+    return spark.createDataFrame([row], "table_name string, eligible bigint, existing bigint, inserted bigint, "
+                                        "rejected bigint, elapsed_s double, completion_pct double")
+
+
 def confidence_samples(mapped: DataFrame, value_col: str, n: int = 10, **kw) -> DataFrame:
     """the first ``n`` band entries in a stated order (score desc, value)."""
     return confidence_band(mapped, value_col, **kw).orderBy(F.col("similarity_score").desc(),

@@ -7,6 +7,8 @@ a query's plan holds the whole chain and Catalyst prunes what the output does no
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,12 +16,14 @@ from .. import schemas as S
 from ..functions import rules
 from ..operators import islands as isl
 from ..operators.dense_id import dense_ids
+from ..session import scratch_path
 from . import jobs
 from .roles import (EXISTING_CONDITION_BEFORE, EXISTING_VISIT_BEFORE, Tables)
 
 OBS_GAP_DAYS = 365          # test tables span 1995-2001; 7300 days would give one period per person
 OBS_FLOOR = "1996-06-30"    # B4 floor for the floor-mode query
 RESUME_AFTER = 5000         # B11 restart key
+CHUNK_HOT = 5               # forced-chunk query: persons with more encounters are cut
 LIMIT_TOTAL = 100           # F1 sample size
 BIRTH_YEAR = 1990           # A5 example
 
@@ -53,16 +57,42 @@ class Pipeline:
             F.to_date("visit_start_datetime") < F.lit(EXISTING_VISIT_BEFORE).cast("date"))
             .select("person_id", "visit_occurrence_id"))
 
-    def conditions(self):
-        return self._m("conditions", lambda: jobs.load_condition(self.t.condition_src(), self.persons()))
-
-    def procedures(self):
-        return self._m("procedures", lambda: jobs.load_procedure(self.t.procedure_src(), self.visits()))
+    def condition_src(self):
+        """Conditions mapped by the semantic path, their status with its own provider."""
+        from ..operators import mapping as M
+        def mapped():
+            src = M.map_columns(self.t.condition_src(), {"condition_source_value": "_cond"}, _concepts(self.t),
+                                threshold=SEM_THRESHOLD)
+            return M.map_columns(src, {"condition_status_source_value": "_status"}, self.t.status_concepts(),
+                                 threshold=SEM_THRESHOLD, provider=status_provider)
+        return self._m("condition_src", mapped)
+
+    def procedure_src(self):
+        from ..operators import mapping as M
+        return self._m("procedure_src", lambda: M.map_columns(
+            self.t.procedure_src(), {"procedure_source_value": "_proc"}, _concepts(self.t), threshold=SEM_THRESHOLD))
+
+    def conditions(self, existing=None):
+        return jobs.load_condition(self.condition_src(), self.persons(), existing=existing,
+                                   condition_concept=F.col("_cond"), status_concept=F.col("_status"))
+
+    def procedures(self, existing=None):
+        return jobs.load_procedure(self.procedure_src(), self.visits(), existing=existing,
+                                   procedure_concept=F.col("_proc"))
 
     def encounters(self, date_floor=None):
         return jobs.eligible_encounters(self.t.encounter_src(), self.persons(), date_floor)
 
 
+STATUS_DIM = 1024
+
+
+def status_provider(text):
+    """The status column's own model: character trigrams over more buckets."""
+    from ..operators.embed import dense_counts, trigram_buckets
+    return F.when(F.length(text) > 0, dense_counts(trigram_buckets(text, STATUS_DIM), STATUS_DIM))
+
+
 def P(spark, sf_dir) -> Pipeline:
     return Pipeline(spark, sf_dir)
 
@@ -93,7 +123,26 @@ def q_preceding_visit(spark, sf_dir):
 
 def q_limit_visit(spark, sf_dir):
     """the first ``total`` visits by id (sample mode) - the limit is the feature."""
-    return P(spark, sf_dir).visits().orderBy("visit_occurrence_id").limit(LIMIT_TOTAL)
+    p = P(spark, sf_dir)
+    return jobs.load_visit(p.t.visit_src(), p.persons(), first=LIMIT_TOTAL)
+
+
+def q_load_visit_rejects(spark, sf_dir):
+    """A10: every row of a dirty visit source that the load leaves out, with the reason."""
+    p = P(spark, sf_dir)
+    return jobs.visit_rejects(p.t.dirty_visit_src(), p.persons())
+
+
+def q_load_visit_dirty(spark, sf_dir):
+    """The other side of ``load_visit_rejects``: what the load takes from that source."""
+    p = P(spark, sf_dir)
+    return jobs.load_visit(p.t.dirty_visit_src(), p.persons())
+
+
+def q_load_person_duplicates(spark, sf_dir):
+    """J2 on a source that registers persons twice: one row each, the earliest birth."""
+    p = P(spark, sf_dir)
+    return jobs.load_person(p.t.twice_person_src(), p.person_ids())
 
 
 def q_load_visit_resume(spark, sf_dir):
@@ -170,6 +219,19 @@ def q_observation_period_floor(spark, sf_dir):
     return jobs.observation_period(p.t.encounter_src(), p.persons(), gap_days=OBS_GAP_DAYS, date_floor=OBS_FLOOR)
 
 
+def q_observation_period_chunked(spark, sf_dir):
+    """E4 + J6 with every person of over ``CHUNK_HOT`` encounters cut into chunks."""
+    p = P(spark, sf_dir)
+    return jobs.observation_period(p.t.encounter_src(), p.persons(), gap_days=OBS_GAP_DAYS, hot_rows=CHUNK_HOT)
+
+
+def q_dense_id_clustered(spark, sf_dir):
+    """E6 on clustered keys with one far out: ids follow the order, ranges stay even."""
+    key = F.expr("CASE WHEN o_orderkey % 1000 = 7 THEN o_orderkey * 1000000 ELSE o_orderkey DIV 100 * 100 END")
+    o = Tables(spark, sf_dir).table("orders").select(key.alias("cluster"), "o_orderkey")
+    return dense_ids(o, ["cluster", "o_orderkey"], id_col="row_id", range_rows=500)
+
+
 def q_observation_period_id(spark, sf_dir):
     """E6 alone: dense ids over (person, start) of the encounters."""
     enc = P(spark, sf_dir).encounters().dropDuplicates(["person_id", "start_date"])
@@ -184,14 +246,15 @@ def q_incremental_visit(spark, sf_dir):
 
 def q_incremental_condition(spark, sf_dir):
     p = P(spark, sf_dir)
-    existing = p.conditions().where(F.col("condition_start_date") < F.lit(EXISTING_CONDITION_BEFORE).cast("date"))
-    return jobs.load_condition(p.t.condition_src(), p.persons(), existing=existing)
+    loaded = jobs.load_condition(p.t.condition_src(), p.persons())
+    existing = loaded.where(F.col("condition_start_date") < F.lit(EXISTING_CONDITION_BEFORE).cast("date"))
+    return p.conditions(existing)
 
 
 def q_incremental_procedure(spark, sf_dir):
     p = P(spark, sf_dir)
-    existing = p.procedures().where(F.col("procedure_date") < F.lit(EXISTING_VISIT_BEFORE).cast("date"))
-    return jobs.load_procedure(p.t.procedure_src(), p.visits(), existing=existing)
+    loaded = jobs.load_procedure(p.t.procedure_src(), p.visits())
+    return p.procedures(loaded.where(F.col("procedure_date") < F.lit(EXISTING_VISIT_BEFORE).cast("date")))
 
 
 # ------------------------------------------------------------------ reports / DQ
@@ -258,6 +321,34 @@ def q_incremental_concept(spark, sf_dir):
     return jobs.load_concept(t.concept_raw(), "ALL", existing=existing)
 
 
+def q_vocabulary_files(spark, sf_dir):
+    """A1 + A12: the vocabulary written as a tab-separated file in another column order, read
+    back by header, loaded, written partitioned by domain, and read from there."""
+    from ..sources.vocabulary import read_by_domain, read_concept, write_by_domain
+    raw = Tables(spark, sf_dir).concept_raw()
+    base = scratch_path(spark, f"vocabulary/{uuid.uuid4().hex}")
+    (raw.select(*reversed(raw.columns)).write.option("sep", "\t").option("header", "true").option("quote", "")
+     .option("nullValue", "").option("emptyValue", "").csv(f"{base}/concept.tsv"))
+    write_by_domain(jobs.load_concept(read_concept(spark, f"{base}/concept.tsv"), "ALL"), f"{base}/concept")
+    return read_by_domain(spark, f"{base}/concept")
+
+
+def q_relationship_files(spark, sf_dir):
+    """A2: the relationships through a file, taken by header, and loaded."""
+    from ..sources.vocabulary import read_concept_relationship
+    t = Tables(spark, sf_dir)
+    raw = t.relationship_raw()
+    path = scratch_path(spark, f"vocabulary/{uuid.uuid4().hex}.tsv")
+    (raw.select(*reversed(raw.columns)).write.option("sep", "\t").option("header", "true").option("quote", "")
+     .option("nullValue", "").option("emptyValue", "").csv(path))
+    return jobs.load_concept_relationship(read_concept_relationship(spark, path), _concepts(t))
+
+
+def q_concept_rejects(spark, sf_dir):
+    """A10: the vocabulary rows that the concept load leaves out."""
+    return jobs.concept_rejects(Tables(spark, sf_dir).concept_raw())
+
+
 def q_validate_vocabulary(spark, sf_dir):
     from ..operators.quality import validate_vocabulary
     return validate_vocabulary(Tables(spark, sf_dir).concept_raw(), S.CONCEPT, ["concept_id"])
@@ -298,6 +389,7 @@ CASCADE_THRESHOLD = 0.6    # second stage of the code cascade
 VEC_THRESHOLD = 0.4        # nearest other vector in the embeddings table
 TOP_K = 5
 FUZZY_CUTOFF = 80
+EDIT_RATIO = 0.8
 
 
 def _proc_rows(t: Tables) -> DataFrame:
@@ -333,19 +425,28 @@ def q_map_fuzzy(spark, sf_dir):
                     "concept_id", "matched_concept_name", "fuzzy_score")
 
 
-def _nn_named(v: DataFrame, k: int) -> DataFrame:
+def q_map_levenshtein(spark, sf_dir):
+    """C15 by edit distance: exact best name at a ratio of 0.8, segments joined, no pairs listed."""
+    from ..operators.fuzzy import levenshtein_match
+    t = Tables(spark, sf_dir)
+    m = levenshtein_match(_proc_rows(t), "procedure_source_value", _concepts(t), threshold=EDIT_RATIO)
+    return m.select("procedure_occurrence_id", F.col("procedure_source_value").alias("source_value"),
+                    "concept_id", "matched_concept_name", "edit_ratio")
+
+
+def _nn_named(v: DataFrame, k: int, **kw) -> DataFrame:
     from ..operators.nearest import nearest
     src = v.select(F.col("vec_id").alias("source_id"), "vec")
     cand = v.select(F.col("vec_id").alias("neighbour_id"), "vec")
-    return nearest(src, cand, "source_id", "neighbour_id", k=k, exclude_self=True)
+    return nearest(src, cand, "source_id", "neighbour_id", k=k, exclude_self=True, **kw)
 
 
-def q_map_semantic(spark, sf_dir):
+def q_map_semantic(spark, sf_dir, **kw):
     """I4 / C16 on the given vectors: each vector's nearest other vector, kept at or
     above the threshold; unmapped otherwise (best score still reported)."""
     t = Tables(spark, sf_dir)
     v = _vectors(t)
-    nn = _nn_named(v, 1)
+    nn = _nn_named(v, 1, **kw)
     labels = v.select(F.col("vec_id").alias("neighbour_id"), F.col("label").alias("matched_label"))
     hit = F.col("score") >= VEC_THRESHOLD
     return (nn.join(labels, "neighbour_id")
@@ -354,9 +455,21 @@ def q_map_semantic(spark, sf_dir):
                       F.round("score", 4).alias("similarity_score")))
 
 
-def q_similar_concepts(spark, sf_dir):
+#: The plan for candidates beyond the broadcast bound, with blocks that the test tables fill.
+BLOCKED = {"strategy": "blocked", "block_rows": 150, "src_block_rows": 400}
+
+
+def q_map_semantic_blocked(spark, sf_dir):
+    return q_map_semantic(spark, sf_dir, **BLOCKED)
+
+
+def q_similar_concepts_blocked(spark, sf_dir):
+    return q_similar_concepts(spark, sf_dir, **BLOCKED)
+
+
+def q_similar_concepts(spark, sf_dir, **kw):
     """Top-k most similar other vectors per vector, ranked."""
-    nn = _nn_named(_vectors(Tables(spark, sf_dir)), TOP_K)
+    nn = _nn_named(_vectors(Tables(spark, sf_dir)), TOP_K, **kw)
     return nn.select(F.col("source_id").alias("vec_id"), F.col("neighbour_id").alias("concept_id"),
                      F.round("score", 4).alias("similarity_score"), "rank")
 
@@ -435,6 +548,14 @@ def q_review_list(spark, sf_dir):
                     F.col("procedure_source_type").alias("source_type"))
 
 
+def q_provider_list(spark, sf_dir):
+    """Rows mapped into one domain (the provider list, on a domain these tables have)."""
+    from ..operators import mapping as M
+    c = M.provider_list(_cascade(Tables(spark, sf_dir)), LOOKUP_DOMAIN)
+    return c.select("procedure_occurrence_id", F.col("procedure_source_code").alias("source_code"), "concept_id",
+                    "matched_concept_name", "mapping_method")
+
+
 def q_mapped_by_domain(spark, sf_dir):
     from ..operators.reports import mapped_by_domain
     return mapped_by_domain(_cascade(Tables(spark, sf_dir)))
@@ -455,6 +576,47 @@ def q_confidence_band(spark, sf_dir):
     return confidence_band(_multi(Tables(spark, sf_dir)), "procedure_source_value")
 
 
+def q_confidence_total(spark, sf_dir):
+    from ..operators.reports import confidence_total
+    return confidence_total(_multi(Tables(spark, sf_dir)), "procedure_source_value")
+
+
+def q_confidence_samples(spark, sf_dir):
+    """the ten best entries of the band - the limit is the feature."""
+    from ..operators.reports import confidence_samples
+    return confidence_samples(_multi(Tables(spark, sf_dir)), "procedure_source_value")
+
+
+def q_mapping_counts(spark, sf_dir):
+    from ..operators.reports import mapping_counts
+    return mapping_counts(_multi(Tables(spark, sf_dir)))
+
+
+def q_mapping_sample(spark, sf_dir):
+    """Ten distinct (source value, concept) pairs - the limit is the feature."""
+    from ..operators.reports import mapping_sample
+    return mapping_sample(_multi(Tables(spark, sf_dir)), "procedure_source_value")
+
+
+def q_load_stats(spark, sf_dir):
+    """The visit target loaded in two appends; eligible, existing, inserted, rejected rows
+    and the share done, as the one-row frame of a load history (without the clock)."""
+    from ..operators.reports import load_stats
+    from .run import load_table
+    p = P(spark, sf_dir)
+    name = f"visit_load_{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
+    old = p.existing_visits()
+    first = load_table(spark, jobs.load_visit(p.t.visit_src().join(old, "visit_occurrence_id", "left_semi"), p.persons()),
+                       name, "visit_occurrence", path=path)
+    new = jobs.load_visit(p.t.visit_src(), p.persons(), existing=spark.read.schema(S.VISIT_OCCURRENCE).parquet(path))
+    second = load_table(spark, new, name, "visit_occurrence")
+    lost = jobs.visit_rejects(p.t.visit_src(), p.persons()).agg(F.coalesce(F.sum("n_rows"), F.lit(0))).first()[0]
+    eligible = jobs.eligible_visits(p.t.visit_src(), p.persons()).count()
+    return load_stats(spark, "visit_occurrence", eligible, first["inserted"], second["inserted"], lost,
+                      first["elapsed_s"] + second["elapsed_s"]).drop("elapsed_s")
+
+
 def q_top_unmapped(spark, sf_dir):
     from ..operators.reports import top_unmapped
     return top_unmapped(_multi(Tables(spark, sf_dir)), "procedure_source_value")
@@ -489,6 +651,7 @@ def q_map_custom(spark, sf_dir):
                     F.coalesce("custom_concept_id", "concept_id").alias("concept_id"), method.alias("mapping_method"))
 
 
+ROUTE_VOCABULARIES = ["ICD10CM", "CPT4", "NUCC", "Other", "ICD10PCS", "RxNorm", "NDC"]
 VISIT_MAP_COLUMNS = {"visit_source_value": "_visit_cid", "admitted_from": "_admit_cid",
                      "discharged_to": "_discharge_cid"}
 
@@ -505,19 +668,22 @@ def q_load_visit_mapped(spark, sf_dir):
 
 
 def q_mappability(spark, sf_dir):
-    """Concepts per mapping route (fixed 3-route reference table x concept counts)."""
+    """Concepts per mapping route (fixed 3-route reference table x concept counts), on
+    concepts dealt to the routes' vocabularies and one other."""
     from ..operators import mapping as M
-    return M.mappability(_concepts(Tables(spark, sf_dir)))
+    names = F.array(*[F.lit(v) for v in ROUTE_VOCABULARIES])
+    dealt = F.element_at(names, (F.col("concept_id") % len(ROUTE_VOCABULARIES) + 1).cast("int"))
+    return M.mappability(_concepts(Tables(spark, sf_dir)).withColumn("vocabulary_id", dealt))
 
 
 # ------------------------------------------------------------------ config, profiles, rejects, stream
-RAW_PERSON_COLUMNS = {"person_id": "personid", "gender": "gender_column_name", "race": "race_column_name",
-                      "ethnicity": "Ethnicgroup_column_name", "birth_datetime": "BirthDatetime"}
 CONTRACT_TYPES = {"int": "BIGINT", "string": "STRING", "datetime": "TIMESTAMP"}
 
 
 def _raw_person(t: Tables, drop: str | None = None) -> DataFrame:
-    cols = [F.col(k).alias(v) for k, v in RAW_PERSON_COLUMNS.items() if v != drop]
+    from ..config import PERSON_CONFIG, table_config
+    names = table_config(PERSON_CONFIG, "person")["source_columns"]
+    cols = [F.col(k).alias(v) for k, v in names.items() if v != drop]
     return t.person_src().select(*cols)
 
 
@@ -538,7 +704,7 @@ def q_validate_source(spark, sf_dir):
     cm = table_config(PERSON_CONFIG, "person")["column_mappings"]
     contract = {c: CONTRACT_TYPES[cm[c]["data type"]]
                 for c in required_columns(PERSON_CONFIG, "person") + optional_columns(PERSON_CONFIG, "person")}
-    return profile_source(_raw_person(Tables(spark, sf_dir), drop="Ethnicgroup_column_name"), contract)
+    return profile_source(_raw_person(Tables(spark, sf_dir), drop="ethn_txt"), contract)
 
 
 def q_split_rejects(spark, sf_dir):
@@ -564,6 +730,9 @@ QUERIES = {
     "load_visit": q_load_visit,
     "preceding_visit": q_preceding_visit,
     "limit_visit": q_limit_visit,
+    "load_visit_rejects": q_load_visit_rejects,
+    "load_visit_dirty": q_load_visit_dirty,
+    "load_person_duplicates": q_load_person_duplicates,
     "load_visit_resume": q_load_visit_resume,
     "load_condition": q_load_condition,
     "load_procedure": q_load_procedure,
@@ -579,6 +748,8 @@ QUERIES = {
     "observation_period": q_observation_period,
     "observation_period_floor": q_observation_period_floor,
     "observation_period_id": q_observation_period_id,
+    "observation_period_chunked": q_observation_period_chunked,
+    "dense_id_clustered": q_dense_id_clustered,
     "incremental_visit": q_incremental_visit,
     "incremental_condition": q_incremental_condition,
     "incremental_procedure": q_incremental_procedure,
@@ -591,6 +762,9 @@ QUERIES = {
     "load_concept": q_load_concept,
     "concept_lookup": q_concept_lookup,
     "incremental_concept": q_incremental_concept,
+    "vocabulary_files": q_vocabulary_files,
+    "relationship_files": q_relationship_files,
+    "concept_rejects": q_concept_rejects,
     "validate_vocabulary": q_validate_vocabulary,
     "load_concept_relationship": q_load_concept_relationship,
     "relationship_domain": q_relationship_domain,
@@ -599,7 +773,10 @@ QUERIES = {
     "map_exact": q_map_exact,
     "map_code": q_map_code,
     "map_fuzzy": q_map_fuzzy,
+    "map_levenshtein": q_map_levenshtein,
     "map_semantic": q_map_semantic,
+    "map_semantic_blocked": q_map_semantic_blocked,
+    "similar_concepts_blocked": q_similar_concepts_blocked,
     "similar_concepts": q_similar_concepts,
     "cosine": q_cosine,
     "preprocess_text": q_preprocess_text,
@@ -609,10 +786,16 @@ QUERIES = {
     "map_cascade": q_map_cascade,
     "cross_domain": q_cross_domain,
     "review_list": q_review_list,
+    "provider_list": q_provider_list,
     "mapped_by_domain": q_mapped_by_domain,
     "mapping_report": q_mapping_report,
     "strategy_breakdown": q_strategy_breakdown,
     "confidence_band": q_confidence_band,
+    "confidence_total": q_confidence_total,
+    "confidence_samples": q_confidence_samples,
+    "mapping_counts": q_mapping_counts,
+    "mapping_sample": q_mapping_sample,
+    "load_stats": q_load_stats,
     "top_unmapped": q_top_unmapped,
     "mapping_summary": q_mapping_summary,
     "map_fallback": q_map_fallback,

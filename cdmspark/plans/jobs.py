@@ -1,8 +1,9 @@
 """Table jobs J1-J6: source frames (already bound to CDM field names) -> target rows.
 
-Every job is one lazy DataFrame program; nothing is collected.  Joins against the
-target tables are ``left_semi`` (existence) or ``left_anti`` (not yet loaded), so the
-target side contributes keys only and Catalyst prunes its other columns.
+A job checks each row against its contract, keeps one row per key (least start, then the
+other columns), and joins the target tables ``left_semi`` (existence) or ``left_anti`` (not
+yet loaded), so the target side contributes keys only.  What a job does not load comes back
+from the matching ``*_rejects`` function.
 """
 
 from __future__ import annotations
@@ -12,10 +13,11 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions import rules
-from ..functions.dates import as_timestamp, birth_parts
+from ..functions.dates import birth_parts
+from ..operators.contract import checked, good, one_per_key, rejects
 from ..operators.dense_id import dense_ids
 from ..operators.incremental import new_rows, with_preceding
-from ..operators.islands import islands
+from ..operators.islands import HOT_ROWS, islands
 
 
 def _null(t: str) -> Column:
@@ -35,17 +37,23 @@ def _floor(c: Column, date_floor: str | None) -> Column:
 
 # --------------------------------------------------------------------- J1 person_ids
 def load_person_ids(src: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    ids = src.select(F.col("person_id").cast("long").alias("person_id")).where(F.col("person_id").isNotNull())
+    ids = good(checked(src.select("person_id"), "person_id", {"person_id": "bigint"}, ["person_id"]))
     return new_rows(ids.distinct(), existing, ["person_id"])
 
 
 # --------------------------------------------------------------------- J2 person
+def check_person(src: DataFrame) -> DataFrame:
+    return checked(src, "person_id", {"person_id": "bigint", "birth_datetime": "timestamp"},
+                   ["person_id", "birth_datetime"])
+
+
+def person_rejects(src: DataFrame, person_ids: DataFrame) -> DataFrame:
+    return rejects(check_person(src), "person_id", person_ids)
+
+
 def load_person(src: DataFrame, person_ids: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    birth = as_timestamp(src, "birth_datetime")
-    x = (src.withColumn("birth_datetime", birth)
-            .where(F.col("person_id").isNotNull() & F.col("birth_datetime").isNotNull())
-            .join(person_ids.select("person_id"), "person_id", "left_semi"))
-    x = new_rows(x, existing, ["person_id"])
+    x = good(check_person(src)).join(person_ids.select("person_id"), "person_id", "left_semi")
+    x = one_per_key(new_rows(x, existing, ["person_id"]), ["person_id"], [F.col("birth_datetime")])
     out = x.select(
         F.col("person_id").cast("long").alias("person_id"),
         rules.map_gender("gender").alias("gender_concept_id"),
@@ -64,24 +72,34 @@ def load_person(src: DataFrame, person_ids: DataFrame, existing: DataFrame | Non
 
 
 # --------------------------------------------------------------------- J3 visit
+def check_visit(src: DataFrame) -> DataFrame:
+    return checked(src, "visit_occurrence_id", {"visit_occurrence_id": "bigint", "person_id": "bigint",
+                                                "visit_start_datetime": "timestamp", "visit_end_datetime": "timestamp"},
+                   ["visit_occurrence_id", "visit_start_datetime", "visit_end_datetime"])
+
+
+def visit_rejects(src: DataFrame, persons: DataFrame) -> DataFrame:
+    return rejects(check_visit(src), "visit_occurrence_id", persons)
+
+
 def eligible_visits(src: DataFrame, persons: DataFrame, start_after: int | None = None) -> DataFrame:
-    """B2 + C2 (+ B11): visits with id, start and end, of a loaded person."""
-    x = (src.withColumn("visit_start_datetime", as_timestamp(src, "visit_start_datetime"))
-            .withColumn("visit_end_datetime", as_timestamp(src, "visit_end_datetime"))
-            .where(F.col("visit_occurrence_id").isNotNull()
-                   & F.col("visit_start_datetime").isNotNull()
-                   & F.col("visit_end_datetime").isNotNull()))
+    """B2 + C2 (+ B11): visits with id, start and end, of a loaded person, one per id."""
+    x = good(check_visit(src))
     if start_after is not None:
         x = x.where(F.col("visit_occurrence_id") > F.lit(start_after))
-    return x.join(persons.select("person_id"), "person_id", "left_semi")
+    x = x.join(persons.select("person_id"), "person_id", "left_semi")
+    return one_per_key(x, ["visit_occurrence_id"], [F.col("visit_start_datetime"), F.col("visit_end_datetime")])
 
 
 def load_visit(src: DataFrame, persons: DataFrame, existing: DataFrame | None = None,
                seed: bool = True, order_by: str | None = None, start_after: int | None = None,
-               concept_ids: dict[str, Column] | None = None) -> DataFrame:
+               concept_ids: dict[str, Column] | None = None, first: int | None = None) -> DataFrame:
     """J3.  ``concept_ids`` may supply mapped columns (visit/admitted/discharged);
-    otherwise the rule maps H4-H6 are used."""
+    otherwise the rule maps H4-H6 are used.  ``first`` (F1) loads the visits with the least
+    ids only; a visit's predecessor has a smaller id, so the limit may come before the window."""
     x = new_rows(eligible_visits(src, persons, start_after), existing, ["visit_occurrence_id"])
+    if first is not None:
+        x = x.orderBy("visit_occurrence_id").limit(first)
     cm = concept_ids or {}
     x = with_preceding(x, order_by=order_by, existing=existing if seed else None)
     out = x.select(
@@ -106,17 +124,31 @@ def load_visit(src: DataFrame, persons: DataFrame, existing: DataFrame | None =
 
 
 # --------------------------------------------------------------------- J4 condition
+def _before_floor(tagged: DataFrame, col: str, date_floor: str | None) -> DataFrame:
+    """Good rows on or before the floor become rejects too."""
+    late = F.coalesce("reject_reason", F.when(~_floor(F.col(col), date_floor), F.lit(f"{col} before floor")))
+    return tagged.withColumn("reject_reason", late)
+
+
+def check_condition(src: DataFrame, date_floor: str | None = S.DATE_FLOOR) -> DataFrame:
+    kinds = {"condition_occurrence_id": "bigint", "person_id": "bigint", "visit_occurrence_id": "bigint",
+             "provider_id": "bigint", "condition_start_date": "timestamp", "condition_end_date": "timestamp"}
+    tagged = checked(src, "condition_occurrence_id", kinds, ["condition_occurrence_id", "person_id",
+                                                             "visit_occurrence_id", "condition_start_date"])
+    return _before_floor(tagged, "condition_start_date", date_floor)
+
+
+def condition_rejects(src: DataFrame, persons: DataFrame, date_floor: str | None = S.DATE_FLOOR) -> DataFrame:
+    return rejects(check_condition(src, date_floor), "condition_occurrence_id", persons)
+
+
 def load_condition(src: DataFrame, persons: DataFrame, existing: DataFrame | None = None,
                    date_floor: str | None = S.DATE_FLOOR, condition_concept: Column | None = None,
                    status_concept: Column | None = None) -> DataFrame:
-    start = as_timestamp(src, "condition_start_date")
-    end = as_timestamp(src, "condition_end_date")
-    x = (src.withColumn("_start", start).withColumn("_end", end)
-            .where(F.col("condition_occurrence_id").isNotNull() & F.col("_start").isNotNull()
-                   & _floor(F.col("_start"), date_floor)
-                   & F.col("person_id").isNotNull() & F.col("visit_occurrence_id").isNotNull())
-            .join(persons.select("person_id"), "person_id", "left_semi"))
-    x = new_rows(x, existing, ["condition_occurrence_id"])
+    x = good(check_condition(src, date_floor)).join(persons.select("person_id"), "person_id", "left_semi")
+    x = x.withColumnsRenamed({"condition_start_date": "_start", "condition_end_date": "_end"})
+    x = one_per_key(new_rows(x, existing, ["condition_occurrence_id"]), ["condition_occurrence_id"],
+                    [F.col("_start"), F.col("_end")])
     out = x.select(
         "condition_occurrence_id", "person_id",
         F.coalesce(condition_concept if condition_concept is not None else F.lit(None), F.lit(0))
@@ -135,17 +167,23 @@ def load_condition(src: DataFrame, persons: DataFrame, existing: DataFrame | Non
 
 
 # --------------------------------------------------------------------- J5 procedure
+def check_procedure(src: DataFrame, date_floor: str | None = S.DATE_FLOOR) -> DataFrame:
+    kinds = {"procedure_occurrence_id": "bigint", "visit_occurrence_id": "bigint", "procedure_date": "timestamp"}
+    return _before_floor(checked(src, "procedure_occurrence_id", kinds, list(kinds)), "procedure_date", date_floor)
+
+
+def procedure_rejects(src: DataFrame, visits: DataFrame, date_floor: str | None = S.DATE_FLOOR) -> DataFrame:
+    return rejects(check_procedure(src, date_floor), "procedure_occurrence_id", visits, "visit_occurrence_id",
+                   "unknown visit")
+
+
 def load_procedure(src: DataFrame, visits: DataFrame, existing: DataFrame | None = None,
                    date_floor: str | None = S.DATE_FLOOR, procedure_concept: Column | None = None) -> DataFrame:
     """C4: the person comes from the loaded visit, not from the procedure source."""
-    d = as_timestamp(src, "procedure_date")
     v = visits.select("visit_occurrence_id", "person_id")
-    x = (src.withColumn("_date", d)
-            .where(F.col("procedure_occurrence_id").isNotNull() & F.col("_date").isNotNull()
-                   & _floor(F.col("_date"), date_floor) & F.col("visit_occurrence_id").isNotNull())
-            .join(v, "visit_occurrence_id", "inner")
-            .where(F.col("person_id").isNotNull()))
-    x = new_rows(x, existing, ["procedure_occurrence_id"])
+    x = good(check_procedure(src, date_floor)).drop("person_id").join(v, "visit_occurrence_id", "inner")
+    x = x.where(F.col("person_id").isNotNull()).withColumnRenamed("procedure_date", "_date")
+    x = one_per_key(new_rows(x, existing, ["procedure_occurrence_id"]), ["procedure_occurrence_id"], [F.col("_date")])
     out = x.select(
         "procedure_occurrence_id", "person_id",
         F.coalesce(procedure_concept if procedure_concept is not None else F.lit(None), F.lit(0))
@@ -164,12 +202,11 @@ def load_procedure(src: DataFrame, visits: DataFrame, existing: DataFrame | None
 # --------------------------------------------------------------------- J6 observation period
 def eligible_encounters(src: DataFrame, persons: DataFrame, date_floor: str | None = None) -> DataFrame:
     """B2 + B4 + C5: encounters with person, start, end (start and end after the floor)."""
-    start = F.to_date(as_timestamp(src, "observation_period_start_date"))
-    end = F.to_date(as_timestamp(src, "observation_period_end_date"))
-    x = (src.select(F.col("person_id").cast("long").alias("person_id"),
-                    start.alias("start_date"), end.alias("end_date"))
-            .where(F.col("person_id").isNotNull() & F.col("start_date").isNotNull()
-                   & F.col("end_date").isNotNull()))
+    kinds = {"person_id": "bigint", "observation_period_start_date": "timestamp",
+             "observation_period_end_date": "timestamp"}
+    x = good(checked(src, "person_id", kinds, list(kinds))).select(
+        "person_id", F.to_date("observation_period_start_date").alias("start_date"),
+        F.to_date("observation_period_end_date").alias("end_date"))
     if date_floor is not None:
         fl = F.lit(date_floor).cast("date")
         x = x.where((F.col("start_date") > fl) & (F.col("end_date") > fl))
@@ -177,9 +214,10 @@ def eligible_encounters(src: DataFrame, persons: DataFrame, date_floor: str | No
 
 
 def observation_period(src: DataFrame, persons: DataFrame, gap_days: int = S.ISLAND_GAP_DAYS,
-                       date_floor: str | None = None, overlap_aware: bool = False) -> DataFrame:
+                       date_floor: str | None = None, overlap_aware: bool = False,
+                       hot_rows: int | None = HOT_ROWS) -> DataFrame:
     periods = islands(eligible_encounters(src, persons, date_floor), gap_days=gap_days,
-                      overlap_aware=overlap_aware)
+                      overlap_aware=overlap_aware, hot_rows=hot_rows)
     numbered = dense_ids(periods, ["person_id", "observation_period_start_date"],
                          id_col="observation_period_id")
     out = numbered.select("observation_period_id", "person_id", "observation_period_start_date",
@@ -196,14 +234,16 @@ def load_concept(raw: DataFrame, domain: str | None = "ALL", existing: DataFrame
     from ..sources.vocabulary import domain_filter, typed
     x = domain_filter(typed(raw, S.CONCEPT), domain)
     x = good_rows(split_rejects(x, S.CONCEPT, S.MAX_LENGTHS["concept"]))
-    x = _one_per_key(x, ["concept_id"], [F.col("valid_start_date").desc(), F.col("concept_name")])
+    x = one_per_key(x, ["concept_id"], [-F.unix_date("valid_start_date"), F.col("concept_name")])
     return conform(new_rows(x, existing, ["concept_id"]), S.CONCEPT)
 
 
-def _one_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    from pyspark.sql import Window
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+def concept_rejects(raw: DataFrame, domain: str | None = "ALL") -> DataFrame:
+    """Vocabulary rows of ``domain`` that ``load_concept`` does not load."""
+    from ..sources.sinks import split_rejects
+    from ..sources.vocabulary import domain_filter, typed
+    tagged = split_rejects(domain_filter(typed(raw, S.CONCEPT), domain), S.CONCEPT, S.MAX_LENGTHS["concept"])
+    return rejects(tagged.withColumn("source_key", F.col("concept_id").cast("string")), "concept_id")
 
 
 # --------------------------------------------------------------------- J8 concept_relationship
@@ -229,7 +269,7 @@ def load_concept_relationship(raw: DataFrame, loaded_concepts: DataFrame, domain
     if domain is not None and domain.upper() != "ALL" and domain_concepts is not None:
         x = both_ends_in(x, domain_concepts)
     x = both_ends_in(x, loaded_concepts)
-    x = _one_per_key(x, REL_KEY, [F.col("valid_start_date").desc()])
+    x = one_per_key(x, REL_KEY, [-F.unix_date("valid_start_date")])
     return conform(new_rows(x, existing, REL_KEY), S.CONCEPT_RELATIONSHIP)
 
 

@@ -335,22 +335,22 @@ def duck_preprocess(expr: str) -> str:
     return f"coalesce(trim({x}), '')"
 
 
-def _grams(table: str, key: str, text: str, name: str) -> str:
+def _grams(table: str, key: str, text: str, name: str, dim: int = 512) -> str:
     s = f"(' ' || {text} || ' ')"
     return f"""
 {name}_g AS (SELECT k, (unicode(substr(s, i, 1)) * 1369 + unicode(substr(s, i + 1, 1)) * 37
-      + unicode(substr(s, i + 2, 1))) % 512 AS b
+      + unicode(substr(s, i + 2, 1))) % {dim} AS b
   FROM (SELECT {key} AS k, {s} AS s, unnest(range(1, length({s}) - 1)) AS i FROM {table} WHERE {text} <> '')),
 {name}_v AS (SELECT k, b, count(*) AS w FROM {name}_g GROUP BY ALL),
 {name}_n AS (SELECT k, sqrt(sum(w * w)) AS n FROM {name}_v GROUP BY k)"""
 
 
-def text_nn(src_table: str, cand_table: str, name: str) -> str:
+def text_nn(src_table: str, cand_table: str, name: str, dim: int = 512) -> str:
     """Best candidate per source text: ``{name}_best(sk, ck, score)``.  Tables:
     src_table(ptext), cand_table(ptext, concept_id).  A text sharing no trigram with any
     candidate scores 0 against all, so its best is the lowest candidate id at 0.0."""
-    return (_grams(src_table, "ptext", "ptext", f"{name}_s") + ","
-            + _grams(cand_table, "concept_id", "ptext", f"{name}_c") + f""",
+    return (_grams(src_table, "ptext", "ptext", f"{name}_s", dim) + ","
+            + _grams(cand_table, "concept_id", "ptext", f"{name}_c", dim) + f""",
 {name}_dot AS (SELECT s.k AS sk, c.k AS ck, sum(s.w * c.w) AS d FROM {name}_s_v s JOIN {name}_c_v c ON s.b = c.b
   GROUP BY ALL),
 {name}_sc AS (SELECT d.sk, d.ck, CAST(d.d AS DOUBLE) / (sn.n * cn.n) AS score FROM {name}_dot d
@@ -507,8 +507,8 @@ def _reject_case() -> str:
     return "CASE " + " ".join(whens) + " END"
 
 
-_PROFILE_COLS = [("personid", "person_id", "BIGINT"), ("BirthDatetime", "birth_datetime", "TIMESTAMP"),
-                 ("gender_column_name", "gender", "VARCHAR"), ("race_column_name", "race", "VARCHAR")]
+_PROFILE_COLS = [("reg_no", "person_id", "BIGINT"), ("born_at", "birth_datetime", "TIMESTAMP"),
+                 ("sex_txt", "gender", "VARCHAR"), ("race_txt", "race", "VARCHAR")]
 
 SQL.update({
     "bind_source": W("", "SELECT * FROM person_src"),
@@ -517,7 +517,7 @@ SQL.update({
     "validate_source": W("", " UNION ALL ".join(
         [f"SELECT '{n}' AS column_name, TRUE AS present, count(*) AS n_rows, count({c}) AS n_non_null, "
          f"count(TRY_CAST({c} AS {t})) AS n_castable FROM person_src" for n, c, t in _PROFILE_COLS]
-        + ["SELECT 'Ethnicgroup_column_name' AS column_name, FALSE AS present, count(*) AS n_rows, "
+        + ["SELECT 'ethn_txt' AS column_name, FALSE AS present, count(*) AS n_rows, "
            "CAST(NULL AS BIGINT) AS n_non_null, CAST(NULL AS BIGINT) AS n_castable FROM person_src"])),
     "split_rejects": W(_concepts_sql(), f"SELECT concept_id, concept_name, {_reject_case()} AS reject_reason "
                                         f"FROM concepts_typed"),
@@ -531,9 +531,11 @@ def _routes_sql() -> str:
     return "routes(category, vocabulary_id) AS (VALUES " + ", ".join(rows) + ")"
 
 
-SQL["mappability"] = W(_concepts_sql() + ",\n" + _routes_sql(), """SELECT r.category, r.vocabulary_id,
+_DEALT = (f"dealt AS (SELECT list_extract([{', '.join(_q(v) for v in C.ROUTE_VOCABULARIES)}], "
+          f"concept_id % {len(C.ROUTE_VOCABULARIES)} + 1) AS vocabulary_id FROM concepts)")
+SQL["mappability"] = W(_concepts_sql() + ",\n" + _DEALT + ",\n" + _routes_sql(), """SELECT r.category, r.vocabulary_id,
   CAST(coalesce(c.n, 0) AS BIGINT) AS n_concepts FROM routes r
-LEFT JOIN (SELECT vocabulary_id, count(*) AS n FROM concepts GROUP BY 1) c ON c.vocabulary_id = r.vocabulary_id""")
+LEFT JOIN (SELECT vocabulary_id, count(*) AS n FROM dealt GROUP BY 1) c ON c.vocabulary_id = r.vocabulary_id""")
 
 
 _VM = VISITS.replace("visits AS (", "visits_rules AS (", 1) + ",\n" + _concepts_sql() + "," + _cands() + f""",
@@ -554,3 +556,120 @@ FROM visits_rules r
 LEFT JOIN vm_map a ON a.v = r.visit_source_value
 LEFT JOIN vm_map b ON b.v = nullif(r.admitted_from_source_value, '')
 LEFT JOIN vm_map c ON c.v = nullif(r.discharged_to_source_value, '')""")
+
+
+# --------------------------------------------------------------------------- mapped condition / procedure loads
+def _value_map(name: str, column: str, src: str, cands: str, threshold: float, dim: int = 512) -> str:
+    """``{name}(v, cid)``: concept of each distinct value of ``column``, NULL under the threshold."""
+    return f"""
+{name}_t0 AS (SELECT v, {duck_preprocess('v')} AS ptext FROM (SELECT DISTINCT {column} AS v FROM {src})
+  WHERE v IS NOT NULL),
+{name}_tx AS (SELECT DISTINCT ptext FROM {name}_t0 WHERE ptext <> '')""" + "," + text_nn(
+        f"{name}_tx", cands, f"{name}_n", dim) + f""",
+{name} AS (SELECT t.v, CASE WHEN b.score >= {threshold} THEN b.ck END AS cid
+  FROM {name}_t0 t LEFT JOIN {name}_n_best b ON b.sk = t.ptext)"""
+
+
+def _status_cands() -> str:
+    from .roles import STATUS_CONCEPTS
+    rows = ", ".join(f"({i}, {_q(n)})" for i, n in STATUS_CONCEPTS)
+    return (f"status_concepts(concept_id, concept_name) AS (VALUES {rows}),\n"
+            f"status_cands AS (SELECT {duck_preprocess('concept_name')} AS ptext, min(concept_id) AS concept_id "
+            "FROM status_concepts GROUP BY 1)")
+
+
+_COND_MAPPED = (CONDITIONS + "," + _concepts_sql() + "," + _cands() + ",\n" + _status_cands() + ","
+                + _value_map("cond_map", "condition_source_value", "condition_src", "cands", C.SEM_THRESHOLD) + ","
+                + _value_map("status_map", "condition_status_source_value", "condition_src", "status_cands",
+                             C.SEM_THRESHOLD, C.STATUS_DIM) + """,
+cond_out AS (SELECT c.* REPLACE (CAST(coalesce(m.cid, 0) AS BIGINT) AS condition_concept_id,
+    CAST(coalesce(s.cid, 0) AS INTEGER) AS condition_status_concept_id)
+  FROM conditions c LEFT JOIN cond_map m ON m.v = c.condition_source_value
+  LEFT JOIN status_map s ON s.v = c.condition_status_source_value)""")
+
+_PROC_MAPPED = (PROCEDURES + "," + _concepts_sql() + "," + _cands() + ","
+                + _value_map("proc_map", "procedure_source_value", "procedure_src", "cands", C.SEM_THRESHOLD) + """,
+proc_out AS (SELECT p.* REPLACE (CAST(coalesce(m.cid, 0) AS BIGINT) AS procedure_concept_id)
+  FROM procedures p LEFT JOIN proc_map m ON m.v = p.procedure_source_value)""")
+
+# --------------------------------------------------------------------------- dirty sources, repeats, rejects
+_DIRTY = PERSONS + """,
+dirty0 AS (SELECT *, TRY_CAST(visit_occurrence_id AS BIGINT) AS id, TRY_CAST(visit_start_datetime AS TIMESTAMP) AS s,
+    TRY_CAST(visit_end_datetime AS TIMESTAMP) AS e FROM dirty_visit_src),
+dirty AS (SELECT *, CASE WHEN visit_occurrence_id IS NOT NULL AND id IS NULL THEN 'visit_occurrence_id bad value'
+    WHEN visit_start_datetime IS NOT NULL AND s IS NULL THEN 'visit_start_datetime bad value'
+    WHEN visit_end_datetime IS NOT NULL AND e IS NULL THEN 'visit_end_datetime bad value'
+    WHEN id IS NULL THEN 'visit_occurrence_id is null' WHEN s IS NULL THEN 'visit_start_datetime is null'
+    WHEN e IS NULL THEN 'visit_end_datetime is null' END AS reason FROM dirty0),
+dirty_ok AS (SELECT * FROM dirty WHERE reason IS NULL AND person_id IN (SELECT person_id FROM persons))"""
+
+_DIRTY_VISITS = _DIRTY + f""",
+dv AS (SELECT * EXCLUDE (visit_occurrence_id, visit_start_datetime, visit_end_datetime, reason, rn),
+    id AS visit_occurrence_id, s AS visit_start_datetime, e AS visit_end_datetime FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY s, e) AS rn FROM dirty_ok) WHERE rn = 1)"""
+
+_TWICE = PERSONS.replace("FROM person_src", "FROM (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY "
+                         "person_id ORDER BY birth_datetime) AS rn FROM twice_person_src WHERE birth_datetime IS NOT NULL) "
+                         "WHERE rn = 1)")
+
+SQL.update({
+    "load_condition": W(_COND_MAPPED, "SELECT * FROM cond_out"),
+    "incremental_condition": W(_COND_MAPPED, "SELECT * FROM cond_out WHERE condition_occurrence_id NOT IN "
+                               "(SELECT condition_occurrence_id FROM conditions "
+                               f"WHERE condition_start_date < DATE '{EXISTING_CONDITION_BEFORE}')"),
+    "load_procedure": W(_PROC_MAPPED, "SELECT * FROM proc_out"),
+    "incremental_procedure": W(_PROC_MAPPED, "SELECT * FROM proc_out WHERE procedure_occurrence_id NOT IN "
+                               "(SELECT procedure_occurrence_id FROM procedures "
+                               f"WHERE procedure_date < DATE '{EXISTING_VISIT_BEFORE}')"),
+    "load_visit_rejects": W(_DIRTY, """SELECT visit_occurrence_id AS source_key, reason AS reject_reason,
+  CAST(1 AS BIGINT) AS n_rows FROM dirty WHERE reason IS NOT NULL
+UNION ALL SELECT visit_occurrence_id, 'unknown person', 1 FROM dirty WHERE reason IS NULL
+  AND (person_id IS NULL OR person_id NOT IN (SELECT person_id FROM persons))
+UNION ALL SELECT CAST(id AS VARCHAR), 'repeated key', count(*) - 1 FROM dirty_ok GROUP BY id HAVING count(*) > 1"""),
+    "load_visit_dirty": W(_DIRTY_VISITS, f"""SELECT
+  {_visit_cols('LAG(visit_occurrence_id) OVER (PARTITION BY person_id ORDER BY visit_occurrence_id)')} FROM dv"""),
+    "load_person_duplicates": W(_TWICE, "SELECT * FROM persons"),
+    "observation_period_chunked": SQL["observation_period"],
+    "dense_id_clustered": """WITH o AS (SELECT CASE WHEN o_orderkey % 1000 = 7 THEN o_orderkey * 1000000
+    ELSE o_orderkey // 100 * 100 END AS cluster, o_orderkey FROM orders)
+SELECT cluster, o_orderkey, CAST(row_number() OVER (ORDER BY cluster, o_orderkey) AS BIGINT) AS row_id FROM o""",
+    "vocabulary_files": SQL["load_concept"],
+    "relationship_files": SQL["load_concept_relationship"],
+    "concept_rejects": W(_concepts_sql(), f"""SELECT CAST(concept_id AS VARCHAR) AS source_key, {_reject_case()} AS reject_reason,
+  CAST(1 AS BIGINT) AS n_rows FROM concepts_typed WHERE {_reject_case()} IS NOT NULL
+UNION ALL SELECT CAST(concept_id AS VARCHAR), 'repeated key', count(*) - 1 FROM concepts_good GROUP BY concept_id
+HAVING count(*) > 1"""),
+    "map_levenshtein": W(_concepts_sql() + f""",
+lev_names AS (SELECT upper(trim(concept_name)) AS name, max(concept_id) AS id, arg_max(concept_name, concept_id) AS label
+  FROM concepts GROUP BY 1),
+lev_values AS (SELECT DISTINCT upper(trim(procedure_source_value)) AS value FROM procedure_src
+  WHERE procedure_source_value IS NOT NULL),
+lev_scored AS (SELECT value, name, 1 - levenshtein(value, name) / greatest(length(value), length(name)) AS ratio
+  FROM lev_values JOIN lev_names ON abs(length(value) - length(name)) <= 0.2 * greatest(length(value), length(name)) + 1e-9),
+lev_best AS (SELECT value, name, ratio FROM (SELECT *, row_number() OVER (PARTITION BY value ORDER BY ratio DESC, name) AS rn
+  FROM lev_scored WHERE ratio >= {C.EDIT_RATIO} - 1e-12) WHERE rn = 1)""",
+                         """SELECT p.procedure_occurrence_id, p.procedure_source_value AS source_value, n.id AS concept_id,
+  n.label AS matched_concept_name, round(b.ratio, 6) AS edit_ratio
+FROM procedure_src p LEFT JOIN lev_best b ON b.value = upper(trim(p.procedure_source_value))
+LEFT JOIN lev_names n ON n.name = b.name"""),
+    "map_semantic_blocked": SQL["map_semantic"],
+    "similar_concepts_blocked": SQL["similar_concepts"],
+    "provider_list": W(CASCADE, "SELECT procedure_occurrence_id, source_code, concept_id, matched_concept_name, "
+                                f"mapping_method FROM cascade_out WHERE upper(matched_domain) = '{C.LOOKUP_DOMAIN.upper()}'"),
+    "confidence_total": W(MULTI, """SELECT CAST(count(*) AS BIGINT) AS n_records,
+  count(DISTINCT (source_value, matched_concept_name)) AS n_pairs, round(avg(similarity_score), 4) AS avg_similarity
+FROM multi_out WHERE concept_id IS NOT NULL AND similarity_score >= 0.7 AND similarity_score < 0.9"""),
+    "confidence_samples": W(MULTI, """SELECT source_value, matched_concept_name, round(max(similarity_score), 4)
+  AS similarity_score, count(*) AS n_records FROM multi_out
+WHERE concept_id IS NOT NULL AND similarity_score >= 0.7 AND similarity_score < 0.9 GROUP BY ALL
+ORDER BY similarity_score DESC, source_value LIMIT 10"""),
+    "mapping_counts": W(MULTI, """SELECT count(*) FILTER (WHERE concept_id IS NOT NULL AND concept_id <> 0) AS mapped,
+  count(*) FILTER (WHERE concept_id IS NULL OR concept_id = 0) AS unmapped, count(concept_id) AS non_null FROM multi_out"""),
+    "mapping_sample": W(MULTI, """SELECT DISTINCT source_value, concept_id FROM multi_out
+ORDER BY source_value ASC NULLS FIRST, concept_id ASC NULLS FIRST LIMIT 10"""),
+    "load_stats": W(VISITS + ",\n" + VISIT_EXISTING, """SELECT 'visit_occurrence' AS table_name,
+  (SELECT count(*) FROM vis_elig) AS eligible, (SELECT count(*) FROM ex) AS existing,
+  (SELECT count(*) FROM vis_elig) - (SELECT count(*) FROM ex) AS inserted,
+  (SELECT count(*) FROM visit_src) - (SELECT count(*) FROM vis_elig) AS rejected,
+  CAST(100.0 AS DOUBLE) AS completion_pct"""),
+})

@@ -102,7 +102,11 @@ def visit_source(d: Dialect) -> list[str]:
     ]
 
 
+CONDITION_PART = "1 + event_id % 150"     # the part whose name an event's condition text varies
+
+
 def condition_source(d: Dialect) -> list[str]:
+    """Over events with the name of their part."""
     return [
         "event_id AS condition_occurrence_id",
         "user_id AS person_id",
@@ -110,12 +114,38 @@ def condition_source(d: Dialect) -> list[str]:
         f"CASE WHEN event_id % 10 = 0 THEN NULL ELSE {d.add_hours('ts', 'event_id % 72')} END AS condition_end_date",
         "CAST(event_id % 20 AS BIGINT) AS provider_id",
         "CASE WHEN event_id % 19 = 0 THEN NULL ELSE event_id END AS visit_occurrence_id",
-        "event_type AS condition_source_value",
+        "CASE event_id % 5 WHEN 0 THEN event_type WHEN 1 THEN upper(p_name) WHEN 2 THEN p_name || 's' "
+        "WHEN 3 THEN replace(p_name, ' ', '-') ELSE p_name END AS condition_source_value",
         "CASE event_id % 4 WHEN 0 THEN 'Primary diagnosis' WHEN 1 THEN 'Secondary dx' "
         "WHEN 2 THEN 'Admitting' ELSE NULL END AS condition_status_source_value",
     ]
 
 
+# A second, dirty form of two sources: text where the contract has ids and times, bad values, repeats.
+def dirty_visit_source(d: Dialect) -> list[str]:
+    """Over visit sources (the columns of ``visit_source``)."""
+    text = d.string
+    return [
+        f"CASE WHEN visit_occurrence_id % 29 = 0 THEN 'x' ELSE '' END || CAST(visit_occurrence_id AS {text}) "
+        "AS visit_occurrence_id",
+        "person_id",
+        f"CASE WHEN visit_occurrence_id % 31 = 0 THEN 'not a date' ELSE CAST(CAST(visit_start_datetime AS DATE) AS {text}) "
+        "END AS visit_start_datetime",
+        f"CAST(CAST(visit_end_datetime AS DATE) AS {text}) AS visit_end_datetime",
+        "visit_source_value", "care_site_id", "admitted_from", "discharged_to",
+    ]
+
+
+REPEATED_VISITS = "visit_occurrence_id % 37 = 0"
+REPEATED_PERSONS = "person_id % 9 = 0"
+
+
+def repeated_person(d: Dialect) -> list[str]:
+    """A second registration of a person, one day earlier."""
+    return ["person_id", "'Female' AS gender", "race", "ethnicity",
+            f"{d.add_days('birth_datetime', '-1')} AS birth_datetime"]
+
+
 def encounter_source(d: Dialect) -> list[str]:
     return [
         "o_custkey AS person_id",
@@ -179,7 +209,9 @@ def relationship_raw_sql(d: Dialect) -> str:
 # Cut-offs for "already loaded" snapshots in the incremental queries.
 EXISTING_VISIT_BEFORE = "1998-01-01"
 EXISTING_CONDITION_BEFORE = "2024-01-15"
-EXISTING_CONCEPT_MAX_SIZE = 25
+
+# Standard concepts of condition statuses.
+STATUS_CONCEPTS = [(32890, "Admission diagnosis"), (32902, "Primary diagnosis"), (32908, "Secondary diagnosis")]
 
 
 # ----------------------------------------------------------------- SQL (oracle)
@@ -190,7 +222,12 @@ def duck_ctes() -> str:
         f"person_src AS (SELECT {', '.join(person_source(d))} FROM customer)",
         "person_ids_src AS (SELECT o_custkey AS person_id FROM orders)",
         f"visit_src AS (SELECT {', '.join(visit_source(d))} FROM orders)",
-        f"condition_src AS (SELECT {', '.join(condition_source(d))} FROM events)",
+        f"condition_src AS (SELECT {', '.join(condition_source(d))} FROM events LEFT JOIN part "
+        f"ON p_partkey = {CONDITION_PART})",
+        f"dirty_visit_src AS (SELECT {', '.join(dirty_visit_source(d))} FROM visit_src UNION ALL "
+        f"SELECT {', '.join(dirty_visit_source(d))} FROM visit_src WHERE {REPEATED_VISITS})",
+        f"twice_person_src AS (SELECT person_id, gender, race, ethnicity, birth_datetime FROM person_src UNION ALL "
+        f"SELECT {', '.join(repeated_person(d))} FROM person_src WHERE {REPEATED_PERSONS})",
         f"encounter_src AS (SELECT {', '.join(encounter_source(d))} FROM orders)",
         f"proc_lines AS ({procedure_lines_sql()})",
         f"procedure_src AS (SELECT {', '.join(procedure_source(d))} FROM proc_lines JOIN part ON p_partkey = partkey)",
@@ -220,7 +257,23 @@ class Tables:
         return self.table("orders").selectExpr(*visit_source(SPARK))
 
     def condition_src(self) -> DataFrame:
-        return self.table("events").selectExpr(*condition_source(SPARK))
+        from pyspark.sql import functions as F
+        part = self.table("part").select("p_partkey", "p_name")
+        return (self.table("events").join(part, F.expr(f"p_partkey = {CONDITION_PART}"), "left")
+                .selectExpr(*condition_source(SPARK)))
+
+    def dirty_visit_src(self) -> DataFrame:
+        v = self.visit_src()
+        return v.selectExpr(*dirty_visit_source(SPARK)).unionByName(
+            v.where(REPEATED_VISITS).selectExpr(*dirty_visit_source(SPARK)))
+
+    def twice_person_src(self) -> DataFrame:
+        p = self.person_src().select("person_id", "gender", "race", "ethnicity", "birth_datetime")
+        return p.unionByName(p.where(REPEATED_PERSONS).selectExpr(*repeated_person(SPARK)))
+
+    def status_concepts(self) -> DataFrame:
+        return self.spark.createDataFrame(STATUS_CONCEPTS, "concept_id bigint, concept_name string").selectExpr(
+            "*", "'Status' AS domain_id")
 
     def encounter_src(self) -> DataFrame:
         return self.table("orders").selectExpr(*encounter_source(SPARK))

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -12,12 +15,22 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
                 app_name: str = "cdmspark") -> SparkSession:
     """Build (or reuse) a session with AQE, UTC and Arrow turned on and the UI off.
 
-    On a cluster ``master`` stays None so spark-submit decides; tests pass ``local[*]``.
+    On a cluster ``master`` stays None and spark-submit decides, also over memory and the
+    number of shuffle partitions; only a local master gets values for one machine here.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    cpus = os.cpu_count() or 8
+        if master.startswith("local"):
+            # Python workers import this package from where it lies, whatever the folder
+            home = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+            path = os.environ.get("PYTHONPATH", "")
+            if home not in path.split(os.pathsep):
+                os.environ["PYTHONPATH"] = home + (os.pathsep + path if path else "")
+            builder = builder.config("spark.driver.memory", "16g")
+            shuffle_partitions = shuffle_partitions or os.cpu_count() or 8
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     builder = (
         builder
         .config("spark.ui.enabled", "false")
@@ -27,8 +40,6 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
-        .config("spark.driver.memory", "16g")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -39,12 +50,17 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names it; only when it is unset (local tests) do we make our own.
+    A cluster must name it: with any but a one-machine master, an unset folder is an error,
+    since a folder of this machine would be out of the executors' reach. A local session gets
+    a temporary one, removed when the process ends.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         current = tempfile.mkdtemp(prefix="cdmspark-ckpt-")
+        atexit.register(shutil.rmtree, current, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", current)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
@@ -57,6 +73,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists, asked of the file system it names; any error but absence is raised."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+
+
 def persist_reliably(df):
     """Materialise ``df`` once in the shared checkpoint folder and cut its lineage
     (a lost executor re-reads the files instead of recomputing the plan)."""

@@ -17,13 +17,29 @@ from ..functions.dates import vocab_date
 
 
 def read_vocab_file(spark: SparkSession, path: str, raw_schema: T.StructType) -> DataFrame:
-    """A1 / A2: tab-separated text with a header; every column read as text."""
-    return (spark.read.schema(raw_schema)
-            .option("sep", "\t").option("header", "true")
-            .option("quote", "").option("escape", "")
-            .option("nullValue", "").option("emptyValue", "")
-            .option("mode", "PERMISSIVE")
-            .csv(path))
+    """A1 / A2: tab-separated text with a header; every column read as text and taken by its
+    header name (any case), whatever the file's column order; a missing column is an error."""
+    raw = (spark.read.option("sep", "\t").option("header", "true").option("inferSchema", "false")
+           .option("quote", "").option("escape", "")
+           .option("nullValue", "").option("emptyValue", "")
+           .option("mode", "PERMISSIVE")
+           .csv(path))
+    by_name = {c.strip().lower(): c for c in raw.columns}
+    missing = [n for n in raw_schema.names if n.lower() not in by_name]
+    if missing:
+        raise ValueError(f"{path}: no column {', '.join(missing)} in the header")
+    return raw.select(*[F.col(f"`{by_name[n.lower()]}`").cast("string").alias(n) for n in raw_schema.names])
+
+
+def write_by_domain(concepts: DataFrame, path: str) -> None:
+    """The concept table partitioned by domain, so a domain's load reads its folder only."""
+    concepts.hint("rebalance", "domain_id").write.mode("errorifexists").partitionBy("domain_id").parquet(path)
+
+
+def read_by_domain(spark: SparkSession, path: str, domain: str | None = "ALL") -> DataFrame:
+    """The partitioned concept table, or one domain of it, with the contract's columns."""
+    df = spark.read.schema(S.CONCEPT).parquet(path)
+    return domain_filter(df, domain).select(*S.CONCEPT.names)
 
 
 def read_concept(spark: SparkSession, path: str) -> DataFrame:

@@ -6,7 +6,7 @@ appends.  Properties:
 
 * exactly-once per key: a batch re-run after a failure finds its own rows already in
   the target and skips them, so replays do not duplicate;
-* repeats inside one batch are dropped on the key before the job;
+* the job itself keeps one row per key of a batch, in a stated order;
 * the preceding-visit window is seeded from the target, so a person's first visit in
   a batch points at their last visit from earlier batches;
 * ``Trigger.AvailableNow`` drains what is there and stops (batch-style scheduling
@@ -18,12 +18,14 @@ The checkpoint and the target live under the shared ``spark.checkpoint.dir``.
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..plans import jobs
-from ..session import scratch_path
+from ..session import path_exists, scratch_path
 
 
 def write_snapshot(df: DataFrame, path: str) -> DataFrame:
@@ -33,10 +35,10 @@ def write_snapshot(df: DataFrame, path: str) -> DataFrame:
 
 
 def ensure_target(spark: SparkSession, path: str) -> None:
-    try:
-        spark.read.schema(S.VISIT_OCCURRENCE).parquet(path).limit(1).collect()
-    except Exception:  # noqa: BLE001 - absent path: create an empty target with the contract
-        spark.createDataFrame([], S.VISIT_OCCURRENCE).write.mode("overwrite").parquet(path)
+    """Create an empty target with the contract, only where the path is proven absent.  What
+    is there is never written over: a read that fails later fails the batch, not the data."""
+    if not path_exists(spark, path):
+        spark.createDataFrame([], S.VISIT_OCCURRENCE).write.mode("errorifexists").parquet(path)
 
 
 def stream_visits(spark: SparkSession, source_stream: DataFrame, persons: DataFrame, target_path: str,
@@ -45,7 +47,6 @@ def stream_visits(spark: SparkSession, source_stream: DataFrame, persons: DataFr
     ensure_target(spark, target_path)
 
     def process(batch: DataFrame, epoch_id: int) -> None:
-        batch = batch.dropDuplicates(["visit_occurrence_id"])
         existing = spark.read.schema(S.VISIT_OCCURRENCE).parquet(target_path) \
             .select("person_id", "visit_occurrence_id")
         new = jobs.load_visit(batch, persons, existing=existing)
@@ -61,13 +62,19 @@ def stream_visits(spark: SparkSession, source_stream: DataFrame, persons: DataFr
     return q
 
 
-def stream_visit_query(spark: SparkSession, sf_dir: str, visit_exprs: list[str], persons: DataFrame) -> DataFrame:
-    """Stream the orders file as visit source; return the loaded target."""
+def stream_visit_query(spark: SparkSession, sf_dir: str, visit_exprs: list[str], persons: DataFrame,
+                       batches: int = 3) -> DataFrame:
+    """Stream the orders as visit source, delivered in ``batches`` files of rising ids (one
+    micro-batch each); return the loaded target."""
     run = uuid.uuid4().hex
     base = scratch_path(spark, f"stream_visit/{run}")
-    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/orders.parquet").schema
-    src = (spark.readStream.schema(schema).option("pathGlobFilter", "orders.parquet")
-           .option("maxFilesPerTrigger", 1).parquet(sf_dir)
+    orders = spark.read.parquet(f"{sf_dir.rstrip('/')}/orders.parquet")
+    cuts = orders.agg(F.percentile_approx("o_orderkey", [i / batches for i in range(1, batches)]).alias("c")).first()["c"]
+    part = reduce(lambda n, c: n + F.when(F.col("o_orderkey") > c, 1).otherwise(0), cuts or [], F.lit(0))
+    for i in range(batches):
+        # written one after the other: the file source takes files oldest first
+        orders.where(part == i).coalesce(1).write.mode("append").parquet(f"{base}/delivered")
+    src = (spark.readStream.schema(orders.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/delivered")
            .selectExpr(*visit_exprs))
     persons_snap = write_snapshot(persons.select("person_id"), f"{base}/persons")
     stream_visits(spark, src, persons_snap, f"{base}/visit_occurrence", f"{base}/checkpoint")

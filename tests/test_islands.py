@@ -55,7 +55,7 @@ def test_dense_ids_equal_global_row_number(spark):
     from pyspark.sql import Window
     df = spark.range(0, 5000).select((F.col("id") * 7919 % 1013).alias("person_id"),
                                      (F.col("id") % 97).alias("k")).dropDuplicates()
-    got = dense_ids(df, ["person_id", "k"], "rid", n_buckets=16)
+    got = dense_ids(df, ["person_id", "k"], "rid", range_rows=16)
     ref = df.withColumn("ref", F.row_number().over(Window.orderBy("person_id", "k")))
     bad = got.join(ref, ["person_id", "k"]).where(F.col("rid") != F.col("ref")).count()
     assert bad == 0 and got.count() == df.count()
