@@ -66,7 +66,8 @@ def _rules(p: str) -> dict[str, Column]:
     }
 
 
-RULES = tuple(_rules(_F))
+RULES = ("symbols", "symbol_density", "bare_words", "repeats", "lines_again", "distinct", "word_length", "capitals",
+         "bangs", "digits", "line_ends")
 
 
 def _repeat_words(words: str, n: str, packed: str) -> Column:
@@ -119,7 +120,7 @@ MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words
 def _pattern(p: str) -> Column:
     """Votes as one number, rule j in place j of base 3."""
     out = F.lit(0).cast("long")
-    for j, vote in enumerate(_rules(p).values()):
+    for j, vote in enumerate(_rules(p)[r] for r in RULES):
         out = out + (vote + 1) * F.lit(3**j).cast("long")
     return out
 
@@ -148,7 +149,7 @@ def fit(counts: dict[int, int], rounds: int = ROUNDS) -> tuple[float, list[list[
 
 def _posterior(p: str, model: tuple[float, list[list[float]]]) -> Column:
     z = F.lit(model[0])
-    for vote, w in zip(_rules(p).values(), model[1], strict=True):
+    for vote, w in zip((_rules(p)[r] for r in RULES), model[1], strict=True):
         z = z + F.element_at(F.array(*[F.lit(x) for x in w]), vote + 2)
     return 1 / (1 + F.exp(-z))
 
