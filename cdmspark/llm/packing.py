@@ -147,22 +147,23 @@ def _pack(path: str):
         ids_used = {"sequence": base, "group": base}
 
         def deal(size: int, last: bool = False) -> None:
-            """Gives the waiting windows of a size to step groups, costliest first, back and forth."""
+            """Gives waiting windows of a size to full step groups, costliest first, back and
+            forth; at the end what is left is one group more."""
             wait, per = made[size], max(1, STEP_TOKENS // size)
-            if not wait or (len(wait) < per * DEAL and not last):
-                return
-            made[size] = []
-            groups = -(-len(wait) // per)
-            wait.sort(key=lambda w: -sum(len(p[3]) ** 2 for p in w))
-            for i, pieces in enumerate(wait):
-                turn, j = divmod(i, groups)
-                group, offset = ids_used["group"] + (groups - 1 - j if turn % 2 else j), 0
-                for doc, total, start, ids in pieces:
-                    rows.append((doc, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes()), total,
-                                 ids_used["sequence"], offset, size, group))
-                    offset += len(ids)
-                ids_used["sequence"] += 1
-            ids_used["group"] += groups
+            while len(wait) >= per * DEAL or last and wait:
+                groups = min(DEAL, len(wait) // per) or 1
+                turn, made[size] = wait[:groups * per], wait[groups * per:]
+                turn.sort(key=lambda w: -sum(len(p[3]) ** 2 for p in w))
+                for i, pieces in enumerate(turn):
+                    lap, j = divmod(i, groups)
+                    group, offset = ids_used["group"] + (groups - 1 - j if lap % 2 else j), 0
+                    for doc, total, start, ids in pieces:
+                        rows.append((doc, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes()), total,
+                                     ids_used["sequence"], offset, size, group))
+                        offset += len(ids)
+                    ids_used["sequence"] += 1
+                ids_used["group"] += groups
+                wait = made[size]
 
         def close(size: int) -> None:
             made.setdefault(size, []).append(pool.window(size))
