@@ -42,9 +42,9 @@ def test_equals_brute_force(spark, corpus):
     rows = planted(corpus)
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
     want = brute(rows)
-    assert sum(v[1] > 0 for v in want.values()) > 15
+    assert sum(v[1] > 0 for v in want.values()) > 10
     for batches in (1, 4, 7):
-        got = {r.doc_id: (r.n_lines, r.n_dropped, r.kept_text)
+        got = {r.doc_id: (r.n_lines, r.n_dropped, r.kept_text or "")
                for r in L.line_dedup(df, batches=batches, with_text=True).collect()}
         assert got == want
     plain = L.line_dedup(df).collect()
