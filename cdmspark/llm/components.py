@@ -2,7 +2,8 @@
 
 Every round is a pre-aggregated minimum per node and a join back, so a hub with a third of
 all edges is summed map-side and its join partitions are split at run time. Each round is
-written to the shared checkpoint folder, which cuts the lineage.
+written to the shared checkpoint folder, in fewer files than a shuffle has partitions, which
+cuts the lineage and keeps plans small.
 """
 
 from __future__ import annotations
@@ -29,9 +30,11 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return least.select("a", F.col("m").alias("b")).union(moved).filter("a <> b").distinct()
 
 
-def _mark(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0)))
-                 .first())
+def _all_stars(edges: DataFrame) -> bool:
+    """Whether every node has one edge, to a node that has none: then the work is done."""
+    out = edges.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
+    bad = out.filter("n > 1").select("a").union(edges.select(F.col("b").alias("a")).join(out, "a", "left_semi"))
+    return bad.isEmpty()
 
 
 def connected_components(edges: DataFrame, name: str) -> DataFrame:
@@ -41,13 +44,11 @@ def connected_components(edges: DataFrame, name: str) -> DataFrame:
     edges = materialise(
         edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
         f"{name}-edges")
-    before = _mark(edges)
+    files = max(1, int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 8)
     for _ in range(MAX_ROUNDS):
-        edges = materialise(_small_star(_large_star(edges)), f"{name}-round")
-        after = _mark(edges)
-        if after == before:
+        if _all_stars(edges):
             break
-        before = after
+        edges = materialise(_small_star(_large_star(edges)).coalesce(files), f"{name}-round")
     else:
         raise RuntimeError("components did not settle")
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("comp")).distinct()

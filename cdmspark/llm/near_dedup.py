@@ -256,12 +256,12 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85, block_nodes:
     keyed = nodes.select("node", F.explode(_keys(F.col("sig"))).alias("key"))
     shared = (keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
               .withColumn("blocks", F.ceil(F.col("n") / block_nodes)).drop("n"))
-    hits = materialise(keyed.join(shared, "key"), "neardup-hits")
-    buckets = _spread(hits.join(nodes.select("node", "sig"), "node"), "blocks", "node").drop("blocks")
+    hits = keyed.join(shared, "key").join(nodes.select("node", "sig"), "node")
+    buckets = _spread(hits, "blocks", "node").drop("blocks")
     near = (buckets.repartition("key", "bi", "bj").sortWithinPartitions("key", "bi", "bj")
             .mapInPandas(_bucket_edges, _EDGE))
     groups = connected_components(near, "neardup-near")
-    members = materialise(groups.join(nodes.select("node", "rep", "n_shingles"), "node"), "neardup-members")
+    members = groups.join(nodes.select("node", "rep", "n_shingles"), "node")
     sizes = members.groupBy("comp").agg(F.greatest(
         F.ceil(F.count(F.lit(1)) / block_nodes), F.ceil(F.sum("n_shingles") / block_shingles)).alias("blocks"))
     wanted = members.join(sizes, "comp").select("comp", "node", "rep", "blocks")
