@@ -164,13 +164,15 @@ def _train(vocab, weights, rate: float):
 
 
 def _mean(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One row with the mean weights by tokens; runs in tasks and, for the last few, on the driver."""
+    part = TaskContext.get().partitionId() if TaskContext.get() else 0
     tokens, loss, total = 0, 0.0, None
     for pdf in batches:
         for n, x, w in zip(pdf["tokens"], pdf["loss"], pdf["weights"], strict=True):
             v = np.frombuffer(w, np.float32).astype(np.float64) * n
             total, tokens, loss = v if total is None else total + v, tokens + n, loss + x
     if total is not None:
-        yield pd.DataFrame({"part": [TaskContext.get().partitionId()], "tokens": [tokens], "loss": [loss],
+        yield pd.DataFrame({"part": [part], "tokens": [tokens], "loss": [loss],
                             "weights": [(total / tokens).astype(np.float32).tobytes()]})
 
 
@@ -190,8 +192,7 @@ def train(training: DataFrame, vocab: Vocabulary) -> dict:
             got = materialise(got.repartition(-(-n // FAN_IN), "part").mapInPandas(_mean, _WEIGHTS), "lm-weights")
         parts = sorted(got.collect(), key=lambda r: r["part"])  # AT_DRIVER vectors of fixed size at most
         if parts:
-            weights = next(_mean(iter([pd.DataFrame([r.asDict() for r in parts])])), None)["weights"][0] \
-                if len(parts) > 1 else bytes(parts[0]["weights"])
+            weights = next(_mean(iter([pd.DataFrame([r.asDict() for r in parts])])))["weights"][0]
     return gru.from_vector(np.frombuffer(weights, np.float32))
 
 
