@@ -40,14 +40,12 @@ def crc_remainder(doc_id: Column, modulus: int) -> Column:
 
 def words_of(text: Column) -> Column:
     """Array of the words of a text, JVM side; null and blank texts give an empty array."""
-    plain = F.translate(F.coalesce(text, F.lit("")), WS, " " * len(WS))
+    plain = F.coalesce(text, F.lit(""))
+    for c in WS[1:]:  # byte searches; translate() makes an object of every character
+        plain = F.replace(plain, F.lit(c), F.lit(" "))
     return F.array_remove(F.split(plain, " "), "")
 
 
-def ascii_lower(text: Column) -> Column:
-    return F.translate(text, UPPER, LOWER)
-
-
 def byte_words(text: str | None) -> list[bytes]:
     """Lower-cased (A-Z only) words as UTF-8. ``bytes`` methods know ASCII only, so
     ``lower`` and ``split`` keep exactly to the contract's case and white space."""

@@ -15,7 +15,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdmspark.llm.common import UPPER, WS, materialise, or_null, read_table, words_of
+from cdmspark.llm.common import WS, materialise, or_null, read_table, words_of
 
 SYMBOLS = "#*$%&|<>"
 #: Characters that end a sentence or a list item.
@@ -91,24 +91,25 @@ def with_features(docs: DataFrame, p: str) -> DataFrame:
     size = lambda x: F.length(x).cast("long")
     out = docs.withColumn(text, F.coalesce(or_null(docs, "text", "string"), F.lit("")))
     out = out.withColumn(p + "words", words_of(c(text))).withColumn(
-        p + "lines", F.filter(F.split(text, "\n"), lambda x: F.length(F.translate(x, WS, "")) > 0))
+        p + "lines", F.filter(F.split(text, "\n"), lambda x: F.octet_length(F.btrim(x, F.lit(WS))) > 0))
     out = out.withColumn(p + "n_words", F.size(p + "words").cast("long"))
     m = f"(`{p}n_words` - 2)"
     out = out.withColumn(p + "packed", F.expr(
         f"CASE WHEN `{p}n_words` < 4 THEN array(0L) ELSE sort_array(transform(sequence(0L, {m} - 1), i -> coalesce("
         f"pmod(xxhash64(`{p}words`[int(i)], `{p}words`[int(i) + 1], `{p}words`[int(i) + 2]), "
         f"4611686018427387904 div {m}) * {m} + i, 0L))) END"))
-    return (out.withColumn(p + "word_chars", size(F.translate(text, WS, "")))
-            .withColumn(p + "n_symbols", size(c(text)) - size(F.translate(text, SYMBOLS, "")))
+    count = lambda chars: F.regexp_count(c(text), F.lit(f"[{chars}]")).cast("long")
+    return (out.withColumn(p + "word_chars", size(F.array_join(p + "words", "")))
+            .withColumn(p + "n_symbols", count(SYMBOLS))
             .withColumn(p + "n_dup_lines", (F.size(p + "lines") - F.size(F.array_distinct(p + "lines"))).cast("long"))
             .withColumn(p + "n_repeat_words", _repeat_words(p + "words", p + "n_words", p + "packed"))
             .withColumn(p + "n_lines", F.size(p + "lines").cast("long"))
-            .withColumn(p + "n_capitals", size(c(text)) - size(F.translate(text, UPPER, "")))
+            .withColumn(p + "n_capitals", count("A-Z"))
             .withColumn(p + "n_bangs", size(c(text)) - size(F.replace(c(text), F.lit("!"), F.lit(""))))
-            .withColumn(p + "n_digits", size(c(text)) - size(F.translate(text, "0123456789", "")))
+            .withColumn(p + "n_digits", count("0-9"))
             .withColumn(p + "n_bare", F.size(F.filter(p + "words", lambda w: ~w.rlike(r"[\p{L}\p{N}]"))).cast("long"))
             .withColumn(p + "n_ended", F.size(F.filter(p + "lines", lambda x: F.instr(
-                F.lit(ENDS), F.substring(F.rtrim(F.translate(x, WS, " " * len(WS))), -1, 1)) > 0)).cast("long"))
+                F.lit(ENDS), F.substring(F.rtrim(x, F.lit(WS)), -1, 1)) > 0)).cast("long"))
             .withColumn(p + "n_distinct", F.size(F.array_distinct(p + "words")).cast("long"))
             .drop(p + "packed", p + "words", p + "lines", text))
 
