@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cdmspark.llm.common import ascii_lower, materialise, or_null, read_table, words_of
+from cdmspark.llm.common import materialise, or_null, read_table, words_of
 
 #: The band of document frequencies, as shares of the documents, and its floors for few documents.
 LOW, HIGH, LOW_COUNT, HIGH_COUNT = 0.001, 0.02, 2, 10
@@ -36,7 +36,7 @@ def lexicon(texts: DataFrame) -> Column:
     """Scalar subquery: the terms in the band, as array<array<long>> by hash cell."""
     spark = texts.sparkSession
     total = texts.count()
-    terms = texts.select(F.explode(F.array_distinct(words_of(ascii_lower(F.col("text"))))).alias("word"))
+    terms = texts.select(F.explode(F.array_distinct(words_of(F.lower("text")))).alias("word"))
     band = (terms.groupBy(F.xxhash64("word").alias("term")).agg(F.count(F.lit(1)).alias("df"))
             .filter(F.col("df").between(max(LOW_COUNT, LOW * total), max(HIGH_COUNT, HIGH * total))))
     cells = band.groupBy(_cell("term").alias("id")).agg(F.collect_list("term").alias("terms"))
@@ -53,7 +53,7 @@ def fingerprint(df: DataFrame, text: str, out: str, cells: Column) -> DataFrame:
     """``df`` with column ``out``: 64 groups of 4 characters, or, where no term is in the
     lexicon, a mark and a digest of the whole text. Equal texts have equal fingerprints."""
     table, terms, t = out + "_cells", out + "_terms", F.col(text)
-    hashed = F.transform(words_of(ascii_lower(t)), lambda w: F.xxhash64(w))
+    hashed = F.transform(words_of(F.lower(t)), lambda w: F.xxhash64(w))
     df = df.withColumn(table, cells)
     known = f"filter({terms}, t -> array_contains({table}[int(shiftrightunsigned(t, {TABLE_FROM}) & " \
             f"{(1 << TABLE_BITS) - 1}L)], t))"
