@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdmspark.llm.common import LOWER, UPPER, WS, or_null, read_table
+from cdmspark.llm.common import or_null, read_table
 
 WIDTH, BANDS, CONTAINMENT = 5, 64, 0.8
 
@@ -61,13 +61,8 @@ TEMPLATES = {
     "unlicense": "This is free and unencumbered software released into the public domain.",
 }
 
-_PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
-
-
 def plain_words(text: Column) -> Column:
-    gaps = WS + _PUNCTUATION
-    flat = F.translate(F.coalesce(text, F.lit("")), UPPER + gaps, LOWER + " " * len(gaps))
-    return F.array_remove(F.split(flat, " "), "")
+    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[\s\p{Punct}]+"), "")
 
 
 def shingles(words: str, width: int) -> Column:

@@ -6,7 +6,7 @@ from cdmspark.llm import license_scan as S
 
 
 def words(text):
-    return re.findall(r"[^\s!-/:-@\[-`{-~]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""), re.A)
+    return re.findall(r"[^\s!-/:-@\[-`{-~]+", (text or "").lower(), re.A)
 
 
 def sets(ws, width):
