@@ -101,7 +101,8 @@ def _range_of(bounds: list[int]) -> Column:
     below = lambda v: F.size(F.filter(v, lambda x: x < F.col("id")))
     coarse = below(longs([f[-1] for f in fine]))
     inner = F.get(F.array(*[longs(f) for f in fine]), coarse)
-    return (coarse * step + F.coalesce(below(inner), F.lit(0))).cast("int")
+    # over the last bound there is no inner list, and the last list may be shorter than the step
+    return F.least(coarse * step + F.when(inner.isNull(), 0).otherwise(below(inner)), F.lit(len(bounds))).cast("int")
 
 
 def next_rows(df: DataFrame, columns: list[str], range_rows: int = RANGE_ROWS) -> DataFrame:
