@@ -27,7 +27,8 @@ def quantile_bounds(df: DataFrame, col: str, range_rows: int = RANGE_ROWS) -> li
 
 
 def range_of(col: str, bounds: list) -> Column:
-    """Number of bounds below ``col``, found in two steps of about the bounds' square root."""
+    """A number that rises with the bounds below ``col``, found in two steps of about the bounds'
+    square root."""
     if not bounds:
         return F.lit(0)
     step = max(1, int(len(bounds) ** 0.5))
@@ -35,7 +36,7 @@ def range_of(col: str, bounds: list) -> Column:
     below = lambda v: F.size(F.filter(v, lambda x: x < F.col(col)))
     coarse = below(F.array(*[F.lit(f[-1]) for f in fine]))
     inner = F.get(F.array(*[F.array(*[F.lit(x) for x in f]) for f in fine]), coarse)
-    return (coarse * step + F.coalesce(below(inner), F.lit(0))).cast("int")
+    return (coarse * step + F.when(inner.isNull(), 0).otherwise(below(inner))).cast("int")
 
 
 def dense_ids(df: DataFrame, order_cols: list[str], id_col: str = "row_id",
