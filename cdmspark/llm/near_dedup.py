@@ -2,10 +2,10 @@
 
 A signature has 48 symbols of 16 bits (the mixed low bits of 48 MinHashes over the text's
 distinct word shingles). Two texts of Jaccard similarity s disagree in about 48 * (1 - s)
-symbols. The join finds *every* pair with at most 19 disagreements: the signature is split
-into 10 chunks, so by pigeonhole such a pair has a chunk with at most one wrong symbol, and
+symbols. The join finds *every* pair with at most 23 disagreements: the signature is split
+into 12 chunks, so by pigeonhole such a pair has a chunk with at most one wrong symbol, and
 each chunk is indexed once per symbol left out (48 keys in all), which enumerates that
-error. For s = 0.85 more than 19 disagreements have a probability near 1e-5.
+error. More than 23 disagreements have a probability of 1e-8 at s = 0.85 and 3e-6 at s = 0.8.
 
 Plan, all over classes of equal shingle sets, so exact copies are one node:
 
@@ -34,8 +34,8 @@ from pyspark.sql import types as T
 from cdmspark.llm.common import byte_words, materialise, or_null, read_table, struct_of
 from cdmspark.llm.components import connected_components
 
-SYMBOLS, CHUNKS = 48, 10
-#: Signature distance within which every pair is found: 10 chunks with 2 errors each need 20.
+SYMBOLS, CHUNKS = 48, 12
+#: Signature distance within which every pair is found: 12 chunks with 2 errors each need 24.
 MAX_DISTANCE = 2 * CHUNKS - 1
 #: Nodes, and shingles, of a bucket or group that one task holds (twice this for two blocks).
 BLOCK_NODES, BLOCK_SHINGLES = 1024, 2_000_000
