@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 
-HIDDEN, HEADS, WIDTH, TAILS = 12, 16, 48, 48
+HIDDEN, HEADS, WIDTH, TAILS = 8, 12, 64, 36
 CLASSES, FREQUENT = HEADS + TAILS, HEADS * WIDTH
 INPUTS = FREQUENT + TAILS
 LANES, WINDOW = 512, 16

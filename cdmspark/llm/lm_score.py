@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,8 +31,9 @@ from cdmspark.llm.common import byte_words, crc_remainder, materialise, or_null,
 
 #: Words, and bytes of a word, of the broadcast table at most.
 KNOWN, KNOWN_BYTES = 1 << 17, 64
-#: Distinct words that a task counts before it sends them on; tokens that it holds to train on or score.
-COUNTED, BLOCK = 300_000, 500_000
+#: Distinct words that a task counts before it sends them on; tokens that it holds to train on or
+#: score (a block takes as many steps as its longest document, so it should be large).
+COUNTED, BLOCK = 300_000, 4_000_000
 #: Rounds of training: which eighths of the documents, and Adagrad's rate.
 ROUNDS = (((0, 2), 0.1), ((2, 8), 0.1))
 #: Weight vectors that one task adds up, and that reach the driver at most.
@@ -46,6 +47,11 @@ def tail_of(word: bytes) -> int:
     return zlib.crc32(word[-2:]) % gru.TAILS
 
 
+def _tail(word: Column) -> Column:
+    """``tail_of`` for a binary column."""
+    return (F.crc32(F.substring(word, -2, 2)) % gru.TAILS).cast("int")
+
+
 def _tokens(text: str | None) -> list[bytes]:
     words = byte_words(text)
     words.append(END)
@@ -56,10 +62,9 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     seen: Counter = Counter()
 
     def out() -> pd.DataFrame:
-        words = list(seen)
-        frame = pd.DataFrame({"word": words, "tail": [tail_of(w) for w in words], "c": list(seen.values())})
+        frame = pd.DataFrame({"word": list(seen), "c": list(seen.values())})
         seen.clear()
-        return frame.astype({"tail": "int32", "c": "int64"})
+        return frame.astype({"c": "int64"})
     for pdf in batches:
         for text in pdf["text"]:
             seen.update(_tokens(text))
@@ -123,7 +128,7 @@ class Vocabulary:
 
 
 def vocabulary(counts: DataFrame) -> tuple[Vocabulary, int]:
-    """From (word, tail, c) rows: what is broadcast, and the count from which words are in it."""
+    """From (word, c) rows: what is broadcast, and the count from which words are in it."""
     by_count = counts.groupBy("c").agg(F.count(F.lit(1)).alias("n")).collect()  # about sqrt(tokens) rows at most
     total, distinct = sum(r["c"] * r["n"] for r in by_count), sum(r["n"] for r in by_count)
     least, have = 1, 0
@@ -134,7 +139,7 @@ def vocabulary(counts: DataFrame) -> tuple[Vocabulary, int]:
             break
     rows = counts.filter(((F.col("c") >= least) & (F.octet_length("word") <= KNOWN_BYTES)) | (F.col("word") == END))
     table = rows.select("word", "c").toPandas()
-    tails = {r["tail"]: r for r in counts.groupBy("tail").agg(
+    tails = {r["tail"]: r for r in counts.groupBy(_tail(F.col("word")).alias("tail")).agg(
         F.sum("c").alias("c"), F.sum((F.col("c") == 1).cast("long")).alias("once")).collect()}
     each = [tails.get(k) for k in range(gru.TAILS)]
     return Vocabulary([bytes(w) for w in table["word"]], table["c"].tolist(), total, distinct,
@@ -196,9 +201,8 @@ def train(training: DataFrame, vocab: Vocabulary) -> dict:
     return gru.from_vector(np.frombuffer(weights, np.float32))
 
 
-_TAIL = T.ArrayType(struct_of(word=T.BinaryType(), tail=T.IntegerType(), n=T.IntegerType()))
 _SCORED = struct_of(uid=T.LongType(), doc_id=T.LongType(), held_out=T.BooleanType(), n_tokens=T.LongType(),
-                    known=T.LongType(), base=T.DoubleType(), score=T.DoubleType(), rare=_TAIL)
+                    known=T.LongType(), base=T.DoubleType(), score=T.DoubleType(), rare=T.BinaryType())
 
 
 def _score(vocab, weights):
@@ -222,9 +226,9 @@ def _score(vocab, weights):
                 tokens = _tokens(text)
                 r = v.ranks(tokens)
                 hit = r[r >= 0]
-                rare = Counter([tokens[i] for i in np.flatnonzero(r < 0).tolist()])
+                rare = [tokens[i] for i in np.flatnonzero(r < 0).tolist()]  # words hold no space
                 rows.append((uid, doc, apart, len(tokens), len(hit), float(v.base[hit].sum()), float(v.share[hit].sum()),
-                             [{"word": w, "tail": tail_of(w), "n": n} for w, n in rare.items()]))
+                             b" ".join(rare) if rare else None))
                 block.append(v.inputs(r))
                 uid, held = uid + 1, held + len(r)
                 if held >= BLOCK:
@@ -245,22 +249,24 @@ def lm_scores(docs: DataFrame) -> DataFrame:
     base = base.withColumn("held_out", crc_remainder(F.col("doc_id"), 10) == 0)
     training = base.filter(~F.col("held_out")).select("doc_id", "text")
     counts = materialise(
-        training.select("text").mapInPandas(_count, struct_of(word=T.BinaryType(), tail=T.IntegerType(), c=T.LongType()))
-        .groupBy("word", "tail").agg(F.sum("c").alias("c")), "lm-counts")
+        training.select("text").mapInPandas(_count, struct_of(word=T.BinaryType(), c=T.LongType()))
+        .groupBy("word").agg(F.sum("c").alias("c")), "lm-counts")
     vocab, least = vocabulary(counts)
     weights = train(training, vocab) if vocab.total else vocab.start()
     scored = materialise(base.mapInPandas(_score(
         spark.sparkContext.broadcast(vocab), spark.sparkContext.broadcast(gru.to_bytes(weights))), _SCORED), "lm-scored")
-    rare = scored.select("uid", F.explode("rare").alias("r")).select("uid", "r.*")
+    # one row per occurrence of a rare word (the end is rare only where nothing was learned)
+    parts = F.split(F.col("rare").cast("string"), " ")
+    rare = (scored.filter("rare is not null").select("uid", F.explode(parts).alias("word"))
+            .withColumn("word", F.col("word").cast("binary")))
     few = counts.filter((F.col("c") < least) | (F.octet_length("word") > KNOWN_BYTES)).select("word", "c")
-    tail = F.col("tail") + 1
+    tail = _tail(F.col("word")) + 1
     own = F.array(*[F.lit(float(x)) for x in np.log10(np.maximum(vocab.tail_total, 1)) - np.log10(np.maximum(1 - vocab.unknown, 1e-300))])
     lost = F.array(*[F.lit(float(x)) for x in np.log10(vocab.unknown)])
     seen = F.col("c").isNotNull()
     joined = rare.join(few, "word", "left").select(
-        "uid", (F.col("n") * seen.cast("int")).cast("long").alias("known"),
-        (F.col("n") * F.log10(F.coalesce(F.col("c"), F.lit(0)) + F.lit(PSEUDO))).alias("base"),
-        (F.col("n") * F.when(seen, F.log10(F.col("c")) - F.element_at(own, tail)).otherwise(F.element_at(lost, tail))).alias("score"))
+        "uid", seen.cast("long").alias("known"), F.log10(F.coalesce(F.col("c"), F.lit(0)) + F.lit(PSEUDO)).alias("base"),
+        F.when(seen, F.log10(F.col("c")) - F.element_at(own, tail)).otherwise(F.element_at(lost, tail)).alias("score"))
     extra = joined.groupBy("uid").agg(F.sum("known").alias("k"), F.sum("base").alias("b"), F.sum("score").alias("s"))
     norm = math.log10(vocab.total + PSEUDO * (vocab.distinct + 1))
     zero = F.lit(0.0)
