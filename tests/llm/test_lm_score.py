@@ -109,6 +109,14 @@ def test_state_is_carried_and_lanes_do_not_matter():
     assert np.allclose(G.score(p, G.Lanes.deal(docs, 0, lanes=3), len(docs), slab=7), alone, rtol=1e-4)
 
 
+def test_model_has_its_whole_size():
+    """Speed is not bought with a smaller model."""
+    assert G.HIDDEN >= 12 and G.HEADS >= 16 and G.TAILS >= 48 and G.FREQUENT >= 768
+    v = L.Vocabulary([b""], [1], 1, 1, [1] + [0] * (G.TAILS - 1), [0] * G.TAILS)
+    p = v.start()
+    assert p["u"].shape[0] >= 12 and p["wc"].shape[1] >= 64
+
+
 def test_odd_rows(spark, odd, nothing):
     out = L.lm_scores(odd).collect()
     assert len(out) == odd.count() and all(r.n_tokens >= 1 for r in out)
