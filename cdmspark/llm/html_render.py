@@ -52,9 +52,12 @@ IMPLIED = {
 ALIGN = 40
 SPAN_LIMIT = 1000
 
+# A quote opens a value only after "="; any other is part of a name or an unquoted value.
+_NAME, _IS = r"[^ \t\n\f\r/>][^ \t\n\f\r/>=]*+", r"[ \t\n\f\r]*+=[ \t\n\f\r]*+"
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-                    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
-_ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s>]+)))?")
+                    rf"|<(/?)([a-zA-Z][^\s/>]*)((?:[ \t\n\f\r/]++|{_NAME}(?:{_IS}(?:\"[^\"]*+\"?+|'[^']*+'?+"
+                    r"|[^ \t\n\f\r>\"'][^ \t\n\f\r>]*+)?+)?+)*+)(?:>|\Z)", re.S)
+_ATTR = re.compile(rf"({_NAME})(?:{_IS}(?:\"([^\"]*+)\"?+|'([^']*+)'?+|([^ \t\n\f\r>\"'][^ \t\n\f\r>]*+))?+)?+")
 _SPACE = re.compile(r"[ \t\n\f\r]+")
 _UNSEEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\s*(?:!important\s*)?(?:;|$)", re.I)
 

@@ -42,6 +42,24 @@ def test_cases(page, want):
     assert H.page_text(page) == want
 
 
+QUOTES = [
+    ("<p class=\"a\"\">one</p><p class=\"b\">two</p>", "one\n\ntwo"),
+    ("<p title=it's>one</p><p title='x'>two</p>", "one\n\ntwo"),
+    ("<p title=5\">one</p>two", "one\n\ntwo"),
+    ("<p 'a>one</p><p \">two</p>", "one\n\ntwo"),
+    ("<p>one</p '><p>two</p \">three", "one\n\ntwo\n\nthree"),
+    ("<a href=\"x\"'>one</a> <b title='y''>two</b>", "one two"),
+    ("<a title = \"1 > 0\" alt= '2 > 1'>one</a>", "one"),
+    ("<p title=>one</p><p title= >two</p><p title==\">three</p>", "one\n\ntwo\n\nthree"),
+    ("<p \"\"hidden=''>one</p><p a=\"b\"hidden>n</p>", "one"),
+]
+
+
+@pytest.mark.parametrize(("page", "want"), QUOTES)
+def test_quotes_open_a_value_only_after_an_equals_sign(page, want):
+    assert H.page_text(page) == want
+
+
 def test_wide_cells_lose_no_text():
     long = "w" * 500
     text = H.page_text(f"<table><tr><td>{long}<td>a<tr><td>b<td>c</table>")
