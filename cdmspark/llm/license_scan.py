@@ -2,18 +2,22 @@
 templates, then the containment of a template's shingles in the window is checked exactly.
 
 Words are lower-cased and freed of ASCII punctuation; shingles have five words (a template
-with fewer is one shingle). Templates of n shingles meet windows of 2m shingles starting every
-m, m the power of two from n up, so every stretch of n lies whole in a window, and a window with
-0.8 of a template's shingles has a Jaccard similarity of at least 0.19 with it: 64 bands of one
-MinHash each miss that with a probability of at most 2e-6.
-
-Only windows around a shingle that some template of their size has can reach the containment,
-so only they are hashed; this loses nothing. Main path: row expressions over whole texts, with
-no shuffle; the templates are literals.
+with fewer is one shingle). Templates of n shingles meet windows of 2m shingles, m the power of
+two from n up, wherever they start, so inserted words cost a notice its containment only where
+they spread it over more than 2m. A window with 0.8 of a template's shingles has a Jaccard
+similarity of at least 0.19 with it: 64 bands of one MinHash each miss that with a probability
+of at most 2e-6.
+
+Any window holds no more template shingles than the one that starts at its first of them, and
+only a window that holds enough of them can reach the containment. So only such windows are
+hashed, and of those only ones not covered by the window before; this loses nothing. Main path:
+row expressions over whole texts, with no shuffle; the templates are literals.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,7 +88,7 @@ def _best(windows: Column, mine: Column, keys: Column) -> Column:
 
 
 class Scanner:
-    """Templates by (shingle width, window step), as literals."""
+    """Templates by (shingle width, half a window's size), as literals."""
 
     def __init__(self, spark: SparkSession, templates: dict[str, str], containment: float):
         self.containment = containment
@@ -97,8 +101,8 @@ class Scanner:
         own = own.withColumn("set", F.array_distinct(by_width)).withColumn("bands", F.expr(bands("`set`")))
         self.groups: dict[tuple[int, int], list] = {}
         for r in own.select("name", "width", "set", "bands").collect():  # one row per template
-            step = 1 << (len(r["set"]) - 1).bit_length()
-            self.groups.setdefault((r["width"], step), []).append(r)
+            half = 1 << (len(r["set"]) - 1).bit_length()
+            self.groups.setdefault((r["width"], half), []).append(r)
         self.widths = sorted({w for w, _ in self.groups})
 
     def matches(self, words: str, prefix: str, df: DataFrame) -> DataFrame:
@@ -107,13 +111,18 @@ class Scanner:
         for w in self.widths:
             df = df.withColumn(f"{prefix}s{w}", shingles(words, w))
         found = []
-        for g, ((w, step), rows) in enumerate(sorted(self.groups.items())):
+        for g, ((w, half), rows) in enumerate(sorted(self.groups.items())):
             items, every = F.col(f"{prefix}s{w}"), sorted({x for r in rows for x in r["set"]})
-            wins, col = f"{prefix}w{g}", f"{prefix}s{w}"
+            wins, col, n = f"{prefix}w{g}", f"{prefix}s{w}", 2 * half
+            need = max(1, math.ceil(self.containment * min(len(r["set"]) for r in rows)))
             df = df.withColumn(prefix + "own", longs(every))
-            places = (f"filter(sequence(0, size(`{col}`) - 1), i -> array_contains(`{prefix}own`, `{col}`[i]))")
-            around = f"array_distinct(flatten(transform({places}, i -> array(i div {step}L, greatest(i div {step}L - 1L, 0L)))))"
-            cut = f"transform({around}, k -> slice(`{col}`, int(k * {step}L + 1L), {2 * step}))"
+            # the places are bound once, as a; an own column would be copied into each use of it
+            places = f"filter(sequence(0, size(`{col}`) - 1), i -> array_contains(`{prefix}own`, `{col}`[i]))"
+            order = f"CASE WHEN size(a) >= {need} THEN sequence(0, size(a) - {need}) ELSE cast(array() AS array<int>) END"
+            covered = f"a[greatest(k - 1, 0)] + {n}"  # places from here on are not in the window before
+            starts = (f"filter({order}, k -> a[k + {need - 1}] - a[k] < {n} AND (k = 0 OR "
+                      f"exists(slice(a, k + 1, {n + 1}), q -> q >= {covered} AND q < a[k] + {n})))")
+            cut = f"transform(array({places}), a -> transform({starts}, k -> slice(`{col}`, a[k] + 1, {n})))[0]"
             df = df.withColumn(wins, F.when(F.arrays_overlap(items, F.col(prefix + "own")), F.expr(
                 f"transform({cut}, s -> named_struct('s', s, 'b', {bands('s')}))"))).drop(prefix + "own")
             for r in rows:
