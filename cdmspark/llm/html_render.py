@@ -28,9 +28,19 @@ HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 ENDS_P = HEADINGS | frozenset(
     "address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "header hgroup hr li main menu nav ol p pre search section summary table ul".split())
-#: Never shown: no boxes of their own, or only shown by scripts, players or a choice.
+#: Not shown: no boxes of their own, or only shown by scripts, players or a choice.
 HIDDEN = frozenset("head script style template noscript title iframe object video audio canvas noembed noframes "
-                   "datalist select svg math rp".split())
+                   "datalist select rp".split())
+#: Their elements end with "/>"; of an svg only text elements (and HTML inside it) show text.
+FOREIGN = frozenset(("svg", "math"))
+SVG_TEXT, HTML_INSIDE = frozenset(("text", "foreignobject")), frozenset(("foreignobject", "desc"))
+SVG_HIDDEN = frozenset("defs desc metadata symbol clippath mask marker pattern".split())
+#: HTML start tags that end an open svg or math.
+BREAKS_OUT = HEADINGS | frozenset(
+    "b big blockquote body br center code dd div dl dt em embed head hr i img li listing menu meta nobr ol p pre ruby s "
+    "small span strong strike sub sup table tt u ul var".split())
+#: Of a formula, other forms of what is shown already.
+MATH_HIDDEN = frozenset(("annotation", "annotation-xml"))
 #: Blocks with a blank line around them, and blocks on lines of their own.
 SPACED = HEADINGS | frozenset("p ul ol dl blockquote pre table figure hr menu dir xmp".split())
 BLOCK = SPACED | ENDS_P | frozenset("html body caption legend optgroup textarea".split())
@@ -78,6 +88,29 @@ def _attributes(raw: str) -> dict:
     return out
 
 
+def _closed(raw: str) -> bool:
+    """Whether the tag ends with "/>", the slash being no part of an unquoted value."""
+    if raw[-1:] != "/":
+        return False
+    end = 0
+    for m in _ATTR.finditer(raw):
+        end = m.end()
+    return end < len(raw)
+
+
+def _svg_text(svg: Node) -> list:
+    """The elements of an svg that show text, in their order."""
+    found, todo = [], list(reversed(svg.kids))
+    while todo:
+        node = todo.pop()
+        if isinstance(node, Node) and node.tag not in SVG_HIDDEN and visible(node):
+            if node.tag in SVG_TEXT:
+                found += [" ", node, " "]
+            else:
+                todo += reversed(node.kids)
+    return found
+
+
 class Builder:
     """Tree of a page, with missing end tags, rows and paragraphs implied."""
 
@@ -85,9 +118,13 @@ class Builder:
         self.root = Node("html")
         self.open = [self.root]
         self.count = {"html": 1}
+        self.realm: list[str] = []
 
     def _pop(self) -> None:
-        self.count[self.open.pop().tag] -= 1
+        tag = self.open.pop().tag
+        self.count[tag] -= 1
+        if tag in FOREIGN or tag in HTML_INSIDE:
+            self.realm.pop()
 
     def _end(self, tags: frozenset, walls: frozenset) -> bool:
         """Ends the nearest open element of ``tags`` unless a wall stands before it."""
@@ -107,8 +144,16 @@ class Builder:
         self.open[-1].kids.append(node)
         self.open.append(node)
         self.count[node.tag] = self.count.get(node.tag, 0) + 1
+        if node.tag in FOREIGN or node.tag in HTML_INSIDE:
+            self.realm.append(node.tag)
+
+    def foreign(self) -> bool:
+        """Whether the place is inside an svg or math, and not in HTML inside an svg."""
+        return bool(self.realm) and self.realm[-1] in FOREIGN
 
-    def start(self, tag: str, attrs: dict) -> None:
+    def start(self, tag: str, attrs: dict, closed: bool = False) -> None:
+        while tag in BREAKS_OUT and self.foreign():
+            self._end(FOREIGN, frozenset())
         if tag in ("html", "body") and (tag == "html" or self.count.get("body")):
             (self.root if tag == "html" else next(n for n in self.open if n.tag == "body")).attrs.update(attrs)
             return
@@ -128,7 +173,7 @@ class Builder:
         if self.open[-1].tag == "head" and tag not in ("title", "meta", "link", "style", "script", "base", "noscript", "template"):
             self._pop()
         node = Node(tag, attrs)
-        if tag in VOID:
+        if tag in VOID or (closed and (tag in FOREIGN or self.foreign())):
             self.open[-1].kids.append(node)
         else:
             self._push(node)
@@ -168,8 +213,9 @@ def parse(page: str) -> Node:
         if m[1]:
             b.end(tag)
             continue
-        b.start(tag, _attributes(m[3]))
-        if tag in RAW:
+        closed = _closed(m[3])
+        b.start(tag, _attributes(m[3]), closed)
+        if tag in RAW and not (closed and b.foreign()):
             close = re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I).search(page, at)
             inner, at = (page[at:close.start()], close.end()) if close else (page[at:], n)
             b.text(html.unescape(inner) if tag in REFERENCES else inner)
@@ -179,7 +225,7 @@ def parse(page: str) -> Node:
 
 def visible(node: Node) -> bool:
     a = node.attrs
-    if node.tag in HIDDEN or ("hidden" in a and a["hidden"].lower() != "until-found"):
+    if node.tag in HIDDEN or node.tag in MATH_HIDDEN or ("hidden" in a and a["hidden"].lower() != "until-found"):
         return False
     if node.tag == "dialog" and "open" not in a:
         return False
@@ -394,6 +440,8 @@ def render(root: Node) -> str:
         kids = item.kids
         if tag == "details" and "open" not in item.attrs:
             kids = [k for k in kids if isinstance(k, Node) and k.tag == "summary"][:1]
+        elif tag == "svg":
+            kids = _svg_text(item)
         todo += reversed(kids)
     return "\n".join(flow.done()).replace("\xa0", " ")
 

@@ -60,6 +60,25 @@ def test_quotes_open_a_value_only_after_an_equals_sign(page, want):
     assert H.page_text(page) == want
 
 
+SHOWN = [
+    ("a <math><mi>x</mi><mo>=</mo><mn>2</mn></math> b", "a x=2 b"),
+    ("<math><semantics><mi>x</mi><annotation>\\x</annotation></semantics></math>y", "xy"),
+    ("a<svg><title>n</title><defs><text>n</text></defs><g>n<text x=1>one <tspan>two</tspan></text></g><path/></svg>b", "a one two b"),
+    ("<p>a<svg width=1 />b</p>c", "ab\n\nc"),
+    ("<p>a<math/>b</p>c", "ab\n\nc"),
+    ("<svg><script/><text/><text>one</text></svg>two", "one two"),
+    ("<svg><foreignObject><p>one</p></foreignObject></svg>two", "one\n\ntwo"),
+    ("<svg><g><p>one</p>two", "one\n\ntwo"),
+    ("<svg><desc><p>n</p></desc><text>one</text></svg>two", "one two"),
+    ("<head><svg><text>one</text></svg><p>two", "one\n\ntwo"),
+]
+
+
+@pytest.mark.parametrize(("page", "want"), SHOWN)
+def test_formulas_and_drawn_text_are_shown(page, want):
+    assert H.page_text(page) == want
+
+
 def test_wide_cells_lose_no_text():
     long = "w" * 500
     text = H.page_text(f"<table><tr><td>{long}<td>a<tr><td>b<td>c</table>")
