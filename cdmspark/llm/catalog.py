@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from cdmspark.llm import (
+    centroids,
     html_render,
     imatch,
     lang_id,
@@ -26,8 +27,10 @@ QUERIES = {
     "op8_imatch": imatch.op8_imatch,
     "op9_quality_rules": quality_rules.op9_quality_rules,
     "op10_packing": packing.op10_packing,
+    "op13_centroids": centroids.op13_centroids,
 }
 
 SQL: dict[str, str] = {
     "op2_line_dedup": line_dedup.OP2_SQL,
+    "op13_centroids": centroids.OP13_SQL,
 }
