@@ -14,6 +14,7 @@ from cdmspark.llm import (
     packing,
     pieces,
     quality_rules,
+    token_align,
 )
 
 QUERIES = {
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_imatch": imatch.op8_imatch,
     "op9_quality_rules": quality_rules.op9_quality_rules,
     "op10_packing": packing.op10_packing,
+    "op12_token_align": token_align.op12_token_align,
     "op13_centroids": centroids.op13_centroids,
 }
 
