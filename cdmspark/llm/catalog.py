@@ -13,6 +13,7 @@ from cdmspark.llm import (
     near_dedup,
     packing,
     pieces,
+    quality_net,
     quality_rules,
     token_align,
 )
@@ -28,6 +29,7 @@ QUERIES = {
     "op8_imatch": imatch.op8_imatch,
     "op9_quality_rules": quality_rules.op9_quality_rules,
     "op10_packing": packing.op10_packing,
+    "op11_byte_cnn": quality_net.op11_byte_cnn,
     "op12_token_align": token_align.op12_token_align,
     "op13_centroids": centroids.op13_centroids,
 }
