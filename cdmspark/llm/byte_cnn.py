@@ -115,8 +115,8 @@ def gradients(p: dict, chunks: np.ndarray, size: np.ndarray, label: np.ndarray)
     window = chunks[np.arange(len(chunks))[:, None, None], at[:, :, None] + np.arange(WIDTH)]
     x = p["e"][window].reshape(len(chunks), FILTERS, WIDTH * DIM)
     dw = np.einsum("cf,cfi->if", dc, x)
-    de = np.zeros_like(p["e"])
-    np.add.at(de, window.reshape(-1), (dc[:, :, None] * p["w"].T[None]).reshape(-1, DIM))
+    share, symbol = (dc[:, :, None] * p["w"].T[None]).reshape(-1, DIM), window.reshape(-1)
+    de = np.stack([np.bincount(symbol, x, PAD + 1) for x in share.T], 1).astype(p["e"].dtype)
     return loss, {"e": de, "w": dw, "b": dc.sum(0), "v": vector.T @ dh, "c": dh.sum(0), "o": hidden.T @ dz,
                   "bias": np.array([dz.sum()], np.float32)}
 
