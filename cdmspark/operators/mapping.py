@@ -113,13 +113,14 @@ def best_concepts(texts: DataFrame, cands: DataFrame, k: int = 1, provider=None,
 
 
 def semantic_match(src: DataFrame, value_col: str, concepts: DataFrame, threshold: float = DEFAULT_THRESHOLD,
-                   provider=None, name_col="concept_name", cands: DataFrame | None = None) -> DataFrame:
+                   provider=None, name_col="concept_name", cands: DataFrame | None = None, matcher=None) -> DataFrame:
     """Best cosine per value; concept kept when score >= threshold.
     Adds concept_id, matched_concept_name, matched_domain, similarity_score (best score,
-    also when under the threshold; NULL for a blank value)."""
+    also when under the threshold; NULL for a blank value).  ``matcher`` (``sparse_matcher``)
+    takes the place of the dense join; values that it gives no row have no score."""
     cands = cands if cands is not None else concept_candidates(concepts, name_col, provider=provider)
     texts = distinct_texts(src, value_col)
-    best = best_concepts(texts, cands, 1, provider)
+    best = matcher(texts, cands) if matcher else best_concepts(texts, cands, 1, provider)
     hit = F.col("score") >= F.lit(threshold)
     table = texts.join(best, "ptext").select(
         F.col("_raw").alias(value_col),
@@ -131,11 +132,13 @@ def semantic_match(src: DataFrame, value_col: str, concepts: DataFrame, threshol
 
 
 def multi_strategy(src: DataFrame, value_col: str, concepts: DataFrame, threshold: float = DEFAULT_THRESHOLD,
-                   partial_floor: float | None = None, provider=None, name_col="concept_name") -> DataFrame:
+                   partial_floor: float | None = None, provider=None, name_col="concept_name",
+                   matcher=None) -> DataFrame:
     """Exact on normalised text (score 1.0) -> cosine >= threshold (semantic_match)
     -> cosine >= max(0.5, threshold - 0.2) (partial_match) -> unmatched (score 0.0).
 
-    One nearest join serves stages 2 and 3, over the values that stage 1 leaves."""
+    One nearest join serves stages 2 and 3, over the values that stage 1 leaves; ``matcher``
+    takes its place (it must find what reaches the lower cut-off)."""
     floor = partial_floor if partial_floor is not None else max(0.5, threshold - 0.2)
     vocab = normalised_vocabulary(concepts, name_col)
     cands = concept_candidates(concepts, name_col, provider=provider, vocab=vocab)
@@ -143,7 +146,8 @@ def multi_strategy(src: DataFrame, value_col: str, concepts: DataFrame, threshol
     texts = distinct_texts(src, value_col)
     found = exact.select(F.col("_key").alias("ptext"), F.col("concept_id").alias("_eid"),
                          F.col("matched_concept_name").alias("_ename"))
-    best = best_concepts(texts.join(found, "ptext", "left_anti"), cands, 1, provider)  # what stage 1 left
+    left = texts.join(found, "ptext", "left_anti")                                     # what stage 1 left
+    best = matcher(left, cands) if matcher else best_concepts(left, cands, 1, provider)
     table = (texts.join(best.select("ptext", F.col("concept_id").alias("_sid"),
                                     F.col("concept_name").alias("_sname"), F.col("score").alias("_score")),
                         "ptext", "left").join(found, "ptext", "left"))

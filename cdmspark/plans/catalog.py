@@ -385,6 +385,7 @@ def q_incremental_relationship(spark, sf_dir):
 
 # ------------------------------------------------------------------ concept mapping
 SEM_THRESHOLD = 0.7        # text similarity cut-off (multi-strategy and basic)
+IDF_FLOOR = 0.4            # lower cut-off where rare trigrams weigh more
 CASCADE_THRESHOLD = 0.6    # second stage of the code cascade
 VEC_THRESHOLD = 0.4        # nearest other vector in the embeddings table
 TOP_K = 5
@@ -511,6 +512,44 @@ def q_map_multi(spark, sf_dir):
                     F.round("similarity_score", 4).alias("similarity_score"))
 
 
+def q_embed_text_idf(spark, sf_dir):
+    """The sparse embedding of every distinct concept name, weighted by inverse document
+    frequency over the names' normalised texts."""
+    from ..functions.text import preprocess_text
+    from ..operators.sparse import fit_idf, sparse_vectors, unit_weights
+    names = _concepts(Tables(spark, sf_dir)).select("concept_name").distinct().withColumn(
+        "ptext", preprocess_text(F.col("concept_name")))
+    idf = fit_idf(names.select("ptext").distinct(), "ptext")
+    w = unit_weights(sparse_vectors(names, "concept_name", "ptext", idf=idf))
+    return w.select(F.col("key").alias("concept_name"), F.col("feature").alias("bucket"),
+                    F.round("weight", 6).alias("weight"))
+
+
+def q_map_multi_idf(spark, sf_dir):
+    """I5 on IDF-weighted vectors: the exact threshold join in place of the dense one."""
+    from ..operators import mapping as M
+    from ..operators.sparse import sparse_matcher
+    t = Tables(spark, sf_dir)
+    m = M.multi_strategy(_proc_rows(t), "procedure_source_value", _concepts(t), threshold=SEM_THRESHOLD,
+                         partial_floor=IDF_FLOOR, matcher=sparse_matcher(IDF_FLOOR, idf=True))
+    return m.select("procedure_occurrence_id", F.col("procedure_source_value").alias("source_value"),
+                    "concept_id", "matched_concept_name", "matching_strategy",
+                    F.round("similarity_score", 4).alias("similarity_score"))
+
+
+def q_map_semantic_sparse(spark, sf_dir):
+    """I4 / C16 by prefix filtering, on the default embedding: the mapped rows of ``map_source``."""
+    from ..operators import mapping as M
+    from ..operators.embed import DIM
+    from ..operators.sparse import sparse_matcher
+    t = Tables(spark, sf_dir)
+    m = M.map_source(_proc_rows(t), "procedure_source_value", _concepts(t), "semantic", threshold=SEM_THRESHOLD,
+                     matcher=sparse_matcher(SEM_THRESHOLD, dim=DIM))
+    return m.where(F.col("concept_id").isNotNull()).select(
+        "procedure_occurrence_id", F.col("procedure_source_value").alias("source_value"), "concept_id",
+        "matched_concept_name", F.round("similarity_score", 4).alias("similarity_score"))
+
+
 def q_map_source(spark, sf_dir):
     from ..operators import mapping as M
     t = Tables(spark, sf_dir)
@@ -782,6 +821,9 @@ QUERIES = {
     "preprocess_text": q_preprocess_text,
     "embed_text": q_embed_text,
     "map_multi": q_map_multi,
+    "embed_text_idf": q_embed_text_idf,
+    "map_multi_idf": q_map_multi_idf,
+    "map_semantic_sparse": q_map_semantic_sparse,
     "map_source": q_map_source,
     "map_cascade": q_map_cascade,
     "cross_domain": q_cross_domain,

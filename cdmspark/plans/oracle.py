@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from ..functions import rules as R
 from ..functions.text import ABBREVIATIONS
+from ..operators.sparse import IDF_SCALE, SPARSE_DIM
 from . import catalog as C
 from .roles import EXISTING_CONDITION_BEFORE, EXISTING_VISIT_BEFORE, duck_ctes
 
@@ -673,3 +674,55 @@ ORDER BY source_value ASC NULLS FIRST, concept_id ASC NULLS FIRST LIMIT 10"""),
   (SELECT count(*) FROM visit_src) - (SELECT count(*) FROM vis_elig) AS rejected,
   CAST(100.0 AS DOUBLE) AS completion_pct"""),
 })
+
+
+# --------------------------------------------------------------------------- IDF-weighted vectors
+def _idf_grams(table: str, key: str, name: str, corpus: str) -> str:
+    """``_grams`` over many buckets, weights times ``{corpus}_idf(b, idf)`` of ``{corpus}_n(n)`` texts."""
+    return f"""
+{name}_g AS (SELECT k, (unicode(substr(s, i, 1)) * 1369 + unicode(substr(s, i + 1, 1)) * 37
+      + unicode(substr(s, i + 2, 1))) % {SPARSE_DIM} AS b
+  FROM (SELECT {key} AS k, ' ' || ptext || ' ' AS s, unnest(range(1, length(ptext) + 1)) AS i FROM {table} WHERE ptext <> '')),
+{name}_v AS (SELECT g.k, g.b, count(*) * any_value(coalesce(d.idf, {_idf_sql('0', f'(SELECT n FROM {corpus}_n)')})) AS w
+  FROM {name}_g g LEFT JOIN {corpus}_idf d ON d.b = g.b GROUP BY ALL),
+{name}_n AS (SELECT k, sqrt(sum(w * w)) AS n FROM {name}_v GROUP BY k)"""
+
+
+def _idf_sql(df: str, n: str) -> str:
+    return f"CAST(round((ln((1.0 + {n}) / (1.0 + {df})) + 1) * {IDF_SCALE}) AS BIGINT)"
+
+
+def _idf(table: str, corpus: str) -> str:
+    return f"""
+{corpus}_t AS (SELECT DISTINCT ptext FROM {table} WHERE ptext <> ''),
+{corpus}_n AS (SELECT count(*) AS n FROM {corpus}_t),
+{corpus}_idf AS (SELECT b, {_idf_sql('count(*)', f'(SELECT n FROM {corpus}_n)')} AS idf FROM (
+  SELECT DISTINCT ptext, (unicode(substr(s, i, 1)) * 1369 + unicode(substr(s, i + 1, 1)) * 37
+      + unicode(substr(s, i + 2, 1))) % {SPARSE_DIM} AS b
+  FROM (SELECT ptext, ' ' || ptext || ' ' AS s, unnest(range(1, length(ptext) + 1)) AS i FROM {corpus}_t)) GROUP BY b)"""
+
+
+SQL.update({
+    "embed_text_idf": W(_concepts_sql() + f""",
+names AS (SELECT DISTINCT concept_name, {duck_preprocess('concept_name')} AS ptext FROM concepts)""" + ","
+                        + _idf("names", "en") + "," + _idf_grams("names", "concept_name", "en", "en").replace("en_n AS (SELECT k", "en_norm AS (SELECT k"),
+                        "SELECT v.k AS concept_name, CAST(v.b AS INTEGER) AS bucket, round(v.w / n.n, 6) AS weight "
+                        "FROM en_v v JOIN en_norm n ON n.k = v.k"),
+    "map_multi_idf": W(_concepts_sql() + "," + _cands() + "," + PROC_PP + "," + _idf("cands", "cc") + ","
+                       + _idf_grams("proc_texts", "ptext", "s", "cc") + "," + _idf_grams("cands", "concept_id", "c", "cc") + f""",
+dots AS (SELECT s.k AS sk, c.k AS ck, sum(s.w * c.w) AS d FROM s_v s JOIN c_v c ON s.b = c.b GROUP BY ALL),
+best AS (SELECT sk, ck, score FROM (SELECT *, row_number() OVER (PARTITION BY sk ORDER BY score DESC, ck) AS rn FROM (
+  SELECT d.sk, d.ck, CAST(d.d AS DOUBLE) / (sn.n * cn.n) AS score FROM dots d JOIN s_n sn ON sn.k = d.sk JOIN c_n cn ON cn.k = d.ck))
+  WHERE rn = 1),
+m AS (SELECT p.procedure_occurrence_id, p.procedure_source_value, e.eid, b.ck, b.score,
+    CASE WHEN e.eid IS NOT NULL THEN 'exact_match' WHEN b.score >= {C.SEM_THRESHOLD} THEN 'semantic_match'
+         WHEN b.score >= {C.IDF_FLOOR} THEN 'partial_match' END AS matching_strategy
+  FROM proc p LEFT JOIN best b ON b.sk = p.ptext LEFT JOIN exact_pp e ON e.k = p.ptext)""",
+                       """SELECT m.procedure_occurrence_id, m.procedure_source_value AS source_value, c.concept_id,
+  c.concept_name AS matched_concept_name, m.matching_strategy,
+  round(CASE WHEN m.matching_strategy = 'exact_match' THEN 1.0 WHEN m.matching_strategy IS NOT NULL THEN m.score ELSE 0.0 END, 4)
+    AS similarity_score
+FROM m LEFT JOIN concepts c ON c.concept_id =
+  CASE WHEN m.matching_strategy = 'exact_match' THEN m.eid WHEN m.matching_strategy IS NOT NULL THEN m.ck END"""),
+    "map_semantic_sparse": "SELECT * FROM (" + SQL["map_source"] + ") WHERE concept_id IS NOT NULL",
+})
