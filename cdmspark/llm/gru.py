@@ -153,14 +153,15 @@ def score(p: dict, lanes: Lanes, n_docs: int, slab: int = 16) -> np.ndarray:
 class Trainer:
     """Adagrad over truncated windows; ``loss`` and ``tokens`` tell how it went."""
 
-    def __init__(self, p: dict, rate: float):
+    def __init__(self, p: dict, rate: float, lanes: int = LANES):
+        self.scale = np.float32(1 / (lanes * WINDOW))
         self.p = {k: v.copy() for k, v in p.items()}
         self.seen = {k: np.full_like(v, FIRST) for k, v in p.items()}
         self.rate, self.loss, self.tokens = rate, 0.0, 0
 
     def _move(self, k: str, grad: np.ndarray, rows=slice(None)) -> None:
         # one scale for all windows, so that windows with few lanes left move little
-        grad *= np.float32(1 / (LANES * WINDOW))
+        grad *= self.scale
         own = self.seen[k][rows] + grad * grad
         self.seen[k][rows] = own
         self.p[k][rows] -= self.rate * grad / np.sqrt(own)

@@ -4,10 +4,15 @@
    base score of every document and the output classes. Frequent words have head classes; any
    other word belongs to a tail class that its spelling decides, and gets its count's share of
    it, unknown words together the share of words seen once.
-2. The model is trained on all training documents by truncated backpropagation, every task
-   on its own documents from common weights; the weights are averaged by tokens, level by
-   level, between two rounds over disjoint parts of the documents.
-3. One pass scores all documents, with the state carried across windows to the document's
+2. Every document is encoded once, as the model's input ids in two bytes a token, and written;
+   training and scoring read those.
+3. The model is trained on all training documents by truncated backpropagation. Documents are
+   dealt by hash to shards of ``SHARD`` tokens, whatever the partitioning; each shard trains
+   from common weights, with as many lanes as leave it enough steps, and the weights are
+   averaged by tokens, level by level, between two rounds over disjoint shards. One training
+   document in ``HELD_BACK`` takes no part; of the start weights and those after each round the
+   ones under which these documents are likeliest are kept.
+4. One pass scores all documents, with the state carried across windows to the document's
    end. Words over a count that at most ``KNOWN`` words reach are looked up in a broadcast
    table of bounded size; the others, rare by construction, are joined with the counts.
 """
@@ -34,8 +39,13 @@ KNOWN, KNOWN_BYTES = 1 << 17, 64
 #: Distinct words that a task counts before it sends them on; tokens that it holds to train on or
 #: score (a block takes as many steps as its longest document, so it should be large).
 COUNTED, BLOCK = 300_000, 4_000_000
-#: Rounds of training: which eighths of the documents, and Adagrad's rate.
-ROUNDS = (((0, 2), 0.1), ((2, 8), 0.1))
+#: Tokens of a shard, and steps that a shard trains for at least (with fewer lanes, then again).
+SHARD, STEPS, FEW_LANES, PASSES = 4_000_000, 250, 32, 4
+#: Rounds of training: which shards by their number modulo 4, and Adagrad's rate. Fewer than
+#: four shards take part in every round.
+ROUNDS = (((0,), 0.1), ((1, 2, 3), 0.1))
+#: One training document in so many is held back to choose the weights by.
+HELD_BACK = 64
 #: Weight vectors that one task adds up, and that reach the driver at most.
 FAN_IN, AT_DRIVER = 16, 16
 END = b""
@@ -146,25 +156,58 @@ def vocabulary(counts: DataFrame) -> tuple[Vocabulary, int]:
                       [r["c"] if r else 0 for r in each], [r["once"] if r else 0 for r in each]), least
 
 
-def _train(vocab, weights, rate: float):
+_ENCODED = struct_of(uid=T.LongType(), doc_id=T.LongType(), held_out=T.BooleanType(), n_tokens=T.LongType(),
+                     known=T.LongType(), base=T.DoubleType(), share=T.DoubleType(), rare=T.BinaryType(), ids=T.BinaryType())
+
+
+def _encode(vocab):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         v = vocab.value
         v.tables()
-        end = int(v.input[v.lookup[END]])
-        trainer, block, held = gru.Trainer(gru.from_vector(np.frombuffer(weights.value, np.float32)), rate), [], 0
+        uid = TaskContext.get().partitionId() << 40
         for pdf in batches:
-            for text in pdf["text"]:
-                ids = v.inputs(v.ranks(_tokens(text)))
-                block.append(ids)
-                held += len(ids)
-                if held >= BLOCK:
-                    trainer.run(gru.Lanes.deal(block, end))
-                    block, held = [], 0
-        if block:
-            trainer.run(gru.Lanes.deal(block, end))
-        if trainer.tokens:
-            yield pd.DataFrame({"part": [TaskContext.get().partitionId()], "tokens": [trainer.tokens],
-                                "loss": [trainer.loss], "weights": [gru.to_bytes(trainer.p)]})
+            for at in range(0, len(pdf), 512):
+                part, rows = pdf.iloc[at:at + 512], []
+                for doc, apart, text in zip(part["doc_id"].array, part["held_out"], part["text"], strict=True):
+                    tokens = _tokens(text)
+                    r = v.ranks(tokens)
+                    hit = r[r >= 0]
+                    rare = [tokens[i] for i in np.flatnonzero(r < 0).tolist()]  # words hold no space
+                    rows.append((uid, doc, apart, len(tokens), len(hit), float(v.base[hit].sum()), float(v.share[hit].sum()),
+                                 b" ".join(rare) if rare else None, v.inputs(r).astype(np.int16).tobytes()))
+                    uid += 1
+                yield pd.DataFrame(rows, columns=[f.name for f in _ENCODED]).astype({"doc_id": "Int64"})
+    return run
+
+
+def _blocks(column: pd.Series) -> Iterator[tuple[slice, list[np.ndarray]]]:
+    """Ids of rows that make up about ``BLOCK`` tokens."""
+    at, held, block = 0, 0, []
+    for i, raw in enumerate(column):
+        block.append(np.frombuffer(raw, np.int16))
+        held += len(block[-1])
+        if held >= BLOCK:
+            yield slice(at, i + 1), block
+            at, held, block = i + 1, 0, []
+    if block:
+        yield slice(at, len(column)), block
+
+
+def _train(vocab, weights, rate: float):
+    def run(key, pdf):
+        v = vocab.value
+        v.tables()
+        pdf = pdf.sort_values("uid")     # rows come from the shuffle in any order
+        end = int(v.input[v.lookup[END]])
+        tokens = sum(map(len, pdf["ids"])) // 2
+        lanes = min(gru.LANES, max(FEW_LANES, 1 << max(0, (tokens // (gru.WINDOW * STEPS)).bit_length() - 1)))
+        passes = min(PASSES, -(-STEPS * gru.WINDOW * lanes // max(1, tokens)))
+        trainer = gru.Trainer(gru.from_vector(np.frombuffer(weights.value, np.float32)), rate, lanes)
+        for _ in range(passes):
+            for _, block in _blocks(pdf["ids"]):
+                trainer.run(gru.Lanes.deal(block, end, lanes))
+        return pd.DataFrame({"part": [int(key[0])], "tokens": [trainer.tokens], "loss": [trainer.loss],
+                             "weights": [gru.to_bytes(trainer.p)]})
     return run
 
 
@@ -184,77 +227,93 @@ def _mean(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 _WEIGHTS = struct_of(part=T.IntegerType(), tokens=T.LongType(), loss=T.DoubleType(), weights=T.BinaryType())
 
 
-def train(training: DataFrame, vocab: Vocabulary) -> dict:
-    """Weights learned from all rows of ``training`` (doc_id, text)."""
-    spark = training.sparkSession
-    weights, shared = gru.to_bytes(vocab.start()), spark.sparkContext.broadcast(vocab)
-    eighth = F.pmod(F.xxhash64("doc_id", F.lit("round")), F.lit(8))
-    for (lo, hi), rate in ROUNDS:
-        rows = training.filter((eighth >= lo) & (eighth < hi)).select("text")
-        now = spark.sparkContext.broadcast(weights)
-        got = materialise(rows.mapInPandas(_train(shared, now, rate), _WEIGHTS), "lm-weights")
+def _held_back(uid: str = "uid") -> Column:
+    return F.pmod(F.xxhash64(uid, F.lit("held back")), F.lit(HELD_BACK)) == 0
+
+
+def train(encoded: DataFrame, vocab: Vocabulary, rounds=ROUNDS) -> dict:
+    """Weights learned from the rows of ``encoded`` that aren't held out."""
+    spark = encoded.sparkSession
+    start, shared = gru.to_bytes(vocab.start()), spark.sparkContext.broadcast(vocab)
+    shards = max(1, -(-vocab.total // SHARD))
+    shard = F.pmod(F.xxhash64("uid", F.lit("shard")), F.lit(shards))
+    training = encoded.filter(~F.col("held_out"))
+    learning = training.filter(~_held_back()).select(shard.cast("int").alias("shard"), "uid", "ids")
+    every = [start]
+    for part, rate in rounds:
+        rows = learning.filter((F.col("shard") % 4).isin(*part)) if shards >= 4 else learning
+        now = spark.sparkContext.broadcast(every[-1])
+        got = materialise(rows.groupBy("shard").applyInPandas(_train(shared, now, rate), _WEIGHTS), "lm-weights")
         while (n := got.count()) > AT_DRIVER:
             got = materialise(got.repartition(-(-n // FAN_IN), "part").mapInPandas(_mean, _WEIGHTS), "lm-weights")
         parts = sorted(got.collect(), key=lambda r: r["part"])  # AT_DRIVER vectors of fixed size at most
         if parts:
-            weights = next(_mean(iter([pd.DataFrame([r.asDict() for r in parts])])))["weights"][0]
-    return gru.from_vector(np.frombuffer(weights, np.float32))
+            every.append(next(_mean(iter([pd.DataFrame([r.asDict() for r in parts])])))["weights"][0])
+    likely = _log_sums(training.filter(_held_back()), every, vocab)
+    return gru.from_vector(np.frombuffer(every[int(np.argmax(likely))], np.float32))
+
+
+def _log_sums(encoded: DataFrame, every: list[bytes], vocab: Vocabulary) -> list[float]:
+    """Log-probability of all rows under each of some weights."""
+    end, shared = vocab.words.index(END), encoded.sparkSession.sparkContext.broadcast(every)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        models = [gru.from_vector(np.frombuffer(w, np.float32)) for w in shared.value]
+        for pdf in batches:
+            for _, block in _blocks(pdf["ids"]):
+                lanes = gru.Lanes.deal(block, end)
+                yield pd.DataFrame({"model": range(len(models)), "log": [gru.score(p, lanes, len(block)).sum() for p in models]})
+    rows = encoded.select("ids").mapInPandas(run, struct_of(model=T.IntegerType(), log=T.DoubleType()))
+    got = {r["model"]: r["log"] for r in rows.groupBy("model").agg(F.sum("log").alias("log")).collect()}
+    return [got.get(i, 0.0) for i in range(len(every))]
 
 
 _SCORED = struct_of(uid=T.LongType(), doc_id=T.LongType(), held_out=T.BooleanType(), n_tokens=T.LongType(),
                     known=T.LongType(), base=T.DoubleType(), score=T.DoubleType(), rare=T.BinaryType())
 
 
-def _score(vocab, weights):
+def _score(end: int | None, weights):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        v = vocab.value
-        v.tables()
-        end = int(v.input[v.lookup[END]]) if END in v.lookup else None
         p = gru.from_vector(np.frombuffer(weights.value, np.float32))
-        uid = TaskContext.get().partitionId() << 40
-        rows, block, held = [], [], 0
+        held, size = [], 0
 
         def flush() -> pd.DataFrame:
-            nonlocal rows, block, held
-            log = gru.score(p, gru.Lanes.deal(block, end), len(block)) if end is not None and block else np.zeros(len(rows))
-            out = pd.DataFrame(rows, columns=["uid", "doc_id", "held_out", "n_tokens", "known", "base", "score", "rare"])
-            out["score"] = out["score"].astype(float) + log / math.log(10)
-            rows, block, held = [], [], 0
-            return out.astype({"doc_id": "Int64"})
+            pdf = pd.concat(held, ignore_index=True)
+            block = [np.frombuffer(raw, np.int16) for raw in pdf["ids"]]
+            log = gru.score(p, gru.Lanes.deal(block, end), len(block)) if end is not None else np.zeros(len(block))
+            pdf["score"] = pdf["share"] + log / math.log(10)
+            held.clear()
+            return pdf[[f.name for f in _SCORED]].astype({"doc_id": "Int64"})
         for pdf in batches:
-            for doc, apart, text in zip(pdf["doc_id"].array, pdf["held_out"], pdf["text"], strict=True):
-                tokens = _tokens(text)
-                r = v.ranks(tokens)
-                hit = r[r >= 0]
-                rare = [tokens[i] for i in np.flatnonzero(r < 0).tolist()]  # words hold no space
-                rows.append((uid, doc, apart, len(tokens), len(hit), float(v.base[hit].sum()), float(v.share[hit].sum()),
-                             b" ".join(rare) if rare else None))
-                block.append(v.inputs(r))
-                uid, held = uid + 1, held + len(r)
-                if held >= BLOCK:
+            for part, block in _blocks(pdf["ids"]):  # a block takes as many steps as its longest document
+                held.append(pdf.iloc[part])
+                size += sum(map(len, block))
+                if size >= BLOCK:
                     yield flush()
-        yield flush()
+                    size = 0
+        if held:
+            yield flush()
     return run
 
 
-def lm_scores(docs: DataFrame) -> DataFrame:
+def lm_scores(docs: DataFrame, rounds=ROUNDS) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, held_out (not learned from), n_tokens,
     n_known, train_tokens, base_score and score, both log10 probabilities.
 
     A null text is empty: its one token is the end. A null id counts as remainder 0 and so is
     held out. Repeated rows are documents each. Where nothing is learned from, both scores are
-    0. Other columns are ignored; an empty table gives no rows."""
+    0; without ``rounds`` the start weights score. Other columns are ignored; an empty table gives no rows."""
     spark = docs.sparkSession
     base = docs.select(or_null(docs, "doc_id", "long").alias("doc_id"), or_null(docs, "text", "string").alias("text"))
     base = base.withColumn("held_out", crc_remainder(F.col("doc_id"), 10) == 0)
-    training = base.filter(~F.col("held_out")).select("doc_id", "text")
     counts = materialise(
-        training.select("text").mapInPandas(_count, struct_of(word=T.BinaryType(), c=T.LongType()))
+        base.filter(~F.col("held_out")).select("text").mapInPandas(_count, struct_of(word=T.BinaryType(), c=T.LongType()))
         .groupBy("word").agg(F.sum("c").alias("c")), "lm-counts")
     vocab, least = vocabulary(counts)
-    weights = train(training, vocab) if vocab.total else vocab.start()
-    scored = materialise(base.mapInPandas(_score(
-        spark.sparkContext.broadcast(vocab), spark.sparkContext.broadcast(gru.to_bytes(weights))), _SCORED), "lm-scored")
+    encoded = materialise(base.mapInPandas(_encode(spark.sparkContext.broadcast(vocab)), _ENCODED), "lm-encoded")
+    weights = train(encoded, vocab, rounds) if vocab.total else vocab.start()
+    end = vocab.words.index(END) if vocab.total else None
+    scored = materialise(encoded.mapInPandas(_score(end, spark.sparkContext.broadcast(gru.to_bytes(weights))), _SCORED), "lm-scored")
     # one row per occurrence of a rare word (the end is rare only where nothing was learned)
     parts = F.split(F.col("rare").cast("string"), " ")
     rare = (scored.filter("rare is not null").select("uid", F.explode(parts).alias("word"))
