@@ -456,6 +456,28 @@ def q_map_semantic(spark, sf_dir, **kw):
                       F.round("score", 4).alias("similarity_score")))
 
 
+def q_map_semantic_lsh(spark, sf_dir):
+    """I4 / C16 approximate: ``map_semantic`` with partners found by hashing, scored exactly."""
+    from ..operators.lsh import nearest_lsh
+    v = _vectors(Tables(spark, sf_dir))
+    nn = nearest_lsh(v.select(F.col("vec_id").alias("source_id"), "vec"), v.select(F.col("vec_id").alias("neighbour_id"), "vec"),
+                     "source_id", "neighbour_id", exclude_self=True)
+    labels = v.select(F.col("vec_id").alias("neighbour_id"), F.col("label").alias("matched_label"))
+    hit = F.col("score") >= VEC_THRESHOLD
+    return nn.join(labels, "neighbour_id").select(
+        F.col("source_id").alias("vec_id"), F.when(hit, F.col("neighbour_id")).alias("concept_id"),
+        F.when(hit, F.col("matched_label")).alias("matched_label"), F.round("score", 4).alias("similarity_score"))
+
+
+def q_lsh_recall(spark, sf_dir):
+    """How many vectors that the exact join maps have the same partner by hashing."""
+    exact, found = (q(spark, sf_dir).where(F.col("concept_id").isNotNull()).select("vec_id", "concept_id")
+                    for q in (q_map_semantic, q_map_semantic_lsh))
+    both = exact.join(found.withColumn("same", F.lit(1)), ["vec_id", "concept_id"], "left")
+    return both.agg(F.count(F.lit(1)).alias("n_mapped"), F.count("same").alias("n_found")).withColumn(
+        "recall", F.when(F.col("n_mapped") > 0, F.round(F.col("n_found") / F.col("n_mapped"), 4)))
+
+
 #: The plan for candidates beyond the broadcast bound, with blocks that the test tables fill.
 BLOCKED = {"strategy": "blocked", "block_rows": 150, "src_block_rows": 400}
 
@@ -815,6 +837,8 @@ QUERIES = {
     "map_levenshtein": q_map_levenshtein,
     "map_semantic": q_map_semantic,
     "map_semantic_blocked": q_map_semantic_blocked,
+    "map_semantic_lsh": q_map_semantic_lsh,
+    "lsh_recall": q_lsh_recall,
     "similar_concepts_blocked": q_similar_concepts_blocked,
     "similar_concepts": q_similar_concepts,
     "cosine": q_cosine,

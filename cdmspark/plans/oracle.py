@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from ..functions import rules as R
 from ..functions.text import ABBREVIATIONS
+from ..operators.lsh import BITS, FLIPS, SEED, TABLES
 from ..operators.sparse import IDF_SCALE, SPARSE_DIM
 from . import catalog as C
 from .roles import EXISTING_CONDITION_BEFORE, EXISTING_VISIT_BEFORE, duck_ctes
@@ -726,3 +727,27 @@ FROM m LEFT JOIN concepts c ON c.concept_id =
   CASE WHEN m.matching_strategy = 'exact_match' THEN m.eid WHEN m.matching_strategy IS NOT NULL THEN m.ck END"""),
     "map_semantic_sparse": "SELECT * FROM (" + SQL["map_source"] + ") WHERE concept_id IS NOT NULL",
 })
+
+
+# --------------------------------------------------------------------------- nearest by hashing
+_LSH = _VEC + f""",
+cut AS (SELECT t, b, list((('0x' || substr(md5('{SEED}:' || t || ':' || b || ':' || d), 1, 8))::BIGINT / 2147483648.0) - 1 ORDER BY d) AS p
+  FROM (SELECT unnest(range({TABLES})) AS t), (SELECT unnest(range({BITS})) AS b), (SELECT unnest(range(64)) AS d) GROUP BY t, b),
+side AS (SELECT e.vec_id, c.t, c.b, list_dot_product(e.v, c.p) AS m FROM e, cut c),
+slot AS (SELECT vec_id, t, sum(CASE WHEN m > 0 THEN 1 << b ELSE 0 END)::BIGINT AS own,
+    sum(CASE WHEN near <= {FLIPS} THEN 1 << b ELSE 0 END)::BIGINT AS free
+  FROM (SELECT *, row_number() OVER (PARTITION BY vec_id, t ORDER BY abs(m), b) AS near FROM side) GROUP BY vec_id, t),
+met AS (SELECT DISTINCT a.vec_id, b.vec_id AS nid FROM slot a JOIN slot b
+  ON a.t = b.t AND (a.own & ({(1 << BITS) - 1} - a.free)) = (b.own & ({(1 << BITS) - 1} - a.free)) AND a.vec_id <> b.vec_id),
+close AS (SELECT p.*, row_number() OVER (PARTITION BY p.vec_id ORDER BY p.s DESC, p.nid) AS rk
+  FROM pairs p JOIN met m ON m.vec_id = p.vec_id AND m.nid = p.nid)"""
+
+SQL.update({
+    "map_semantic_lsh": W(_LSH, f"""SELECT vec_id,
+  CASE WHEN s >= {C.VEC_THRESHOLD} THEN nid END AS concept_id, CASE WHEN s >= {C.VEC_THRESHOLD} THEN nlabel END AS matched_label,
+  round(s, 4) AS similarity_score FROM close WHERE rk = 1"""),
+    "lsh_recall": W(_LSH, f"""SELECT count(*) AS n_mapped, count(c.nid) AS n_found,
+  CASE WHEN count(*) > 0 THEN round(count(c.nid) / count(*), 4) END AS recall
+FROM ranked r LEFT JOIN close c ON c.vec_id = r.vec_id AND c.nid = r.nid AND c.rk = 1
+WHERE r.rk = 1 AND r.s >= {C.VEC_THRESHOLD}"""),
+})
