@@ -6,9 +6,10 @@ Exact, with lossless pruning and without materialising candidate pairs as rows:
 2. A ratio of at least ``cutoff - 0.5`` needs ``2 * min(len) / (len_a + len_b)`` at least
    that much, so each source only meets candidates in a length band (binary search on
    the length-sorted candidates), then a shared-character bound, then ``difflib``.
-3. Plans as in the nearest join: the candidate names are size-checked and broadcast
-   (source partitions scored in place), or both sides are hash-blocked and met in
-   co-group tasks, each keeping its best per source; a final window keeps the best.
+3. Plans: the candidate names are size-checked and broadcast (source partitions scored in
+   place); beyond the bound, pairs that may reach the cut-off are found by length and shared
+   characters (``ratio_join``) and only they are scored.  A cut-off of 0, which nothing can
+   miss, has both sides hash-blocked and met in co-group tasks.
 
 Ties: higher score, then the candidate whose original name sorts first, then for that
 name the highest concept id.
@@ -26,6 +27,7 @@ from pyspark.sql import types as T
 
 from ..functions.similarity import clean_py, ratio_py, ratio_upper_bound
 from ..functions.text import full_process
+from .ratio_join import ratio_pairs
 
 MAX_BROADCAST_BYTES = 128 * 1024 * 1024
 BLOCK_ROWS = 20_000          # candidate names per block in the blocked plan
@@ -87,8 +89,10 @@ def fuzzy_match(src: DataFrame, value_col: str, concepts: DataFrame, name_col: s
         fits = (st["b"] or 0) + 16 * (st["n"] or 0) <= max_broadcast_bytes
         if strategy == "broadcast" and not fits:
             raise ValueError("the names exceed max_broadcast_bytes: use strategy 'auto' or 'blocked'")
-        strategy = "broadcast" if fits else "blocked"
-    if strategy == "broadcast":
+        strategy = "broadcast" if fits else "bucketed" if cutoff > 0 else "blocked"
+    if strategy == "bucketed":
+        best = _bucketed(srcs, cand, cutoff)
+    elif strategy == "broadcast":
         pdf = cand.select("clean", "rank").toPandas()
         bc = src.sparkSession.sparkContext.broadcast(pdf)
 
@@ -122,6 +126,23 @@ def fuzzy_match(src: DataFrame, value_col: str, concepts: DataFrame, name_col: s
     return out.drop("_clean", "cand_rank").withColumnRenamed("score", "fuzzy_score")
 
 
+def _bucketed(srcs: DataFrame, cand: DataFrame, cutoff: int) -> DataFrame:
+    """(clean_src, cand_rank, score): equal texts score 100, other pairs that pass the bounds are scored."""
+    names = cand.select("clean", "rank")
+    same = srcs.join(names, srcs["clean_src"] == names["clean"]).select("clean_src", F.col("rank").alias("cand_rank"), F.lit(100).alias("score"))
+    pairs = ratio_pairs(srcs, "clean_src", names, "clean", (cutoff - 0.5) / 100.0).where("a <> b")
+    scored = (pairs.join(names, pairs["b"] == names["clean"])
+              .select(F.col("a").alias("clean_src"), F.col("rank").alias("cand_rank"), _ratio("a", "b").alias("score")))
+    best = F.min_by(F.struct("cand_rank", "score"), F.struct(-F.col("score"), F.col("cand_rank")))
+    every = same.union(scored.where(F.col("score") >= cutoff))
+    return every.groupBy("clean_src").agg(best.alias("x")).select("clean_src", "x.cand_rank", "x.score")
+
+
+@F.pandas_udf(T.IntegerType())
+def _ratio(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series([ratio_py(x, y) for x, y in zip(a, b, strict=True)], dtype="int32")
+
+
 def levenshtein_match(src: DataFrame, value_col: str, concepts: DataFrame, threshold: float = 0.8,
                       name_col: str = "concept_name", id_col: str = "concept_id") -> DataFrame:
     """Best name by edit ratio ``1 - distance / longer length`` at or above ``threshold``, as one

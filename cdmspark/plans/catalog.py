@@ -418,14 +418,30 @@ def q_map_code(spark, sf_dir):
                     "matched_concept_name", "matched_domain")
 
 
-def q_map_fuzzy(spark, sf_dir):
+def q_map_fuzzy(spark, sf_dir, strategy="auto"):
     from ..operators import mapping as M
     t = Tables(spark, sf_dir)
-    m = M.fuzzy(_proc_rows(t), "procedure_source_value", _concepts(t), cutoff=FUZZY_CUTOFF)
+    m = M.fuzzy(_proc_rows(t), "procedure_source_value", _concepts(t), cutoff=FUZZY_CUTOFF, strategy=strategy)
     return m.select("procedure_occurrence_id", F.col("procedure_source_value").alias("source_value"),
                     "concept_id", "matched_concept_name", "fuzzy_score")
 
 
+def q_map_fuzzy_bucketed(spark, sf_dir):
+    """C15 beyond the broadcast bound: pairs found by length and shared characters."""
+    return q_map_fuzzy(spark, sf_dir, "bucketed")
+
+
+def q_fuzzy_candidates(spark, sf_dir):
+    """Per cleaned source value, how many names pass the bounds and are scored."""
+    from ..functions.text import full_process
+    from ..operators.ratio_join import ratio_pairs
+    t = Tables(spark, sf_dir)
+    values = _proc_rows(t).select(full_process(F.col("procedure_source_value")).alias("v")).where(F.col("procedure_source_value").isNotNull())
+    names = _concepts(t).where(F.col("concept_name").isNotNull()).select(full_process(F.col("concept_name")).alias("c"))
+    pairs = ratio_pairs(values, "v", names, "c", (FUZZY_CUTOFF - 0.5) / 100.0)
+    return pairs.groupBy(F.col("a").alias("clean_value")).agg(F.count(F.lit(1)).alias("n_candidates"))
+
+
 def q_map_levenshtein(spark, sf_dir):
     """C15 by edit distance: exact best name at a ratio of 0.8, segments joined, no pairs listed."""
     from ..operators.fuzzy import levenshtein_match
@@ -834,6 +850,8 @@ QUERIES = {
     "map_exact": q_map_exact,
     "map_code": q_map_code,
     "map_fuzzy": q_map_fuzzy,
+    "map_fuzzy_bucketed": q_map_fuzzy_bucketed,
+    "fuzzy_candidates": q_fuzzy_candidates,
     "map_levenshtein": q_map_levenshtein,
     "map_semantic": q_map_semantic,
     "map_semantic_blocked": q_map_semantic_blocked,

@@ -751,3 +751,27 @@ SQL.update({
 FROM ranked r LEFT JOIN close c ON c.vec_id = r.vec_id AND c.nid = r.nid AND c.rk = 1
 WHERE r.rk = 1 AND r.s >= {C.VEC_THRESHOLD}"""),
 })
+
+
+# --------------------------------------------------------------------------- bounds of the edit ratio
+_NEED = (C.FUZZY_CUTOFF - 0.5) / 100.0
+
+
+def _shared(width: int) -> str:
+    """Common tokens of a pair, by multiset: the smaller count of each."""
+    cut = lambda t: f"(SELECT {t}, substr({t}, i, {width}) AS x, count(*) AS n FROM (SELECT {t}, unnest(range(1, length({t}) - {width} + 2)) AS i FROM {t}s) GROUP BY ALL)"
+    return f"SELECT p.v, q.c, sum(least(p.n, q.n)) AS k FROM {cut('v')} p JOIN {cut('c')} q ON p.x = q.x GROUP BY p.v, q.c"
+
+
+def _full_process(c: str) -> str:
+    return f"trim(lower(regexp_replace({c}, '[^{_WORD}]', ' ', 'g')))"
+
+
+SQL["fuzzy_candidates"] = W(_concepts_sql() + f""",
+vs AS (SELECT DISTINCT {_full_process('procedure_source_value')} AS v FROM procedure_src WHERE procedure_source_value IS NOT NULL),
+cs AS (SELECT DISTINCT {_full_process('concept_name')} AS c FROM concepts WHERE concept_name IS NOT NULL),
+ones AS ({_shared(1)}), twos AS ({_shared(2)}),
+need AS (SELECT v, c, length(v) + length(c) AS total, ceil((length(v) + length(c)) * {_NEED / 2} - 1e-9) AS m FROM vs, cs)""",
+    """SELECT n.v AS clean_value, count(*) AS n_candidates FROM need n JOIN ones o ON o.v = n.v AND o.c = n.c
+LEFT JOIN twos t ON t.v = n.v AND t.c = n.c
+WHERE o.k >= n.m AND coalesce(t.k, 0) >= 3 * n.m - n.total - 1 AND least(length(n.v), length(n.c)) >= n.m GROUP BY n.v""")
