@@ -139,6 +139,36 @@ def q_load_visit_dirty(spark, sf_dir):
     return jobs.load_visit(p.t.dirty_visit_src(), p.persons())
 
 
+def _ledger(spark, sf_dir) -> tuple[str, dict]:
+    """A dirty visit source loaded with its rejects, and the same load run again."""
+    from .run import load_table
+    p, path, stats = P(spark, sf_dir), scratch_path(spark, f"ledger/{uuid.uuid4().hex}"), []
+    for _ in range(2):
+        rows, lost = jobs.load_visit_split(p.t.dirty_visit_src(), p.persons())
+        stats.append(load_table(spark, rows, f"visits_{uuid.uuid4().hex}", "visit_occurrence", path=path, rejects=lost, load="first"))
+    return path, stats[0]
+
+
+def q_load_ledger(spark, sf_dir):
+    """A9 + A10: what one job with rejects, run twice, has loaded."""
+    from ..sources.ledger import loaded_rows
+    return loaded_rows(spark, _ledger(spark, sf_dir)[0], S.VISIT_OCCURRENCE).drop("load")
+
+
+def q_load_ledger_rejects(spark, sf_dir):
+    """A10: the rejects of that job, with their numbers of rows."""
+    from ..sources.ledger import loaded_rejects
+    return loaded_rejects(spark, _ledger(spark, sf_dir)[0]).drop("load")
+
+
+def q_load_ledger_stats(spark, sf_dir):
+    """A10: loaded and rejected rows against the input's."""
+    stats = _ledger(spark, sf_dir)[1]
+    n = Tables(spark, sf_dir).dirty_visit_src().count()
+    return spark.createDataFrame([(n, stats["inserted"], stats["rejected"], n == stats["inserted"] + stats["rejected"])],
+                                 "input bigint, loaded bigint, rejected bigint, complete boolean")
+
+
 def q_load_person_duplicates(spark, sf_dir):
     """J2 on a source that registers persons twice: one row each, the earliest birth."""
     p = P(spark, sf_dir)
@@ -214,6 +244,31 @@ def q_observation_period(spark, sf_dir):
     return jobs.observation_period(p.t.encounter_src(), p.persons(), gap_days=OBS_GAP_DAYS)
 
 
+CLUSTER_ROWS = 300          # rows of a file, so that the test tables fill several
+LOOKUP_PERSONS = (400, 460)  # a range of person ids
+
+
+def _clustered(spark, sf_dir) -> str:
+    from ..session import persist_reliably
+    from ..sources.clustered import write_clustered
+    periods = persist_reliably(q_observation_period(spark, sf_dir))
+    path = scratch_path(spark, f"clustered/{uuid.uuid4().hex}")
+    write_clustered(periods, path, ["person_id", "observation_period_start_date"], periods.count(), CLUSTER_ROWS)
+    return path
+
+
+def q_observation_period_clustered(spark, sf_dir):
+    """the periods written in files by range of (person, start) and read back."""
+    from ..sources.clustered import read_clustered
+    return read_clustered(spark, _clustered(spark, sf_dir), "person_id")
+
+
+def q_period_lookup_clustered(spark, sf_dir):
+    """the periods of a range of persons, from the files that may hold them."""
+    from ..sources.clustered import read_clustered
+    return read_clustered(spark, _clustered(spark, sf_dir), "person_id", *LOOKUP_PERSONS)
+
+
 def q_observation_period_floor(spark, sf_dir):
     p = P(spark, sf_dir)
     return jobs.observation_period(p.t.encounter_src(), p.persons(), gap_days=OBS_GAP_DAYS, date_floor=OBS_FLOOR)
@@ -809,6 +864,9 @@ QUERIES = {
     "limit_visit": q_limit_visit,
     "load_visit_rejects": q_load_visit_rejects,
     "load_visit_dirty": q_load_visit_dirty,
+    "load_ledger": q_load_ledger,
+    "load_ledger_rejects": q_load_ledger_rejects,
+    "load_ledger_stats": q_load_ledger_stats,
     "load_person_duplicates": q_load_person_duplicates,
     "load_visit_resume": q_load_visit_resume,
     "load_condition": q_load_condition,
@@ -823,6 +881,8 @@ QUERIES = {
     "obs_flag": q_obs_flag,
     "obs_group": q_obs_group,
     "observation_period": q_observation_period,
+    "observation_period_clustered": q_observation_period_clustered,
+    "period_lookup_clustered": q_period_lookup_clustered,
     "observation_period_floor": q_observation_period_floor,
     "observation_period_id": q_observation_period_id,
     "observation_period_chunked": q_observation_period_chunked,

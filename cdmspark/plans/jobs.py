@@ -18,6 +18,7 @@ from ..operators.contract import checked, good, one_per_key, rejects
 from ..operators.dense_id import dense_ids
 from ..operators.incremental import new_rows, with_preceding
 from ..operators.islands import HOT_ROWS, islands
+from ..sources.ledger import split_once
 
 
 def _null(t: str) -> Column:
@@ -93,11 +94,15 @@ def eligible_visits(src: DataFrame, persons: DataFrame, start_after: int | None
 
 def load_visit(src: DataFrame, persons: DataFrame, existing: DataFrame | None = None,
                seed: bool = True, order_by: str | None = None, start_after: int | None = None,
-               concept_ids: dict[str, Column] | None = None, first: int | None = None) -> DataFrame:
+               concept_ids: dict[str, Column] | None = None, first: int | None = None,
+               eligible: DataFrame | None = None) -> DataFrame:
     """J3.  ``concept_ids`` may supply mapped columns (visit/admitted/discharged);
     otherwise the rule maps H4-H6 are used.  ``first`` (F1) loads the visits with the least
-    ids only; a visit's predecessor has a smaller id, so the limit may come before the window."""
-    x = new_rows(eligible_visits(src, persons, start_after), existing, ["visit_occurrence_id"])
+    ids only; a visit's predecessor has a smaller id, so the limit may come before the window.
+    ``eligible`` may hold the checked rows of the source, one per id."""
+    if eligible is None:
+        eligible = eligible_visits(src, persons, start_after)
+    x = new_rows(eligible, existing, ["visit_occurrence_id"])
     if first is not None:
         x = x.orderBy("visit_occurrence_id").limit(first)
     cm = concept_ids or {}
@@ -123,6 +128,13 @@ def load_visit(src: DataFrame, persons: DataFrame, existing: DataFrame | None =
     return conform(out, S.VISIT_OCCURRENCE)
 
 
+def load_visit_split(src: DataFrame, persons: DataFrame, existing: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(visits, rejects) from one evaluation of the source; already loaded visits are neither."""
+    rows, lost = split_once(check_visit(src), "visit_occurrence_id", [F.col("visit_start_datetime"), F.col("visit_end_datetime")],
+                            persons)
+    return load_visit(src, persons, existing=existing, eligible=rows), lost
+
+
 # --------------------------------------------------------------------- J4 condition
 def _before_floor(tagged: DataFrame, col: str, date_floor: str | None) -> DataFrame:
     """Good rows on or before the floor become rejects too."""

@@ -775,3 +775,17 @@ need AS (SELECT v, c, length(v) + length(c) AS total, ceil((length(v) + length(c
     """SELECT n.v AS clean_value, count(*) AS n_candidates FROM need n JOIN ones o ON o.v = n.v AND o.c = n.c
 LEFT JOIN twos t ON t.v = n.v AND t.c = n.c
 WHERE o.k >= n.m AND coalesce(t.k, 0) >= 3 * n.m - n.total - 1 AND least(length(n.v), length(n.c)) >= n.m GROUP BY n.v""")
+
+
+# --------------------------------------------------------------------------- loads with rejects, clustered files
+SQL.update({
+    "load_ledger": SQL["load_visit_dirty"],
+    "load_ledger_rejects": f"""SELECT source_key, reject_reason, CAST(sum(n_rows) AS BIGINT) AS n_rows
+FROM ({SQL['load_visit_rejects']}) GROUP BY source_key, reject_reason""",
+    "load_ledger_stats": f"""SELECT (SELECT count(*) FROM ({SQL['load_visit_dirty']})) + rejected AS input,
+  (SELECT count(*) FROM ({SQL['load_visit_dirty']})) AS loaded, rejected, true AS complete
+FROM (SELECT CAST(sum(n_rows) AS BIGINT) AS rejected FROM ({SQL['load_visit_rejects']}))""",
+    "observation_period_clustered": SQL["observation_period"],
+    "period_lookup_clustered": f"""SELECT * FROM ({SQL['observation_period']})
+WHERE person_id BETWEEN {C.LOOKUP_PERSONS[0]} AND {C.LOOKUP_PERSONS[1]}""",
+})
