@@ -26,10 +26,6 @@ _SHAPES = {"x": (INPUTS, 3 * HIDDEN), "u": (HIDDEN, 3 * HIDDEN), "wc": (HIDDEN,
            "ww": (HEADS, HIDDEN, WIDTH), "bw": (HEADS, WIDTH)}
 
 
-def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
-
-
 def start(class_share: np.ndarray, word_share: np.ndarray) -> dict[str, np.ndarray]:
     """Weights that give the shares of classes, and of words in head classes, at any state."""
     rng = np.random.default_rng(11)
@@ -120,33 +116,65 @@ def _by_class(cls: np.ndarray):
     return [(c, order[cut[c]:cut[c + 1]]) for c in range(HEADS) if cut[c + 1] > cut[c]]
 
 
-def _step(p, feed, first, h):
-    a = p["x"][feed]
-    if first.any():
+def _step(p, a, first, h):
+    """New states from ``a``, the inputs' rows of the gates; ``first`` marks new documents (None: there are none)."""
+    if first is not None:
         h = np.where(first[:, None], np.float32(0), h)
     g = h @ p["u"]
-    zr = sigmoid(a[:, :2 * HIDDEN] + g[:, :2 * HIDDEN])
+    zr = a[:, :2 * HIDDEN] + g[:, :2 * HIDDEN]
+    np.negative(zr, out=zr)
+    np.exp(zr, out=zr)
+    zr += 1
+    np.reciprocal(zr, out=zr)
     z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
-    n = np.tanh(a[:, 2 * HIDDEN:] + r * g[:, 2 * HIDDEN:])
-    return n + z * (h - n), (h, z, r, n, g[:, 2 * HIDDEN:])
+    n = r * g[:, 2 * HIDDEN:]
+    n += a[:, 2 * HIDDEN:]
+    np.tanh(n, out=n)
+    new = h - n
+    new *= z
+    new += n
+    return new, (h, z, r, n, g[:, 2 * HIDDEN:])
+
+
+def _log_prob(a: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Log-probability of place ``at`` in each row of logits ``a``, which is used up."""
+    np.clip(a, -30, 30, out=a)
+    own = a[np.arange(len(a)), at]
+    np.exp(a, out=a)
+    return own - np.log(a @ np.ones(a.shape[1], a.dtype))
+
+
+def _states(p: dict, lanes: Lanes, lo: int, hi: int, h: np.ndarray, kept: list | None = None) -> list[np.ndarray]:
+    """States of steps ``lo`` to ``hi``, from ``h`` before them."""
+    at, states = lanes.at, []
+    base = at[lo]
+    a, new = p["x"][lanes.feed[base:at[hi]]], np.logical_or.reduceat(lanes.first[base:at[hi]], at[lo:hi] - base)
+    for t, starts in zip(range(lo, hi), new.tolist(), strict=True):
+        i, j = at[t], at[t + 1]
+        h, memo = _step(p, a[i - base:j - base], lanes.first[i:j] if starts else None, h[:j - i])
+        states.append(h)
+        if kept is not None:
+            kept.append(memo)
+    return states
 
 
 def score(p: dict, lanes: Lanes, n_docs: int, slab: int = 16) -> np.ndarray:
-    """Natural log-probability of each document's classes, and words in head classes."""
+    """Natural log-probability of each document's classes, and words in head classes; classes are
+    looked at for as many places at a time as ``slab`` steps of all lanes have."""
     total, h, at = np.zeros(n_docs), np.zeros((lanes.width, HIDDEN), np.float32), lanes.at
-    for lo in range(0, lanes.steps, slab):
-        states, hi = [], min(lo + slab, lanes.steps)
-        for t in range(lo, hi):
-            own = slice(at[t], at[t + 1])
-            h, _ = _step(p, lanes.feed[own], lanes.first[own], h[:at[t + 1] - at[t]])
-            states.append(h)
+    lo = 0
+    while lo < lanes.steps:
+        hi = min(max(lo + 1, int(np.searchsorted(at, at[lo] + slab * lanes.width, "right")) - 1), lanes.steps)
+        states = _states(p, lanes, lo, hi, h)
+        h = states[-1]
         s, own = np.concatenate(states), slice(at[lo], at[hi])
         want = lanes.want[own]
         cls = class_of(want)
-        lp = _softmax(s @ p["wc"] + p["bc"], cls)[1]
+        lp = _log_prob(s @ p["wc"] + p["bc"], cls)
         for c, rows in _by_class(cls):
-            lp[rows] += _softmax(s[rows] @ p["ww"][c] + p["bw"][c], want[rows] - c * WIDTH)[1]
+            lp[rows] += _log_prob(s[rows] @ p["ww"][c] + p["bw"][c], want[rows] - c * WIDTH)
         total += np.bincount(lanes.doc[own], lp, n_docs)
+        lo = hi
     return total
 
 
@@ -172,12 +200,9 @@ class Trainer:
             h = self._window(lanes, lo, min(lo + WINDOW, lanes.steps), h)
 
     def _window(self, lanes: Lanes, lo: int, hi: int, h: np.ndarray) -> np.ndarray:
-        p, kept, states, at = self.p, [], [], lanes.at
-        for t in range(lo, hi):
-            own = slice(at[t], at[t + 1])
-            h, memo = _step(p, lanes.feed[own], lanes.first[own], h[:at[t + 1] - at[t]])
-            kept.append(memo)
-            states.append(h)
+        p, kept, at = self.p, [], lanes.at
+        states = _states(p, lanes, lo, hi, h, kept)
+        h = states[-1]
         s, want = np.concatenate(states), lanes.want[at[lo]:at[hi]]
         cls = class_of(want)
         d, lp = _softmax(s @ p["wc"] + p["bc"], cls)

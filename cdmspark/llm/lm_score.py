@@ -44,6 +44,8 @@ SHARD, STEPS, FEW_LANES, PASSES = 4_000_000, 250, 32, 4
 #: Rounds of training: which shards by their number modulo 4, and Adagrad's rate. Fewer than
 #: four shards take part in every round.
 ROUNDS = (((0,), 0.1), ((1, 2, 3), 0.1))
+#: Tokens from which training cuts a document, so that no lane runs on alone; scoring cuts none.
+PIECE = 4096
 #: One training document in so many is held back to choose the weights by.
 HELD_BACK = 64
 #: Weight vectors that one task adds up, and that reach the driver at most.
@@ -167,16 +169,23 @@ def _encode(vocab):
         uid = TaskContext.get().partitionId() << 40
         for pdf in batches:
             for at in range(0, len(pdf), 512):
-                part, rows = pdf.iloc[at:at + 512], []
-                for doc, apart, text in zip(part["doc_id"].array, part["held_out"], part["text"], strict=True):
-                    tokens = _tokens(text)
-                    r = v.ranks(tokens)
-                    hit = r[r >= 0]
-                    rare = [tokens[i] for i in np.flatnonzero(r < 0).tolist()]  # words hold no space
-                    rows.append((uid, doc, apart, len(tokens), len(hit), float(v.base[hit].sum()), float(v.share[hit].sum()),
-                                 b" ".join(rare) if rare else None, v.inputs(r).astype(np.int16).tobytes()))
-                    uid += 1
-                yield pd.DataFrame(rows, columns=[f.name for f in _ENCODED]).astype({"doc_id": "Int64"})
+                part = pdf.iloc[at:at + 512]
+                own = [_tokens(t) for t in part["text"]]
+                size = np.array([len(t) for t in own])
+                words = [w for t in own for w in t]
+                r, first = v.ranks(words), np.cumsum(size) - size
+                ids, hit = v.inputs(r).astype(np.int16), r >= 0
+                known = np.maximum(r, 0)
+                sums = [np.add.reduceat(np.where(hit, x[known], 0.0), first) for x in (v.base, v.share)]
+                miss = np.flatnonzero(~hit)
+                cut = np.searchsorted(miss, [*first, len(words)])
+                yield pd.DataFrame({
+                    "uid": np.arange(uid, uid + len(part)), "doc_id": part["doc_id"].astype("Int64").array,
+                    "held_out": part["held_out"].to_numpy(), "n_tokens": size, "known": np.add.reduceat(hit.astype(np.int64), first),
+                    "base": sums[0], "share": sums[1],  # words hold no space
+                    "rare": [b" ".join([words[i] for i in miss[a:b].tolist()]) if b > a else None for a, b in zip(cut, cut[1:], strict=False)],
+                    "ids": [ids[a:a + n].tobytes() for a, n in zip(first.tolist(), size.tolist(), strict=True)]})
+                uid += len(part)
     return run
 
 
@@ -205,7 +214,8 @@ def _train(vocab, weights, rate: float):
         trainer = gru.Trainer(gru.from_vector(np.frombuffer(weights.value, np.float32)), rate, lanes)
         for _ in range(passes):
             for _, block in _blocks(pdf["ids"]):
-                trainer.run(gru.Lanes.deal(block, end, lanes))
+                cut = [x[i:i + PIECE] for x in block for i in range(0, len(x), PIECE)]
+                trainer.run(gru.Lanes.deal(cut, end, lanes))
         return pd.DataFrame({"part": [int(key[0])], "tokens": [trainer.tokens], "loss": [trainer.loss],
                              "weights": [gru.to_bytes(trainer.p)]})
     return run
