@@ -1,9 +1,10 @@
 """Connected components by alternating large-star and small-star rounds.
 
-Every round is a pre-aggregated minimum per node and a join back, so a hub with a third of
-all edges is summed map-side and its join partitions are split at run time. Each round is
-written to the shared checkpoint folder, in fewer files than a shuffle has partitions, which
-cuts the lineage and keeps plans small.
+Every round is a pre-aggregated minimum per node and a join back. Nodes that hold over a
+thousandth of all edge ends, fewer than a thousand, are joined by broadcast, so that no hub's
+edges meet in one task; any other key holds few of them. Each round is written to the shared
+checkpoint folder, in fewer files than a shuffle has partitions, which cuts the lineage and
+keeps plans small.
 """
 
 from __future__ import annotations
@@ -14,19 +15,29 @@ from pyspark.sql import functions as F
 from cdmspark.llm.common import materialise
 
 MAX_ROUNDS = 60
+#: A node with more than one in so many of all edge ends is a hub.
+HUB_SHARE = 1000
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _with_least(rows: DataFrame, least: DataFrame, ends: int) -> DataFrame:
+    """``rows`` (a, b) with the minimum m of their node a; ``least`` is (a, m, n), n the rows of a."""
+    cut = ends // HUB_SHARE
+    hubs = F.broadcast(least.filter(F.col("n") > cut).select("a", "m"))    # fewer than HUB_SHARE nodes
+    few = least.filter(F.col("n") <= cut).select("a", "m")
+    return rows.join(hubs, "a").unionByName(rows.join(hubs.select("a"), "a", "left_anti").join(few, "a"))
+
+
+def _large_star(edges: DataFrame, ends: int) -> DataFrame:
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-    return (both.filter("b > a").join(least, "a")
+    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count(F.lit(1)).alias("n"))
+    return (_with_least(both.filter("b > a"), least, ends)
             .select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct())
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, ends: int) -> DataFrame:
     # edges run from the larger node a to the smaller b
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
-    moved = (edges.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")))
+    least = edges.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n"))
+    moved = _with_least(edges, least, ends).filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return least.select("a", F.col("m").alias("b")).union(moved).filter("a <> b").distinct()
 
 
@@ -48,7 +59,9 @@ def connected_components(edges: DataFrame, name: str) -> DataFrame:
     for _ in range(MAX_ROUNDS):
         if _all_stars(edges):
             break
-        edges = materialise(_small_star(_large_star(edges)).coalesce(files), f"{name}-round")
+        ends = 2 * edges.count()
+        larger = materialise(_large_star(edges, ends).coalesce(files), f"{name}-large")
+        edges = materialise(_small_star(larger, ends).coalesce(files), f"{name}-round")
     else:
         raise RuntimeError("components did not settle")
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("comp")).distinct()

@@ -90,6 +90,7 @@ def _features(k: int):
             sets = [shingle_set(t, k) for t in pdf["text"]]
             yield pd.DataFrame({
                 "doc_id": pdf["doc_id"],
+                "digest": pdf["digest"],
                 "n_shingles": np.array([len(s) for s in sets], np.int64),
                 "node": [set_digest(s) if len(s) else None for s in sets],
                 "sig": [signature(s).tobytes() if len(s) else None for s in sets],
@@ -238,21 +239,26 @@ def _confirm(k: int, percent: int):
 _EDGE = struct_of(a=T.BinaryType(), b=T.BinaryType())
 
 
-def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85, block_nodes: int = BLOCK_NODES,
-                    block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text; other columns are not used): doc_id,
-    n_shingles, component_id (least doc_id linked, directly or through others), kept.
+def _base(docs: DataFrame) -> DataFrame:
+    return docs.select(or_null(docs, "doc_id", "long").alias("doc_id"), or_null(docs, "text", "string").alias("text")).withColumn(
+        "digest", text_digest(F.col("text")))
 
-    Null, empty and blank texts have no shingles and stay alone, each kept. A null id takes
-    part in links but is never a component's id unless all its members' ids are null; then
-    component_id is null and kept false. Rows that repeat an id all get that id's answer for
-    their own text. Extra columns are ignored; an empty table gives no rows."""
-    base = docs.select(or_null(docs, "doc_id", "long").alias("doc_id"), or_null(docs, "text", "string").alias("text"))
+
+def text_digest(text: F.Column) -> F.Column:
+    """What tells the rows of a repeated id apart: null and empty texts differ."""
+    return F.coalesce(F.md5(text.cast("binary")), F.lit("null"))
+
+
+def _linked(docs: DataFrame, k: int, percent: int, block_nodes: int = BLOCK_NODES, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
+    """Rows of ``docs`` as (doc_id, digest, n_shingles, node, comp, component_id): the shingle
+    set, the group of linked sets it belongs to, and the least id in that group."""
+    base = _base(docs)
     feats = materialise(base.mapInPandas(_features(k), struct_of(
-        doc_id=T.LongType(), n_shingles=T.LongType(), node=T.BinaryType(), sig=T.BinaryType())), "neardup-feats")
+        doc_id=T.LongType(), digest=T.StringType(), n_shingles=T.LongType(), node=T.BinaryType(), sig=T.BinaryType())), "neardup-feats")
+    least = F.coalesce(F.col("doc_id"), F.lit(2**63 - 1))
     nodes = materialise(feats.filter("node is not null").groupBy("node").agg(
-        F.min("doc_id").alias("rep"), F.first("sig").alias("sig"), F.first("n_shingles").alias("n_shingles")),
-        "neardup-nodes")
+        F.min("doc_id").alias("rep"), F.min_by("digest", least).alias("rep_digest"), F.first("sig").alias("sig"),
+        F.first("n_shingles").alias("n_shingles")), "neardup-nodes")
     keyed = nodes.select("node", F.explode(_keys(F.col("sig"))).alias("key"))
     shared = (keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
               .withColumn("blocks", F.ceil(F.col("n") / block_nodes)).drop("n"))
@@ -261,42 +267,62 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85, block_nodes:
     near = (buckets.repartition("key", "bi", "bj").sortWithinPartitions("key", "bi", "bj")
             .mapInPandas(_bucket_edges, _EDGE))
     groups = connected_components(near, "neardup-near")
-    members = groups.join(nodes.select("node", "rep", "n_shingles"), "node")
+    members = groups.join(nodes.select("node", "rep", "rep_digest", "n_shingles"), "node")
     sizes = members.groupBy("comp").agg(F.greatest(
         F.ceil(F.count(F.lit(1)) / block_nodes), F.ceil(F.sum("n_shingles") / block_shingles)).alias("blocks"))
-    wanted = members.join(sizes, "comp").select("comp", "node", "rep", "blocks")
-    texts = base.join(wanted, base["doc_id"].eqNullSafe(wanted["rep"])).select("comp", "node", "blocks", "text")
+    wanted = members.join(sizes, "comp").select("comp", "node", "rep", "rep_digest", "blocks")
+    own = base["doc_id"].eqNullSafe(wanted["rep"]) & (base["digest"] == wanted["rep_digest"])
+    texts = base.join(wanted, own).select("comp", "node", "blocks", "text")
     links = (_spread(texts, "blocks", "node").drop("blocks")
              .repartition("comp", "bi", "bj").sortWithinPartitions("comp", "bi", "bj")
              .mapInPandas(_confirm(k, percent), _EDGE))
     found = connected_components(links, "neardup-link")
     placed = nodes.select("node", "rep").join(found, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    least = placed.groupBy("comp").agg(F.min("rep").alias("component_id"))
-    ids = placed.join(least, "comp").select("node", "component_id")
-    return (feats.join(ids, "node", "left")
-            .withColumn("component_id", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
-            .select("doc_id", "n_shingles", "component_id",
-                    F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept")))
+    lowest = placed.groupBy("comp").agg(F.min("rep").alias("component_id"))
+    ids = placed.join(lowest, "comp").select("node", "comp", "component_id")
+    return (feats.drop("sig").join(ids, "node", "left")
+            .withColumn("component_id", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))))
+
+
+def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85, block_nodes: int = BLOCK_NODES,
+                    block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, text; other columns are not used): doc_id,
+    n_shingles, component_id (least doc_id linked, directly or through others), kept.
+
+    Null, empty and blank texts have no shingles and stay alone, each kept. A null id takes
+    part in links but is never a component's id unless all its members' ids are null; then
+    component_id is null and kept false. Rows that repeat an id all get that id's answer for
+    their own text. Extra columns are ignored; an empty table gives no rows."""
+    return _linked(docs, k, percent, block_nodes, block_shingles).select(
+        "doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"))
 
 
 def keep_one(docs: DataFrame, k: int = 3, percent: int = 85) -> DataFrame:
-    """``docs`` without near copies: one document of each group stays, the one with the least
-    id, whole and with all its columns. Rows whose group has null ids only stay; of rows that
-    repeat an id one stays, the one with the least text."""
-    found = near_duplicates(docs, k, percent)
-    gone = (found.filter("doc_id is not null and component_id is not null").groupBy("doc_id")
-            .agg(F.max("kept").alias("stays")).filter("not stays").select("doc_id"))
-    left = docs.join(gone, "doc_id", "left_anti") if "doc_id" in docs.columns else docs
-    repeats = materialise(found.filter("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-                          .filter("n > 1").select("doc_id"), "neardup-repeats")
+    """``docs`` without near copies: one row of each group of linked texts stays, one with the
+    least id, whole and with all its columns.
+
+    Rows are told apart by id and text, so rows that repeat an id with different texts are judged
+    each by its own text, and every text of ``docs`` is kept or has a linked text that is. Of rows
+    with the same id and text one stays, as does one per id of texts without words. Where all ids
+    of a group are null, all its rows stay."""
+    found = materialise(_linked(docs, k, percent), "neardup-rows")
+    with_id = found.filter("doc_id is not null")
+    first = (with_id.filter("comp is not null and doc_id = component_id").groupBy("comp")
+             .agg(F.min(F.struct("doc_id", "digest")).alias("s")).select("s.doc_id", "s.digest"))
+    linked = found.filter("comp is not null and component_id is not null").select("doc_id", "digest").distinct()
+    same = linked["doc_id"].eqNullSafe(first["doc_id"]) & (linked["digest"] == first["digest"])
+    gone = linked.join(first, same, "left_anti").select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"))
+    own_id, own_text = or_null(docs, "doc_id", "long"), text_digest(or_null(docs, "text", "string"))
+    columns = [f"`{c}`" for c in docs.columns]
+    left = docs.join(gone, own_id.eqNullSafe(F.col("__id")) & (own_text == F.col("__digest")), "left_anti")
+    repeats = materialise(with_id.groupBy("doc_id", "digest").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+                          .select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest")), "neardup-repeats")
     if repeats.isEmpty():
-        return left.select(*[f"`{c}`" for c in docs.columns])
-    again = left.join(repeats, "doc_id", "left_semi")
-    # one row per repeated id: an aggregate of the whole row, least text first
-    rest = [c for c in docs.columns if c != "doc_id"]
-    first = F.min_by(F.struct(*[f"`{c}`" for c in rest]), F.coalesce(F.col("text"), F.lit("")))
-    one = again.groupBy("doc_id").agg(first.alias("row")).select("doc_id", "row.*")
-    return left.join(repeats, "doc_id", "left_anti").unionByName(one).select(*[f"`{c}`" for c in docs.columns])
+        return left.select(*columns)
+    among = (own_id == F.col("__id")) & (own_text == F.col("__digest"))
+    # one row per repeated id and text: an aggregate of the whole row, the least
+    one = left.join(repeats, among).groupBy("__id", "__digest").agg(F.min(F.struct(*columns)).alias("row")).select("row.*")
+    return left.join(repeats, among, "left_anti").select(*columns).unionByName(one)
 
 
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

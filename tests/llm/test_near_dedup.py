@@ -75,6 +75,48 @@ def test_keep_one(odd, docs, corpus, nothing):
     assert sorted(r.doc_id for r in left.collect()) == sorted(i for i, v in brute(corpus).items() if v[2])
     rest = N.keep_one(odd)
     assert rest.columns == odd.columns
-    assert sorted(r.doc_id for r in rest.collect() if r.doc_id) == [1, 2, 3]
+    # id 1 has two texts that aren't linked: both stay, its exact repeat goes
+    assert sorted((r.doc_id, r.text) for r in rest.collect() if r.doc_id) == [(1, "a b c d e"), (1, "f g h"), (2, None), (3, "")]
     assert N.keep_one(nothing).count() == 0
     assert N.near_duplicates(nothing).count() == 0
+
+
+def test_keep_one_keeps_every_text_class(spark):
+    """Ids that repeat with other texts: each text stays in some row, or a linked one does."""
+    t, u = "one two three four five six", "seven eight nine ten eleven twelve"
+    rows = [(1, t), (1, None), (2, u), (3, t), (3, "x y z"), (3, "x y z"), (4, ""), (4, None), (None, u), (None, "only here"), (5, t)]
+    got = sorted(((r.doc_id, r.text) for r in N.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
+    assert got == sorted([(1, t), (1, None), (2, u), (3, "x y z"), (4, ""), (4, None), (None, "only here")], key=str)
+
+
+def test_keep_one_on_a_hot_id(spark, corpus):
+    """A third of all rows share an id: no text class is lost and one row of each stays."""
+    rows = [(7 if i % 3 == 0 else r[0] * 10, r[1]) for i, r in enumerate(corpus)]
+    sets = [string_set(t) for _, t in rows]
+    kept = [string_set(r.text) for r in N.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    comp = list(range(len(rows)))
+
+    def root(x):
+        while comp[x] != x:
+            x = comp[x]
+        return x
+    for i, s in enumerate(sets):
+        for j in range(i):
+            if s and sets[j] and 100 * len(s & sets[j]) >= 85 * len(s | sets[j]):
+                comp[root(i)] = root(j)
+    members = {}
+    for i, s in enumerate(sets):
+        if s:
+            members.setdefault(root(i), []).append(s)
+    assert all(sum(k in own for k in kept) == 1 for own in members.values())
+
+
+def test_components_with_hubs(spark, monkeypatch):
+    """Hubs joined by broadcast and by shuffle give the same components."""
+    from cdmspark.llm import components as C
+    edges = [(1, i) for i in range(2, 400)] + [(1000 + i, 1001 + i) for i in range(60)] + [(5000, i) for i in range(4000, 4100)] + [(399, 4000)]
+    df = spark.createDataFrame(edges, "a long, b long")
+    want = {i: 1 for i in [*range(1, 400), *range(4000, 4100), 5000]} | {1000 + i: 1000 for i in range(61)}
+    for share in (1, 50, 10**9):
+        monkeypatch.setattr(C, "HUB_SHARE", share)
+        assert {r.node: r.comp for r in C.connected_components(df, "test").collect()} == want
