@@ -855,6 +855,13 @@ def q_stream_visit(spark, sf_dir):
     return stream_visit_query(spark, sf_dir, visit_source(SPARK), P(spark, sf_dir).persons())
 
 
+def q_stream_visit_state(spark, sf_dir):
+    """L1: the stream that keeps seen ids and last visits in its state, with repeats and a restart."""
+    from ..streaming.stateful_visits import stream_visit_state_query
+    from .roles import SPARK, visit_source
+    return stream_visit_state_query(spark, sf_dir, visit_source(SPARK), P(spark, sf_dir).persons())
+
+
 QUERIES = {
     "load_person_ids": q_load_person_ids,
     "load_person": q_load_person,
@@ -951,4 +958,5 @@ QUERIES = {
     "validate_source": q_validate_source,
     "split_rejects": q_split_rejects,
     "stream_visit": q_stream_visit,
+    "stream_visit_state": q_stream_visit_state,
 }

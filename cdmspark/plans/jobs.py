@@ -105,8 +105,12 @@ def load_visit(src: DataFrame, persons: DataFrame, existing: DataFrame | None =
     x = new_rows(eligible, existing, ["visit_occurrence_id"])
     if first is not None:
         x = x.orderBy("visit_occurrence_id").limit(first)
+    return visit_rows(with_preceding(x, order_by=order_by, existing=existing if seed else None), concept_ids)
+
+
+def visit_rows(x: DataFrame, concept_ids: dict[str, Column] | None = None) -> DataFrame:
+    """Target rows of eligible visits with their preceding visit."""
     cm = concept_ids or {}
-    x = with_preceding(x, order_by=order_by, existing=existing if seed else None)
     out = x.select(
         "visit_occurrence_id", "person_id",
         F.coalesce(cm.get("visit", rules.map_visit_type("visit_source_value")), F.lit(0)).alias("visit_concept_id"),
