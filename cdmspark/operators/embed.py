@@ -78,6 +78,15 @@ def embed(df: DataFrame, text_col: str, out: str = "vec", provider: Provider | N
     return df.withColumn(out, fn(F.col(text_col)))
 
 
+def trigram_bags(dim: int) -> Provider:
+    """The default embedding over ``dim`` buckets of its own, as bags that only the scorer makes
+    dense; for texts that are normalised already."""
+    def provider(text: Column) -> Column:
+        return trigram_bag(text, dim, preprocess=False)
+    provider.bag_dim = dim
+    return provider
+
+
 def precomputed(vector_col: str) -> Provider:
     """Provider for a vector column already in the data."""
     return lambda _c: F.transform(F.col(vector_col), lambda x: x.cast("double"))

@@ -108,7 +108,7 @@ def best_concepts(texts: DataFrame, cands: DataFrame, k: int = 1, provider=None,
     v = texts.select("ptext").where(F.col("ptext") != "").distinct()
     vec = provider(F.col("ptext")) if provider else trigram_bag(F.col("ptext"), preprocess=False)
     nn = nearest(v.withColumn("vec", vec), cands, "ptext", "concept_id", k=k, strategy=strategy,
-                 bag_dim=None if provider else DIM)
+                 bag_dim=getattr(provider, "bag_dim", None) if provider else DIM)
     return nn.join(cands.select("concept_id", "concept_name", "domain_id"), "concept_id")
 
 

@@ -60,11 +60,12 @@ class Pipeline:
     def condition_src(self):
         """Conditions mapped by the semantic path, their status with its own provider."""
         from ..operators import mapping as M
+        from ..operators.embed import trigram_bags
         def mapped():
             src = M.map_columns(self.t.condition_src(), {"condition_source_value": "_cond"}, _concepts(self.t),
                                 threshold=SEM_THRESHOLD)
             return M.map_columns(src, {"condition_status_source_value": "_status"}, self.t.status_concepts(),
-                                 threshold=SEM_THRESHOLD, provider=status_provider)
+                                 threshold=SEM_THRESHOLD, provider=trigram_bags(STATUS_DIM))
         return self._m("condition_src", mapped)
 
     def procedure_src(self):
@@ -84,13 +85,7 @@ class Pipeline:
         return jobs.eligible_encounters(self.t.encounter_src(), self.persons(), date_floor)
 
 
-STATUS_DIM = 1024
-
-
-def status_provider(text):
-    """The status column's own model: character trigrams over more buckets."""
-    from ..operators.embed import dense_counts, trigram_buckets
-    return F.when(F.length(text) > 0, dense_counts(trigram_buckets(text, STATUS_DIM), STATUS_DIM))
+STATUS_DIM = 1024           # the status column's own model: character trigrams over more buckets
 
 
 def P(spark, sf_dir) -> Pipeline:

@@ -80,15 +80,38 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
 
 
+def _nullable(kind):
+    """The type with nulls allowed everywhere (a null struct may have fields that never are)."""
+    from pyspark.sql import types as T
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _nullable(f.dataType), True) for f in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_nullable(kind.elementType), True)
+    if isinstance(kind, T.MapType):
+        return T.MapType(_nullable(kind.keyType), _nullable(kind.valueType), True)
+    return kind
+
+
+#: Rows up to which a kept table is a local relation instead of files.
+SMALL_ROWS = 4000
+
+
 def persist_reliably(df):
-    """Materialise ``df`` once in the shared checkpoint folder and cut its lineage
-    (a lost executor re-reads the files instead of recomputing the plan)."""
+    """Evaluate ``df`` once and cut its lineage: a table of more than ``SMALL_ROWS`` rows is
+    checkpointed in the shared folder (a lost executor re-reads the files instead of
+    recomputing the plan); a smaller one comes to the driver, never more than that many rows
+    and one, and goes on as a local relation, whose known size lets Spark plan without shuffles."""
     from pyspark import StorageLevel
-    ensure_checkpoint_dir(df.sparkSession)
-    # An eager checkpoint runs the plan once to count and once more to write the
-    # files; persisting for the duration makes the write read the cached blocks.
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    # the rows looked at and the checkpoint (which runs the plan to count and to write) read
+    # the cached blocks
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        kinds = _nullable(df.schema)
+        head = df.limit(SMALL_ROWS + 1).select(*[df[f"`{f.name}`"].cast(f.dataType) for f in kinds.fields]).toArrow()
+        if head.num_rows <= SMALL_ROWS:
+            return spark.createDataFrame(head, schema=kinds)
         return df.checkpoint(eager=True)
     finally:
         df.unpersist()
