@@ -11,10 +11,14 @@ pandas UDF that loads its model once per worker process.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import preprocess_text
 
@@ -78,6 +82,70 @@ def embed(df: DataFrame, text_col: str, out: str = "vec", provider: Provider | N
     return df.withColumn(out, fn(F.col(text_col)))
 
 
+@dataclass(frozen=True)
+class Model:
+    """A provider with the cut-off that suits its scores, and whether it gives bags of
+    ``bag_dim`` buckets rather than vectors."""
+
+    provider: Provider
+    threshold: float
+
+
+_MODELS: dict[str, Callable[[], Model]] = {}
+
+
+def register_model(name: str, make: Callable[[], Model]) -> None:
+    """M2: make a model known by name; ``make`` runs when the model is asked for."""
+    if name in _MODELS:
+        raise ValueError(f"a model {name!r} is registered already")
+    _MODELS[name] = make
+
+
+def model(name: str) -> Model:
+    """The model of that name.  Like a config value, the name can come from outside."""
+    try:
+        make = _MODELS[name]
+    except KeyError:
+        raise ValueError(f"unknown model {name!r}; one of {sorted(_MODELS)}") from None
+    return make()
+
+
+def models() -> list[str]:
+    return sorted(_MODELS)
+
+
+def loaded_once(load: Callable[[], Callable[[pd.Series], list]]) -> Provider:
+    """A provider around a model that has to be loaded: ``load`` runs once per task, before its
+    first batch, and returns what turns a series of texts into vectors; null texts have none."""
+    @F.pandas_udf(T.ArrayType(T.DoubleType()))
+    def embed_texts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        encode = None
+        for texts in batches:
+            encode = encode or load()
+            out = pd.Series([None] * len(texts), dtype=object)
+            there = texts.notna().to_numpy()
+            if there.any():
+                out[there] = pd.Series(list(encode(texts[there])), index=out.index[there], dtype=object)
+            yield out
+    return lambda text: embed_texts(text)
+
+
+WORD_DIM = 256
+
+
+def _word_model() -> Callable[[pd.Series], list]:
+    """Counts of hashed words: a word's bucket is the sum of its code points times their place.
+    Buckets of words seen are remembered as long as the task lives."""
+    seen: dict[str, int] = {}
+
+    def bucket(word: str) -> int:
+        if word not in seen:
+            seen[word] = sum(ord(c) * i for i, c in enumerate(word, 1)) % WORD_DIM
+        return seen[word]
+    return lambda texts: [np.bincount([bucket(w) for w in t.split(" ") if w] or [0], minlength=WORD_DIM).astype(float)
+                          * bool(t.strip(" ")) for t in texts]
+
+
 def trigram_bags(dim: int) -> Provider:
     """The default embedding over ``dim`` buckets of its own, as bags that only the scorer makes
     dense; for texts that are normalised already."""
@@ -90,3 +158,7 @@ def trigram_bags(dim: int) -> Provider:
 def precomputed(vector_col: str) -> Provider:
     """Provider for a vector column already in the data."""
     return lambda _c: F.transform(F.col(vector_col), lambda x: x.cast("double"))
+
+
+register_model("trigrams", lambda: Model(trigram_bags(DIM), 0.7))
+register_model("words", lambda: Model(loaded_once(_word_model), 0.6))

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import preprocess_text
 from ..session import persist_reliably
-from .embed import DIM, trigram_bag
+from .embed import DIM, model, trigram_bag
 from .fuzzy import fuzzy_match
 from .nearest import nearest
 
@@ -166,6 +166,15 @@ def multi_strategy(src: DataFrame, value_col: str, concepts: DataFrame, threshol
     return out.withColumn("similarity_score", F.coalesce("similarity_score", F.lit(0.0)))
 
 
+def map_with_model(src: DataFrame, value_col: str, concepts: DataFrame, name: str, threshold: float | None = None,
+                   strategy: str = "semantic") -> DataFrame:
+    """M2: ``semantic_match`` or ``multi_strategy`` with a registered model, at the model's own
+    cut-off where none is given."""
+    m = model(name)
+    fn = {"semantic": semantic_match, "multi_strategy": multi_strategy}[strategy]
+    return fn(src, value_col, concepts, threshold=m.threshold if threshold is None else threshold, provider=m.provider)
+
+
 def similar_concepts(queries: DataFrame, value_col: str, concepts: DataFrame, k: int = 10,
                      provider=None) -> DataFrame:
     """Top-k concepts per query text, with score, rank and the query echoed."""

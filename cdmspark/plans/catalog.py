@@ -638,6 +638,15 @@ def q_map_semantic_sparse(spark, sf_dir):
         "matched_concept_name", F.round("similarity_score", 4).alias("similarity_score"))
 
 
+def q_map_model(spark, sf_dir):
+    """M2: the mapping by the registered model ``words`` at its own cut-off."""
+    from ..operators import mapping as M
+    t = Tables(spark, sf_dir)
+    m = M.map_with_model(_proc_rows(t), "procedure_source_value", _concepts(t), "words")
+    return m.select("procedure_occurrence_id", F.col("procedure_source_value").alias("source_value"),
+                    "concept_id", "matched_concept_name", F.round("similarity_score", 4).alias("similarity_score"))
+
+
 def q_map_source(spark, sf_dir):
     from ..operators import mapping as M
     t = Tables(spark, sf_dir)
@@ -928,6 +937,7 @@ QUERIES = {
     "embed_text_idf": q_embed_text_idf,
     "map_multi_idf": q_map_multi_idf,
     "map_semantic_sparse": q_map_semantic_sparse,
+    "map_model": q_map_model,
     "map_source": q_map_source,
     "map_cascade": q_map_cascade,
     "cross_domain": q_cross_domain,

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from ..functions import rules as R
 from ..functions.text import ABBREVIATIONS
+from ..operators.embed import WORD_DIM, model
 from ..operators.lsh import BITS, FLIPS, SEED, TABLES
 from ..operators.sparse import IDF_SCALE, SPARSE_DIM
 from . import catalog as C
@@ -790,3 +791,30 @@ FROM (SELECT CAST(sum(n_rows) AS BIGINT) AS rejected FROM ({SQL['load_visit_reje
     "period_lookup_clustered": f"""SELECT * FROM ({SQL['observation_period']})
 WHERE person_id BETWEEN {C.LOOKUP_PERSONS[0]} AND {C.LOOKUP_PERSONS[1]}""",
 })
+
+
+# --------------------------------------------------------------------------- a registered model: hashed words
+WORD_CUTOFF = model("words").threshold
+
+
+def _words(table: str, key: str, name: str) -> str:
+    return f"""
+{name}_w AS (SELECT k, pos, word FROM (SELECT {key} AS k, unnest(string_split(ptext, ' ')) AS word,
+    unnest(range(1, len(string_split(ptext, ' ')) + 1)) AS pos FROM {table} WHERE ptext <> '') WHERE word <> ''),
+{name}_c AS (SELECT k, pos, unicode(substr(word, i, 1)) * i AS x FROM (
+  SELECT k, pos, word, unnest(range(1, length(word) + 1)) AS i FROM {name}_w)),
+{name}_v AS (SELECT k, b, count(*) AS w FROM (SELECT k, pos, sum(x) % {WORD_DIM} AS b FROM {name}_c GROUP BY k, pos) GROUP BY k, b),
+{name}_n AS (SELECT k, sqrt(sum(w * w)) AS n FROM {name}_v GROUP BY k)"""
+
+
+SQL["map_model"] = W(_concepts_sql() + "," + _cands() + "," + PROC_PP + "," + _words("proc_texts", "ptext", "s") + ","
+                     + _words("cands", "concept_id", "c") + f""",
+dots AS (SELECT s.k AS sk, c.k AS ck, sum(s.w * c.w) AS d FROM s_v s JOIN c_v c ON s.b = c.b GROUP BY ALL),
+top AS (SELECT sk, ck, score FROM (SELECT *, row_number() OVER (PARTITION BY sk ORDER BY score DESC, ck) AS rn FROM (
+  SELECT d.sk, d.ck, CAST(d.d AS DOUBLE) / (sn.n * cn.n) AS score FROM dots d JOIN s_n sn ON sn.k = d.sk JOIN c_n cn ON cn.k = d.ck))
+  WHERE rn = 1),
+best AS (SELECT s.k AS sk, coalesce(t.ck, (SELECT min(k) FROM c_n)) AS ck, coalesce(t.score, 0.0) AS score
+  FROM s_n s LEFT JOIN top t ON t.sk = s.k)""", f"""SELECT p.procedure_occurrence_id, p.procedure_source_value AS source_value,
+  CASE WHEN b.score >= {WORD_CUTOFF} THEN b.ck END AS concept_id,
+  CASE WHEN b.score >= {WORD_CUTOFF} THEN c.concept_name END AS matched_concept_name, round(b.score, 4) AS similarity_score
+FROM proc p LEFT JOIN best b ON b.sk = p.ptext LEFT JOIN concepts c ON c.concept_id = b.ck""")
