@@ -294,6 +294,17 @@ def q_incremental_visit(spark, sf_dir):
     return jobs.load_visit(p.t.visit_src(), p.persons(), existing=p.existing_visits())
 
 
+def q_incremental_visit_bucketed(spark, sf_dir):
+    """The incremental load against a target in buckets by id and by person, which stays
+    where it lies; the new rows are written before the tables go."""
+    from ..sources.bucketed import bucketed_keys
+    p, path = P(spark, sf_dir), scratch_path(spark, f"bucketed/{uuid.uuid4().hex}")
+    old = p.existing_visits()
+    with bucketed_keys(old, ["visit_occurrence_id", "person_id"], old.count()) as by:
+        jobs.load_visit(p.t.visit_src(), p.persons(), existing=by["visit_occurrence_id"], seed=by["person_id"]).write.parquet(path)
+    return spark.read.schema(S.VISIT_OCCURRENCE).parquet(path)
+
+
 def q_incremental_condition(spark, sf_dir):
     p = P(spark, sf_dir)
     loaded = jobs.load_condition(p.t.condition_src(), p.persons())
@@ -899,6 +910,7 @@ QUERIES = {
     "observation_period_chunked": q_observation_period_chunked,
     "dense_id_clustered": q_dense_id_clustered,
     "incremental_visit": q_incremental_visit,
+    "incremental_visit_bucketed": q_incremental_visit_bucketed,
     "incremental_condition": q_incremental_condition,
     "incremental_procedure": q_incremental_procedure,
     "load_report": q_load_report,

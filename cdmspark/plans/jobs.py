@@ -93,19 +93,21 @@ def eligible_visits(src: DataFrame, persons: DataFrame, start_after: int | None
 
 
 def load_visit(src: DataFrame, persons: DataFrame, existing: DataFrame | None = None,
-               seed: bool = True, order_by: str | None = None, start_after: int | None = None,
+               seed: bool | DataFrame = True, order_by: str | None = None, start_after: int | None = None,
                concept_ids: dict[str, Column] | None = None, first: int | None = None,
                eligible: DataFrame | None = None) -> DataFrame:
     """J3.  ``concept_ids`` may supply mapped columns (visit/admitted/discharged);
     otherwise the rule maps H4-H6 are used.  ``first`` (F1) loads the visits with the least
     ids only; a visit's predecessor has a smaller id, so the limit may come before the window.
-    ``eligible`` may hold the checked rows of the source, one per id."""
+    ``eligible`` may hold the checked rows of the source, one per id; ``seed`` a table of the
+    loaded visits that is better read by person than ``existing``."""
     if eligible is None:
         eligible = eligible_visits(src, persons, start_after)
     x = new_rows(eligible, existing, ["visit_occurrence_id"])
     if first is not None:
         x = x.orderBy("visit_occurrence_id").limit(first)
-    return visit_rows(with_preceding(x, order_by=order_by, existing=existing if seed else None), concept_ids)
+    loaded = seed if isinstance(seed, DataFrame) else existing if seed else None
+    return visit_rows(with_preceding(x, order_by=order_by, existing=loaded), concept_ids)
 
 
 def visit_rows(x: DataFrame, concept_ids: dict[str, Column] | None = None) -> DataFrame:

@@ -781,6 +781,7 @@ WHERE o.k >= n.m AND coalesce(t.k, 0) >= 3 * n.m - n.total - 1 AND least(length(
 # --------------------------------------------------------------------------- loads with rejects, clustered files
 SQL.update({
     "stream_visit_state": SQL["load_visit"],
+    "incremental_visit_bucketed": SQL["incremental_visit"],
     "load_ledger": SQL["load_visit_dirty"],
     "load_ledger_rejects": f"""SELECT source_key, reject_reason, CAST(sum(n_rows) AS BIGINT) AS n_rows
 FROM ({SQL['load_visit_rejects']}) GROUP BY source_key, reject_reason""",
