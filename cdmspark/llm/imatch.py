@@ -5,7 +5,10 @@ idf between ``ln 1/HIGH`` and ``ln 1/LOW``). A text's distinct lexicon terms are
 each of 64 random lexicon subsets that holds any of them hashes those it holds, in order, into
 16 bits. Subsets come in four densities (a term falls into one of 16, 64, 256 or 1,024 cells,
 of which 16 count), so short and long texts alike have subsets with just a few of their terms,
-which survive an edit elsewhere. The likeness of two fingerprints is the share of subsets that
+which survive an edit elsewhere. A text of whose distinct terms fewer than one in ``WIDE`` are in
+the band takes all its terms: so a large group of near copies, whose words are all frequent, and a
+text of rare words have fingerprints of their terms too, and replacing a third of such a text by
+one with many terms in the band leaves it on that side. The likeness of two fingerprints is the share of subsets that
 agree among those that either fills.
 
 Main path: DataFrame functions only. Document frequencies are pre-aggregated counts; the
@@ -27,6 +30,8 @@ LOW, HIGH, LOW_COUNT, HIGH_COUNT = 0.001, 0.02, 2, 10
 CELL_BITS, SUBSETS = (4, 6, 8, 10), 16
 TABLE_BITS, TABLE_FROM = 16, sum(CELL_BITS)
 EMPTY, WHOLE = "----", "="
+#: A text's terms are those in the band if at least one in so many of its distinct terms is.
+WIDE = 5
 #: Rows of an id range, and the most ranges (their bounds are literals).
 RANGE_ROWS, MAX_RANGES = 2000, 10_000
 _FIRST = -(1 << 63)
@@ -50,15 +55,16 @@ def _cell(term: str) -> Column:
 
 
 def fingerprint(df: DataFrame, text: str, out: str, cells: Column) -> DataFrame:
-    """``df`` with column ``out``: 64 groups of 4 characters, or, where no term is in the
-    lexicon, a mark and a digest of the whole text. Equal texts have equal fingerprints."""
-    table, terms, t = out + "_cells", out + "_terms", F.col(text)
+    """``df`` with column ``out``: 64 groups of 4 characters, or, for a text without words, a mark
+    and a digest of the whole text. Equal texts have equal fingerprints."""
+    table, words, terms, t = out + "_cells", out + "_words", out + "_terms", F.col(text)
     hashed = F.transform(words_of(F.lower(t)), lambda w: F.xxhash64(w))
     df = df.withColumn(table, cells)
-    known = f"filter({terms}, t -> array_contains({table}[int(shiftrightunsigned(t, {TABLE_FROM}) & " \
+    known = f"filter({words}, t -> array_contains({table}[int(shiftrightunsigned(t, {TABLE_FROM}) & " \
             f"{(1 << TABLE_BITS) - 1}L)], t))"
-    df = df.withColumn(terms, F.array_distinct(hashed))
-    df = df.withColumn(terms, F.sort_array(F.expr(known))).drop(table)
+    df = df.withColumn(words, F.array_distinct(hashed)).withColumn(terms, F.expr(known)).drop(table)
+    own = F.when(F.size(terms) * WIDE < F.size(words), F.col(words)).otherwise(F.col(terms))
+    df = df.withColumn(terms, F.sort_array(own)).drop(words)
     parts, at = [], 0
     for bits in CELL_BITS:
         place = f"(shiftrightunsigned(t, {at}) & {(1 << bits) - 1}L)"
@@ -72,7 +78,7 @@ def fingerprint(df: DataFrame, text: str, out: str, cells: Column) -> DataFrame:
 
 
 def likeness(a: str, b: str) -> Column:
-    """1 for equal fingerprints, 0 where one of two different ones has no lexicon term, else the
+    """1 for equal fingerprints, 0 where one of two different ones has no term, else the
     agreeing share of the subsets that either fills."""
     n = SUBSETS * len(CELL_BITS)
     x, y = (f"substring({c}, int(4 * i + 1), 4)" for c in (a, b))

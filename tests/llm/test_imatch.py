@@ -1,5 +1,6 @@
 """I-Match: fingerprints against a plain statement of the rules, the successor order, odd rows."""
 import hashlib
+import random
 import re
 from collections import Counter
 
@@ -23,14 +24,16 @@ def labelled(spark):
 def brute(spark, rows):
     """Fingerprints, from term and set hashes that Spark computes for lists of terms."""
     n, df = len(rows), Counter(t for _, x in rows for t in terms(x))
-    band = sorted(t for t, c in df.items() if max(2, .001 * n) <= c <= max(10, .02 * n))
-    hashed = {r.t: r.h for r in spark.createDataFrame([(t,) for t in band], "t string").withColumn("h", F.xxhash64("t")).collect()}
+    band = {t for t, c in df.items() if max(2, .001 * n) <= c <= max(10, .02 * n)}
+    hashed = {r.t: r.h for r in spark.createDataFrame([(t,) for t in df], "t string").withColumn("h", F.xxhash64("t")).collect()}
 
     def slots(text):
         out, at = [], 0
-        mine = sorted(hashed[t] for t in terms(text) if t in hashed)
-        if not mine:
+        own = terms(text)
+        if not own:
             return "=" + hashlib.sha256((text or "").encode()).hexdigest()[:32], None
+        mine = own if 5 * len(own & band) < len(own) else own & band
+        mine = sorted(hashed[t] for t in mine)
         for bits in I.CELL_BITS:
             for i in range(16):
                 out.append([h for h in mine if ((h & M64) >> at) & ((1 << bits) - 1) == i])
@@ -93,3 +96,35 @@ def test_equal_texts_and_odd_rows(spark, odd, nothing, docs, corpus):
     assert I.fingerprints(nothing).count() == 0
     one = I.fingerprints(spark.createDataFrame([(5, "abcdef")], "doc_id long, text string")).first()
     assert one.edited_sha256 == hashlib.sha256(b"abcdab").hexdigest() and one.near_next == 1.0
+
+
+def test_hot_group_of_near_copies(spark):
+    """A third of all rows are near copies, all of whose words are frequent, among texts with many
+    terms in the band: each is nearer to its edited text than to an unlike document."""
+    rng = random.Random(4)
+    common, words = [f"c{i}" for i in range(30)], [f"w{i}" for i in range(20_000)]
+    hot = rng.choices(words, k=160)
+    rows = []
+    for i in range(900):
+        if i % 3 == 0:
+            own = list(hot)
+            for _ in range(5):
+                own[rng.randrange(160)] = f"x{rng.randrange(10**6)}"
+            rows.append((i, " ".join(own)))
+        else:
+            rows.append((i, " ".join(rng.choices(common, k=60) + rng.choices(words, k=60))))
+    got = {r.doc_id: r for r in I.fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for group in ([got[i] for i in range(0, 900, 3)], [got[i] for i in range(900) if i % 3]):
+        assert not any(r.fingerprint.startswith("=") for r in group)
+        assert sum(r.near_edited > r.near_next for r in group) > 0.9 * len(group)
+    group = [got[i] for i in range(0, 900, 3)]
+    near = [alike(a.fingerprint, b.fingerprint) for a, b in zip(group, group[1:], strict=False)]
+    far = [r.near_next for r in group]
+    assert sum(near) / len(near) > 0.5 and sum(far) / len(far) < 0.1
+
+
+def test_texts_of_rare_words(spark):
+    """Words that occur once in the corpus are a fingerprint too, and an edit leaves part of it."""
+    rows = [(i, " ".join(f"r{i}q{k}" for k in range(60))) for i in range(40)]
+    for r in I.fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        assert not r.fingerprint.startswith("=") and r.near_edited > r.near_next == 0.0
