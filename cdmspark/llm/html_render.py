@@ -28,9 +28,14 @@ HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 ENDS_P = HEADINGS | frozenset(
     "address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "header hgroup hr li main menu nav ol p pre search section summary table ul".split())
-#: Not shown: no boxes of their own, or only shown by scripts, players or a choice.
+#: Not shown: no boxes of their own, or only shown by scripts or players.
 HIDDEN = frozenset("head script style template noscript title iframe object video audio canvas noembed noframes "
-                   "datalist select rp".split())
+                   "datalist rp".split())
+#: Inputs that are buttons, with the label of one without a value, and those that show no text; all others are fields.
+BUTTONS = {"submit": "Submit", "reset": "Reset", "button": ""}
+TEXTLESS = frozenset("hidden password checkbox radio range color file image".split())
+#: Start tags that end an open select.
+ENDS_SELECT = frozenset(("select", "input", "textarea"))
 #: Their elements end with "/>"; of an svg only text elements (and HTML inside it) show text.
 FOREIGN = frozenset(("svg", "math"))
 SVG_TEXT, HTML_INSIDE = frozenset(("text", "foreignobject")), frozenset(("foreignobject", "desc"))
@@ -55,6 +60,7 @@ IMPLIED = {
     "tr": (frozenset(("tr", "caption", "colgroup")), frozenset(("table",))),
     **{s: (SECTIONS | {"caption", "colgroup"}, frozenset(("table",))) for s in SECTIONS},
     "option": (frozenset(("option",)), frozenset(("select", "datalist", "optgroup"))),
+    "optgroup": (frozenset(("optgroup",)), frozenset(("select", "datalist"))),
     "body": (frozenset(("head",)), frozenset()),
     **{h: (HEADINGS, WALLS | frozenset(("div", "section", "article"))) for h in HEADINGS},
 }
@@ -111,6 +117,51 @@ def _svg_text(svg: Node) -> list:
     return found
 
 
+def _choice(select: Node) -> list:
+    """What a select shows: its last selected option, else the first that can be chosen; a list
+    box (several choices, or a size over 1) shows all its groups and options, a line each."""
+    size = select.attrs.get("size", "").strip()
+    box = "multiple" in select.attrs or (size.isascii() and size.isdigit() and int(size[-9:]) > 1)
+    lines, chosen, first, todo = [], None, None, [(k, False, True) for k in reversed(select.kids)]
+    while todo:
+        node, off, seen = todo.pop()
+        if not isinstance(node, Node):
+            continue
+        label = node.attrs.get("label", "")
+        off, seen = off or "disabled" in node.attrs, seen and visible(node)
+        if node.tag == "option":
+            shown = Node("option")
+            shown.kids = [label] if label else node.kids
+            if seen:
+                line = Node("div")
+                line.kids = [shown]
+                lines.append(line)
+            chosen = shown if "selected" in node.attrs else chosen
+            first = first or (None if off else shown)
+            continue
+        if node.tag == "optgroup" and label and seen:
+            line = Node("div")
+            line.kids = [label]
+            lines.append(line)
+        if node.tag not in HIDDEN:
+            todo += [(k, off, seen) for k in reversed(node.kids)]
+    if box:
+        return lines
+    chosen = chosen or first
+    return [" ", chosen, " "] if chosen else []
+
+
+def _field(node: Node) -> str:
+    """The text that an input shows: a button's label, a field's value or placeholder."""
+    kind = node.attrs.get("type", "").strip().lower()
+    if kind in TEXTLESS:
+        return ""
+    value = node.attrs.get("value", "")
+    if kind in BUTTONS:
+        return value if "value" in node.attrs else BUTTONS[kind]
+    return value or node.attrs.get("placeholder", "")
+
+
 class Builder:
     """Tree of a page, with missing end tags, rows and paragraphs implied."""
 
@@ -157,6 +208,10 @@ class Builder:
         if tag in ("html", "body") and (tag == "html" or self.count.get("body")):
             (self.root if tag == "html" else next(n for n in self.open if n.tag == "body")).attrs.update(attrs)
             return
+        if tag in ENDS_SELECT and self.count.get("select") and self._end(frozenset(("select",)), WALLS) and tag == "select":
+            return
+        if tag == "optgroup":
+            self._end(*IMPLIED["option"])
         if tag in ENDS_P and self.count.get("p"):
             self._end(frozenset(("p",)), WALLS)
         if tag in IMPLIED:
@@ -398,7 +453,10 @@ def render(root: Node) -> str:
         if tag == "hr":
             flow.block(True)
             continue
-        if tag == "wbr" or tag in VOID:
+        if tag == "input":
+            todo.append(f" {_field(item)} ")
+            continue
+        if tag in VOID:
             continue
         if tag == "table":
             flow.block(True)
@@ -442,6 +500,10 @@ def render(root: Node) -> str:
             kids = [k for k in kids if isinstance(k, Node) and k.tag == "summary"][:1]
         elif tag == "svg":
             kids = _svg_text(item)
+        elif tag == "select":
+            kids = _choice(item)
+        elif tag == "textarea" and not kids:
+            kids = [item.attrs.get("placeholder", "")]
         todo += reversed(kids)
     return "\n".join(flow.done()).replace("\xa0", " ")
 

@@ -31,7 +31,7 @@ CASES = [
     ("</p>a</div></b>b<b>c<i>d</b>e", "abcde"),
     ("<p>x <b>bold</b> , <i>it</i>alic <a href='a>b'>link</a>", "x bold , italic link"),
     ("<textarea>\n a  b</textarea><input type=hidden value=v><img alt=n>", " a  b"),
-    ("a<wbr>b <q>c</q> <select><option>n</select>d", "ab \"c\" d"),
+    ("a<wbr>b <q>c</q> <select><option>n</select>d", "ab \"c\" n d"),
     ("<!doctype html><html><body><nav><ul><li><a href=x>n</a></ul></nav><p>t<footer>f", "- n\n\nt\n\nf"),
     ("a <", "a <"), ("a < b & c", "a < b & c"), ("x<!-- open", "x"), ("x<b", "x"), ("x<![CDATA[y<z]]>", "xy<z"),
 ]
@@ -79,6 +79,31 @@ def test_formulas_and_drawn_text_are_shown(page, want):
     assert H.page_text(page) == want
 
 
+CONTROLS = [
+    ("a<select><option>one<option selected>two<option>n</select>b", "a two b"),
+    ("<select><option disabled>n<optgroup label=n disabled><option>n<optgroup label=m><option>one<option>n</select>", "one"),
+    ("<select><option selected hidden>pick <b>one</b><option>n</select>.", "pick one ."),
+    ("<select><option selected>n<option selected label=L>n</select>", "L"),
+    ("<select><option disabled>n</select>a", "a"), ("<select></select>a", "a"), ("<select hidden><option>n</select>a", "a"),
+    ("a<select multiple><optgroup label=G><option>one<option hidden>n</optgroup><option>two</select>b", "a\nG\none\ntwo\nb"),
+    ("<select size=3><option>one<option>two</select>", "one\ntwo"),
+    ("<select><option>one<option>n<input value=v>b", "one v b"),
+    ("<select><option>one<select><option>n</select>b", "one nb"),
+    ("<datalist><option>n</datalist>a", "a"),
+    ("a<input type=submit value='Go  on'><input type=reset><INPUT TYPE=Button value=B><input type=submit>", "a Go on Reset B Submit"),
+    ("<input type=submit value=''>a<input type=checkbox value=n><input type=password value=n>b", "a b"),
+    ("<input value=v placeholder=n> <input type=search placeholder='find &amp; go'>", "v find & go"),
+    ("<textarea placeholder=hint></textarea><textarea placeholder=n>t</textarea>", "hint\n\nt"),
+    ("<button>one <i>two</i></button>", "one two"), ("<input type=submit value=n hidden>a", "a"),
+    ("<table><tr><td><select><option>x</select><td>y</table>", "x  y"),
+]
+
+
+@pytest.mark.parametrize(("page", "want"), CONTROLS)
+def test_labels_of_controls_are_shown(page, want):
+    assert H.page_text(page) == want
+
+
 def test_wide_cells_lose_no_text():
     long = "w" * 500
     text = H.page_text(f"<table><tr><td>{long}<td>a<tr><td>b<td>c</table>")
@@ -87,7 +112,8 @@ def test_wide_cells_lose_no_text():
 
 @pytest.mark.parametrize("page", ["<div>" * 100_000 + "x", "<p><b>" * 30_000 + "x" + "</i></p>" * 30_000, "<a 'x" * 30_000,
                                   "<" * 200_000, "<table><tr><td rowspan=9999 colspan=9999>a" * 200, "&" * 200_000,
-                                  "<ul><li>" * 3000 + "x", "word " * 300_000, "<!--" * 100_000])
+                                  "<ul><li>" * 3000 + "x", "word " * 300_000, "<!--" * 100_000,
+                                  "<select>" * 50_000 + "<option>x" * 50_000, "<select><optgroup>" * 30_000, "<select><div>" * 50_000])
 def test_hostile_pages_end_in_time(page):
     start = time.time()
     H.page_text(page)
