@@ -12,12 +12,17 @@ Plan, all over classes of equal shingle sets, so exact copies are one node:
 1. one pass over the texts for set digest, set size and signature;
 2. keys are counted (pre-aggregated) and only keys held by two nodes or more go on;
 3. in a key's bucket the signatures are compared and only star edges of the near graph
-   leave (never all pairs); a bucket over ``block`` nodes is cut into blocks, and each pair
-   of blocks is a group of its own;
-4. components of that graph are the groups of candidates; a text travels once per group
-   (or once per block pair of a large group), its full shingle set is rebuilt, and links are
-   confirmed exactly: ``100 * intersection >= percent * union``;
+   leave (never all pairs);
+4. components of that graph are the groups of candidates; a text travels once per group, its
+   full shingle set is rebuilt, and links are confirmed exactly:
+   ``100 * intersection >= percent * union``;
 5. components of the confirmed links give ``component_id``.
+
+A bucket or group over a block's size is cut into blocks, one row a member, and a few pivot
+members join every block, which ties the blocks together. Members that then are not in the
+largest component of their bucket or group (the rest) are compared with all of its members,
+block by block; all other pairs are linked already. So no pair goes unseen, and rows travel in
+proportion to members + rest * blocks, not members * blocks.
 """
 
 from __future__ import annotations
@@ -39,6 +44,8 @@ SYMBOLS, CHUNKS = 48, 12
 MAX_DISTANCE = 2 * CHUNKS - 1
 #: Nodes, and shingles, of a bucket or group that one task holds (twice this for two blocks).
 BLOCK_NODES, BLOCK_SHINGLES = 1024, 2_000_000
+#: Members of a large bucket or group, as expected, that join each of its blocks.
+PIVOTS = 8
 
 _BOUNDS = [round(i * SYMBOLS / CHUNKS) for i in range(CHUNKS + 1)]
 _RNG = np.random.default_rng(20240229)
@@ -110,13 +117,39 @@ def _keys(sig) -> F.Column:
     return F.array(*out)
 
 
-def _spread(df: DataFrame, n_blocks: str, node: str) -> DataFrame:
-    """Adds (bi, bj): rows of a group of n blocks go to the n block pairs that hold theirs."""
-    own = F.pmod(F.xxhash64(F.lit(7), node), F.col(n_blocks)).cast("int")
-    pairs = F.transform(F.sequence(F.lit(0), F.col(n_blocks).cast("int") - 1),
-                        lambda x: F.struct(F.least(x, F.col("own")).alias("bi"), F.greatest(x, F.col("own")).alias("bj")))
-    return (df.withColumn("own", own).withColumn("pair", F.explode(pairs))
-            .withColumn("bi", F.col("pair.bi")).withColumn("bj", F.col("pair.bj")).drop("own", "pair"))
+def _block(node: str, n_blocks, seed: int) -> F.Column:
+    return F.pmod(F.xxhash64(F.lit(seed), node), n_blocks).cast("int")
+
+
+def _in_blocks(df: DataFrame) -> DataFrame:
+    """Rows (node, n, blocks, ...) of groups of n members in their block, pivots in all blocks."""
+    pivot = (F.col("blocks") > 1) & (F.pmod(F.xxhash64(F.lit(11), "node"), F.col("n")) < PIVOTS)
+    every = F.sequence(F.lit(0), F.col("blocks").cast("int") - 1)
+    return df.withColumn("block", F.explode(F.when(pivot, every).otherwise(F.array(_block("node", F.col("blocks"), 7)))))
+
+
+def _rest_of(members: DataFrame, group: str, linked: DataFrame, block_nodes: int, block_shingles: int) -> DataFrame | None:
+    """What is left to compare in groups of several blocks. ``members`` are their rows (group,
+    node, blocks, n_shingles), ``linked`` (node, comp) the components found within blocks. Rows
+    (group, node, label, rest, ri, bj): members outside their group's largest component go to all
+    blocks of their group, all members to all blocks of their group's rest. None if all members
+    are in one component."""
+    labelled = materialise(members.join(linked, "node", "left").select(
+        group, "node", "blocks", "n_shingles", F.coalesce("comp", "node").alias("label")), "neardup-labels")
+    largest = (labelled.groupBy(group, "label").agg(F.count(F.lit(1)).alias("n")).groupBy(group)
+               .agg(F.max_by("label", F.struct("n", "label")).alias("main")))
+    apart = labelled.join(largest, group).withColumn("rest", F.col("label") != F.col("main")).drop("main")
+    sizes = materialise(apart.filter("rest").groupBy(group).agg(F.greatest(
+        F.ceil(F.count(F.lit(1)) / block_nodes), F.ceil(F.sum("n_shingles") / block_shingles)).cast("int").alias("rest_blocks")),
+        "neardup-rest")
+    if sizes.isEmpty():
+        return None
+    open_ = apart.join(sizes, group)
+    first = (open_.filter("rest").withColumn("ri", _block("node", F.col("rest_blocks"), 13))
+             .withColumn("bj", F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1))))
+    second = (open_.withColumn("rest", F.lit(False)).withColumn("bj", _block("node", F.col("blocks"), 7))
+              .withColumn("ri", F.explode(F.sequence(F.lit(0), F.col("rest_blocks") - 1))))
+    return first.unionByName(second).select(group, "node", "label", "rest", "ri", "bj")
 
 
 def _groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
@@ -157,8 +190,18 @@ def _stars(n: int, near) -> Iterator[tuple[int, int]]:
                 todo = todo[~hit]
 
 
+def _across(nodes: list, labels: list, rest: list, near) -> Iterator[tuple[int, int]]:
+    """For each row of ``rest`` one edge to each component other than its own that it is near to."""
+    label = np.unique(np.array(labels, object), return_inverse=True)[1]
+    for i in rest:
+        others = np.flatnonzero(label != label[i])
+        hit = others[near(i, others)]
+        for j in hit[np.unique(label[hit], return_index=True)[1]]:
+            yield i, int(j)
+
+
 def _bucket_edges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    keys = ["key", "bi", "bj"]
+    keys = ["key", "block"]
     for pdf in _groups(batches, keys):
         sig = np.frombuffer(b"".join(pdf["sig"]), np.uint16).reshape(-1, SYMBOLS)
         node, at = pdf["node"].to_numpy(), _starts(pdf, keys)
@@ -176,6 +219,18 @@ def _bucket_edges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)}).drop_duplicates()
 
 
+def _bucket_across(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    keys = ["key", "ri", "bj"]
+    for pdf in _groups(batches, keys):
+        sig = np.frombuffer(b"".join(pdf["sig"]), np.uint16).reshape(-1, SYMBOLS)
+        node, label, rest, at = pdf["node"].to_numpy(), pdf["label"].to_numpy(), pdf["rest"].to_numpy(bool), _starts(pdf, keys)
+        edges = [(lo + i, lo + j) for lo, hi in zip(at[:-1], at[1:], strict=True)
+                 for i, j in _across(node[lo:hi], label[lo:hi], np.flatnonzero(rest[lo:hi]),
+                                     lambda i, others, s=sig[lo:hi]: (s[others] != s[i]).sum(1) <= MAX_DISTANCE)]
+        e = np.array(edges, np.int64).reshape(-1, 2)
+        yield pd.DataFrame({"a": node[e[:, 0]], "b": node[e[:, 1]]}).drop_duplicates()
+
+
 def _intersections(sets: list[np.ndarray]) -> np.ndarray | None:
     """Exact pairwise intersection sizes as a matrix, where products of 0/1 slices over the
     shingles that two sets or more share cost less than walking pairs; else None."""
@@ -198,16 +253,33 @@ def _intersections(sets: list[np.ndarray]) -> np.ndarray | None:
     return out
 
 
-def _confirm(k: int, percent: int):
-    keys = ["comp", "bi", "bj"]
+def _near_sets(sets: list[np.ndarray], percent: int, dense: bool):
+    """``near(i, others)``: which of the sets ``others`` are linked to set i."""
+    size, common = np.array([len(s) for s in sets]), _intersections(sets) if dense else None
+
+    def near(i, others):
+        small, large = np.minimum(size[others], size[i]), np.maximum(size[others], size[i])
+        hit = 100 * small >= percent * large
+        if common is not None:
+            both = np.rint(common[i, others]).astype(np.int64)
+        else:
+            both = np.zeros(len(others), np.int64)
+            for p in np.flatnonzero(hit):
+                both[p] = len(np.intersect1d(sets[i], sets[others[p]], assume_unique=True))
+        return hit & (100 * both >= percent * (size[others] + size[i] - both))
+    return near
 
+
+def _confirm(k: int, percent: int, keys: list[str]):
+    """Confirmed links of whole groups, as stars; with a column ``label``, those of the rest
+    with members of other components."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in _groups(batches, keys):
             at = _starts(pdf, keys)
             a, b = [], []
             for lo, hi in zip(at[:-1], at[1:], strict=True):
-                seen = {}
-                for node, text in zip(pdf["node"].iloc[lo:hi], pdf["text"].iloc[lo:hi], strict=True):
+                group, seen = pdf.iloc[lo:hi], {}
+                for node, text in zip(group["node"], group["text"], strict=True):
                     if node not in seen:
                         s = shingle_set(text, k)
                         if set_digest(s) == node:  # another text under a repeated id is not this node
@@ -215,21 +287,13 @@ def _confirm(k: int, percent: int):
                 nodes, sets = list(seen), list(seen.values())
                 if len(nodes) < 2:
                     continue
-                size, common = np.array([len(s) for s in sets]), _intersections(sets)
-
-                def near(i, todo, size=size, sets=sets, common=common):
-                    small, large = np.minimum(size[todo], size[i]), np.maximum(size[todo], size[i])
-                    hit = 100 * small >= percent * large
-                    if common is not None:
-                        both = np.rint(common[i, todo]).astype(np.int64)
-                    else:
-                        both = np.zeros(len(todo), np.int64)
-                        for p in np.flatnonzero(hit):
-                            other = sets[todo[p]]
-                            both[p] = len(np.intersect1d(sets[i], other, assume_unique=True))
-                    return hit & (100 * both >= percent * (size[todo] + size[i] - both))
-
-                for v, root in _stars(len(nodes), near):
+                if "label" in group:
+                    label, rest = dict(zip(group["node"], group["label"], strict=True)), set(group["node"][group["rest"]])
+                    rows = [i for i, node in enumerate(nodes) if node in rest]
+                    edges = _across(nodes, [label[n] for n in nodes], rows, _near_sets(sets, percent, len(rows) >= 32))
+                else:
+                    edges = _stars(len(nodes), _near_sets(sets, percent, True))
+                for v, root in edges:
                     a.append(nodes[v])
                     b.append(nodes[root])
             yield pd.DataFrame({"a": a, "b": b}, dtype=object)
@@ -244,6 +308,10 @@ def _base(docs: DataFrame) -> DataFrame:
         "digest", text_digest(F.col("text")))
 
 
+def _as_edges(found: DataFrame) -> DataFrame:
+    return found.select(F.col("node").alias("a"), F.col("comp").alias("b"))
+
+
 def text_digest(text: F.Column) -> F.Column:
     """What tells the rows of a repeated id apart: null and empty texts differ."""
     return F.coalesce(F.md5(text.cast("binary")), F.lit("null"))
@@ -259,24 +327,40 @@ def _linked(docs: DataFrame, k: int, percent: int, block_nodes: int = BLOCK_NODE
     nodes = materialise(feats.filter("node is not null").groupBy("node").agg(
         F.min("doc_id").alias("rep"), F.min_by("digest", least).alias("rep_digest"), F.first("sig").alias("sig"),
         F.first("n_shingles").alias("n_shingles")), "neardup-nodes")
+    sigs = nodes.select("node", "sig")
     keyed = nodes.select("node", F.explode(_keys(F.col("sig"))).alias("key"))
-    shared = (keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-              .withColumn("blocks", F.ceil(F.col("n") / block_nodes)).drop("n"))
-    hits = keyed.join(shared, "key").join(nodes.select("node", "sig"), "node")
-    buckets = _spread(hits, "blocks", "node").drop("blocks")
-    near = (buckets.repartition("key", "bi", "bj").sortWithinPartitions("key", "bi", "bj")
-            .mapInPandas(_bucket_edges, _EDGE))
+    shared = materialise(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+                         .withColumn("blocks", F.ceil(F.col("n") / block_nodes)), "neardup-keys")
+    hits = _in_blocks(keyed.join(shared, "key")).select("key", "node", "block").join(sigs, "node")
+    near = (hits.repartition("key", "block").sortWithinPartitions("key", "block").mapInPandas(_bucket_edges, _EDGE))
     groups = connected_components(near, "neardup-near")
+    large = shared.filter("blocks > 1")
+    if not large.isEmpty():
+        rest = _rest_of(keyed.join(large, "key").withColumn("n_shingles", F.lit(0)), "key", groups, block_nodes, block_shingles)
+        if rest is not None:
+            more = (rest.join(sigs, "node").repartition("key", "ri", "bj").sortWithinPartitions("key", "ri", "bj")
+                    .mapInPandas(_bucket_across, _EDGE))
+            groups = connected_components(_as_edges(groups).union(more), "neardup-near")
     members = groups.join(nodes.select("node", "rep", "rep_digest", "n_shingles"), "node")
-    sizes = members.groupBy("comp").agg(F.greatest(
+    sizes = members.groupBy("comp").agg(F.count(F.lit(1)).alias("n"), F.greatest(
         F.ceil(F.count(F.lit(1)) / block_nodes), F.ceil(F.sum("n_shingles") / block_shingles)).alias("blocks"))
-    wanted = members.join(sizes, "comp").select("comp", "node", "rep", "rep_digest", "blocks")
+    wanted = materialise(members.join(sizes, "comp").select("comp", "node", "rep", "rep_digest", "n_shingles", "n", "blocks"),
+                         "neardup-wanted")
     own = base["doc_id"].eqNullSafe(wanted["rep"]) & (base["digest"] == wanted["rep_digest"])
-    texts = base.join(wanted, own).select("comp", "node", "blocks", "text")
-    links = (_spread(texts, "blocks", "node").drop("blocks")
-             .repartition("comp", "bi", "bj").sortWithinPartitions("comp", "bi", "bj")
-             .mapInPandas(_confirm(k, percent), _EDGE))
+    texts = _in_blocks(base.join(wanted, own).select("comp", "node", "n", "blocks", "text")).drop("n", "blocks")
+    links = (texts.repartition("comp", "block").sortWithinPartitions("comp", "block")
+             .mapInPandas(_confirm(k, percent, ["comp", "block"]), _EDGE))
     found = connected_components(links, "neardup-link")
+    large = wanted.filter("blocks > 1")
+    if not large.isEmpty():
+        rest = _rest_of(large.withColumnRenamed("comp", "family"), "family", found, block_nodes, block_shingles)
+        if rest is not None:
+            keys = ["family", "ri", "bj"]
+            ids_of = base.join(large.select("node", "rep", "rep_digest"), base["doc_id"].eqNullSafe(F.col("rep"))
+                               & (base["digest"] == F.col("rep_digest"))).select("node", "text")
+            more = (rest.join(ids_of, "node").repartition(*keys).sortWithinPartitions(*keys)
+                    .mapInPandas(_confirm(k, percent, keys), _EDGE))
+            found = connected_components(_as_edges(found).union(more), "neardup-link")
     placed = nodes.select("node", "rep").join(found, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     lowest = placed.groupBy("comp").agg(F.min("rep").alias("component_id"))
     ids = placed.join(lowest, "comp").select("node", "comp", "component_id")

@@ -43,6 +43,22 @@ def test_blocks_change_nothing(docs, corpus):
     assert result(N.near_duplicates(docs, block_nodes=7, block_shingles=900)) == brute(corpus)
 
 
+def test_rest_is_compared_with_every_block(docs, corpus, monkeypatch):
+    """Without pivots, and with all members as pivots, links across blocks are found."""
+    for pivots in (0, 10**6):
+        monkeypatch.setattr(N, "PIVOTS", pivots)
+        assert result(N.near_duplicates(docs, block_nodes=3, block_shingles=300)) == brute(corpus)
+
+
+def test_a_chain_across_blocks(spark):
+    """Each text is linked to the next alone; blocks of two hold few of the links."""
+    words = [f"w{i}" for i in range(140)]
+    rows = [(i, " ".join(words[2 * i:2 * i + 60])) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for nodes in (2, 1024):
+        assert result(N.near_duplicates(df, block_nodes=nodes)) == brute(rows)
+
+
 def test_every_pair_within_the_distance_shares_a_key(spark):
     rng = np.random.default_rng(3)
     a = rng.integers(0, 2**16, (200, N.SYMBOLS), dtype=np.uint16)
