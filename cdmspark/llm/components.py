@@ -19,12 +19,17 @@ MAX_ROUNDS = 60
 HUB_SHARE = 1000
 
 
+def join_by_size(rows: DataFrame, groups: DataFrame, key: str, total: int) -> DataFrame:
+    """``rows`` joined with ``groups`` (key, n, ...), n being the rows of a key out of ``total``:
+    keys with over a thousandth of them, fewer than a thousand, by broadcast."""
+    hubs = F.broadcast(groups.filter(F.col("n") > total // HUB_SHARE))
+    few = groups.filter(F.col("n") <= total // HUB_SHARE)
+    return rows.join(hubs, key).unionByName(rows.join(hubs.select(key), key, "left_anti").join(few, key))
+
+
 def _with_least(rows: DataFrame, least: DataFrame, ends: int) -> DataFrame:
     """``rows`` (a, b) with the minimum m of their node a; ``least`` is (a, m, n), n the rows of a."""
-    cut = ends // HUB_SHARE
-    hubs = F.broadcast(least.filter(F.col("n") > cut).select("a", "m"))    # fewer than HUB_SHARE nodes
-    few = least.filter(F.col("n") <= cut).select("a", "m")
-    return rows.join(hubs, "a").unionByName(rows.join(hubs.select("a"), "a", "left_anti").join(few, "a"))
+    return join_by_size(rows, least, "a", ends).drop("n")
 
 
 def _large_star(edges: DataFrame, ends: int) -> DataFrame:

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cdmspark.llm.common import byte_words, materialise, or_null, read_table, struct_of
-from cdmspark.llm.components import connected_components
+from cdmspark.llm.components import connected_components, join_by_size
 
 SYMBOLS, CHUNKS = 48, 12
 #: Signature distance within which every pair is found: 12 chunks with 2 errors each need 24.
@@ -128,6 +128,10 @@ def _in_blocks(df: DataFrame) -> DataFrame:
     return df.withColumn("block", F.explode(F.when(pivot, every).otherwise(F.array(_block("node", F.col("blocks"), 7)))))
 
 
+def _total(sizes: DataFrame) -> int:
+    return sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
 def _rest_of(members: DataFrame, group: str, linked: DataFrame, block_nodes: int, block_shingles: int) -> DataFrame | None:
     """What is left to compare in groups of several blocks. ``members`` are their rows (group,
     node, blocks, n_shingles), ``linked`` (node, comp) the components found within blocks. Rows
@@ -136,15 +140,17 @@ def _rest_of(members: DataFrame, group: str, linked: DataFrame, block_nodes: int
     are in one component."""
     labelled = materialise(members.join(linked, "node", "left").select(
         group, "node", "blocks", "n_shingles", F.coalesce("comp", "node").alias("label")), "neardup-labels")
-    largest = (labelled.groupBy(group, "label").agg(F.count(F.lit(1)).alias("n")).groupBy(group)
-               .agg(F.max_by("label", F.struct("n", "label")).alias("main")))
-    apart = labelled.join(largest, group).withColumn("rest", F.col("label") != F.col("main")).drop("main")
-    sizes = materialise(apart.filter("rest").groupBy(group).agg(F.greatest(
-        F.ceil(F.count(F.lit(1)) / block_nodes), F.ceil(F.sum("n_shingles") / block_shingles)).cast("int").alias("rest_blocks")),
-        "neardup-rest")
-    if sizes.isEmpty():
+    per_label = labelled.groupBy(group, "label").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("w"))
+    sizes = materialise(per_label.groupBy(group).agg(
+        F.max(F.struct("n", "label", "w")).alias("main"), F.sum("n").alias("n"), F.sum("w").alias("w")).select(
+            group, F.col("main.label").alias("main"), "n", F.greatest(
+                F.ceil((F.col("n") - F.col("main.n")) / block_nodes),
+                F.ceil((F.col("w") - F.col("main.w")) / block_shingles)).cast("int").alias("rest_blocks")), "neardup-rest")
+    open_groups = sizes.filter("rest_blocks > 0")
+    if open_groups.isEmpty():
         return None
-    open_ = apart.join(sizes, group)
+    open_ = (join_by_size(labelled, open_groups, group, _total(open_groups))
+             .withColumn("rest", F.col("label") != F.col("main")).drop("main", "n"))
     first = (open_.filter("rest").withColumn("ri", _block("node", F.col("rest_blocks"), 13))
              .withColumn("bj", F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1))))
     second = (open_.withColumn("rest", F.lit(False)).withColumn("bj", _block("node", F.col("blocks"), 7))
@@ -342,9 +348,9 @@ def _linked(docs: DataFrame, k: int, percent: int, block_nodes: int = BLOCK_NODE
                     .mapInPandas(_bucket_across, _EDGE))
             groups = connected_components(_as_edges(groups).union(more), "neardup-near")
     members = groups.join(nodes.select("node", "rep", "rep_digest", "n_shingles"), "node")
-    sizes = members.groupBy("comp").agg(F.count(F.lit(1)).alias("n"), F.greatest(
-        F.ceil(F.count(F.lit(1)) / block_nodes), F.ceil(F.sum("n_shingles") / block_shingles)).alias("blocks"))
-    wanted = materialise(members.join(sizes, "comp").select("comp", "node", "rep", "rep_digest", "n_shingles", "n", "blocks"),
+    sizes = materialise(members.groupBy("comp").agg(F.count(F.lit(1)).alias("n"), F.greatest(
+        F.ceil(F.count(F.lit(1)) / block_nodes), F.ceil(F.sum("n_shingles") / block_shingles)).alias("blocks")), "neardup-sizes")
+    wanted = materialise(join_by_size(members, sizes, "comp", _total(sizes)).select("comp", "node", "rep", "rep_digest", "n_shingles", "n", "blocks"),
                          "neardup-wanted")
     own = base["doc_id"].eqNullSafe(wanted["rep"]) & (base["digest"] == wanted["rep_digest"])
     texts = _in_blocks(base.join(wanted, own).select("comp", "node", "n", "blocks", "text")).drop("n", "blocks")
@@ -361,9 +367,12 @@ def _linked(docs: DataFrame, k: int, percent: int, block_nodes: int = BLOCK_NODE
             more = (rest.join(ids_of, "node").repartition(*keys).sortWithinPartitions(*keys)
                     .mapInPandas(_confirm(k, percent, keys), _EDGE))
             found = connected_components(_as_edges(found).union(more), "neardup-link")
-    placed = nodes.select("node", "rep").join(found, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    lowest = placed.groupBy("comp").agg(F.min("rep").alias("component_id"))
-    ids = placed.join(lowest, "comp").select("node", "comp", "component_id")
+    lowest = materialise(found.join(nodes.select("node", "rep"), "node").groupBy("comp").agg(
+        F.min("rep").alias("component_id"), F.count(F.lit(1)).alias("n")), "neardup-lowest")
+    placed = join_by_size(found, lowest, "comp", _total(lowest)).select("node", "comp", "component_id")
+    alone = F.col("comp").isNull()
+    ids = nodes.select("node", "rep").join(placed, "node", "left").select(
+        "node", F.coalesce("comp", "node").alias("comp"), F.when(alone, F.col("rep")).otherwise(F.col("component_id")).alias("component_id"))
     return (feats.drop("sig").join(ids, "node", "left")
             .withColumn("component_id", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))))
 
