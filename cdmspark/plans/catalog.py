@@ -101,6 +101,13 @@ def q_load_person(spark, sf_dir):
     return P(spark, sf_dir).persons()
 
 
+def q_incremental_person(spark, sf_dir):
+    """Persons that the target lacks; it holds those with a visit of the earlier load."""
+    p = P(spark, sf_dir)
+    loaded = p.existing_visits().select("person_id").distinct()
+    return jobs.load_person(p.t.person_src(), p.person_ids(), existing=loaded)
+
+
 def q_person_by_birth_year(spark, sf_dir):
     """A5: ad-hoc SQL over a registered view of the loaded persons."""
     P(spark, sf_dir).persons().createOrReplaceTempView("cdm_person")
@@ -116,6 +123,13 @@ def q_preceding_visit(spark, sf_dir):
     return P(spark, sf_dir).visits().select("visit_occurrence_id", "person_id", "preceding_visit_occurrence_id")
 
 
+def q_preceding_visit_by_start(spark, sf_dir):
+    """E5 in order of the start, ties by id."""
+    p = P(spark, sf_dir)
+    return jobs.load_visit(p.t.visit_src(), p.persons(), order_by="visit_start_datetime").select(
+        "visit_occurrence_id", "person_id", "visit_start_datetime", "preceding_visit_occurrence_id")
+
+
 def q_limit_visit(spark, sf_dir):
     """the first ``total`` visits by id (sample mode) - the limit is the feature."""
     p = P(spark, sf_dir)
@@ -239,6 +253,13 @@ def q_observation_period(spark, sf_dir):
     return jobs.observation_period(p.t.encounter_src(), p.persons(), gap_days=OBS_GAP_DAYS)
 
 
+def q_observation_period_merged(spark, sf_dir):
+    """J6 with overlaps: an encounter belongs to the period at hand as long as any earlier
+    encounter of the person reaches it."""
+    p = P(spark, sf_dir)
+    return jobs.observation_period(p.t.encounter_src(), p.persons(), gap_days=OBS_GAP_DAYS, overlap_aware=True)
+
+
 CLUSTER_ROWS = 300          # rows of a file, so that the test tables fill several
 LOOKUP_PERSONS = (400, 460)  # a range of person ids
 
@@ -749,6 +770,7 @@ def q_load_stats(spark, sf_dir):
     """The visit target loaded in two appends; eligible, existing, inserted, rejected rows
     and the share done, as the one-row frame of a load history (without the clock)."""
     from ..operators.reports import load_stats
+    from ..sources.sinks import drop_if_exists
     from .run import load_table
     p = P(spark, sf_dir)
     name = f"visit_load_{uuid.uuid4().hex}"
@@ -760,6 +782,7 @@ def q_load_stats(spark, sf_dir):
     second = load_table(spark, new, name, "visit_occurrence")
     lost = jobs.visit_rejects(p.t.visit_src(), p.persons()).agg(F.coalesce(F.sum("n_rows"), F.lit(0))).first()[0]
     eligible = jobs.eligible_visits(p.t.visit_src(), p.persons()).count()
+    drop_if_exists(spark, name)     # the history holds counts only
     return load_stats(spark, "visit_occurrence", eligible, first["inserted"], second["inserted"], lost,
                       first["elapsed_s"] + second["elapsed_s"]).drop("elapsed_s")
 
@@ -880,6 +903,9 @@ def q_stream_visit_state(spark, sf_dir):
 QUERIES = {
     "load_person_ids": q_load_person_ids,
     "load_person": q_load_person,
+    "incremental_person": q_incremental_person,
+    "preceding_visit_by_start": q_preceding_visit_by_start,
+    "observation_period_merged": q_observation_period_merged,
     "person_by_birth_year": q_person_by_birth_year,
     "load_visit": q_load_visit,
     "preceding_visit": q_preceding_visit,

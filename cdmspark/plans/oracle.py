@@ -137,7 +137,12 @@ procedures AS (
     AND p.procedure_date > TIMESTAMP '1930-01-01' AND p.visit_occurrence_id IS NOT NULL AND v.person_id IS NOT NULL)"""
 
 
-def _enc(floor: str | None = None) -> str:
+PREV_END = "LAG(end_date) OVER (PARTITION BY person_id ORDER BY start_date, end_date)"
+PREV_MAX_END = ("max(end_date) OVER (PARTITION BY person_id ORDER BY start_date, end_date "
+                "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")
+
+
+def _enc(floor: str | None = None, prev_end: str = PREV_END) -> str:
     f = (f" AND observation_period_start_date > DATE '{floor}' AND observation_period_end_date > DATE '{floor}'"
          if floor else "")
     return PERSONS + f""",
@@ -145,7 +150,7 @@ enc AS (SELECT CAST(person_id AS BIGINT) AS person_id, observation_period_start_
     observation_period_end_date AS end_date FROM encounter_src
   WHERE person_id IS NOT NULL AND observation_period_start_date IS NOT NULL
     AND observation_period_end_date IS NOT NULL {f} AND person_id IN (SELECT person_id FROM persons)),
-lagged AS (SELECT *, LAG(end_date) OVER (PARTITION BY person_id ORDER BY start_date, end_date) AS prev_end_date FROM enc),
+lagged AS (SELECT *, {prev_end} AS prev_end_date FROM enc),
 flagged AS (SELECT *, CAST(CASE WHEN prev_end_date IS NULL THEN 1
     WHEN date_diff('day', prev_end_date, start_date) > {C.OBS_GAP_DAYS} THEN 1 ELSE 0 END AS INTEGER) AS new_period_flag
   FROM lagged),
@@ -170,6 +175,12 @@ VISIT_EXISTING = f"ex AS (SELECT person_id, visit_occurrence_id FROM visits WHER
 SQL: dict[str, str] = {
     "load_person_ids": W(PERSONS, "SELECT person_id FROM person_ids"),
     "load_person": W(PERSONS, "SELECT * FROM persons"),
+    "incremental_person": W(VISITS + ",\n" + VISIT_EXISTING,
+                            "SELECT * FROM persons WHERE person_id NOT IN (SELECT person_id FROM ex)"),
+    "preceding_visit_by_start": W(PERSONS + "," + _vis_elig(), """SELECT visit_occurrence_id, person_id, visit_start_datetime,
+  LAG(visit_occurrence_id) OVER (PARTITION BY person_id ORDER BY visit_start_datetime, visit_occurrence_id)
+    AS preceding_visit_occurrence_id FROM vis_elig"""),
+    "observation_period_merged": W(_enc(prev_end=PREV_MAX_END), "SELECT * FROM obs"),
     "person_by_birth_year": W(PERSONS, f"SELECT person_id, year_of_birth, gender_concept_id FROM persons "
                                        f"WHERE year_of_birth = {C.BIRTH_YEAR}"),
     "load_visit": W(VISITS, "SELECT * FROM visits"),
