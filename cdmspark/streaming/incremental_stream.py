@@ -27,6 +27,9 @@ from .. import schemas as S
 from ..plans import jobs
 from ..session import path_exists, scratch_path
 
+#: Delivered files have small row groups, so that a micro-batch of one large file is read by many tasks.
+ROW_GROUPS = ("parquet.block.size", 2 << 20)
+
 
 def write_snapshot(df: DataFrame, path: str) -> DataFrame:
     """Cut lineage: write once to shared storage and read back."""
@@ -73,7 +76,7 @@ def stream_visit_query(spark: SparkSession, sf_dir: str, visit_exprs: list[str],
     part = reduce(lambda n, c: n + F.when(F.col("o_orderkey") > c, 1).otherwise(0), cuts or [], F.lit(0))
     for i in range(batches):
         # written one after the other: the file source takes files oldest first
-        orders.where(part == i).coalesce(1).write.mode("append").parquet(f"{base}/delivered")
+        orders.where(part == i).coalesce(1).write.mode("append").option(*ROW_GROUPS).parquet(f"{base}/delivered")
     src = (spark.readStream.schema(orders.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/delivered")
            .selectExpr(*visit_exprs))
     persons_snap = write_snapshot(persons.select("person_id"), f"{base}/persons")

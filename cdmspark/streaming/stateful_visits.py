@@ -2,8 +2,9 @@
 
 ``incremental_stream`` reads the target in every micro-batch.  Here two state stores take its
 place: the visit ids seen, one entry each, dealt by id; and the last visit id of each person,
-eight bytes, dealt by person.  A micro-batch costs what its own rows cost, whatever has been
-loaded before.  The file sink commits each micro-batch in its log, state and log from the same
+sixteen bytes with the person's, in ``BUCKETS`` entries dealt by a hash of the person.  A
+micro-batch chains all rows of a bucket in one call, reads and writes the entries of the
+buckets that it has rows of, and never looks at the target.  The file sink commits each micro-batch in its log, state and log from the same
 checkpoint, so a restart neither repeats nor loses rows.
 
 Of rows that repeat an id the first to arrive stays (of one micro-batch's, any: repeats are
@@ -29,23 +30,38 @@ from .. import schemas as S
 from ..operators.contract import good
 from ..plans import jobs
 from ..session import scratch_path
-from .incremental_stream import write_snapshot
+from .incremental_stream import ROW_GROUPS, write_snapshot
 
 _KEPT = ["visit_occurrence_id", "person_id", "visit_start_datetime", "visit_end_datetime", "care_site_id",
          "visit_source_value", "admitted_from", "discharged_to"]
 _BEFORE = "preceding_visit_occurrence_id"
+#: Entries of the persons' state: each holds a share of the persons, so that calls do not grow with their number.
+BUCKETS = 4096
 
 
 def _chain(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    rows = pd.concat(list(frames), ignore_index=True).sort_values("visit_occurrence_id", kind="stable")
-    ids = rows["visit_occurrence_id"].to_numpy(np.int64)
-    last = state.get[0] if state.exists else None
-    before = pd.array([None, *ids[:-1]], dtype="Int64")
-    if last is not None:
-        later = (ids > last) & (np.append(True, ids[:-1] <= last))
-        before[later] = last
-    state.update((int(max(ids[-1], last if last is not None else ids[-1])),))
-    yield rows.assign(**{_BEFORE: before})
+    """Rows of one bucket's persons with their predecessors; the state holds persons, ascending, and their last ids."""
+    rows = pd.concat(list(frames), ignore_index=True).sort_values(["person_id", "visit_occurrence_id"], kind="stable")
+    people, ids = (rows[c].to_numpy(np.int64) for c in ("person_id", "visit_occurrence_id"))
+    known, last = (np.frombuffer(b, np.int64) for b in (state.get if state.exists else (b"", b"")))
+    first = np.append(True, people[1:] != people[:-1])
+    start = np.flatnonzero(first)
+    who, nth = people[start], np.cumsum(first) - 1
+    at = np.searchsorted(known, who)
+    there = np.append(known, 0)[at] == who
+    there &= at < len(known)
+    seen = np.where(there, np.append(last, 0)[at], 0)
+    before = np.append(0, ids[:-1])
+    later = there[nth] & (ids > seen[nth]) & (first | (before <= seen[nth]))
+    before = pd.array(np.where(later, seen[nth], before), dtype="Int64")
+    before[first & ~later] = pd.NA
+    top = ids[np.append(start[1:], len(ids)) - 1]
+    top = np.where(there, np.maximum(top, seen), top)
+    known, last = np.append(known, who[~there]), np.append(last, top[~there])
+    last[at[there]] = top[there]
+    order = np.argsort(known, kind="stable")
+    state.update((known[order].tobytes(), last[order].tobytes()))
+    yield rows[_KEPT].assign(**{_BEFORE: before})
 
 
 def stateful_visits(source: DataFrame, persons: DataFrame, within: str | None = None) -> DataFrame:
@@ -58,9 +74,11 @@ def stateful_visits(source: DataFrame, persons: DataFrame, within: str | None =
              .dropDuplicatesWithinWatermark(["visit_occurrence_id"]).drop("_at"))
     else:
         x = x.dropDuplicates(["visit_occurrence_id"])
+    x = x.select(*_KEPT)
     out = T.StructType([*x.schema.fields, T.StructField(_BEFORE, T.LongType())])
-    chained = x.groupBy("person_id").applyInPandasWithState(
-        _chain, out, T.StructType([T.StructField("last", T.LongType())]), "append", GroupStateTimeout.NoTimeout)
+    kept = T.StructType([T.StructField("people", T.BinaryType()), T.StructField("last", T.BinaryType())])
+    chained = x.withColumn("_bucket", F.pmod(F.xxhash64("person_id"), F.lit(BUCKETS))).groupBy("_bucket").applyInPandasWithState(
+        _chain, out, kept, "append", GroupStateTimeout.NoTimeout)
     return jobs.visit_rows(chained)
 
 
@@ -82,7 +100,7 @@ def stream_visit_state_query(spark: SparkSession, sf_dir: str, visit_exprs: list
     people = write_snapshot(persons.select("person_id"), f"{base}/persons")
     for i in range(batches):
         again = (part < i) & (F.col("o_orderkey") % 10 == 3)
-        orders.where((part == i) | again).coalesce(1).write.mode("append").parquet(f"{base}/delivered")
+        orders.where((part == i) | again).coalesce(1).write.mode("append").option(*ROW_GROUPS).parquet(f"{base}/delivered")
         if i + 2 >= batches:
             src = (spark.readStream.schema(orders.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/delivered")
                    .selectExpr(*visit_exprs))
