@@ -71,7 +71,7 @@ class Pipeline:
     def procedure_src(self):
         from ..operators import mapping as M
         return self._m("procedure_src", lambda: M.map_columns(
-            self.t.procedure_src(), {"procedure_source_value": "_proc"}, _concepts(self.t), threshold=SEM_THRESHOLD))
+            self.t.procedure_src().drop(*UNUSED_PROCEDURE), {"procedure_source_value": "_proc"}, _concepts(self.t), threshold=SEM_THRESHOLD))
 
     def conditions(self, existing=None):
         return jobs.load_condition(self.condition_src(), self.persons(), existing=existing,
@@ -85,6 +85,8 @@ class Pipeline:
         return jobs.eligible_encounters(self.t.encounter_src(), self.persons(), date_floor)
 
 
+#: Columns of the procedure source that the load does not read.
+UNUSED_PROCEDURE = ["procedure_source_code", "procedure_source_type"]
 STATUS_DIM = 1024           # the status column's own model: character trigrams over more buckets
 
 
@@ -335,7 +337,9 @@ def q_incremental_condition(spark, sf_dir):
 
 def q_incremental_procedure(spark, sf_dir):
     p = P(spark, sf_dir)
-    loaded = jobs.load_procedure(p.t.procedure_src(), p.visits())
+    # of the loaded rows only key and date are looked at: the earliest date of a key needs no text
+    src = p.t.procedure_src().withColumn("procedure_source_value", F.lit(None).cast("string"))
+    loaded = jobs.load_procedure(src.drop(*UNUSED_PROCEDURE), p.visits())
     return p.procedures(loaded.where(F.col("procedure_date") < F.lit(EXISTING_VISIT_BEFORE).cast("date")))
 
 
